@@ -1,0 +1,114 @@
+"""VCF lines derived from the ``lineitem`` table, and VCF files of such lines."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SAMPLES = ("S1", "S2", "S3")
+META_LINES = (
+    "##fileformat=VCFv4.2",
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">',
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Frequencies">',
+    '##INFO=<ID=GENE,Number=1,Type=String,Description="Gene">',
+    '##INFO=<ID=DB,Number=0,Type=Flag,Description="Known">',
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+)
+CHROM_LINE = "\t".join(
+    ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *SAMPLES)
+)
+# Neither character occurs in these lines; they switch the writer's quoting off.
+UNUSED_SEPARATOR, UNUSED_MARK = "\x01", "\x02"
+
+
+def _text(*parts: Column | str) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+
+def _sample_fields() -> list[Column]:
+    quantity = F.col("l_quantity").cast("bigint")
+    return [
+        _text("0/1:", quantity, ":", F.col("l_linenumber"), ",", F.col("l_partkey")),
+        F.when(F.col("l_suppkey") % 2 == 0, "0|0").otherwise("./.:.:."),
+        F.when(F.col("l_partkey") % 4 == 0, ".").otherwise(
+            _text("1/2:", F.col("l_linenumber"), ":10,.")
+        ),
+    ]
+
+
+def record_text() -> Column:
+    """VCF data line of a lineitem row; line number 7 is malformed on purpose."""
+    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    quantity = F.col("l_quantity").cast("bigint")
+    contig, pos = _text("chr", F.col("l_linenumber")), order + 1
+    names = (
+        F.when(part % 5 == 0, ".")
+        .when(part % 5 == 1, _text("rs", part, ";alt", part))
+        .otherwise(_text("rs", part))
+    )
+    ref = F.repeat(F.lit("A"), 1 + F.col("l_linenumber") % 3)
+    alt = F.when(supp % 3 == 0, ".").when(supp % 3 == 1, "T").otherwise("C,G")
+    qual = F.when(F.col("l_quantity") < 5, ".").otherwise(_text(F.col("l_extendedprice")))
+    filters = F.when(order % 3 == 0, "PASS").when(order % 3 == 1, "LowQual;q10").otherwise(".")
+    info = _text(
+        "DP=", quantity, ";AF=", F.col("l_discount"), ",", F.col("l_tax"), ";GENE=G", supp,
+        F.when(F.col("l_linestatus") == "O", ";DB").otherwise(""),
+        F.when(part % 7 == 0, _text(";DP=", quantity + 1)).otherwise(""),
+    )
+    whole = F.concat_ws(
+        "\t", contig, pos.cast("string"), names, ref, alt, qual, filters, info,
+        F.lit("GT:DP:AD"), *_sample_fields(),
+    )
+    short = F.concat_ws("\t", contig, pos.cast("string"))
+    return F.when(F.col("l_linenumber") == 7, short).otherwise(whole)
+
+
+def _file_columns() -> list[Column]:
+    name = _text(F.col("l_returnflag"), ".vcf")
+    return [_text("/synthetic/", name).alias("file_path"), name.alias("file_name")]
+
+
+def record_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Data lines, one file per return flag."""
+    return lineitem.select(record_text().alias("value"), *_file_columns())
+
+
+def header_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Header lines of every such file."""
+    lines = F.array(*(F.lit(line) for line in (*META_LINES, CHROM_LINE)))
+    files = lineitem.select("l_returnflag").distinct()
+    return files.select(F.explode(lines).alias("value"), *_file_columns())
+
+
+def lines_of(lineitem: DataFrame) -> DataFrame:
+    """Header and data lines together."""
+    return header_lines_of(lineitem).unionByName(record_lines_of(lineitem))
+
+
+def write_vcf_files(records: DataFrame, folder: str, compression: str = "none") -> None:
+    """Write data lines as VCF files, one per partition, each with the header on top.
+
+    Rows keep their partition: the first row of each carries the header lines
+    with it, so nothing is shuffled.
+    """
+    in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    header = [F.lit(line) for line in (*META_LINES, CHROM_LINE)]
+    numbered = records.select("value", in_partition.alias("n"))
+    lines = numbered.select(
+        F.explode(
+            F.when(F.col("n") == 0, F.array(*header, "value")).otherwise(F.array("value"))
+        ).alias("value")
+    )
+    (
+        lines.write.format("csv")
+        .option("extension", "vcf")
+        .option("compression", compression)
+        .option("sep", UNUSED_SEPARATOR)
+        .option("quote", UNUSED_MARK)
+        .option("escape", UNUSED_MARK)
+        .option("comment", UNUSED_MARK)
+        .option("escapeQuotes", "false")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .save(folder)
+    )
