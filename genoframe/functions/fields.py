@@ -1,73 +1,76 @@
-"""The core VCF columns as expressions over one trimmed data line."""
+"""The core VCF columns as SQL over one trimmed data line."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from genoframe.functions.numbers import floating, integer, is_float
 from genoframe.functions.text import dot_list, has_tabs, tab_field
 
 
-def contig(line: Column) -> Column:
+def contig(line: str) -> str:
+    """CHROM as it stands."""
     return tab_field(line, 0)
 
 
-def start(line: Column) -> Column:
+def start(line: str) -> str:
     """0-based start."""
-    return integer(tab_field(line, 1)) - 1
+    return f"({integer(tab_field(line, 1))}) - 1"
 
 
-def end(line: Column) -> Column:
+def end(line: str) -> str:
     """Exclusive end: start plus the length of REF; INFO END is not consulted."""
-    return start(line) + F.length(reference_allele(line))
+    return f"{start(line)} + length({reference_allele(line)})"
 
 
-def names(line: Column) -> Column:
+def names(line: str) -> str:
+    """IDs of the variant."""
     return dot_list(tab_field(line, 2), ";")
 
 
-def reference_allele(line: Column) -> Column:
+def reference_allele(line: str) -> str:
+    """REF as it stands."""
     return tab_field(line, 3)
 
 
-def alternate_alleles(line: Column) -> Column:
+def alternate_alleles(line: str) -> str:
+    """ALT alleles; symbolic ones are kept as they are."""
     return dot_list(tab_field(line, 4), ",")
 
 
-def qual(line: Column) -> Column:
+def qual(line: str) -> str:
+    """Quality; a missing one is NULL."""
     return floating(tab_field(line, 5))
 
 
-def filters(line: Column) -> Column:
+def filters(line: str) -> str:
+    """FILTER values; ``PASS`` is one of them."""
     return dot_list(tab_field(line, 6), ";")
 
 
-def info_text(line: Column) -> Column:
+def info_text(line: str) -> str:
+    """INFO before typing."""
     return tab_field(line, 7)
 
 
-def is_record(line: Column) -> Column:
+def is_record(line: str) -> str:
     """True for a well formed record.
 
     At least eight fields, an integer POS within 64 bits and a numeric or missing
     QUAL. A trimmed line cannot end in a tab, so seven tabs mean eight fields.
     """
     quality = tab_field(line, 5)
-    return F.coalesce(
-        has_tabs(line, 7)
-        & integer(tab_field(line, 1)).isNotNull()
-        & ((quality == ".") | is_float(quality)),
-        F.lit(False),
-    )
+    return f"""coalesce(
+      {has_tabs(line, 7)}
+      AND ({integer(tab_field(line, 1))}) IS NOT NULL
+      AND ({quality} = '.' OR {is_float(quality)}),
+      false)"""
 
 
-def variant_id(
-    file_path: Column, file_name: Column, contig: Column, start: Column, end: Column
-) -> Column:
+def variant_id(file_path: str, file_name: str, line: str) -> str:
     """SHA-256 hex of ``file_path|file_name|contig|start|end``.
 
     Alleles are not part of it: records of one file with equal spans share an id.
     """
-    parts = (file_path, file_name, contig, start.cast("string"), end.cast("string"))
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return (
+        f"sha2(concat_ws('|', {file_path}, {file_name}, {contig(line)}, "
+        f"{start(line)}, {end(line)}), 256)"
+    )

@@ -2,167 +2,125 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from genoframe.functions.numbers import integer
-from genoframe.functions.text import after_tabs, has_tabs, let, tab_field
-from genoframe.functions.variant import (
-    EMPTY_OBJECT,
-    last_of_each_key,
-    quoted,
-    value_json,
-)
+from genoframe.functions.text import after_tabs, has_tabs, let, literal, tab_field
+from genoframe.functions.variant import needs_escaping, quoted, value_json
 from genoframe.options import VcfOptions
 
 KEPT_SAMPLES_TYPE = "array<struct<idx:int,sampleId:string>>"
+# The calls of most genotypes; others are taken apart.
+COMMON_CALLS = ("0/0", "0|0", "./.", "0/1", "0|1", "1|0", "1/1", "1|1", ".|.")
 # A genotype whose alleles are all plain numbers or missing.
 PLAIN_CALLS = r"^(?:\.|[0-9]{1,18})(?:[/|](?:\.|[0-9]{1,18}))*$"
 
 
-def kept_samples(sample_ids: Column, options: VcfOptions) -> Column:
+def kept_samples(sample_ids: str, options: VcfOptions) -> str:
     """Selected samples of a header with their position, in header order."""
-    numbered = F.transform(
-        sample_ids, lambda name, i: F.struct(i.alias("idx"), name.alias("sampleId"))
-    )
+    kept = f"transform({sample_ids}, (name, i) -> struct(i AS idx, name AS sampleId))"
     if options.include_samples:
-        numbered = F.filter(numbered, lambda s: s["sampleId"].isin(*options.include_samples))
+        wanted = ", ".join(literal(name) for name in options.include_samples)
+        kept = f"filter({kept}, s -> s.sampleId IN ({wanted}))"
     if options.exclude_samples:
-        numbered = F.filter(numbered, lambda s: ~s["sampleId"].isin(*options.exclude_samples))
-    return numbered.cast(KEPT_SAMPLES_TYPE)
+        unwanted = ", ".join(literal(name) for name in options.exclude_samples)
+        kept = f"filter({kept}, s -> s.sampleId NOT IN ({unwanted}))"
+    return f"cast({kept} AS {KEPT_SAMPLES_TYPE})"
+
+
+def _allele(text: str) -> str:
+    return "-1L" if text == "." else f"{text}L"
 
 
-def allele_calls(gt: Column) -> Column:
+def allele_calls(gt: str) -> str:
     """Allele indexes of a GT value: ``.`` is -1, phase is dropped.
 
     NULL for a missing value or if any allele is not an integer.
     """
-    alleles = F.split(F.translate(gt, "|", "/"), "/")
-    missing = F.lit(-1).cast("bigint")
-    plain = F.transform(
-        alleles, lambda a: F.when(a == ".", missing).otherwise(a.try_cast("bigint"))
-    )
-    checked = F.transform(
-        alleles, lambda a: F.when(a == ".", missing).otherwise(integer(a))
-    )
+    alleles = f"split(translate({gt}, '|', '/'), '/')"
+    plain = f"transform({alleles}, a -> CASE WHEN a = '.' THEN -1L ELSE try_cast(a AS bigint) END)"
+    checked = f"transform({alleles}, a -> CASE WHEN a = '.' THEN -1L ELSE {integer('a')} END)"
     all_or_nothing = let(
-        checked, lambda calls: F.when(~F.exists(calls, lambda c: c.isNull()), calls)
+        "calls", checked, "CASE WHEN NOT exists(calls, c -> c IS NULL) THEN calls END"
+    )
+    common = " ".join(
+        f"WHEN {gt} = '{calls}' THEN array({', '.join(_allele(a) for a in calls[::2])})"
+        for calls in COMMON_CALLS
     )
-    return F.when(gt.isNull() | (gt == "."), None).when(
-        gt.rlike(PLAIN_CALLS), plain
-    ).otherwise(all_or_nothing)
+    return f"""CASE
+      WHEN {gt} IS NULL OR {gt} = '.' THEN NULL
+      {common}
+      WHEN {gt} RLIKE r'{PLAIN_CALLS}' THEN {plain}
+      ELSE {all_or_nothing}
+    END"""
 
 
-def format_layout(format_field: Column, escape: bool) -> Column:
+def format_layout(format_field: str) -> str:
     """What all samples of a record share about its FORMAT field.
 
     ``keys`` are the FORMAT keys, ``names`` their JSON member prefixes with NULL
-    for GT, ``gt`` the 1-based position of GT (0 if absent) and ``unique``
-    whether no key occurs twice.
+    for GT, ``gt`` the 1-based position of GT (0 if absent) and ``single`` whether
+    no key occurs twice.
     """
     return let(
-        F.split(format_field, ":"),
-        lambda keys: F.struct(
-            keys.alias("keys"),
-            F.transform(
-                keys, lambda k: F.when(k != "GT", F.concat(quoted(k, escape), F.lit(":")))
-            ).alias("names"),
-            F.array_position(keys, "GT").cast("int").alias("gt"),
-            (F.size(F.array_distinct(keys)) == F.size(keys)).alias("unique"),
-        ),
+        "keys",
+        f"split({format_field}, ':')",
+        f"""struct(
+          keys AS keys,
+          transform(keys, k -> CASE WHEN k != 'GT'
+            THEN concat({quoted("k", needs_escaping("k"))}, ':') END) AS names,
+          cast(array_position(keys, 'GT') AS int) AS gt,
+          size(array_distinct(keys)) = size(keys) AS single
+        )""",
     )
 
 
-def _data_json(layout: Column, values: Column, escape: bool) -> Column:
+def _data_json(layout: str, values: str, escape: str) -> str:
     """JSON object of the FORMAT values except GT and missing ones."""
-
-    def member(name: Column, value: Column) -> Column:
-        return F.when(
-            (value != ".") & name.isNotNull(),
-            F.concat(name, value_json(value, mixed_list_as_string=True, escape=escape)),
-        )
-
-    def last_members(pairs: Column) -> Column:
-        keys = F.transform(pairs, lambda p: p["k"])
-        last = last_of_each_key(pairs, keys)
-        return F.transform(last, lambda p: member(p["k"], p["v"]))
-
-    def present(pairs: Column) -> Column:
-        return F.filter(pairs, lambda p: p["k"].isNotNull() & (p["v"] != "."))
-
-    pairs = F.zip_with(
-        layout["names"], values, lambda k, v: F.struct(k.alias("k"), v.alias("v"))
-    )
-    members = F.when(
-        layout["unique"], F.zip_with(layout["names"], values, member)
-    ).otherwise(let(present(pairs), last_members))
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
-
-
-def _gt_value(layout: Column, values: Column) -> Column:
+    overridden = f"""exists(
+        filter({values}, (later, j) -> j > i AND later != '.'
+          AND get({layout}.keys, j) = get({layout}.keys, i)), later -> true)"""
+    deciding = f"""CASE WHEN {layout}.single THEN {values}
+        ELSE transform({values}, (v, i) -> CASE WHEN {overridden} THEN '.' ELSE v END) END"""
+    value = value_json("v", mixed_list_as_string=True, escape=escape)
+    members = f"""zip_with({layout}.names, {deciding}, (name, v) ->
+        CASE WHEN name IS NOT NULL AND v != '.' THEN concat(name, {value}) END)"""
+    return f"concat('{{', array_join({members}, ','), '}}')"
+
+
+def _gt_value(layout: str, values: str) -> str:
     """The GT text of a sample; with repeated GT keys the last that is not missing."""
-    pairs = F.zip_with(
-        layout["keys"], values, lambda k, v: F.struct(k.alias("k"), v.alias("v"))
-    )
-    given = F.filter(pairs, lambda p: (p["k"] == "GT") & (p["v"] != "."))
-    return (
-        F.when(layout["gt"] == 0, None)
-        .when(layout["unique"], F.get(values, layout["gt"] - 1))
-        .otherwise(F.try_element_at(given, F.lit(-1))["v"])
-    )
-
+    pairs = f"zip_with({layout}.keys, {values}, (k, v) -> struct(k AS k, v AS v))"
+    given = f"filter({pairs}, p -> p.k = 'GT' AND p.v != '.')"
+    return f"""CASE
+      WHEN {layout}.gt = 0 THEN NULL
+      WHEN {layout}.single THEN get({values}, {layout}.gt - 1)
+      ELSE try_element_at({given}, -1).v
+    END"""
 
-def genotype(sample_id: Column, layout: Column, text: Column, escape: bool) -> Column:
-    """Genotype struct of one sample's field."""
 
-    def parsed(values: Column) -> Column:
-        return F.struct(
-            sample_id.alias("sampleId"),
-            let(_gt_value(layout, values), allele_calls).alias("calls"),
-            F.parse_json(_data_json(layout, values, escape)).alias("data"),
-        )
-
-    absent = F.struct(
-        sample_id.alias("sampleId"),
-        F.lit(None).cast("array<bigint>").alias("calls"),
-        F.parse_json(F.lit(EMPTY_OBJECT)).alias("data"),
-    )
-    return let(
-        text,
-        lambda t: F.when((t == ".") | (t == ""), absent).otherwise(let(F.split(t, ":"), parsed)),
-    )
-
-
-def needs_genotype_escaping(sample_text: Column) -> Column:
-    """As for INFO, over several tab separated fields."""
-    special = F.contains(sample_text, F.lit('"')) | F.contains(sample_text, F.lit("\\"))
-    return special | sample_text.rlike(r"[\x00-\x08\x0a-\x1f]")
-
-
-def genotypes(line: Column, kept: Column) -> Column:
+def genotypes(line: str, kept: str) -> str:
     """Genotype array of a record: one entry per kept sample that the record has.
 
-    NULL, not empty, if that leaves none.
+    NULL, not empty, if that leaves none; the first kept sample comes first in the
+    record, so its field decides. An empty field reads as a missing genotype.
     """
-
-    def parse(record: Column, escape: bool) -> Column:
-        def each(bound: Column) -> Column:
-            present = F.filter(kept, lambda s: s["idx"] < F.size(bound["fields"]))
-            return F.transform(
-                present,
-                lambda s: genotype(
-                    s["sampleId"], bound["layout"], F.get(bound["fields"], s["idx"]), escape
-                ),
-            )
-
-        fields = F.split(after_tabs(record, 9), "\t")
-        layout = format_layout(tab_field(record, 8), escape)
-        bound = F.struct(fields.alias("fields"), layout.alias("layout"))
-        return let(bound, each)
-
-    escaped = needs_genotype_escaping(after_tabs(line, 8))
-    all_kept = F.when(escaped, parse(line, escape=True)).otherwise(parse(line, escape=False))
-    return F.when(
-        has_tabs(line, 9) & (F.size(kept) > 0),
-        let(all_kept, lambda g: F.when(F.size(g) > 0, g)),
+    record = let(
+        "samples",
+        after_tabs(line, 9),
+        f"""struct(
+          split(samples, '\\t') AS fields,
+          {format_layout(tab_field(line, 8))} AS layout,
+          {needs_escaping("samples")} AS escape
+        )""",
     )
+    values = f"""transform(
+        filter({kept}, s -> s.idx < size(rec.fields)),
+        s -> struct(
+          s.sampleId AS sampleId,
+          split(CASE WHEN get(rec.fields, s.idx) = '' THEN '.'
+            ELSE get(rec.fields, s.idx) END, ':') AS vals))"""
+    parsed = f"""transform({values}, s -> struct(
+        s.sampleId AS sampleId,
+        {let("gt", _gt_value("rec.layout", "s.vals"), allele_calls("gt"))} AS calls,
+        parse_json({_data_json("rec.layout", "s.vals", "rec.escape")}) AS data))"""
+    return f"""CASE WHEN size({kept}) > 0 AND {has_tabs(line, f"9 + {kept}[0].idx")}
+      THEN {let("rec", record, parsed)} END"""

@@ -1,9 +1,10 @@
-"""Typing of numeric text: which strings count as numbers, and their JSON form."""
+"""Typing of numeric text: which strings count as numbers, and their JSON form.
 
-from __future__ import annotations
+Casts run behind a pattern. Inside a lambda a ``try_cast`` that fails costs an
+exception, which is far more than the pattern.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from genoframe.functions.text import let
 
@@ -17,90 +18,89 @@ ANY_FLOAT = (
     rf"^\s*[+-]?(?:(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS}){EXPONENT}"
     r"|(?i:nan|inf|infinity))\s*$"
 )
+# Numbers whose text already is the JSON text that the general rules arrive at, and
+# comma lists of them: no padding, no zeros at either end, at most 15 digits, not so
+# small that an exponent would be shorter.
+_TIDY = r"-?(?:0|[1-9][0-9]{0,8})(?:\.(?!0000)(?:0|[0-9]{0,5}[1-9]))?"
+TIDY_NUMBERS = rf"^{_TIDY}(?:,{_TIDY})*$"
 # JSON has no infinity; a literal beyond the double range reads back as one.
-INFINITY_JSON = {1: "1e999", -1: "-1e999"}
+INFINITY_JSON = "1e999"
 
 
-def _plain(text: Column) -> Column:
+def _plain(text: str) -> str:
     """Number text without digit grouping and padding."""
-    return F.translate(text, "_ \x0b\x0c\r", "")
-
+    return f"translate({text}, '_ \\u000b\\u000c\\r', '')"
 
-def integer(text: Column) -> Column:
-    """BIGINT value of integer text, NULL for anything else.
 
-    Casts run behind a pattern: inside lambdas a failing ``try_cast`` costs an
-    exception per value.
-    """
-    return F.when(text.rlike(SHORT_INTEGER), text.try_cast("bigint")).when(
-        text.rlike(INTEGER), _plain(text).try_cast("bigint")
+def integer(text: str) -> str:
+    """BIGINT value of integer text, NULL for anything else."""
+    return (
+        f"CASE WHEN {text} RLIKE r'{SHORT_INTEGER}' THEN try_cast({text} AS bigint) "
+        f"WHEN {text} RLIKE r'{INTEGER}' THEN try_cast({_plain(text)} AS bigint) END"
     )
 
 
-def is_float(text: Column) -> Column:
+def is_float(text: str) -> str:
     """True for text that denotes a floating point number, NaN and infinity included."""
-    return text.rlike(ANY_FLOAT)
+    return f"{text} RLIKE r'{ANY_FLOAT}'"
 
 
-def floating(text: Column) -> Column:
+def floating(text: str) -> str:
     """DOUBLE value of float text, NULL for anything else."""
-    nan = F.lower(text).contains("nan")
-    return F.when(
-        is_float(text),
-        F.when(nan, F.lit(float("nan"))).otherwise(_plain(text).try_cast("double")),
+    return (
+        f"CASE WHEN NOT ({is_float(text)}) THEN NULL "
+        f"WHEN contains(lower({text}), 'nan') THEN double('NaN') "
+        f"ELSE try_cast({_plain(text)} AS double) END"
     )
 
 
-def _double_json(number: Column) -> Column:
+def _exponent_json(number: str) -> str:
+    """JSON text of a double in Spark's own notation, infinity included."""
+    return f"replace(cast({number} AS string), 'Infinity', '{INFINITY_JSON}')"
+
+
+def _double_json(number: str) -> str:
     """JSON text of a double.
 
     Spark prints magnitudes outside 1e-3..1e7 with an exponent, and a number
     with an exponent is stored as a binary double instead of an exact decimal.
     Magnitudes from 1e-4 to 1e16 are spelled out, as most JSON writers do.
     """
-
-    def spell(value: Column) -> Column:
-        size = F.abs(value)
-        digits = F.regexp_replace(value.try_cast("decimal(38,22)").cast("string"), "0+$", "")
-        return (
-            F.when(((size >= 1e-3) & (size < 1e7)) | (size == 0.0), value.cast("string"))
-            .when(
-                (size >= 1e-4) & (size < 1e16),
-                F.regexp_replace(digits, r"\.$", ".0"),
-            )
-            .when(value == float("inf"), INFINITY_JSON[1])
-            .when(value == float("-inf"), INFINITY_JSON[-1])
-            .otherwise(value.cast("string"))
-        )
-
-    return let(number, spell)
+    digits = "regexp_replace(cast(try_cast(d AS decimal(38, 22)) AS string), '0+$', '')"
+    return let(
+        "d",
+        number,
+        f"""CASE
+          WHEN abs(d) >= 1e-3D AND abs(d) < 1e7D OR d = 0D THEN cast(d AS string)
+          WHEN abs(d) >= 1e-4D AND abs(d) < 1e16D THEN regexp_replace({digits}, r'\\.$', '.0')
+          ELSE {_exponent_json("d")}
+        END""",
+    )
 
 
-def _long_integer_json(text: Column) -> Column:
+def _long_integer_json(text: str) -> str:
     """Grouped digits and integers of 19 or more digits.
 
     Exact up to 38 digits, then the nearest double.
     """
     plain = _plain(text)
-    short_enough = F.octet_length(plain) <= 39
-    return F.when(
-        text.rlike(INTEGER),
-        F.coalesce(
-            F.when(short_enough, plain.try_cast("decimal(38,0)").cast("string")),
-            _double_json(plain.try_cast("double")),
-        ),
-    )
+    return f"""CASE WHEN {text} RLIKE r'{INTEGER}' THEN coalesce(
+        CASE WHEN octet_length({plain}) <= 39
+          THEN cast(try_cast({plain} AS decimal(38, 0)) AS string) END,
+        {_exponent_json(f"try_cast({plain} AS double)")}
+      ) END"""
 
 
-def number_json(text: Column) -> Column:
+def number_json(text: str) -> str:
     """JSON number for numeric text, NULL for any other text.
 
     Text with a dot is a float and text without one an integer, so ``1e5`` and
     ``nan`` stay strings.
     """
-    dotted = F.when(text.rlike(DOTTED_FLOAT), _double_json(_plain(text).try_cast("double")))
-    long_candidate = (F.octet_length(text) > 18) | F.contains(text, F.lit("_"))
-    whole = F.when(
-        text.rlike(SHORT_INTEGER), text.try_cast("bigint").cast("string")
-    ).when(long_candidate, _long_integer_json(text))
-    return F.when(F.contains(text, F.lit(".")), dotted).otherwise(whole)
+    return f"""CASE
+      WHEN contains({text}, '.') THEN
+        CASE WHEN {text} RLIKE r'{DOTTED_FLOAT}'
+          THEN {_double_json(f"try_cast({_plain(text)} AS double)")} END
+      WHEN {text} RLIKE r'{SHORT_INTEGER}' THEN cast(try_cast({text} AS bigint) AS string)
+      WHEN octet_length({text}) > 18 OR contains({text}, '_') THEN {_long_integer_json(text)}
+    END"""

@@ -1,73 +1,74 @@
-"""Small Column helpers shared by the VCF field builders."""
+"""SQL text helpers shared by the VCF field builders.
 
-from __future__ import annotations
-
-from collections.abc import Callable, Iterable
+The builders compose Spark SQL expressions as text: an operand goes in as SQL, an
+expression comes out as SQL, and the plan turns the finished text into one Column.
+A parser of this size takes thousands of ``Column`` calls, each a round trip to the
+JVM; the text is handed over once.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Every character that Unicode counts as white space, in code
 # point order. A VCF line is trimmed of these before it is split.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "            "
     "    　"
 )
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    """OR of the conditions."""
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+def literal(value: str) -> str:
+    """SQL string literal of any text."""
+    escaped = (
+        ch if " " <= ch <= "~" and ch not in "\\'" else f"\\U{ord(ch):08x}" for ch in value
+    )
+    return "'" + "".join(escaped) + "'"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, also inside lambdas.
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once.
 
-    Inlining a column into a lambda evaluates it once per array element;
-    a lambda variable is evaluated once per call.
+    Repeating an expression inside a lambda evaluates it again and again;
+    a lambda variable is evaluated once.
     """
-    return F.get(F.transform(F.array(value), body), 0)
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def strip(value: Column) -> Column:
+def strip(value: str) -> str:
     """Trim white space at both ends.
 
-    ``btrim`` with a character set walks the whole line, so it runs only for
-    lines whose first or last character needs it. Anything between ``!`` and
-    DEL cannot be white space, which settles the first character with two
-    comparisons.
+    Trimming a set of characters walks the whole line, so it runs only for lines
+    whose first or last character needs it. Anything between ``!`` and DEL is
+    not white space, which settles the first character with two comparisons.
     """
-    dirty_start = (value < "!") | (value >= "\x80")
-    dirty_end = any_of(F.endswith(value, F.lit(ch)) for ch in WHITESPACE)
-    return F.when(dirty_start | dirty_end, F.btrim(value, F.lit(WHITESPACE))).otherwise(value)
+    dirty_end = " OR ".join(f"endswith({value}, {literal(ch)})" for ch in WHITESPACE)
+    return (
+        f"CASE WHEN {value} < '!' OR {value} >= {literal(chr(0x80))} OR {dirty_end} "
+        f"THEN btrim({value}, {literal(WHITESPACE)}) ELSE {value} END"
+    )
 
 
-def tab_field(line: Column, index: int) -> Column:
+def tab_field(line: str, index: int) -> str:
     """Tab field ``index`` (0-based) of a line known to have that many.
 
     Reads the line only as far as the field, so core columns of a record with
     thousands of samples cost the same as those of a short one.
     """
-    head = F.substring_index(line, "\t", index + 1)
-    return head if index == 0 else F.substring_index(head, "\t", -1)
+    head = f"substring_index({line}, '\\t', {index + 1})"
+    return head if index == 0 else f"substring_index({head}, '\\t', -1)"
 
 
-def has_tabs(line: Column, count: int) -> Column:
+def has_tabs(line: str, count: int | str) -> str:
     """True if the line holds at least ``count`` tabs."""
-    return F.octet_length(F.substring_index(line, "\t", count)) < F.octet_length(line)
+    return f"octet_length(substring_index({line}, '\\t', {count})) < octet_length({line})"
 
 
-def after_tabs(line: Column, count: int) -> Column:
+def after_tabs(line: str, count: int) -> str:
     """Text behind the ``count``-th tab of a line that has that many."""
-    head = F.substring_index(line, "\t", count)
-    return F.substr(line, F.length(head) + F.lit(2))
+    return f"substr({line}, length(substring_index({line}, '\\t', {count})) + 2)"
 
 
-def dot_list(field: Column, separator: str) -> Column:
+def dot_list(field: str, separator: str) -> str:
     """Split a list field; the missing value ``.`` is the empty list."""
-    empty = F.array().cast("array<string>")
-    return F.when(field == ".", empty).otherwise(F.split(field, separator))
+    empty = "cast(array() AS array<string>)"
+    return f"CASE WHEN {field} = '.' THEN {empty} ELSE split({field}, '{separator}') END"

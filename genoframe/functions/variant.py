@@ -7,107 +7,95 @@ stage on the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from genoframe.functions.numbers import number_json
+from genoframe.functions.numbers import TIDY_NUMBERS, number_json
 from genoframe.functions.text import let
 
-EMPTY_OBJECT = "{}"
 # Stands for a list item that is not a number; cannot occur in JSON number text.
 NOT_A_NUMBER = "!"
+# Characters that a JSON string must escape; a tab separates fields, so no field
+# contains one.
+CONTROL = r"[\x00-\x08\x0a-\x1f]"
 
 
-def needs_escaping(text: Column) -> Column:
+def needs_escaping(text: str) -> str:
     """True if the text holds characters that JSON strings must escape."""
-    special = F.contains(text, F.lit('"')) | F.contains(text, F.lit("\\"))
-    return special | text.rlike(r"[\x00-\x1f]")
+    return (
+        f"""contains({text}, '"') OR contains({text}, '\\\\') OR {text} RLIKE r'{CONTROL}'"""
+    )
 
 
-def quoted(text: Column, escape: bool) -> Column:
-    """JSON string of the text."""
-    if not escape:
-        return F.concat(F.lit('"'), text, F.lit('"'))
-    array_json = F.to_json(F.array(text))
-    return F.substr(array_json, F.lit(2), F.length(array_json) - 2)
+def quoted(text: str, escape: str) -> str:
+    """JSON string of the text; ``escape`` is SQL that says whether it may need escaping."""
+    escaped = let("j", f"to_json(array({text}))", "substr(j, 2, length(j) - 2)")
+    return f"""CASE WHEN {escape} THEN {escaped} ELSE concat('"', {text}, '"') END"""
 
 
-def _strings_json(text: Column, escape: bool) -> Column:
+def _strings_json(text: str, escape: str) -> str:
     """JSON array of the comma separated items, all as strings."""
-    if not escape:
-        return F.concat(F.lit('["'), F.replace(text, F.lit(","), F.lit('","')), F.lit('"]'))
-    return F.to_json(F.split(text, ","))
+    return f"""CASE WHEN {escape} THEN to_json(split({text}, ','))
+      ELSE concat('["', replace({text}, ',', '","'), '"]') END"""
 
 
-def value_json(text: Column, mixed_list_as_string: bool, escape: bool) -> Column:
+def value_json(text: str, mixed_list_as_string: bool, escape: str) -> str:
     """JSON value of one INFO or FORMAT value.
 
     A comma makes it a list. A list with an item that is not a number is a list
-    of strings in INFO but one plain string in FORMAT.
+    of strings in INFO but one plain string in FORMAT. Lambdas are interpreted, so
+    what most values are is settled first: tidy numbers by one pattern, strings
+    without a digit by another.
     """
-    numbers = F.array_join(
-        F.transform(F.split(text, ","), number_json), ",", NOT_A_NUMBER
+    mixed = quoted(text, escape) if mixed_list_as_string else _strings_json(text, escape)
+    numbers = f"transform(split({text}, ','), n -> {number_json('n')})"
+    list_json = let(
+        "joined",
+        f"array_join({numbers}, ',', '{NOT_A_NUMBER}')",
+        f"""CASE WHEN contains(joined, '{NOT_A_NUMBER}') THEN {mixed}
+            ELSE concat('[', joined, ']') END""",
     )
-
-    def list_json(joined: Column) -> Column:
-        fallback = quoted(text, escape) if mixed_list_as_string else _strings_json(text, escape)
-        return F.when(F.contains(joined, F.lit(NOT_A_NUMBER)), fallback).otherwise(
-            F.concat(F.lit("["), joined, F.lit("]"))
-        )
-
-    return F.when(F.contains(text, F.lit(",")), let(numbers, list_json)).otherwise(
-        F.coalesce(number_json(text), quoted(text, escape))
+    return f"""CASE
+      WHEN {text} RLIKE r'{TIDY_NUMBERS}' THEN
+        CASE WHEN contains({text}, ',') THEN concat('[', {text}, ']') ELSE {text} END
+      WHEN contains({text}, ',') THEN {list_json}
+      WHEN NOT {text} RLIKE '[0-9]' THEN {quoted(text, escape)}
+      ELSE coalesce({number_json(text)}, {quoted(text, escape)})
+    END"""
+
+
+def last_of_each_key(entries: str, keys: str) -> str:
+    """Drop entries whose key ``k`` occurs again further right."""
+    return (
+        f"filter({entries}, (last, i) -> "
+        f"NOT array_contains(slice({keys}, i + 2, size({keys})), last.k))"
     )
 
 
-def last_of_each_key(entries: Column, keys: Column) -> Column:
-    """Drop entries whose key occurs again further right."""
-    return F.filter(
+def _info_json(info: str, escape: str) -> str:
+    entries = f"""transform(split({info}, ';'), item -> struct(
+        substring_index(item, '=', 1) AS k,
+        CASE WHEN contains(item, '=') THEN substr(item, instr(item, '=') + 1) END AS v
+      ))"""
+    unique = let(
+        "entries",
         entries,
-        lambda entry, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), entry["k"]),
+        let(
+            "keys",
+            "entries.k",
+            f"""CASE WHEN size(array_distinct(keys)) < size(keys)
+              THEN {last_of_each_key("entries", "keys")} ELSE entries END""",
+        ),
     )
+    value = value_json("e.v", mixed_list_as_string=False, escape=escape)
+    member = f"""concat({quoted("e.k", escape)}, ':',
+      CASE WHEN e.v IS NULL THEN 'true' ELSE {value} END)"""
+    return f"concat('{{', array_join(transform({unique}, e -> {member}), ','), '}}')"
 
 
-def _object_json(members: Column) -> Column:
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
-
-
-def _info_json(info: Column, escape: bool) -> Column:
-    def entry(item: Column) -> Column:
-        equals = F.instr(item, "=")
-        return F.struct(
-            F.substring_index(item, "=", 1).alias("k"),
-            F.when(equals > 0, F.substr(item, equals + 1)).alias("v"),
-        )
-
-    def member(e: Column) -> Column:
-        value = F.when(e["v"].isNull(), F.lit("true")).otherwise(
-            value_json(e["v"], mixed_list_as_string=False, escape=escape)
-        )
-        return F.concat(quoted(e["k"], escape), F.lit(":"), value)
-
-    def unique(entries: Column) -> Column:
-        keys = F.transform(entries, lambda e: e["k"])
-        return let(
-            keys,
-            lambda ks: F.when(
-                F.size(F.array_distinct(ks)) < F.size(ks), last_of_each_key(entries, ks)
-            ).otherwise(entries),
-        )
-
-    entries = F.transform(F.split(info, ";"), entry)
-    return _object_json(F.transform(let(entries, unique), member))
-
-
-def info_variant(info: Column) -> Column:
+def info_variant(info: str) -> str:
     """VARIANT object of an INFO field.
 
     ``key=value`` items are typed by their value, bare items are ``true`` flags,
     the last of repeated keys wins, and a missing field is the empty object.
     """
-    json = (
-        F.when((info == ".") | (info == ""), EMPTY_OBJECT)
-        .when(needs_escaping(info), _info_json(info, escape=True))
-        .otherwise(_info_json(info, escape=False))
-    )
-    return F.parse_json(json)
+    object_json = let("escape", needs_escaping("info"), _info_json("info", "escape"))
+    json = f"CASE WHEN info = '.' OR info = '' THEN '{{}}' ELSE {object_json} END"
+    return f"parse_json({let('info', info, json)})"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions import fields
@@ -27,24 +27,18 @@ def body_lines(lines: DataFrame) -> DataFrame:
     """
     body = lines.where(~F.startswith("value", F.lit("#")))
     others = [name for name in lines.columns if name != "value"]
-    trimmed = F.explode(F.array(strip(F.col("value")))).alias("value")
+    trimmed = F.expr(f"explode(array({strip('value')}))").alias("value")
     return body.select(*others, trimmed).where(F.col("value") != "")
 
 
 def record_lines(lines: DataFrame) -> DataFrame:
     """Trimmed lines that hold a well formed record."""
-    return body_lines(lines).where(fields.is_record(F.col("value")))
+    return body_lines(lines).where(fields.is_record("value"))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Body lines that are dropped as malformed, for audits."""
-    return body_lines(lines).where(~fields.is_record(F.col("value")))
-
-
-def _file_columns(options: VcfOptions) -> tuple[Column, Column]:
-    if options.file_metadata:
-        return F.col("file_path"), F.col("file_name")
-    return F.lit(""), F.lit("")
+    return body_lines(lines).where(f"NOT {fields.is_record('value')}")
 
 
 def vcf_columns(records: DataFrame, options: VcfOptions) -> DataFrame:
@@ -53,30 +47,26 @@ def vcf_columns(records: DataFrame, options: VcfOptions) -> DataFrame:
     Every column is its own expression over the line, so a query pays for the
     columns it reads and its filters run before anything else is parsed.
     """
-    line, kept = F.col("value"), F.col("kept")
-    file_path, file_name = _file_columns(options)
-    key = (
-        fields.variant_id(
-            file_path, file_name, fields.contig(line), fields.start(line), fields.end(line)
-        )
-        if options.primary_key
-        else F.lit(None).cast("string")
-    )
-    return records.select(
-        fields.contig(line).alias("contig"),
-        fields.start(line).alias("start"),
-        fields.end(line).alias("end"),
-        fields.names(line).alias("names"),
-        fields.reference_allele(line).alias("referenceAllele"),
-        fields.alternate_alleles(line).alias("alternateAlleles"),
-        fields.qual(line).alias("qual"),
-        fields.filters(line).alias("filters"),
-        info_variant(fields.info_text(line)).alias("info"),
-        genotypes(line, kept).alias("genotypes"),
-        file_path.alias("file_path"),
-        file_name.alias("file_name"),
-        key.alias("variant_id"),
+    file_path, file_name = (
+        ("file_path", "file_name") if options.file_metadata else ("''", "''")
     )
+    key = fields.variant_id(file_path, file_name, "value")
+    columns = {
+        "contig": fields.contig("value"),
+        "start": fields.start("value"),
+        "end": fields.end("value"),
+        "names": fields.names("value"),
+        "referenceAllele": fields.reference_allele("value"),
+        "alternateAlleles": fields.alternate_alleles("value"),
+        "qual": fields.qual("value"),
+        "filters": fields.filters("value"),
+        "info": info_variant(fields.info_text("value")),
+        "genotypes": genotypes("value", "kept"),
+        "file_path": file_path,
+        "file_name": file_name,
+        "variant_id": key if options.primary_key else "cast(NULL AS string)",
+    }
+    return records.selectExpr(*(f"{sql} AS `{name}`" for name, sql in columns.items()))
 
 
 def parse_vcf_lines(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions.genotype import kept_samples
-from genoframe.functions.text import strip
+from genoframe.functions.text import let, strip
 from genoframe.options import VcfOptions
 from genoframe.sources.heads import kept_samples_udf
 from genoframe.sources.paths import VcfPath
@@ -17,11 +17,9 @@ def file_key(lines: DataFrame) -> str:
     return "file_uri" if "file_uri" in lines.columns else "file_path"
 
 
-def _sample_array(chrom_line: Column) -> Column:
-    fields = F.split(strip(chrom_line), "\t")
-    return F.when(F.size(fields) > 9, F.slice(fields, 10, F.size(fields))).otherwise(
-        F.array().cast("array<string>")
-    )
+def _sample_array(chrom_line: str) -> str:
+    """Fields behind FORMAT; an empty array if there are none."""
+    return let("f", f"split({strip(chrom_line)}, '\\t')", "slice(f, 10, size(f))")
 
 
 def _line_order(lines: DataFrame) -> Column:
@@ -43,7 +41,7 @@ def sample_ids(lines: DataFrame) -> DataFrame:
         key, "value", _line_order(lines).alias("line_order")
     )
     first = chrom_lines.groupBy(key).agg(F.min_by("value", "line_order").alias("value"))
-    return first.select(key, _sample_array(F.col("value")).alias("sample_ids"))
+    return first.select(key, F.expr(_sample_array("value")).alias("sample_ids"))
 
 
 def vcf_header(lines: DataFrame) -> DataFrame:
@@ -52,7 +50,7 @@ def vcf_header(lines: DataFrame) -> DataFrame:
     key = file_key(lines)
     keys = list(dict.fromkeys([key, "file_path"]))
     meta = lines.where(F.startswith("value", F.lit("##"))).select(
-        *keys, strip(F.col("value")).alias("line")
+        *keys, F.expr(strip("value")).alias("line")
     )
 
     def declared(name: str) -> Column:
@@ -77,7 +75,7 @@ def kept_from_lines(lines: DataFrame, options: VcfOptions) -> DataFrame:
 def kept_from_sample_ids(headers: DataFrame, options: VcfOptions) -> DataFrame:
     """Header table from a (file key, ``sample_ids``) table."""
     return headers.select(
-        file_key(headers), kept_samples(F.col("sample_ids"), options).alias("kept")
+        file_key(headers), F.expr(kept_samples("sample_ids", options)).alias("kept")
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.functions.text import literal
+
 SAMPLES = ("S1", "S2", "S3")
 META_LINES = (
     "##fileformat=VCFv4.2",
@@ -21,63 +23,52 @@ CHROM_LINE = "\t".join(
 UNUSED_SEPARATOR, UNUSED_MARK = "\x01", "\x02"
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-
-
-def _sample_fields() -> list[Column]:
-    quantity = F.col("l_quantity").cast("bigint")
-    return [
-        _text("0/1:", quantity, ":", F.col("l_linenumber"), ",", F.col("l_partkey")),
-        F.when(F.col("l_suppkey") % 2 == 0, "0|0").otherwise("./.:.:."),
-        F.when(F.col("l_partkey") % 4 == 0, ".").otherwise(
-            _text("1/2:", F.col("l_linenumber"), ":10,.")
-        ),
-    ]
+# One expression per VCF column of a lineitem row; each covers the missing, the
+# plain and the listed form of its column.
+RECORD_FIELDS = (
+    "concat('chr', l_linenumber)",
+    "cast(l_orderkey + 1 AS string)",
+    """CASE l_partkey % 5 WHEN 0 THEN '.'
+         WHEN 1 THEN concat('rs', l_partkey, ';alt', l_partkey)
+         ELSE concat('rs', l_partkey) END""",
+    "repeat('A', 1 + l_linenumber % 3)",
+    "CASE l_suppkey % 3 WHEN 0 THEN '.' WHEN 1 THEN 'T' ELSE 'C,G' END",
+    "CASE WHEN l_quantity < 5 THEN '.' ELSE cast(l_extendedprice AS string) END",
+    "CASE l_orderkey % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'LowQual;q10' ELSE '.' END",
+    """concat('DP=', bigint(l_quantity), ';AF=', l_discount, ',', l_tax, ';GENE=G', l_suppkey,
+         CASE WHEN l_linestatus = 'O' THEN ';DB' ELSE '' END,
+         CASE WHEN l_partkey % 7 = 0 THEN concat(';DP=', bigint(l_quantity) + 1) ELSE '' END)""",
+    "'GT:DP:AD'",
+    "concat('0/1:', bigint(l_quantity), ':', l_linenumber, ',', l_partkey)",
+    "CASE WHEN l_suppkey % 2 = 0 THEN '0|0' ELSE './.:.:.' END",
+    "CASE WHEN l_partkey % 4 = 0 THEN '.' ELSE concat('1/2:', l_linenumber, ':10,.') END",
+)
+FILE_COLUMNS = (
+    "concat('/synthetic/', l_returnflag, '.vcf') AS file_path",
+    "concat(l_returnflag, '.vcf') AS file_name",
+)
 
 
-def record_text() -> Column:
-    """VCF data line of a lineitem row; line number 7 is malformed on purpose."""
-    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    quantity = F.col("l_quantity").cast("bigint")
-    contig, pos = _text("chr", F.col("l_linenumber")), order + 1
-    names = (
-        F.when(part % 5 == 0, ".")
-        .when(part % 5 == 1, _text("rs", part, ";alt", part))
-        .otherwise(_text("rs", part))
-    )
-    ref = F.repeat(F.lit("A"), 1 + F.col("l_linenumber") % 3)
-    alt = F.when(supp % 3 == 0, ".").when(supp % 3 == 1, "T").otherwise("C,G")
-    qual = F.when(F.col("l_quantity") < 5, ".").otherwise(_text(F.col("l_extendedprice")))
-    filters = F.when(order % 3 == 0, "PASS").when(order % 3 == 1, "LowQual;q10").otherwise(".")
-    info = _text(
-        "DP=", quantity, ";AF=", F.col("l_discount"), ",", F.col("l_tax"), ";GENE=G", supp,
-        F.when(F.col("l_linestatus") == "O", ";DB").otherwise(""),
-        F.when(part % 7 == 0, _text(";DP=", quantity + 1)).otherwise(""),
-    )
-    whole = F.concat_ws(
-        "\t", contig, pos.cast("string"), names, ref, alt, qual, filters, info,
-        F.lit("GT:DP:AD"), *_sample_fields(),
-    )
-    short = F.concat_ws("\t", contig, pos.cast("string"))
-    return F.when(F.col("l_linenumber") == 7, short).otherwise(whole)
+def record_text() -> str:
+    """SQL of the data line of a lineitem row; line number 7 is malformed on purpose."""
 
+    def line(parts: tuple[str, ...]) -> str:
+        return f"concat_ws('\\t', {', '.join(parts)})"
 
-def _file_columns() -> list[Column]:
-    name = _text(F.col("l_returnflag"), ".vcf")
-    return [_text("/synthetic/", name).alias("file_path"), name.alias("file_name")]
+    whole, short = line(RECORD_FIELDS), line(RECORD_FIELDS[:2])
+    return f"CASE WHEN l_linenumber = 7 THEN {short} ELSE {whole} END"
 
 
 def record_lines_of(lineitem: DataFrame) -> DataFrame:
     """Data lines, one file per return flag."""
-    return lineitem.select(record_text().alias("value"), *_file_columns())
+    return lineitem.selectExpr(f"{record_text()} AS value", *FILE_COLUMNS)
 
 
 def header_lines_of(lineitem: DataFrame) -> DataFrame:
     """Header lines of every such file."""
-    lines = F.array(*(F.lit(line) for line in (*META_LINES, CHROM_LINE)))
+    lines = ", ".join(literal(line) for line in (*META_LINES, CHROM_LINE))
     files = lineitem.select("l_returnflag").distinct()
-    return files.select(F.explode(lines).alias("value"), *_file_columns())
+    return files.selectExpr(f"explode(array({lines})) AS value", *FILE_COLUMNS)
 
 
 def lines_of(lineitem: DataFrame) -> DataFrame:
