@@ -39,11 +39,13 @@ def strip(value: str) -> str:
 
     Trimming a set of characters walks the whole line, so it runs only for lines
     whose first or last character needs it. Anything between ``!`` and DEL is
-    not white space, which settles the first character with two comparisons.
+    not white space, which settles the first character with two comparisons; the
+    last is looked at through the last tab field.
     """
-    dirty_end = " OR ".join(f"endswith({value}, {literal(ch)})" for ch in WHITESPACE)
+    last_field = f"substring_index({value}, '\\t', -1)"
     return (
-        f"CASE WHEN {value} < '!' OR {value} >= {literal(chr(0x80))} OR {dirty_end} "
+        f"CASE WHEN {value} < '!' OR {value} >= {literal(chr(0x80))} "
+        f"OR {last_field} = '' OR {last_field} RLIKE {literal(f'[{WHITESPACE}]$')} "
         f"THEN btrim({value}, {literal(WHITESPACE)}) ELSE {value} END"
     )
 
