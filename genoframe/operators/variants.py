@@ -23,9 +23,9 @@ def variants_per_file(df: DataFrame) -> DataFrame:
 
 
 def variant_field(variant: Column, key: str, sql_type: str) -> Column:
-    """Member ``key`` of a VARIANT object; NULL if absent or of another type."""
-    quoted = key.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(variant, f"$['{quoted}']", sql_type)
+    """Member ``key`` of a VARIANT object; NULL if absent or not castable to the type."""
+    quote = '"' if "'" in key else "'"
+    return F.try_variant_get(variant, f"$[{quote}{key}{quote}]", sql_type)
 
 
 def info_field(key: str, sql_type: str = "string") -> Column:

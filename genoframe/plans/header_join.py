@@ -58,7 +58,9 @@ def join_headers(
         return lines.join(F.broadcast(headers), key)
     salted_lines = lines.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    return salted_lines.join(headers.select("*", salts), [key, "salt"]).drop("salt")
+    # The hint keeps Spark from broadcasting on an estimate.
+    salted_headers = headers.select("*", salts).hint("shuffle_hash")
+    return salted_lines.join(salted_headers, [key, "salt"]).drop("salt")
 
 
 def join_scanned_headers(

@@ -67,6 +67,6 @@ def vcf_lines_stream(
     text = (
         spark.readStream.options(**source.reader_options)
         .options(**stream_options)
-        .text(source.load_path)
+        .text(source.stream_path)
     )
     return _with_file_columns(text, source)

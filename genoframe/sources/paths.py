@@ -29,6 +29,13 @@ class VcfPath:
         """Path for Spark's readers, which would expand glob characters."""
         return re.sub(r"([\\\[\]{}*?])", r"\\\1", self.root)
 
+    @property
+    def stream_path(self) -> str:
+        """Path for the file stream source, which takes a single file only by pattern."""
+        if self.is_file and self.root[-1].isalnum():
+            return f"{self.load_path[:-1]}[{self.root[-1]}]"
+        return self.load_path
+
     @property
     def reader_options(self) -> dict[str, str]:
         """A file is taken whatever its name, a directory is searched recursively."""

@@ -1,0 +1,127 @@
+"""Queries over parsed variants."""
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from conftest import vcf_text, write_vcf
+from genoframe import (
+    declared_info_types,
+    explode_genotypes,
+    flatten_info,
+    genotype_details,
+    in_region,
+    info_field,
+    join_header,
+    min_quality,
+    read_variants,
+    read_vcf,
+    save_variants,
+    split_multiallelic,
+    variants_per_file,
+    vcf_header,
+)
+from genoframe.sources.lines import vcf_lines
+from genoframe.sources.paths import resolve
+
+
+@pytest.fixture
+def variants(spark, cohort):
+    return read_vcf(spark, cohort)
+
+
+def starts(df):
+    return sorted(row.start for row in df.collect())
+
+
+def test_region_means_containment(variants):
+    assert starts(in_region(variants, "chr1", 10, 23)) == [10, 20]
+    assert starts(in_region(variants, "chr1", 10, 22)) == [10]
+    assert starts(in_region(variants, "chr1", 11, 99)) == [20]
+    assert starts(in_region(variants, "chr9", 0, 99)) == []
+
+
+def test_quality(variants):
+    assert starts(min_quality(variants, 12.5)) == [30]
+    assert starts(min_quality(variants, 12)) == [10, 30]
+
+
+def test_variants_per_file(spark, tmp_path, cohort):
+    write_vcf(tmp_path / "other.vcf", vcf_text(["1 5 . A G . . ."]))
+    counts = variants_per_file(read_vcf(spark, str(tmp_path))).collect()
+    assert sorted(map(tuple, counts)) == [("cohort.vcf", 3), ("other.vcf", 1)]
+
+
+def test_info_field(variants):
+    rows = variants.orderBy("start").select(
+        info_field("DP", "bigint"), info_field("AF", "double"), info_field("DB", "boolean"),
+        info_field("AF", "array<string>"),
+    ).collect()
+    assert [tuple(row) for row in rows] == [
+        (7, 0.25, None, None), (9, None, True, None), (None,) * 4
+    ]
+
+
+def test_info_field_with_unusual_keys(spark, tmp_path):
+    text = vcf_text(["1 5 . A G . . a.b=1;c'd=2;e[0]=3"])
+    df = read_vcf(spark, write_vcf(tmp_path / "a.vcf", text))
+    row = df.select(*(info_field(k, "int") for k in ("a.b", "c'd", "e[0]"))).first()
+    assert tuple(row) == (1, 2, 3)
+
+
+def test_explode_and_details(spark, tmp_path, variants):
+    exploded = explode_genotypes(variants)
+    assert "genotypes" not in exploded.columns
+    rows = genotype_details(exploded).where("contig = 'chr1' AND start = 10").collect()
+    assert sorted((r.sampleId, r.calls, r.read_depth) for r in rows) == [
+        ("NA1", [0, 1], 3), ("NA2", [1, 1], 4), ("NA3", [-1, -1], None)
+    ]
+    bare = read_vcf(spark, write_vcf(tmp_path / "b.vcf", vcf_text(["1 5 . A G . . ."])))
+    assert explode_genotypes(bare).count() == 0
+    assert [r.genotype for r in explode_genotypes(bare, keep_empty=True).collect()] == [None]
+
+
+def test_flatten_info(spark, tmp_path):
+    meta = (
+        "##INFO=<ID=DP,Number=1,Type=Integer>", "##INFO=<ID=AF,Number=A,Type=Float>",
+        "##INFO=<ID=DB,Number=0,Type=Flag>", "##FORMAT=<ID=GT,Number=1,Type=String>",
+    )
+    path = write_vcf(tmp_path / "a.vcf", vcf_text(["1 5 . A G,T . . DP=4;AF=0.5,0.1;DB"], meta=meta))
+    types = declared_info_types(vcf_header(vcf_lines(spark, resolve(spark, path))))
+    assert types == {"DP": "bigint", "AF": "array<double>", "DB": "boolean"}
+    row = flatten_info(read_vcf(spark, path), types).first()
+    assert (row.INFO_DP, row.INFO_AF, row.INFO_DB) == (4, [0.5, 0.1], True)
+
+
+def test_split_multiallelic(variants):
+    rows = split_multiallelic(variants).where("start IN (20, 30)").orderBy("start", "altIndex").collect()
+    got = [(r.alternateAlleles, r.altIndex, [g.calls for g in r.genotypes]) for r in rows]
+    assert got == [
+        (["G"], 1, [[1, 0], [0, 0], None]),
+        (["T"], 2, [[0, 1], [0, 0], None]),
+        ([], None, [[0, 0], [0, 1], [1, 1]]),
+    ]
+
+
+def test_split_keeps_rows_without_alternates(spark, tmp_path):
+    path = write_vcf(tmp_path / "a.vcf", vcf_text(["1 5 . A . . . . GT 0/2"], ("S",)))
+    row = split_multiallelic(read_vcf(spark, path)).first()
+    assert (row.alternateAlleles, row.altIndex, row.genotypes[0].calls) == ([], None, [0, 2])
+
+
+def test_join_header(spark, cohort, variants):
+    header = vcf_header(vcf_lines(spark, resolve(spark, cohort)))
+    rows = join_header(variants, header).collect()
+    assert [(r.line, r.variants) for r in rows] == [("##fileformat=VCFv4.2", 3)]
+
+
+def test_save_and_read(spark, variants):
+    save_variants(variants, "saved_variants")
+    with pytest.raises(AnalysisException):
+        save_variants(variants, "saved_variants")
+    save_variants(variants, "saved_variants", mode="overwrite", partitions=2)
+    saved = read_variants(spark, "saved_variants")
+    assert saved.columns == variants.columns
+    as_json = "to_json(struct(*))"
+    assert sorted(saved.selectExpr(as_json).collect()) == sorted(
+        variants.selectExpr(as_json).collect()
+    )
