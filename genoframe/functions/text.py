@@ -38,16 +38,15 @@ def strip(value: str) -> str:
     """Trim white space at both ends.
 
     Trimming a set of characters walks the whole line, so it runs only for lines
-    whose first or last character needs it. Anything between ``!`` and DEL is
-    not white space, which settles the first character with two comparisons; the
-    last is looked at through the last tab field.
+    whose first or last character may need it. Anything between ``!`` and DEL is
+    not white space; the last character is looked up in the last tab field, which
+    is found from the end of the line.
     """
-    last_field = f"substring_index({value}, '\\t', -1)"
-    return (
-        f"CASE WHEN {value} < '!' OR {value} >= {literal(chr(0x80))} "
-        f"OR {last_field} = '' OR {last_field} RLIKE {literal(f'[{WHITESPACE}]$')} "
-        f"THEN btrim({value}, {literal(WHITESPACE)}) ELSE {value} END"
-    )
+    last = f"substr(substring_index({value}, '\\t', -1), -1)"
+    beyond_ascii = literal(chr(0x80))
+    return f"""CASE
+      WHEN {value} < '!' OR {value} >= {beyond_ascii} OR {last} < '!' OR {last} >= {beyond_ascii}
+      THEN btrim({value}, {literal(WHITESPACE)}) ELSE {value} END"""
 
 
 def tab_field(line: str, index: int) -> str:

@@ -15,7 +15,10 @@ def explode_genotypes(df: DataFrame, keep_empty: bool = False) -> DataFrame:
     """
     explode = F.explode_outer if keep_empty else F.explode
     others = [F.col(name) for name in df.columns if name != "genotypes"]
-    return df.select(*others, explode("genotypes").alias("genotype"))
+    # Exploding a bare column makes Spark add filters on it, which would parse the
+    # genotypes once more for each.
+    present = F.coalesce("genotypes", F.array().cast(df.schema["genotypes"].dataType))
+    return df.select(*others, explode(present).alias("genotype"))
 
 
 def genotype_details(exploded: DataFrame) -> DataFrame:
