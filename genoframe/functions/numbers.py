@@ -22,7 +22,8 @@ ANY_FLOAT = (
 # comma lists of them: no padding, no zeros at either end, at most 15 digits, not so
 # small that an exponent would be shorter.
 _TIDY = r"-?(?:0|[1-9][0-9]{0,8})(?:\.(?!0000)(?:0|[0-9]{0,5}[1-9]))?"
-TIDY_NUMBERS = rf"^{_TIDY}(?:,{_TIDY})*$"
+TIDY = rf"{_TIDY}(?:,{_TIDY})*"
+TIDY_NUMBERS = rf"^{TIDY}$"
 # JSON has no infinity; a literal beyond the double range reads back as one.
 INFINITY_JSON = "1e999"
 

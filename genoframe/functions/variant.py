@@ -7,7 +7,7 @@ stage on the JVM.
 
 from __future__ import annotations
 
-from genoframe.functions.numbers import TIDY_NUMBERS, number_json
+from genoframe.functions.numbers import TIDY, TIDY_NUMBERS, number_json
 from genoframe.functions.text import let
 
 # Stands for a list item that is not a number; cannot occur in JSON number text.
@@ -15,6 +15,10 @@ NOT_A_NUMBER = "!"
 # Characters that a JSON string must escape; a tab separates fields, so no field
 # contains one.
 CONTROL = r"[\x00-\x08\x0a-\x1f]"
+# INFO items whose JSON follows from the text of the whole item: numbers, and strings
+# that start with a letter, which no number does.
+NUMBER_ITEM = rf"^[^=,]*={TIDY}$"
+WORD_ITEM = r"^[^=,]*=[A-Za-z][^=,]*$"
 
 
 def needs_escaping(text: str) -> str:
@@ -61,33 +65,38 @@ def value_json(text: str, mixed_list_as_string: bool, escape: str) -> str:
     END"""
 
 
-def last_of_each_key(entries: str, keys: str) -> str:
-    """Drop entries whose key ``k`` occurs again further right."""
-    return (
-        f"filter({entries}, (last, i) -> "
-        f"NOT array_contains(slice({keys}, i + 2, size({keys})), last.k))"
+def _item_json(item: str, escape: str) -> str:
+    """JSON member of an INFO item."""
+    key = quoted(f"substring_index({item}, '=', 1)", escape)
+    value = let(
+        "v",
+        f"substr({item}, instr({item}, '=') + 1)",
+        value_json("v", mixed_list_as_string=False, escape=escape),
     )
+    return f"""CASE
+      WHEN NOT contains({item}, '=') THEN concat({quoted(item, escape)}, ':true')
+      WHEN {escape} THEN concat({key}, ':', {value})
+      WHEN {item} RLIKE r'{NUMBER_ITEM}' THEN
+        CASE WHEN contains({item}, ',')
+          THEN concat('"', replace({item}, '=', '":['), ']')
+          ELSE concat('"', replace({item}, '=', '":')) END
+      WHEN {item} RLIKE r'{WORD_ITEM}' THEN concat('"', replace({item}, '=', '":"'), '"')
+      ELSE concat({key}, ':', {value})
+    END"""
 
 
 def _info_json(info: str, escape: str) -> str:
-    entries = f"""transform(split({info}, ';'), item -> struct(
-        substring_index(item, '=', 1) AS k,
-        CASE WHEN contains(item, '=') THEN substr(item, instr(item, '=') + 1) END AS v
-      ))"""
-    unique = let(
-        "entries",
-        entries,
-        let(
-            "keys",
-            "entries.k",
-            f"""CASE WHEN size(array_distinct(keys)) < size(keys)
-              THEN {last_of_each_key("entries", "keys")} ELSE entries END""",
-        ),
+    """JSON object of an INFO field; of items with equal keys the last one stays."""
+    last_items = """filter(items, (item, i) ->
+        NOT array_contains(slice(keys, i + 2, size(keys)), keys[i]))"""
+    unlike_items = let(
+        "keys",
+        "transform(items, item -> substring_index(item, '=', 1))",
+        f"CASE WHEN size(array_distinct(keys)) < size(keys) THEN {last_items} ELSE items END",
     )
-    value = value_json("e.v", mixed_list_as_string=False, escape=escape)
-    member = f"""concat({quoted("e.k", escape)}, ':',
-      CASE WHEN e.v IS NULL THEN 'true' ELSE {value} END)"""
-    return f"concat('{{', array_join(transform({unique}, e -> {member}), ','), '}}')"
+    items = let("items", f"split({info}, ';')", unlike_items)
+    members = f"transform({items}, item -> {_item_json('item', escape)})"
+    return f"concat('{{', array_join({members}, ','), '}}')"
 
 
 def info_variant(info: str) -> str:
