@@ -109,6 +109,11 @@ def header_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gf.vcf_header(_lines(spark, sf_dir))
 
 
+def header_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = gf.read_vcf_header(spark, _written(spark, sf_dir))
+    return header.select("line", "section", "id", "number", "type").distinct()
+
+
 def malformed_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = _variants(spark, sf_dir)
     return variants.groupBy("file_name", "contig").agg(F.count("*").alias("n_valid"))
@@ -394,8 +399,8 @@ def header_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     scan_count, discover_dir_count, missing_path_empty, gzip_scan, scanned_headers,
-    looked_up_headers, salted_headers, header_samples, header_metadata, malformed_dropped,
-    rejected_lines, core_fields, names_alts_filters, qual_nulls, info_scalars, info_lists,
+    looked_up_headers, salted_headers, header_samples, header_metadata, header_heads,
+    malformed_dropped, rejected_lines, core_fields, names_alts_filters, qual_nulls, info_scalars, info_lists,
     info_flags, info_strings, info_duplicate_keys, genotype_calls, genotype_data,
     genotype_missing, sample_include, sample_exclude, sample_both, file_metadata,
     file_metadata_off, variant_id, region_filter, quality_filter, variants_per_file,
@@ -490,6 +495,8 @@ declared AS (
             unnest([0, 1, 2]) AS position, unnest({_sql_list(synth.SAMPLES)}) AS sample_id
             FROM lineitem""",
         "header_metadata": f"WITH {header} SELECT * FROM declared",
+        "header_heads": f"""WITH {header}
+            SELECT DISTINCT line, section, id, number, type FROM declared""",
         "malformed_dropped": f"""WITH {_VARIANTS}
             SELECT file_name, contig, count(*) AS n_valid FROM variants
             GROUP BY file_name, contig""",

@@ -15,8 +15,8 @@ from genoframe.operators.variants import (
 )
 from genoframe.plans.parse import parse_vcf_lines, rejected_lines
 from genoframe.schema import vcf_schema
-from genoframe.sources.headers import sample_ids, vcf_header
-from genoframe.sources.reader import read_vcf
+from genoframe.sources.headers import read_vcf_header, sample_ids, vcf_header
+from genoframe.sources.reader import read_vcf, read_vcf_lines
 from genoframe.streaming.reader import foreach_vcf_batch, read_vcf_stream
 
 __all__ = [
@@ -32,6 +32,8 @@ __all__ = [
     "parse_vcf_lines",
     "read_variants",
     "read_vcf",
+    "read_vcf_header",
+    "read_vcf_lines",
     "read_vcf_stream",
     "rejected_lines",
     "sample_ids",

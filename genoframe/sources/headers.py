@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from genoframe.functions.genotype import kept_samples
 from genoframe.functions.text import let, strip
 from genoframe.options import VcfOptions
-from genoframe.sources.heads import kept_samples_udf
-from genoframe.sources.paths import VcfPath
+from genoframe.sources.heads import kept_samples_udf, meta_lines_udf
+from genoframe.sources.lines import path_as_given
+from genoframe.sources.paths import VcfPath, resolve
+
+# File heads that one task may open before more tasks are used.
+FILES_PER_TASK = 64
 
 
 def file_key(lines: DataFrame) -> str:
@@ -44,20 +48,14 @@ def sample_ids(lines: DataFrame) -> DataFrame:
     return first.select(key, F.expr(_sample_array("value")).alias("sample_ids"))
 
 
-def vcf_header(lines: DataFrame) -> DataFrame:
-    """Distinct ``##`` lines per file, with the id and type that INFO and FORMAT
-    lines declare."""
-    key = file_key(lines)
-    keys = list(dict.fromkeys([key, "file_path"]))
-    meta = lines.where(F.startswith("value", F.lit("##"))).select(
-        *keys, F.expr(strip("value")).alias("line")
-    )
+def _with_declarations(meta: DataFrame, keys: list[str]) -> DataFrame:
+    """Add section, and the id, number and type that structured lines declare."""
 
     def declared(name: str) -> Column:
         found = F.regexp_extract("line", rf"[<,]{name}=([^,>]*)", 1)
         return F.when(found != "", found)
 
-    return meta.distinct().select(
+    return meta.select(
         *keys,
         "line",
         F.regexp_extract("line", r"^##([^=]*)", 1).alias("section"),
@@ -67,6 +65,31 @@ def vcf_header(lines: DataFrame) -> DataFrame:
     )
 
 
+def vcf_header(lines: DataFrame) -> DataFrame:
+    """Distinct ``##`` lines per file of a lines DataFrame, with what they declare."""
+    keys = list(dict.fromkeys([file_key(lines), "file_path"]))
+    meta = lines.where(F.startswith("value", F.lit("##"))).select(
+        *keys, F.expr(strip("value")).alias("line")
+    )
+    return _with_declarations(meta.distinct(), keys)
+
+
+def read_vcf_header(spark: SparkSession, path: str) -> DataFrame:
+    """The same for the files under a path, from the file heads alone.
+
+    Workers need to reach the files.
+    """
+    source = resolve(spark, path)
+    if source is None:
+        meta = spark.createDataFrame([], "file_path string, line string")
+    else:
+        meta = file_listing(spark, source).select(
+            path_as_given(F.col("file_uri"), source).alias("file_path"),
+            F.explode(meta_lines_udf()("file_uri")).alias("line"),
+        )
+    return _with_declarations(meta, ["file_path"])
+
+
 def kept_from_lines(lines: DataFrame, options: VcfOptions) -> DataFrame:
     """Header table found by scanning lines: file key and selected samples."""
     return kept_from_sample_ids(sample_ids(lines), options)
@@ -80,7 +103,7 @@ def kept_from_sample_ids(headers: DataFrame, options: VcfOptions) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, source: VcfPath) -> DataFrame:
-    """One row per file. No content is read: only its path column is selected.
+    """One row per file. No content is read: only its path is selected.
 
     Coalesced, since opening a file head is far too little work for a task.
     """
@@ -90,7 +113,11 @@ def file_listing(spark: SparkSession, source: VcfPath) -> DataFrame:
         .load(source.load_path)
         .select(F.col("_metadata.file_path").alias("file_uri"))
     )
-    return listing.coalesce(4 * spark.sparkContext.defaultParallelism)
+    tasks = max(
+        4 * spark.sparkContext.defaultParallelism,
+        listing.rdd.getNumPartitions() // FILES_PER_TASK,
+    )
+    return listing.coalesce(tasks)
 
 
 def kept_from_heads(files: DataFrame, options: VcfOptions) -> DataFrame:

@@ -22,14 +22,15 @@ from genoframe.options import VcfOptions
 PROBE_TYPE = "struct<readable:boolean,bytes:bigint>"
 
 
-def head_reader() -> Callable[[str], list[str] | None]:
-    """Function from file URI to the sample ids of the first ``#CHROM`` line.
+def head_reader() -> Callable[[str], tuple[list[str], list[str] | None]]:
+    """Function from file URI to the ``##`` lines above the first ``#CHROM`` line and
+    the sample ids in it.
 
-    It gives None for a file without such a line and remembers its answers for
-    as long as the task lives.
+    The sample ids are None for a file without such a line. Answers are remembered
+    for as long as the task lives.
     """
     whitespace = WHITESPACE
-    known: dict[str, list[str] | None] = {}
+    known: dict[str, tuple[list[str], list[str] | None]] = {}
 
     def open_stored(uri: str):
         import io
@@ -42,23 +43,26 @@ def head_reader() -> Callable[[str], list[str] | None]:
         filesystem, path = fs.FileSystem.from_uri(uri)
         return io.BufferedReader(filesystem.open_input_stream(path, compression=None))
 
-    def read(uri: str) -> list[str] | None:
+    def read(uri: str) -> tuple[list[str], list[str] | None]:
         import gzip
         import io
 
+        meta = []
         with open_stored(uri) as raw:
             stream = gzip.GzipFile(fileobj=raw) if uri.endswith(".gz") else raw
             for line in io.TextIOWrapper(stream, encoding="utf-8", errors="replace"):
-                if line.startswith("#CHROM"):
-                    return line.strip(whitespace).split("\t")[9:]
-        return None
+                if line.startswith("##"):
+                    meta.append(line.strip(whitespace))
+                elif line.startswith("#CHROM"):
+                    return meta, line.strip(whitespace).split("\t")[9:]
+        return meta, None
 
-    def sample_ids_of(uri: str) -> list[str] | None:
+    def head_of(uri: str) -> tuple[list[str], list[str] | None]:
         if uri not in known:
             known[uri] = read(uri)
         return known[uri]
 
-    return sample_ids_of
+    return head_of
 
 
 def sample_chooser(options: VcfOptions) -> Callable[[list[str]], list[dict]]:
@@ -81,14 +85,14 @@ def kept_samples_udf(options: VcfOptions):
 
     A file that cannot be opened fails the task: dropping its rows would be silent.
     """
-    sample_ids_of, choose = head_reader(), sample_chooser(options)
+    head_of, choose = head_reader(), sample_chooser(options)
 
     @arrow_udf(f"array<{KEPT_SAMPLES_TYPE}>")
     def kept_samples_of_file(uris: pa.Array) -> pa.Array:
         import pyarrow
 
         def kept(uri: str) -> list[list[dict]]:
-            sample_ids = sample_ids_of(uri)
+            _, sample_ids = head_of(uri)
             return [] if sample_ids is None else [choose(sample_ids)]
 
         # Each distinct file of the batch is looked up once; rows repeat its entry.
@@ -105,7 +109,7 @@ def kept_samples_udf(options: VcfOptions):
 
 def probe_udf(options: VcfOptions):
     """UDF from file URI to whether a worker can read it and how big its header row is."""
-    sample_ids_of, choose = head_reader(), sample_chooser(options)
+    head_of, choose = head_reader(), sample_chooser(options)
 
     @arrow_udf(PROBE_TYPE)
     def probe_file(uris: pa.Array) -> pa.Array:
@@ -113,7 +117,7 @@ def probe_udf(options: VcfOptions):
 
         def probe(uri: str) -> dict:
             try:
-                kept = choose(sample_ids_of(uri) or [])
+                kept = choose(head_of(uri)[1] or [])
             except (OSError, ValueError, ImportError, EOFError, pyarrow.ArrowException):
                 return {"readable": False, "bytes": 0}
             names = sum(len(sample["sampleId"].encode()) + 32 for sample in kept)
@@ -123,3 +127,17 @@ def probe_udf(options: VcfOptions):
         return pyarrow.array([probe(uri) for uri in uris.to_pylist()], result)
 
     return probe_file
+
+
+def meta_lines_udf():
+    """UDF from file URI to the distinct ``##`` lines of its header."""
+    head_of = head_reader()
+
+    @arrow_udf("array<string>")
+    def meta_lines_of_file(uris: pa.Array) -> pa.Array:
+        import pyarrow
+
+        lines = [list(dict.fromkeys(head_of(uri)[0])) for uri in uris.to_pylist()]
+        return pyarrow.array(lines, pyarrow.list_(pyarrow.string()))
+
+    return meta_lines_of_file

@@ -25,7 +25,7 @@ def _decoded(uri: Column) -> Column:
     return F.when(F.contains(uri, F.lit("%")), unescaped).otherwise(uri)
 
 
-def _path_as_given(uri: Column, source: VcfPath) -> Column:
+def path_as_given(uri: Column, source: VcfPath) -> Column:
     """File path spelled the way the user spelled the root."""
     if source.is_file:
         return F.lit(source.given)
@@ -35,7 +35,7 @@ def _path_as_given(uri: Column, source: VcfPath) -> Column:
 
 def _with_file_columns(text: DataFrame, source: VcfPath) -> DataFrame:
     uri = F.col("_metadata.file_path")
-    path = _path_as_given(uri, source)
+    path = path_as_given(uri, source)
     return text.select(
         "value",
         path.alias("file_path"),

@@ -16,6 +16,11 @@ from genoframe.sources.lines import vcf_lines
 from genoframe.sources.paths import resolve
 
 
+def read_vcf_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the file, or of all VCF files under a directory, before parsing."""
+    return vcf_lines(spark, resolve(spark, path))
+
+
 def read_vcf(
     spark: SparkSession,
     path: str,

@@ -15,13 +15,11 @@ from genoframe import (
     min_quality,
     read_variants,
     read_vcf,
+    read_vcf_header,
     save_variants,
     split_multiallelic,
     variants_per_file,
-    vcf_header,
 )
-from genoframe.sources.lines import vcf_lines
-from genoframe.sources.paths import resolve
 
 
 @pytest.fixture
@@ -86,7 +84,7 @@ def test_flatten_info(spark, tmp_path):
         "##INFO=<ID=DB,Number=0,Type=Flag>", "##FORMAT=<ID=GT,Number=1,Type=String>",
     )
     path = write_vcf(tmp_path / "a.vcf", vcf_text(["1 5 . A G,T . . DP=4;AF=0.5,0.1;DB"], meta=meta))
-    types = declared_info_types(vcf_header(vcf_lines(spark, resolve(spark, path))))
+    types = declared_info_types(read_vcf_header(spark, path))
     assert types == {"DP": "bigint", "AF": "array<double>", "DB": "boolean"}
     row = flatten_info(read_vcf(spark, path), types).first()
     assert (row.INFO_DP, row.INFO_AF, row.INFO_DB) == (4, [0.5, 0.1], True)
@@ -109,7 +107,7 @@ def test_split_keeps_rows_without_alternates(spark, tmp_path):
 
 
 def test_join_header(spark, cohort, variants):
-    header = vcf_header(vcf_lines(spark, resolve(spark, cohort)))
+    header = read_vcf_header(spark, cohort)
     rows = join_header(variants, header).collect()
     assert [(r.line, r.variants) for r in rows] == [("##fileformat=VCFv4.2", 3)]
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import vcf_text, write_vcf
-from genoframe import read_vcf
+from genoframe import read_vcf, read_vcf_header, read_vcf_lines, rejected_lines, vcf_header
 from genoframe.options import VcfOptions
 
 # How the samples reach the lines: broadcast heads, head look-up, broadcast scan,
@@ -155,12 +155,13 @@ def test_splits_inside_a_file(spark, tmp_path, strategy):
     """Every line is read once, whatever the split size; the header reaches all splits."""
     records = [f"1 {i} . A G . . DP={i} GT 0/1" for i in range(1, 2001)]
     path = write_vcf(tmp_path / "big.vcf", vcf_text(records, ("S",)))
-    setting, before = "spark.sql.files.maxPartitionBytes", None
+    setting = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "5001b")
     try:
         df = read_vcf(spark, path, **strategy)
-        assert df.select(F.spark_partition_id()).distinct().count() > 3
+        lines = read_vcf_lines(spark, path)
+        assert lines.select(F.spark_partition_id()).distinct().count() > 3
         kept = df.where("genotypes[0].sampleId = 'S'")
         assert starts(kept) == list(range(2000))
     finally:
@@ -189,10 +190,30 @@ def test_unreadable_heads_fall_back_to_the_scan(spark, cohort, monkeypatch):
     assert read_vcf(spark, cohort).where("size(genotypes) = 3").count() == 3
 
 
-def test_worker_opens_other_file_systems(tmp_path):
+def test_worker_opens_encoded_uris(tmp_path):
     from genoframe.sources.heads import head_reader
 
     path = write_vcf(tmp_path / "a b.vcf.gz", vcf_text([], ("S1", "S2")))
-    assert head_reader()(f"file:{path.replace(' ', '%20')}") == ["S1", "S2"]
-    assert head_reader()(path.replace(" ", "%20")) == ["S1", "S2"]
+    head = (["##fileformat=VCFv4.2"], ["S1", "S2"])
+    assert head_reader()(f"file:{path.replace(' ', '%20')}") == head
+    assert head_reader()(path.replace(" ", "%20")) == head
     assert os.path.exists(path)
+
+
+def test_headers_from_heads_equal_the_scan(spark, tmp_path):
+    meta = ("##INFO=<ID=DP,Number=1,Type=Integer>", "##a", "##a")
+    write_vcf(tmp_path / "x y.vcf", vcf_text([], ("S",), meta))
+    write_vcf(tmp_path / "sub" / "z.vcf.gz", vcf_text(["1 5 . A G . . ."], meta=("##z",)))
+    columns = ["file_path", "line", "section", "id", "number", "type"]
+    heads = read_vcf_header(spark, str(tmp_path)).select(columns)
+    scan = vcf_header(read_vcf_lines(spark, str(tmp_path))).select(columns)
+    assert sorted(map(str, heads.collect())) == sorted(map(str, scan.collect()))
+    assert heads.count() == 5
+    assert read_vcf_header(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rejected_lines_of_files(spark, tmp_path):
+    write_vcf(tmp_path / "a.vcf", vcf_text(["1 5 . A G . . .", "1 6"]))
+    rows = rejected_lines(read_vcf_lines(spark, str(tmp_path))).collect()
+    assert [(row.file_name, row.value) for row in rows] == [("a.vcf", "1\t6")]
+    assert rejected_lines(read_vcf_lines(spark, str(tmp_path / "none"))).count() == 0
