@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import genoframe as gf
-from genoframe.plans.header_join import shared_folder
+from genoframe.plans.shared import shared_path
 from genoframe.sources import synth
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -41,7 +41,7 @@ def _variants(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
 
 def _scratch(spark: SparkSession) -> str:
     """A new folder that all executors see."""
-    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    return shared_path(spark, "run")
 
 
 def _written(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
@@ -415,9 +415,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return variants_per_file(spark, FLAGSHIP_DIR)
 
 
+def _llm_queries():
+    """The module with the training-data queries, None where it is not there."""
+    try:
+        from genoframe.llm import queries as llm_queries
+    except ImportError:
+        return None
+    return llm_queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {query.__name__: query for query in QUERIES}
+    found = {query.__name__: query for query in QUERIES}
+    llm_queries = _llm_queries()
+    return found | llm_queries.queries() if llm_queries else found
 
 
 # One row per well formed record.
@@ -467,6 +478,12 @@ def _sql_list(values: tuple[str, ...] | list[str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    """The same results in SQL."""
+    llm_queries = _llm_queries()
+    return _lineitem_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def _lineitem_sql() -> dict[str, str]:
     """The same results from the ``lineitem`` columns, in SQL."""
     header = f"""header AS (
   SELECT DISTINCT '/synthetic/' || l_returnflag || '.vcf' AS file_path,

@@ -8,12 +8,11 @@ through a salted join.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.options import VcfOptions
+from genoframe.plans.shared import shared_folder
 from genoframe.sources.headers import (
     file_key,
     file_listing,
@@ -28,18 +27,6 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see: the session's checkpoint folder.
-
-    Only where none is configured, as in local runs, a new one is made.
-    """
-    context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="genoframe-"))
-    return configured or context.getCheckpointDir()
-
-
 def measured_bytes(headers: DataFrame) -> int:
     """Size of a header table, summed up by Spark."""
     key = file_key(headers)
