@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import exact, mixing, quality
+import corpus_pipeline
+from genoframe.llm import exact, html, jaccard, langid, mixing, packing, quality, tokens, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.assign_copies(_documents(spark, sf_dir))
     return taken.select(
@@ -28,16 +37,50 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(_pages(spark, sf_dir))
+
+
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_documents(spark, sf_dir), words=3, percent=90)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(_documents(spark, sf_dir), tokens.vocabulary(), limit=2048)
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_pages(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), tokens.vocabulary())
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(_documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_documents(spark, sf_dir))
 
 
+QUERIES: tuple[Query, ...] = (
+    op1_mixing, op2_quality, op3_html, op4_ngram_jaccard, op5_token_counts, op6_url_filters,
+    op7_toxicity, op8_packing, op9_exact_dedup, op10_language_id, pipeline,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op1_mixing": op1_mixing,
-        "op2_quality": op2_quality,
-        "op9_exact_dedup": op9_exact_dedup,
-    }
+    return {query.__name__: query for query in QUERIES}
 
 
 OP1_SQL = r"""
@@ -139,5 +182,83 @@ FROM texts WINDOW same AS (PARTITION BY norm)
 """
 
 
+OP6_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+         CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+split AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+),
+rules AS (
+  SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+    ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+    AS r(rule_host, rule_path, rule_verdict)
+),
+fitting AS (
+  SELECT split.*, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY page_id, host, path
+                            ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS place
+  FROM split LEFT JOIN rules
+    ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule,
+       coalesce(rule_verdict,
+         CASE WHEN host = '' OR regexp_matches(host, 'spam|cheap-|casino|viagra|pills|porn|xxx')
+              THEN 'block' ELSE 'allow' END) AS verdict
+FROM fitting WHERE place = 1
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+sets AS (
+  SELECT doc_id,
+         CASE WHEN len(words) >= 3
+              THEN list_distinct([array_to_string(words[i:i + 2], ' ')
+                                  FOR i IN range(1, len(words) - 1)])
+              WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS grams
+  FROM texts
+),
+incidence AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS nu, b.n AS nv, count(*) AS shared
+  FROM incidence a JOIN incidence b
+    ON a.gram = b.gram AND a.doc_id < b.doc_id
+   AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY ALL
+),
+links AS (
+  SELECT u, v FROM pairs WHERE 100 * shared >= 90 * (nu + nv - shared)
+),
+both AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach(u, v) AS (
+  SELECT u, v FROM both UNION SELECT reach.u, both.v FROM reach JOIN both ON reach.v = both.u
+)
+SELECT sets.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles,
+       least(sets.doc_id, coalesce(min(reach.v), sets.doc_id)) AS component_id
+FROM sets LEFT JOIN reach ON sets.doc_id = reach.u
+GROUP BY sets.doc_id, grams
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op2_quality": OP2_SQL, "op9_exact_dedup": OP9_SQL}
+    found = {
+        "op1_mixing": OP1_SQL,
+        "op2_quality": OP2_SQL,
+        "op4_ngram_jaccard": OP4_SQL,
+        "op6_url_filters": OP6_SQL,
+        "op9_exact_dedup": OP9_SQL,
+    }
+    if corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

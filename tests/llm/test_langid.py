@@ -1,0 +1,91 @@
+"""Language identification."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers import rows_of
+
+from genoframe.llm import langid
+
+SYLLABLES = {
+    "aa": ["ka", "ro", "ti", "mu", "sa", "ne"],
+    "bb": ["sch", "ber", "ung", "lich", "keit", "über"],
+    "cc": ["ción", "ado", "mente", "ez", "ll", "ña"],
+}
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, score int"
+
+
+def text_in(lang, words, pick):
+    return " ".join(
+        "".join(pick.choices(SYLLABLES[lang], k=pick.randint(1, 4))) for _ in range(words)
+    )
+
+
+def corpus(n, seed=2):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = pick.choice(list(SYLLABLES))
+        rows.append((i, text_in(lang, pick.randint(3, 60), pick), lang, "s", 0, 0))
+    return rows
+
+
+def test_held_out_accuracy(spark):
+    rows = corpus(600)
+    found = langid.predict_language(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == 600
+    for row in found:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 3 == 1)
+        assert 0 < row["score"] <= 1
+    held = [r for r in found if r["held_out"]]
+    assert sum(r["lang_pred"] == rows[r["doc_id"]][2] for r in held) >= 0.99 * len(held)
+
+
+def test_held_out_rows_teach_nothing(spark):
+    rows = corpus(200)
+    other = [
+        (i, t, "zz" if zlib.crc32(str(i).encode()) % 3 == 1 else lang, *rest)
+        for i, t, lang, *rest in rows
+    ]
+    assert rows_of(langid.predict_language(spark.createDataFrame(rows, SCHEMA))) == rows_of(
+        langid.predict_language(spark.createDataFrame(other, SCHEMA))
+    )
+
+
+def test_proportions_of_a_mixture(spark):
+    languages, logs = langid.train(spark.createDataFrame(corpus(300), SCHEMA))
+    pick = random.Random(5)
+    texts = [
+        text_in("aa", 60, pick) + " " + text_in("bb", 40, pick),
+        text_in("bb", 100, pick),
+        None, "123 --", text_in("cc", 1, pick), "",
+    ]
+    best, score = langid.identify(texts, logs)
+    assert [languages[i] if i >= 0 else "und" for i in best] == ["aa", "bb", "und", "und", "cc", "und"]
+    assert score[0] == pytest.approx(0.6, abs=0.1)
+    assert score[1] > 0.95
+    assert score[[2, 3, 5]].tolist() == [0, 0, 0]
+
+
+def test_likelihood_never_falls():
+    rng = np.random.default_rng(0)
+    likelihood = rng.random((50, 3)).astype(np.float32)
+    owner = np.repeat([0, 2], [20, 30])
+    allowed = np.ones((3, 3), dtype=bool)
+    sums = [langid.proportions(likelihood, owner, allowed, steps)[1] for steps in range(6)]
+    assert all((b >= a - 1e-4).all() for a, b in zip(sums, sums[1:]))
+    share = langid.proportions(likelihood, owner, allowed)[0]
+    assert share.sum(axis=1) == pytest.approx([1, 1, 1])
+
+
+def test_odd_tables(spark):
+    odd = [(None, None, None, None, 0, 0), (1, "", "aa", "s", 0, 0), (1, "12 ...", None, "s", 0, 0)]
+    found = langid.predict_language(spark.createDataFrame(odd * 2, SCHEMA)).collect()
+    assert [(r["lang_pred"], r["score"]) for r in found] == [("und", 0.0)] * 6
+    assert langid.predict_language(spark.createDataFrame([], SCHEMA)).count() == 0
+    mixed = spark.createDataFrame(corpus(60) + odd + [(9, "kati " * 300_000, None, None, 0, 0)], SCHEMA)
+    found = langid.predict_language(mixed)
+    assert found.where("lang_pred = 'aa'").count() > 1
+    assert found.where("lang_pred = 'und'").count() == 3

@@ -1,0 +1,103 @@
+"""Packing: every id in one piece, every piece in its place."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from helpers import clashing, documents, random_texts, rows_of
+from tokenizers import Tokenizer
+
+from genoframe.llm import packing, tokens
+
+
+def check(rows, texts, repeats=None):
+    """Exact round trip over the pieces; returns the lengths of the sequences."""
+    library = Tokenizer.from_file(tokens.vocabulary())
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for row in rows:
+        by_doc[row["doc_id"]].append(row)
+        by_sequence[row["sequence_id"]].append(row)
+    assert set(by_doc) == set(texts)
+    for doc_id, text in texts.items():
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        times = (repeats or {}).get(doc_id, 1)
+        starts = defaultdict(int)
+        for row in by_doc[doc_id]:
+            assert row["doc_tokens"] == len(ids)
+            part = ids[row["start"] : row["start"] + row["length"]]
+            assert len(part) == row["length"] > 0
+            assert row["ids_crc32"] == zlib.crc32(np.array(part, dtype="<u4").tobytes())
+            starts[row["start"], row["length"]] += 1
+        assert set(starts.values()) == {times}
+        at = 0
+        for start, length in sorted(starts):
+            assert start == at
+            at += length
+        assert at == len(ids)
+    lengths = []
+    for pieces in by_sequence.values():
+        at = 0
+        for row in sorted(pieces, key=lambda row: row["offset"]):
+            assert row["offset"] == at
+            at += row["length"]
+        assert at <= packing.CAPACITY
+        lengths.append(at)
+    return lengths
+
+
+def test_round_trip_and_padding(spark):
+    pick = random.Random(1)
+    texts = {i: " ".join(f"w{pick.randrange(999)}" for _ in range(pick.randint(0, 900))) for i in range(300)}
+    texts |= {1000: None, 1001: "", 1002: "long " * 30_000, 1003: " \n"}
+    lengths = check(packing.pack(documents(spark, texts.items()), tokens.vocabulary()).collect(), texts)
+    padding = sum(packing.CAPACITY - n for n in lengths)
+    assert padding <= 2 * packing.CAPACITY
+
+
+def test_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TOKENS_PER_GROUP", 20_000)
+    texts = {i: text * 20 for i, text in enumerate(random_texts(120, 8))}
+    docs = clashing(documents(spark, texts.items()))
+    found = packing.pack(docs, tokens.vocabulary())
+    check(found.collect(), texts)
+    assert rows_of(found) == rows_of(packing.pack(docs, tokens.vocabulary()))
+
+
+def test_repeated_rows_are_packed_one_by_one(spark):
+    rows = [(1, "a b c")] * 3 + [(2, None)]
+    found = packing.pack(documents(spark, rows), tokens.vocabulary()).collect()
+    check(found, dict(rows), {1: 3})
+
+
+def test_no_rows(spark):
+    assert packing.pack(documents(spark, []), tokens.vocabulary()).collect() == []
+
+
+@pytest.mark.parametrize("windows", [1, 2, 3, 7, 40])
+def test_difference_balances(windows):
+    lengths = np.random.default_rng(windows).integers(1, 500, size=40 * windows)
+    window = packing.difference(lengths, windows)
+    sums = np.bincount(window, lengths, minlength=windows)
+    assert len(sums) == windows
+    assert sums.max() - sums.min() <= 60
+
+
+def test_difference_with_fewer_items_than_windows():
+    window = packing.difference(np.array([5, 3]), 4)
+    assert len(set(window)) == 2
+
+
+def test_window_count_rises_until_all_fit():
+    lengths = np.array([3000, 3000, 3000, 4096, 2000])
+    window = packing.pack_group(lengths)
+    sums = np.bincount(window, lengths)
+    assert sums.max() <= packing.CAPACITY
+    assert (sums > 0).sum() == len(sums) == 5
+
+
+def test_cuts():
+    assert packing.cuts(9000, 4096, 512) == [0, 4096, 8192, 8704, 9000]
+    assert packing.cuts(4096) == [0, 4096]
+    assert packing.cuts(1) == [0, 1]

@@ -1,0 +1,68 @@
+"""Token counts against the library of the vocabulary file."""
+
+import random
+
+import pytest
+from helpers import clashing, documents, random_texts, rows_of
+from tokenizers import Tokenizer
+
+from genoframe.llm import tokens
+
+SPECIAL = "<|endoftext|>"
+TEXTS = [
+    "", " \n", "a", "Hello, World!", "it's we're I'LL 'tis", "naïve café ÉCOLE ﬁ", "ΣΑΣ Σ",
+    "é combined", "İstanbul", "a" * 300, "aaaa aaa aa", "1234 5.6", "###$$$ %%%", "中文字 かな",
+    "emoji 😀😀 👩‍👩‍👧", f"x{SPECIAL}y {SPECIAL}{SPECIAL} <|startoftext|>z", "<|ENDOFTEXT|>",
+    "a\x1cb\x1d \x1e c", "nb\xa0sp wide　x", "tab\tnew\nline\r\n", "\x00\x01", "ß ẞ ǅ",
+    "the quick " * 500, "'s's 't", "don't", "x'S", "ͅα", "٣٤ ½ Ⅷ", "​zero​",
+]
+
+
+def random_unicode(n, seed):
+    pick = random.Random(seed)
+    letters = "abcdeéÜß'’-_.,;!?#12 ½\n\t  " + "中かΩΣж한אع" + "́ "
+    return ["".join(pick.choices(letters, k=pick.randint(0, 80))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(tokens.vocabulary())
+
+
+def expected(library, text):
+    return len(library.encode(text or "", add_special_tokens=False).ids)
+
+
+def test_counts_equal_the_library(library):
+    counter = tokens.ChunkCounter(tokens.vocabulary())
+    texts = TEXTS + random_unicode(600, 1) + random_texts(50, 2)
+    for text, count in zip(texts, counter.count(texts)):
+        assert count == expected(library, text), repr(text)
+
+
+def test_query_rows(spark, library):
+    rows = list(enumerate([*TEXTS, None, None]))
+    docs = clashing(documents(spark, rows))
+    found = tokens.token_counts(docs, tokens.vocabulary(), limit=100).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        text = rows[row["doc_id"]][1]
+        assert row["n_bytes"] == len((text or "").encode())
+        assert row["n_tokens"] == expected(library, text)
+        assert row["over_limit"] == (row["n_tokens"] > 100)
+
+
+def test_forgetting_does_not_change_counts(monkeypatch, library):
+    monkeypatch.setattr(tokens, "MEMO_CHUNKS", 3)
+    counter = tokens.ChunkCounter(tokens.vocabulary())
+    for text in TEXTS:
+        assert counter.count([text, None, text]) == [expected(library, text), 0, expected(library, text)]
+
+
+def test_groups_hold_all_texts_in_order():
+    texts = ["a" * n for n in (5, 0, 30, 2, 2)] + [None]
+    assert [t for group in tokens.groups(texts, chars=8) for t in group] == texts
+
+
+def test_no_rows(spark):
+    assert rows_of(tokens.token_counts(documents(spark, []), tokens.vocabulary())) == []
