@@ -16,7 +16,7 @@ from genoframe.operators.variants import (
 from genoframe.plans.parse import parse_vcf_lines, rejected_lines
 from genoframe.schema import vcf_schema
 from genoframe.sources.headers import read_vcf_header, sample_ids, vcf_header
-from genoframe.sources.reader import read_vcf, read_vcf_lines
+from genoframe.sources.reader import read_genotypes, read_vcf, read_vcf_lines
 from genoframe.streaming.reader import foreach_vcf_batch, read_vcf_stream
 
 __all__ = [
@@ -30,6 +30,7 @@ __all__ = [
     "join_header",
     "min_quality",
     "parse_vcf_lines",
+    "read_genotypes",
     "read_variants",
     "read_vcf",
     "read_vcf_header",

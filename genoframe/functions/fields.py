@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from genoframe.functions.numbers import floating, integer, is_float
+from genoframe.functions.numbers import floating, integer, is_float, whole
 from genoframe.functions.text import dot_list, has_tabs, tab_field
 
+# Positions whose start and end cannot leave 64 bits, whatever the length of REF.
+SAFE_POSITION = whole(r"[0-9]{1,17}")
+
 
 def contig(line: str) -> str:
     """CHROM as it stands."""
@@ -13,12 +16,12 @@ def contig(line: str) -> str:
 
 def start(line: str) -> str:
     """0-based start."""
-    return f"({integer(tab_field(line, 1))}) - 1"
+    return f"try_subtract({integer(tab_field(line, 1))}, 1L)"
 
 
 def end(line: str) -> str:
     """Exclusive end: start plus the length of REF; INFO END is not consulted."""
-    return f"{start(line)} + length({reference_allele(line)})"
+    return f"try_add({start(line)}, length({reference_allele(line)}))"
 
 
 def names(line: str) -> str:
@@ -54,13 +57,15 @@ def info_text(line: str) -> str:
 def is_record(line: str) -> str:
     """True for a well formed record.
 
-    At least eight fields, an integer POS within 64 bits and a numeric or missing
-    QUAL. A trimmed line cannot end in a tab, so seven tabs mean eight fields.
+    At least eight fields, an integer POS with start and end within 64 bits and a
+    numeric or missing QUAL. A trimmed line cannot end in a tab, so seven tabs mean
+    eight fields.
     """
     quality = tab_field(line, 5)
+    position = tab_field(line, 1)
     return f"""coalesce(
       {has_tabs(line, 7)}
-      AND ({integer(tab_field(line, 1))}) IS NOT NULL
+      AND ({position} RLIKE r'{SAFE_POSITION}' OR {end(line)} IS NOT NULL)
       AND ({quality} = '.' OR {is_float(quality)}),
       false)"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoframe.functions.numbers import integer
+from genoframe.functions.numbers import integer, whole
 from genoframe.functions.text import after_tabs, has_tabs, let, literal, tab_field
 from genoframe.functions.variant import needs_escaping, quoted, value_json
 from genoframe.options import VcfOptions
@@ -11,7 +11,7 @@ KEPT_SAMPLES_TYPE = "array<struct<idx:int,sampleId:string>>"
 # The calls of most genotypes; others are taken apart.
 COMMON_CALLS = ("0/0", "0|0", "./.", "0/1", "0|1", "1|0", "1/1", "1|1", ".|.")
 # A genotype whose alleles are all plain numbers or missing.
-PLAIN_CALLS = r"^(?:\.|[0-9]{1,18})(?:[/|](?:\.|[0-9]{1,18}))*$"
+PLAIN_CALLS = whole(r"(?:\.|[0-9]{1,18})(?:[/|](?:\.|[0-9]{1,18}))*")
 
 
 def kept_samples(sample_ids: str, options: VcfOptions) -> str:
@@ -97,6 +97,41 @@ def _gt_value(layout: str, values: str) -> str:
     END"""
 
 
+def raw_genotypes(line: str, kept: str) -> str:
+    """Sample id and text of every kept sample that the record has, before parsing.
+
+    An empty field reads as a missing genotype.
+    """
+    fields = f"split({after_tabs(line, 9)}, '\\t')"
+    text = "CASE WHEN get(fields, s.idx) = '' THEN '.' ELSE get(fields, s.idx) END"
+    present = let(
+        "fields",
+        fields,
+        f"""transform(filter({kept}, s -> s.idx < size(fields)),
+            s -> struct(s.sampleId AS sampleId, {text} AS text))""",
+    )
+    return f"""CASE WHEN size({kept}) > 0 AND {has_tabs(line, f"9 + {kept}[0].idx")}
+      THEN {present} ELSE array() END"""
+
+
+def record_layout(line: str) -> str:
+    """What all samples of a record share, NULL for a record without samples."""
+    layout = format_layout(tab_field(line, 8))
+    return f"CASE WHEN {has_tabs(line, 9)} THEN {layout} END"
+
+
+def genotype_of(sample: str, layout: str) -> str:
+    """Genotype struct of one sample of ``raw_genotypes``; members are separate
+    expressions, so a query pays for those it reads."""
+    values = f"split({sample}.text, ':')"
+    escape = needs_escaping(f"{sample}.text")
+    calls = let("gt", _gt_value(layout, values), allele_calls("gt"))
+    return f"""named_struct(
+      'sampleId', {sample}.sampleId,
+      'calls', {calls},
+      'data', parse_json({let("vals", values, _data_json(layout, "vals", escape))}))"""
+
+
 def genotypes(line: str, kept: str) -> str:
     """Genotype array of a record: one entry per kept sample that the record has.
 

@@ -6,31 +6,44 @@ exception, which is far more than the pattern.
 
 from __future__ import annotations
 
-from genoframe.functions.text import let
+from genoframe.functions.text import WHITESPACE, let, literal
+
+# ``$`` also matches before a line separator at the end, so patterns end in ``\z``.
+PADDING = "[" + "".join(rf"\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]*"
+
+
+def whole(pattern: str) -> str:
+    """The pattern for all of a text."""
+    return rf"\A{pattern}\z"
+
 
 # The accepted spellings of numbers.
 DIGITS = r"[0-9]+(?:_[0-9]+)*"
 EXPONENT = rf"(?:[eE][+-]?{DIGITS})?"
-INTEGER = rf"^\s*[+-]?{DIGITS}\s*$"
-SHORT_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
-DOTTED_FLOAT = rf"^\s*[+-]?(?:{DIGITS}\.(?:{DIGITS})?|\.{DIGITS}){EXPONENT}\s*$"
-ANY_FLOAT = (
-    rf"^\s*[+-]?(?:(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS}){EXPONENT}"
-    r"|(?i:nan|inf|infinity))\s*$"
+INTEGER = whole(rf"{PADDING}[+-]?{DIGITS}{PADDING}")
+SHORT_INTEGER = whole(r"[+-]?[0-9]{1,18}")
+DOTTED_FLOAT = whole(
+    rf"{PADDING}[+-]?(?:{DIGITS}\.(?:{DIGITS})?|\.{DIGITS}){EXPONENT}{PADDING}"
+)
+ANY_FLOAT = whole(
+    rf"{PADDING}[+-]?(?:(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS}){EXPONENT}"
+    rf"|(?i:nan|inf|infinity)){PADDING}"
 )
 # Numbers whose text already is the JSON text that the general rules arrive at, and
 # comma lists of them: no padding, no zeros at either end, at most 15 digits, not so
 # small that an exponent would be shorter.
 _TIDY = r"-?(?:0|[1-9][0-9]{0,8})(?:\.(?!0000)(?:0|[0-9]{0,5}[1-9]))?"
 TIDY = rf"{_TIDY}(?:,{_TIDY})*"
-TIDY_NUMBERS = rf"^{TIDY}$"
+TIDY_NUMBERS = whole(TIDY)
+# Text without grouping and padding: it is a short integer, or none.
+PLAIN_TEXT = whole(r"[^_\x00-\x20\x{80}-\x{10ffff}]*")
 # JSON has no infinity; a literal beyond the double range reads back as one.
 INFINITY_JSON = "1e999"
 
 
 def _plain(text: str) -> str:
     """Number text without digit grouping and padding."""
-    return f"translate({text}, '_ \\u000b\\u000c\\r', '')"
+    return f"translate({text}, {literal('_' + WHITESPACE)}, '')"
 
 
 def integer(text: str) -> str:
@@ -103,5 +116,6 @@ def number_json(text: str) -> str:
         CASE WHEN {text} RLIKE r'{DOTTED_FLOAT}'
           THEN {_double_json(f"try_cast({_plain(text)} AS double)")} END
       WHEN {text} RLIKE r'{SHORT_INTEGER}' THEN cast(try_cast({text} AS bigint) AS string)
-      WHEN octet_length({text}) > 18 OR contains({text}, '_') THEN {_long_integer_json(text)}
+      WHEN octet_length({text}) > 18 OR NOT {text} RLIKE r'{PLAIN_TEXT}'
+        THEN {_long_integer_json(text)}
     END"""

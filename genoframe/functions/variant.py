@@ -7,7 +7,7 @@ stage on the JVM.
 
 from __future__ import annotations
 
-from genoframe.functions.numbers import TIDY, TIDY_NUMBERS, number_json
+from genoframe.functions.numbers import TIDY, TIDY_NUMBERS, number_json, whole
 from genoframe.functions.text import let
 
 # Stands for a list item that is not a number; cannot occur in JSON number text.
@@ -17,8 +17,8 @@ NOT_A_NUMBER = "!"
 CONTROL = r"[\x00-\x08\x0a-\x1f]"
 # INFO items whose JSON follows from the text of the whole item: numbers, and strings
 # that start with a letter, which no number does.
-NUMBER_ITEM = rf"^[^=,]*={TIDY}$"
-WORD_ITEM = r"^[^=,]*=[A-Za-z][^=,]*$"
+NUMBER_ITEM = whole(rf"[^=,]*={TIDY}")
+WORD_ITEM = whole(r"[^=,]*=[A-Za-z][^=,]*")
 
 
 def needs_escaping(text: str) -> str:

@@ -1,9 +1,8 @@
 """Bring each file's selected samples to its lines.
 
-A header row is small but there is one per file, and a cohort header names every
-sample. The table is measured before it is broadcast. Beyond the bound, lines of
-files look their own header up inside the task, and lines of other tables go
-through a salted join.
+Files of one cohort share one header, so lines first get the key of their file's
+header and then, by the key, its samples. Both tables are measured before they are
+broadcast; beyond the bound they are joined with salts. Results are the same.
 """
 
 from __future__ import annotations
@@ -12,63 +11,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.options import VcfOptions
-from genoframe.plans.shared import shared_folder
 from genoframe.sources.headers import (
     file_key,
-    file_listing,
-    kept_from_heads,
-    kept_from_lines,
+    headers_from_heads,
+    headers_from_sample_ids,
+    kept_by_key,
+    sample_ids,
+    stored,
+    with_key,
 )
-from genoframe.sources.heads import kept_samples_udf, probe_udf
+from genoframe.sources.heads import has_header_udf, kept_samples_udf
 from genoframe.sources.paths import VcfPath
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# Tasks that one file's lines spread over when the header join has to shuffle.
+# Tasks that one file's lines spread over when a header join has to shuffle.
 SALTS = 64
 
 
-def measured_bytes(headers: DataFrame) -> int:
-    """Size of a header table, summed up by Spark."""
-    key = file_key(headers)
-    names = F.aggregate(
-        "kept", F.lit(0).cast("bigint"), lambda n, s: n + F.octet_length(s["sampleId"]) + 32
-    )
-    return headers.agg(F.sum(F.octet_length(key) + names).alias("n")).first()["n"] or 0
+def _measured(table: DataFrame, *bytes_of: str) -> int:
+    """Size of a table in bytes, summed up by Spark."""
+    size = F.expr(" + ".join(("64", *bytes_of)))
+    return table.agg(F.sum(size).alias("n")).first()["n"] or 0
 
 
-def join_headers(
-    lines: DataFrame, headers: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Inner join of lines and header table; files without a header drop out."""
-    key = file_key(lines)
-    if measured_bytes(headers) <= max_broadcast_bytes:
-        return lines.join(F.broadcast(headers), key)
-    salted_lines = lines.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
+def _join(lines: DataFrame, table: DataFrame, key: str, size: int, most: int) -> DataFrame:
+    """Inner join of lines and a small table; lines without a partner drop out."""
+    if size <= most:
+        return lines.join(F.broadcast(table), key)
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     # The hint keeps Spark from broadcasting on an estimate.
-    salted_headers = headers.select("*", salts).hint("shuffle_hash")
-    return salted_lines.join(salted_headers, [key, "salt"]).drop("salt")
+    spread = table.select("*", salts).hint("shuffle_hash")
+    return salted.join(spread, [key, "salt"]).drop("salt")
 
 
-def join_scanned_headers(
-    records: DataFrame,
+def _join_stored(
+    lines: DataFrame, headers: DataFrame, options: VcfOptions, max_broadcast_bytes: int
+) -> DataFrame:
+    """``headers`` is stored: measuring and joining read it, nothing is done again."""
+    key = file_key(headers)
+    keys = headers.select(key, "header_key")
+    kept = stored(kept_by_key(headers, options), "samples")
+    keys_size = _measured(keys, f"octet_length({key})")
+    names = "aggregate(kept, 0L, (n, s) -> n + octet_length(s.sampleId) + 32)"
+    keyed = _join(lines, keys, key, keys_size, max_broadcast_bytes)
+    kept_size = _measured(kept, names)
+    return _join(keyed, kept, "header_key", kept_size, max_broadcast_bytes).drop("header_key")
+
+
+def join_headers(
     lines: DataFrame,
+    headers: DataFrame,
     options: VcfOptions,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join headers found by scanning ``lines``.
+    """Join a table of file key and ``sample_ids``, which is evaluated once."""
+    named = headers_from_sample_ids(headers)
+    return _join_stored(lines, named, options, max_broadcast_bytes)
 
-    The scan is checkpointed, so measuring and joining do not repeat it.
-    """
-    shared_folder(lines.sparkSession)
-    headers = kept_from_lines(lines, options).checkpoint()
-    return join_headers(records, headers, max_broadcast_bytes)
+
+def join_headers_once(
+    lines: DataFrame,
+    headers: DataFrame,
+    options: VcfOptions,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """The same for a table of file key and ``sample_ids`` that is stored already."""
+    return _join_stored(lines, with_key(headers), options, max_broadcast_bytes)
 
 
-def look_up_headers(records: DataFrame, options: VcfOptions) -> DataFrame:
-    """Each task reads the heads of the files whose lines it holds: no join, no shuffle."""
-    kept = F.explode(kept_samples_udf(options)("file_uri")).alias("kept")
-    return records.select("*", kept)
+def join_scanned_headers(
+    records: DataFrame,
+    lines: DataFrame,
+    options: VcfOptions,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Join headers found by scanning ``lines``, once."""
+    return join_headers(records, sample_ids(lines), options, max_broadcast_bytes)
 
 
 def join_head_headers(
@@ -78,19 +97,15 @@ def join_head_headers(
     options: VcfOptions,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join headers read from the file heads.
+    """Join headers read from the file heads, each file's head being opened once."""
+    return _join_stored(records, headers_from_heads(lines, source), options, max_broadcast_bytes)
+
+
+def look_up_headers(records: DataFrame, options: VcfOptions) -> DataFrame:
+    """Each task reads the heads of the files whose lines it holds: no join, no shuffle.
 
-    One small job reads all heads to learn how big the header table is and
-    whether the workers can open the files; if not, headers come from a scan.
+    For streams, which meet files that are not there yet. The samples are a column
+    of their own, so a query that reads no genotypes does not carry them.
     """
-    files = file_listing(lines.sparkSession, source)
-    probe = files.select(probe_udf(options)("file_uri").alias("p"))
-    seen = probe.agg(
-        F.coalesce(F.every("p.readable"), F.lit(True)).alias("readable"),
-        F.coalesce(F.sum("p.bytes"), F.lit(0)).alias("bytes"),
-    ).first()
-    if not seen["readable"]:
-        return join_scanned_headers(records, lines, options, max_broadcast_bytes)
-    if seen["bytes"] > max_broadcast_bytes:
-        return look_up_headers(records, options)
-    return records.join(F.broadcast(kept_from_heads(files, options)), "file_uri")
+    known = records.where(has_header_udf()("file_uri"))
+    return known.withColumn("kept", kept_samples_udf(options)("file_uri"))

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions import fields
-from genoframe.functions.genotype import genotypes
+from genoframe.functions.genotype import (
+    genotype_of,
+    genotypes,
+    raw_genotypes,
+    record_layout,
+)
 from genoframe.functions.text import strip
 from genoframe.functions.variant import info_variant
 from genoframe.options import VcfOptions
@@ -15,7 +20,6 @@ from genoframe.plans.header_join import (
     join_headers,
     join_scanned_headers,
 )
-from genoframe.sources.headers import kept_from_sample_ids
 
 
 def body_lines(lines: DataFrame) -> DataFrame:
@@ -41,8 +45,11 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return body_lines(lines).where(f"NOT {fields.is_record('value')}")
 
 
-def vcf_columns(records: DataFrame, options: VcfOptions) -> DataFrame:
-    """The VCF columns of record lines that carry their ``kept`` samples.
+def vcf_columns(
+    records: DataFrame, options: VcfOptions, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The VCF columns of record lines that carry their ``kept`` samples, and the
+    columns to ``keep``.
 
     Every column is its own expression over the line, so a query pays for the
     columns it reads and its filters run before anything else is parsed.
@@ -66,7 +73,31 @@ def vcf_columns(records: DataFrame, options: VcfOptions) -> DataFrame:
         "file_name": file_name,
         "variant_id": key if options.primary_key else "cast(NULL AS string)",
     }
-    return records.selectExpr(*(f"{sql} AS `{name}`" for name, sql in columns.items()))
+    return records.selectExpr(*(f"{sql} AS `{name}`" for name, sql in columns.items()), *keep)
+
+
+def genotype_rows(records: DataFrame, options: VcfOptions) -> DataFrame:
+    """One row per record and kept sample: the VCF columns with ``genotype`` in place
+    of ``genotypes``.
+
+    The text of the samples is exploded and each is parsed in its own row, so no row
+    holds the parsed genotypes of a whole cohort, and what a query does not read of a
+    genotype is not parsed. The line itself does not go into the exploded rows.
+    """
+    columns = vcf_columns(
+        records.select(
+            "*",
+            F.expr(raw_genotypes("value", "kept")).alias("raw"),
+            F.expr(record_layout("value")).alias("layout"),
+        ),
+        options,
+        keep=("raw", "layout"),
+    )
+    others = [name for name in columns.columns if name not in ("genotypes", "raw", "layout")]
+    exploded = columns.select(*others, "layout", F.explode("raw").alias("sample"))
+    return exploded.selectExpr(
+        *(f"`{name}`" for name in others), f"{genotype_of('sample', 'layout')} AS genotype"
+    )
 
 
 def parse_vcf_lines(
@@ -85,7 +116,5 @@ def parse_vcf_lines(
     if headers is None:
         staged = join_scanned_headers(records, lines, parsed, max_broadcast_bytes)
     else:
-        staged = join_headers(
-            records, kept_from_sample_ids(headers, parsed), max_broadcast_bytes
-        )
+        staged = join_headers(records, headers, parsed, max_broadcast_bytes)
     return vcf_columns(staged, parsed)

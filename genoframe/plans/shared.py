@@ -31,3 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``shared_path`` gave."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(located, True)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions.genotype import kept_samples
 from genoframe.functions.text import let, strip
 from genoframe.options import VcfOptions
-from genoframe.sources.heads import kept_samples_udf, meta_lines_udf
-from genoframe.sources.lines import path_as_given
+from genoframe.plans.shared import shared_path
+from genoframe.sources.heads import HEADS_SCHEMA, META_SCHEMA, read_heads
+from genoframe.sources.lines import path_as_given, vcf_lines
 from genoframe.sources.paths import VcfPath, resolve
 
+log = logging.getLogger(__name__)
+
 # File heads that one task may open before more tasks are used.
 FILES_PER_TASK = 64
 
@@ -74,32 +79,74 @@ def vcf_header(lines: DataFrame) -> DataFrame:
     return _with_declarations(meta.distinct(), keys)
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once and kept in the shared folder."""
+    spark = rows.sparkSession
+    folder = shared_path(spark, name)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def _unsettled(heads: DataFrame, lines: DataFrame) -> DataFrame | None:
+    """Lines of the files whose heads settle nothing; None if there are none.
+
+    Their names come to the driver, which has listed all files anyway, and prune
+    the scan to these files.
+    """
+    left = heads.where("problem IS NOT NULL").select("file_uri", "problem").collect()
+    if not left:
+        return None
+    log.warning("%d files are scanned for headers; %s: %s", len(left), *left[0])
+    return lines.where(F.col("file_uri").isin([row["file_uri"] for row in left]))
+
+
 def read_vcf_header(spark: SparkSession, path: str) -> DataFrame:
-    """The same for the files under a path, from the file heads alone.
+    """The same for the files under a path, from the file heads.
 
-    Workers need to reach the files.
+    Files whose heads workers cannot read, and such without a ``#CHROM`` line in
+    them, are scanned.
     """
     source = resolve(spark, path)
     if source is None:
-        meta = spark.createDataFrame([], "file_path string, line string")
-    else:
-        meta = file_listing(spark, source).select(
-            path_as_given(F.col("file_uri"), source).alias("file_path"),
-            F.explode(meta_lines_udf()("file_uri")).alias("line"),
+        return _with_declarations(
+            spark.createDataFrame([], "file_path string, line string"), ["file_path"]
         )
+    found = file_listing(spark, source).mapInArrow(read_heads(meta=True), META_SCHEMA)
+    heads = stored(found, "meta")
+    meta = heads.where("line IS NOT NULL").select(
+        path_as_given(F.col("file_uri"), source).alias("file_path"), "line"
+    )
+    unsettled = _unsettled(heads, vcf_lines(spark, source))
+    if unsettled is not None:
+        scanned = vcf_header(unsettled).select("file_path", "line")
+        meta = meta.union(scanned)
     return _with_declarations(meta, ["file_path"])
 
 
-def kept_from_lines(lines: DataFrame, options: VcfOptions) -> DataFrame:
-    """Header table found by scanning lines: file key and selected samples."""
-    return kept_from_sample_ids(sample_ids(lines), options)
+def with_key(headers: DataFrame) -> DataFrame:
+    """Name each header by its sample ids, so files that share one share its name."""
+    names = F.concat(F.size("sample_ids"), F.lit(":"), F.array_join("sample_ids", "\t"))
+    return headers.withColumn("header_key", F.sha2(names, 256))
 
 
-def kept_from_sample_ids(headers: DataFrame, options: VcfOptions) -> DataFrame:
-    """Header table from a (file key, ``sample_ids``) table."""
-    return headers.select(
-        file_key(headers), F.expr(kept_samples("sample_ids", options)).alias("kept")
-    )
+def headers_from_heads(lines: DataFrame, source: VcfPath) -> DataFrame:
+    """(file_uri, header_key, sample_ids) of every file with a header, stored once.
+
+    Heads are opened in one pass; only files that they do not settle are scanned.
+    A key comes with its sample ids at least once.
+    """
+    files = file_listing(lines.sparkSession, source)
+    heads = stored(files.mapInArrow(read_heads(), HEADS_SCHEMA), "heads")
+    found = heads.where("problem IS NULL").drop("problem")
+    unsettled = _unsettled(heads, lines)
+    if unsettled is None:
+        return found
+    return found.unionByName(headers_from_sample_ids(sample_ids(unsettled)))
+
+
+def headers_from_sample_ids(headers: DataFrame) -> DataFrame:
+    """The same from a table of file key and ``sample_ids``, evaluated once."""
+    return stored(with_key(headers), "headers")
 
 
 def file_listing(spark: SparkSession, source: VcfPath) -> DataFrame:
@@ -120,6 +167,8 @@ def file_listing(spark: SparkSession, source: VcfPath) -> DataFrame:
     return listing.coalesce(tasks)
 
 
-def kept_from_heads(files: DataFrame, options: VcfOptions) -> DataFrame:
-    """Header table read from the file heads: file key and selected samples."""
-    return files.select("file_uri", F.explode(kept_samples_udf(options)("file_uri")).alias("kept"))
+def kept_by_key(headers: DataFrame, options: VcfOptions) -> DataFrame:
+    """Selected samples of each distinct header."""
+    named = headers.where("sample_ids IS NOT NULL").groupBy("header_key")
+    distinct = named.agg(F.first("sample_ids").alias("sample_ids"))
+    return distinct.select("header_key", F.expr(kept_samples("sample_ids", options)).alias("kept"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from genoframe.operators.genotypes import explode_genotypes
 from genoframe.options import VcfOptions
 from genoframe.plans.header_join import (
     MAX_BROADCAST_BYTES,
     join_head_headers,
     join_scanned_headers,
 )
-from genoframe.plans.parse import record_lines, vcf_columns
+from genoframe.plans.parse import genotype_rows, record_lines, vcf_columns
 from genoframe.schema import vcf_schema
 from genoframe.sources.lines import vcf_lines
 from genoframe.sources.paths import resolve
@@ -36,16 +37,48 @@ def read_vcf(
 
     Sample ids come from the head of each file. ``scan_headers=True`` finds them
     with a second text scan instead, for storage that only the JVM can open; the
-    reader falls back to that by itself when workers cannot open a file.
+    reader does that by itself for the files that workers cannot open.
     """
     parsed = VcfOptions.parse(options)
+    staged = _staged(spark, path, scan_headers, max_broadcast_bytes, parsed)
+    if staged is None:
+        return spark.createDataFrame([], vcf_schema())
+    return vcf_columns(staged, parsed)
+
+
+def read_genotypes(
+    spark: SparkSession,
+    path: str,
+    scan_headers: bool = False,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    **options: object,
+) -> DataFrame:
+    """One row per record and selected sample, with a ``genotype`` struct.
+
+    The rows of ``explode_genotypes(read_vcf(...))``, but samples are split off
+    before they are parsed: prefer it for wide cohorts, and where only part of a
+    genotype is read. Same options.
+    """
+    parsed = VcfOptions.parse(options)
+    staged = _staged(spark, path, scan_headers, max_broadcast_bytes, parsed)
+    if staged is None:
+        return explode_genotypes(spark.createDataFrame([], vcf_schema()))
+    return genotype_rows(staged, parsed)
+
+
+def _staged(
+    spark: SparkSession,
+    path: str,
+    scan_headers: bool,
+    max_broadcast_bytes: int,
+    options: VcfOptions,
+) -> DataFrame | None:
+    """Records with the samples of their file; None for a missing path."""
     source = resolve(spark, path)
     if source is None:
-        return spark.createDataFrame([], vcf_schema())
+        return None
     lines = vcf_lines(spark, source)
     records = record_lines(lines)
     if scan_headers:
-        staged = join_scanned_headers(records, lines, parsed, max_broadcast_bytes)
-    else:
-        staged = join_head_headers(records, lines, source, parsed, max_broadcast_bytes)
-    return vcf_columns(staged, parsed)
+        return join_scanned_headers(records, lines, options, max_broadcast_bytes)
+    return join_head_headers(records, lines, source, options, max_broadcast_bytes)

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from genoframe.options import VcfOptions
-from genoframe.plans.header_join import look_up_headers
-from genoframe.plans.parse import parse_vcf_lines, record_lines, vcf_columns
+from genoframe.plans.header_join import join_headers_once, look_up_headers
+from genoframe.plans.parse import record_lines, vcf_columns
+from genoframe.plans.shared import remove, shared_path
+from genoframe.sources.headers import sample_ids
+from genoframe.sources.heads import can_open
 from genoframe.sources.lines import vcf_lines_stream
 from genoframe.sources.paths import VcfPath, resolve
 
@@ -44,12 +47,16 @@ def read_vcf_stream(spark: SparkSession, path: str, **options: object) -> DataFr
 
     Takes the options of ``read_vcf`` and those of Spark's file stream source,
     such as ``maxFilesPerTrigger``. Files must be complete when they appear. Each
-    task reads the heads of its files, so Python workers need to reach them;
-    ``foreach_vcf_batch`` does not ask for that.
+    task reads the heads of its files; storage that Python workers cannot open is
+    refused here, and ``foreach_vcf_batch`` reads it.
     """
     source_options, reader_options = _split_options(options)
     parsed = VcfOptions.parse(reader_options)
-    lines = vcf_lines_stream(spark, _existing(spark, path), source_options)
+    source = _existing(spark, path)
+    problem = can_open(source.root)
+    if problem:
+        raise ValueError(f"workers cannot open {path}, use foreach_vcf_batch: {problem}")
+    lines = vcf_lines_stream(spark, source, source_options)
     return vcf_columns(look_up_headers(record_lines(lines), parsed), parsed)
 
 
@@ -61,14 +68,30 @@ def foreach_vcf_batch(
 ) -> DataStreamWriter:
     """Stream writer that hands every micro-batch to ``process`` as parsed rows.
 
-    A micro-batch holds whole files, so their headers are joined from the batch
-    itself; this works on any file system Spark can read. Start it with the
-    trigger and checkpoint location of your choice.
+    Where workers can open the files, they read the heads. Elsewhere the headers
+    are found in the micro-batch, which holds whole files, and kept in the shared
+    folder until ``process`` returns. Start it with the trigger and checkpoint
+    location of your choice.
     """
     source_options, reader_options = _split_options(options)
-    lines = vcf_lines_stream(spark, _existing(spark, path), source_options)
+    parsed = VcfOptions.parse(reader_options)
+    source = _existing(spark, path)
+    lines = vcf_lines_stream(spark, source, source_options)
+    opens = can_open(source.root) is None
 
     def parse_batch(batch: DataFrame, batch_id: int) -> None:
-        process(parse_vcf_lines(batch, **reader_options), batch_id)
+        if opens:
+            staged = look_up_headers(record_lines(batch), parsed)
+            process(vcf_columns(staged, parsed), batch_id)
+            return
+        folder = shared_path(batch.sparkSession, f"batch-{batch_id}")
+        try:
+            headers = sample_ids(batch)
+            headers.write.parquet(folder)
+            stored = batch.sparkSession.read.schema(headers.schema).parquet(folder)
+            staged = join_headers_once(record_lines(batch), stored, parsed)
+            process(vcf_columns(staged, parsed), batch_id)
+        finally:
+            remove(batch.sparkSession, folder)
 
     return lines.writeStream.foreachBatch(parse_batch)

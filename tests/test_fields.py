@@ -75,6 +75,8 @@ BAD = [
     "1 5", "1 5 . A G . .", "1 x . A G . . .", "1 5.0 . A G . . .", "1 . . A G . . .",
     "1 5 . A G high . .", "1 5 . A G 1.5d . .", "1 5 . A G 0x1 . .", "1 5 . A G  . .",
     "1 99999999999999999999 . A G . . .",
+    # Start and end leave 64 bits.
+    "1 -9223372036854775808 . A G . . .", "1 9223372036854775807 . ACG G . . .",
 ]
 
 
@@ -83,6 +85,13 @@ def test_malformed_records_are_dropped(spark):
     assert [row.start for row in parse_vcf_lines(lines).collect()] == [4]
 
 
+def test_positions_at_the_edge(spark):
+    row = parse_one(spark, "1 9223372036854775807 . A G . . .")
+    assert (row.start, row.end) == (2**63 - 2, 2**63 - 1)
+    row = parse_one(spark, "1 -9223372036854775807 . A G . . .")
+    assert (row.start, row.end) == (-(2**63), 1 - 2**63)
+
+
 def test_rejected_lines_are_the_rest(spark):
     lines = lines_of(spark, CHROM, tabbed(GOOD), "", "  ", "##x", *map(tabbed, BAD))
     rejected = {row.value for row in rejected_lines(lines).collect()}

@@ -17,12 +17,15 @@ SCALARS = {
     "1e-5": '"1e-5"', "nan": '"nan"', "inf": '"inf"', "1e5": '"1e5"', "0x10": '"0x10"',
     ".": '"."', "..": '".."', "": '""', "-": '"-"', "1.2.3": '"1.2.3"', "1.5d": '"1.5d"',
     "DEL": '"DEL"', "p.V600E": '"p.V600E"', "a=b=c": '"a=b=c"', "é": '"é"',
+    "5\u2028": "5", "5\x85": "5", "\u30005 ": "5", "0.5\u2029": "0.5", "0.5\x1c": "0.5",
+    "x\u2028": '"x\u2028"', "\u0665": '"\u0665"',
     'say "hi"': '"say \\"hi\\""', "back\\slash": '"back\\\\slash"', "[x]{y}": '"[x]{y}"',
 }
 LISTS = {
     "0.3,0.2": "[0.3,0.2]", "1,2,3": "[1,2,3]", "1,0.50": "[1,0.5]", "1.0e-5,2": "[1e-5,2]",
     "10,.": '["10","."]', "1,x": '["1","x"]', "x,1": '["x","1"]', ",": '["",""]',
     "1,": '["1",""]', "1e5,2": '["1e5","2"]', '1,"': '["1","\\""]', "007,1": "[7,1]",
+    "0.1,5\u2028": "[0.1,5]", "5\x85,1": "[5,1]", "1,x\u2028": '["1","x\u2028"]',
 }
 VALUES = {**SCALARS, **LISTS}
 
@@ -39,6 +42,12 @@ def test_each_value(spark):
         assert result == {"K": json.loads(VALUES[text])}, text
 
 
+def test_line_separators_inside_a_field(spark):
+    assert parsed(spark, ["DP=5\u2028;AF=0.5", "DP=5\x85", "AF=0.1,5\u2028;B"]) == [
+        {"DP": 5, "AF": 0.5}, {"DP": 5}, {"AF": [0.1, 5], "B": True},
+    ]
+
+
 def test_numbers_keep_their_kind(spark):
     df = spark.createDataFrame([("A=5.;B=5;C=60.00;D=15000000.5",)], "text string")
     schema = df.selectExpr(f"schema_of_variant({info_variant('text')}) AS s").first().s
