@@ -4,9 +4,9 @@ The documents-by-shingles incidence matrix is multiplied with its transpose in
 blocks. Size-derived bounds keep most of it out:
 
 * Shingles are ordered from rare to frequent. Two sets that reach the threshold
-  share a shingle among the first ``n - ceil(t * n) + 1`` of each, so only these
-  prefixes are dealt out to find which documents can meet at all. They form
-  candidate clusters.
+  share a shingle among the first ``n - ceil(t * n) + 1`` of each, and their sizes
+  are within the threshold of each other. So only these prefixes are dealt out to
+  find which documents can meet at all: they form candidate clusters.
 * Whole sets of a cluster come together, and the product of their incidence rows
   is accumulated block by block. Sizes bound the columns of each block of rows,
   and overlaps below the size-derived bound are discarded.
@@ -25,17 +25,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.llm.components import components
-from genoframe.llm.shingles import shingle_sets
+from genoframe.llm.shingles import shingle_rows, shingle_sets
 from genoframe.llm.textscan import mixed
 from genoframe.plans.shared import shared_folder, shared_path
 
 WORDS = 3
 PERCENT = 90
-# Buckets of the frequency sketch: 1 MB as 32-bit counts, whatever the input.
+# Buckets of the frequency sketches of shingles and words: 1 and 4 MB as 32-bit
+# counts, whatever the input.
 SKETCH_BITS = 18
+WORD_BITS = 20
 # Bits of the filter for texts that are read again: 2 MB at most.
 FILTER_BITS = 24
 ENTRIES_PER_BLOCK = 1 << 20
+# Sizes beyond this count as this when candidates are looked for.
+LARGEST_SIZE = (1 << 32) - 1
 # Nodes and shingles that one task multiplies.
 CHUNK_NODES = 4096
 CHUNK_SHINGLES = 1 << 22
@@ -63,58 +67,99 @@ def _table(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def _bucket(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _packed(counts: np.ndarray) -> pa.Array:
+    return pa.array([zlib.compress(counts.astype(np.int64).tobytes(), 1)], pa.binary())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype=np.int64)
 
 
 def _measure(words: int):
-    """Task over texts: one row per document, and the task's counts of shingles."""
+    """Task over texts: one row per document, and the task's counts of shingles and
+    words by bucket."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
+        word_counts = np.zeros(1 << WORD_BITS, dtype=np.int32)
         for batch in batches:
             sizes, digests = [], []
-            for members in shingle_sets(batch["text"], words):
+            for hashes, grams in shingle_rows(batch["text"], words):
+                members = np.unique(grams)
                 sizes.append(len(members))
                 digests.append(_digest(members))
-                np.add.at(counts, _bucket(members), 1)
+                np.add.at(counts, _bucket(members, SKETCH_BITS), 1)
+                np.add.at(word_counts, _bucket(hashes, WORD_BITS), 1)
             yield _table(
                 doc_id=batch["doc_id"],
                 n=pa.array(sizes, pa.int64()),
                 digest=pa.array(digests, pa.binary()),
                 node=pa.array([_node(digest) for digest in digests], pa.int64()),
                 counts=pa.nulls(len(sizes), pa.binary()),
+                word_counts=pa.nulls(len(sizes), pa.binary()),
             )
         yield _table(
             doc_id=pa.nulls(1, pa.int64()),
             n=pa.nulls(1, pa.int64()),
             digest=pa.nulls(1, pa.binary()),
             node=pa.nulls(1, pa.int64()),
-            counts=pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary()),
+            counts=_packed(counts),
+            word_counts=_packed(word_counts),
         )
 
     return measure
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    word_counts = np.zeros(1 << WORD_BITS, dtype=np.int64)
     for batch in batches:
-        for packed in batch["counts"]:
-            total += np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.int64)
-    yield _table(counts=pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+        for packed, word_packed in zip(batch["counts"], batch["word_counts"]):
+            counts += _unpacked(packed.as_py())
+            word_counts += _unpacked(word_packed.as_py())
+    yield _table(counts=_packed(counts), word_counts=_packed(word_counts))
+
 
+class Rarity:
+    """An order of shingles from rare to frequent, the same for all documents.
 
-def _sketch(measured: DataFrame) -> np.ndarray:
-    """Shingle counts by bucket over all documents, summed in tasks first."""
-    parts = measured.where("counts IS NOT NULL").select("counts")
+    A shingle is as rare as its rarest word. One whose bucket counts far more than
+    its share is a repeated passage and comes last, however rare its words are.
+    """
+
+    def __init__(self, counts: np.ndarray, word_counts: np.ndarray):
+        mean = counts.mean()
+        often = counts > mean + 6 * np.sqrt(mean + 1)
+        self.passage = np.where(often, 1000 + np.log1p(counts), 0).astype(np.float32)
+        self.word = np.log1p(word_counts).astype(np.float32)
+
+    def distinct(self, hashes: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The set of a row and the rank of its members."""
+        members, first = np.unique(grams, return_index=True)
+        rank = self.passage[_bucket(members, SKETCH_BITS)]
+        rarest = self.word[_bucket(hashes, WORD_BITS)]
+        width = len(hashes) - len(grams) + 1
+        low = rarest[: len(grams)]
+        for k in range(1, width):
+            low = np.minimum(low, rarest[k : k + len(grams)])
+        return members, np.where(rank > 0, rank, low[first])
+
+
+def _rarity(measured: DataFrame) -> Rarity:
+    """Counts over all documents, summed up by tasks to one row."""
+    parts = measured.where("counts IS NOT NULL").select("counts", "word_counts")
     tasks = parts.count()
-    while tasks > 16:
-        tasks = max(1, tasks // 16)
-        parts = parts.repartition(tasks).mapInArrow(_sum_counts, "counts binary")
-    total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for row in parts.collect():
-        total += np.frombuffer(zlib.decompress(bytes(row["counts"])), dtype=np.int64)
-    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+    while tasks > 1:
+        tasks = -(-tasks // 16)
+        parts = parts.repartition(tasks).mapInArrow(_sum_counts, "counts binary, word_counts binary")
+    rows = parts.collect()
+    if not rows:
+        return Rarity(np.zeros(1 << SKETCH_BITS), np.zeros(1 << WORD_BITS))
+    return Rarity(_unpacked(bytes(rows[0]["counts"])), _unpacked(bytes(rows[0]["word_counts"])))
 
 
 class Forest:
@@ -142,61 +187,78 @@ class Forest:
         return nodes, [self.root(x) for x in nodes]
 
 
-def _meet(shingles: np.ndarray, nodes: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
-    """Link nodes that share a shingle; return each shingle with its smallest node."""
-    order = np.lexsort((nodes, shingles))
-    shingles, nodes = shingles[order], nodes[order]
-    new = np.concatenate([[True], shingles[1:] != shingles[:-1]]) if len(order) else order > 0
-    heads = nodes[new][np.cumsum(new) - 1]
+def _meet(entries: np.ndarray, percent: int, forest: Forest) -> np.ndarray:
+    """Link nodes that share a shingle and are near in size.
+
+    Rows of ``entries`` are shingle, node, least and greatest size. Sorted by size,
+    the nodes of a shingle form chains in which each can link to one before it;
+    a chain goes on as one entry. Every pair that can link is inside a chain.
+    """
+    entries = entries[:, np.lexsort((entries[2], entries[0]))]
+    shingles, nodes, least, greatest = entries
+    if not len(shingles):
+        return entries
+    new = np.ones(len(shingles), dtype=bool)
+    new[1:] = shingles[1:] != shingles[:-1]
+    # The greatest size so far in the same shingle.
+    group = np.cumsum(new).astype(np.uint64) << np.uint64(32)
+    so_far = np.maximum.accumulate(group | greatest) & np.uint64(LARGEST_SIZE)
+    new[1:] |= np.uint64(100) * so_far[:-1] < np.uint64(percent) * least[1:]
+    starts = np.flatnonzero(new)
+    heads = nodes[starts][np.cumsum(new) - 1]
     apart = heads != nodes
-    pairs = np.unique(np.stack([heads[apart], nodes[apart]]), axis=1)
+    pairs = np.unique(np.stack([heads[apart], nodes[apart]]).view(np.int64), axis=1)
     for x, y in zip(*pairs.tolist()):
         forest.link(x, y)
-    return shingles[new], nodes[new]
+    return np.stack(
+        [shingles[starts], nodes[starts], least[starts], np.maximum.reduceat(greatest, starts)]
+    )
 
 
-def _prefixes(words: int, percent: int, blocks: int, sketch: np.ndarray):
+def _prefixes(words: int, percent: int, blocks: int, rarity: Rarity):
     """Task over texts: edges between nodes that meet inside the task, and its
-    prefix shingles, each once, packed by block.
+    prefix shingles packed by block.
 
-    A shingle leaves the task with one node, so however many documents share it,
-    a block receives it once per task.
+    Nodes that meet leave the task as one entry of their shingle, so however many
+    near copies there are, a block receives few entries per task.
     """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, seen = Forest(), set()
-        shingles, nodes = [], []
+        shingles, nodes, sizes = [], [], []
         for batch in batches:
-            for members in shingle_sets(batch["text"], words):
-                n = len(members)
-                if not n:
+            for hashes, grams in shingle_rows(batch["text"], words):
+                if not len(grams):
                     continue
+                members, rank = rarity.distinct(hashes, grams)
                 node = _node(_digest(members))
                 if node in seen:
                     continue
                 seen.add(node)
-                rank = sketch[_bucket(members)]
+                n = len(members)
                 first = np.argsort(rank, kind="stable")[: n - smallest_overlap(n, percent) + 1]
                 shingles.append(members[first])
-                nodes.append(np.full(len(first), node, dtype=np.int64))
+                nodes.append(np.full(len(first), node, dtype=np.int64).view(np.uint64))
+                sizes.append(np.full(len(first), min(n, LARGEST_SIZE), dtype=np.uint64))
         if shingles:
-            meeting, heads = _meet(np.concatenate(shingles), np.concatenate(nodes), forest)
-            block = (meeting % np.uint64(blocks)).astype(np.int64)
+            size = np.concatenate(sizes)
+            entries = np.stack([np.concatenate(shingles), np.concatenate(nodes), size, size])
+            entries = _meet(entries, percent, forest)
+            block = (entries[0] % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
+            entries = entries[:, order]
             ends = np.searchsorted(block[order], np.arange(blocks + 1))
             for b in range(blocks):
-                part = order[ends[b] : ends[b + 1]]
-                if len(part):
-                    packed = np.stack([meeting[part], heads[part].view(np.uint64)]).tobytes()
+                part = entries[:, ends[b] : ends[b + 1]]
+                if part.shape[1]:
                     yield _table(
                         block=pa.array([b], pa.int32()),
-                        entries=pa.array([packed], pa.binary()),
+                        entries=pa.array([_pack_entries(part)], pa.binary()),
                         edges=pa.nulls(1, pa.binary()),
                     )
-            u, v = forest.edges()
-            edges = np.array([u, v], dtype=np.int64)
+            edges = np.array(forest.edges(), dtype=np.int64)
             yield _table(
-                block=pa.array([int(meeting[0] % np.uint64(blocks))], pa.int32()),
+                block=pa.array([int(block[0])], pa.int32()),
                 entries=pa.nulls(1, pa.binary()),
                 edges=pa.array([edges.tobytes()], pa.binary()),
             )
@@ -204,21 +266,33 @@ def _prefixes(words: int, percent: int, blocks: int, sketch: np.ndarray):
     return prefixes
 
 
-def _meet_block(table: pa.Table) -> pa.Table:
-    """All entries of a block: nodes of different tasks that share a shingle."""
-    forest = Forest()
-    for packed in table["edges"].drop_null():
-        for x, y in zip(*np.frombuffer(packed.as_py(), dtype=np.int64).reshape(2, -1).tolist()):
-            forest.link(x, y)
-    parts = [
-        np.frombuffer(packed.as_py(), dtype=np.uint64).reshape(2, -1)
-        for packed in table["entries"].drop_null()
-    ]
-    if parts:
-        entries = np.concatenate(parts, axis=1)
-        _meet(entries[0], entries[1].view(np.int64), forest)
-    u, v = forest.edges()
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+def _pack_entries(entries: np.ndarray) -> bytes:
+    """Shingles and nodes as they are, sizes in 32 bits each."""
+    return np.ascontiguousarray(entries[:2]).tobytes() + entries[2:].astype("<u4").tobytes()
+
+
+def _unpack_entries(packed: bytes) -> np.ndarray:
+    n = len(packed) // 24
+    names = np.frombuffer(packed, dtype=np.uint64, count=2 * n).reshape(2, n)
+    sizes = np.frombuffer(packed, dtype="<u4", offset=16 * n).reshape(2, n)
+    return np.concatenate([names, sizes.astype(np.uint64)])
+
+
+def _meet_block(percent: int):
+    def meet(table: pa.Table) -> pa.Table:
+        """All entries of a block: nodes of different tasks that share a shingle."""
+        forest = Forest()
+        for packed in table["edges"].drop_null():
+            pairs = np.frombuffer(packed.as_py(), dtype=np.int64).reshape(2, -1)
+            for x, y in zip(*pairs.tolist()):
+                forest.link(x, y)
+        parts = [_unpack_entries(packed.as_py()) for packed in table["entries"].drop_null()]
+        if parts:
+            _meet(np.concatenate(parts, axis=1), percent, forest)
+        u, v = forest.edges()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return meet
 
 
 def _bits(nodes: np.ndarray, bits: int) -> np.ndarray:
@@ -461,19 +535,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     only_text = docs.select("text")
     folder = shared_path(spark, "sets")
-    schema = "doc_id bigint, n bigint, digest binary, node bigint, counts binary"
+    schema = (
+        "doc_id bigint, n bigint, digest binary, node bigint, counts binary, word_counts binary"
+    )
     texts.mapInArrow(_measure(words), schema).write.parquet(folder)
     measured = spark.read.schema(schema).parquet(folder)
-    rows = measured.where("digest IS NOT NULL").drop("counts")
-    sketch = _sketch(measured)
+    rows = measured.where("digest IS NOT NULL").drop("counts", "word_counts")
+    rarity = _rarity(measured)
 
     found = rows.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
     entries = (found["n"] or 0) * (100 - percent) // 100 + found["rows"]
     blocks = int(entries // ENTRIES_PER_BLOCK) + 1
     prefixes = only_text.mapInArrow(
-        _prefixes(words, percent, blocks, sketch), "block int, entries binary, edges binary"
+        _prefixes(words, percent, blocks, rarity), "block int, entries binary, edges binary"
     )
-    meetings = prefixes.groupBy("block").applyInArrow(_meet_block, "u bigint, v bigint")
+    meetings = prefixes.groupBy("block").applyInArrow(_meet_block(percent), "u bigint, v bigint")
     clusters = components(meetings)
 
     sized = rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))

@@ -240,9 +240,10 @@ pairs AS (
 links AS (
   SELECT u, v FROM pairs WHERE 100 * shared >= 90 * (nu + nv - shared)
 ),
-both AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+sides AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
 reach(u, v) AS (
-  SELECT u, v FROM both UNION SELECT reach.u, both.v FROM reach JOIN both ON reach.v = both.u
+  SELECT u, v FROM sides
+  UNION SELECT reach.u, sides.v FROM reach JOIN sides ON reach.v = sides.u
 )
 SELECT sets.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles,
        least(sets.doc_id, coalesce(min(reach.v), sets.doc_id)) AS component_id
