@@ -11,16 +11,18 @@ other. If a window is over capacity, the group gets one window more.
 from __future__ import annotations
 
 import heapq
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoframe.llm.tokens import MEMO_CHARS, MEMO_CHUNKS, chunks_of, groups
+from genoframe.llm.textscan import Piece, pieces
 from genoframe.plans.shared import shared_folder
 
 CAPACITY = 4096
@@ -28,6 +30,12 @@ CAPACITY = 4096
 PIECE = 512
 END_ID = 2
 TOKENS_PER_GROUP = 1 << 21
+# Words that a worker remembers: some 100 MB.
+MEMO_WORDS = 600_000
+MARKS = np.zeros(256, dtype=bool)
+MARKS[[ord("."), ord(",")]] = True
+ASCII_LETTERS = np.zeros(256, dtype=bool)
+ASCII_LETTERS[[*range(65, 91), *range(97, 123)]] = True
 # Sequence ids of a group; no group can have as many windows.
 GROUP_STRIDE = 1 << 24
 
@@ -41,32 +49,115 @@ PACKED = (
 )
 
 
-class ChunkEncoder:
-    """Little-endian 32-bit ids of a text, encoded chunk by chunk.
+class WordEncoder:
+    """Ids of whole text columns by the library, one call for all new words.
 
-    White space ends pre-tokens and special strings hold none, so the ids of a
-    text are those of its chunks. Chunks are remembered, as most come again.
+    ASCII white space ends pre-tokens, so the ids of a text are those of the words
+    between; a full stop or comma behind a letter is a pre-token of its own. Words
+    are told apart by 64-bit hashes, A-Z as a-z like the vocabulary does, and the
+    library sees each word once while a worker remembers it. Texts with the start
+    of a special string go to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo = {}
-        split = [chunks_of(text) if text else [] for text in texts]
-        missing = list(set().union(*split) - self.memo.keys())
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for chunk, encoding in zip(missing, found):
-            self.memo[chunk] = np.array(encoding.ids, dtype="<u4").tobytes()
-        encoded = [b"".join(map(self.memo.__getitem__, chunks)) for chunks in split]
-        for chunk in missing:
-            if len(chunk) > MEMO_CHARS:
-                del self.memo[chunk]
-        return encoded
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.ids = np.zeros(0, dtype="<u4")
+        self.bounds = np.zeros(1, dtype=np.int64)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters and where each word's end. Each is one pre-token,
+        so in one text of all of them it has one id that ends a word, its last."""
+        joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(joined[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        return (ids, ends) if len(ends) == len(words) else self._others(words)
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._one_by_one(words)
+        ends = np.cumsum([len(ids) for ids in found], dtype=np.int64)
+        return np.concatenate([np.zeros(0, dtype="<u4"), *found]), ends
+
+    def _learn(self, hashes: list[int], words: list[str]) -> np.ndarray:
+        """Remember new words; returns their places."""
+        plain = np.array([w.isalpha() and unicodedata.is_normalized("NFC", w) for w in words])
+        places = np.empty(len(words), dtype=np.int64)
+        for wanted, encode in ((True, self._letters), (False, self._others)):
+            some = np.flatnonzero(plain == wanted)
+            if len(some):
+                ids, ends = encode([words[i] for i in some])
+                places[some] = np.arange(len(some)) + len(self.bounds) - 1
+                self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends])
+                self.ids = np.concatenate([self.ids, ids])
+        self.slots.update(zip(hashes, places.tolist()))
+        return places
+
+    def _one_by_one(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, dtype="<u4") for encoding in found]
+
+    def _word_slots(self, piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Place of each word among the remembered ones; new words are learnt."""
+        distinct, first, inverse = np.unique(
+            piece.hashes(starts, ends), return_index=True, return_inverse=True
+        )
+        if len(self.slots) + len(distinct) > MEMO_WORDS:
+            self._forget()
+        slots = np.array([self.slots.get(h, -1) for h in distinct.tolist()], dtype=np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            data = piece.data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            words = [data[a:b].decode() for a, b in spans]
+            slots[new] = self._learn(distinct[new].tolist(), words)
+        return slots[inverse]
+
+    def _piece_ids(self, piece: Piece, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a piece and the offsets of its rows in them."""
+        starts, ends = piece.starts, piece.ends
+        marked = (ends - starts > 1) & MARKS[piece.data[ends - 1]] & ASCII_LETTERS[piece.data[ends - 2]]
+        marks = ends[marked] - 1
+        all_starts = np.concatenate([starts, marks])
+        all_ends = np.concatenate([ends - marked, marks + 1])
+        order = np.argsort(all_starts, kind="stable")
+        all_starts, all_ends = all_starts[order], all_ends[order]
+        slots = self._word_slots(piece, all_starts, all_ends)
+        lengths = self.bounds[slots + 1] - self.bounds[slots]
+        word_bounds = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.arange(word_bounds[-1]) + np.repeat(self.bounds[slots] - word_bounds[:-1], lengths)
+        return self.ids[places], word_bounds[np.searchsorted(all_starts, rows)]
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each row; null counts as empty."""
+        special = pc.match_substring(column, "<|").fill_null(False).to_numpy(zero_copy_only=False)
+        for first, last, found in pieces(column):
+            parts = [self._piece_ids(piece, piece.rows) for piece in found]
+            if len(parts) > 1:
+                parts = [(np.concatenate([ids for ids, _ in parts]), np.array([0, sum(len(ids) for ids, _ in parts)]))]
+            ids, bounds = parts[0]
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                if special[first + i]:
+                    yield self._one_by_one([column[first + i].as_py()])[0]
+                else:
+                    yield ids[a:b]
+
+
+# One encoder for each vocabulary in a worker process: its memory outlives a task.
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[int]:
@@ -141,29 +232,26 @@ def _pack(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _cut_documents(path: str, end_id: int):
-    tail = np.array([end_id], dtype="<u4").tobytes()
+    tail = np.array([end_id], dtype="<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        encoder = encoder_of(path)
+        names = [column.split()[0] for column in PIECES.split(", ")]
         for batch in batches:
-            rows = iter(zip(batch["piece_id"].to_pylist(), batch["doc_id"].to_pylist()))
-            for group in groups(batch["text"].to_pylist()):
-                found: list[tuple] = []
-                for ids, (piece_id, doc_id) in zip(encoder.encode(group), rows):
-                    ids += tail
-                    n = len(ids) // 4
-                    places = cuts(n)
-                    found += (
-                        (piece_id, doc_id, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), n)
-                        for a, b in zip(places, places[1:])
-                    )
-                names = [column.split()[0] for column in PIECES.split(", ")]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        name: pa.array(values, pa.int64())
-                        for name, values in zip(names, zip(*found))
-                    }
+            rows = zip(batch["piece_id"].to_pylist(), batch["doc_id"].to_pylist())
+            found: list[tuple] = []
+            for ids, (piece_id, doc_id) in zip(encoder.encode(batch["text"]), rows):
+                data = np.append(ids, tail).tobytes()
+                n = len(data) // 4
+                places = cuts(n)
+                found += (
+                    (piece_id, doc_id, a, b - a, zlib.crc32(data[4 * a : 4 * b]), n)
+                    for a, b in zip(places, places[1:])
                 )
+            columns = zip(*found) if found else [()] * len(names)
+            yield pa.RecordBatch.from_pydict(
+                {name: pa.array(values, pa.int64()) for name, values in zip(names, columns)}
+            )
 
     return cut
 

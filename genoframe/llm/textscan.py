@@ -56,7 +56,7 @@ class Piece:
 
     def __init__(self, data: np.ndarray, rows: np.ndarray, space: np.ndarray, codes: np.ndarray):
         """``rows``: offsets of the rows in ``data``, first 0, last its length."""
-        self.data = data
+        self.data, self.rows = data, rows
         inside = ~space[data]
         edges = rows[:-1][rows[:-1] < len(data)]
         before = np.zeros(len(data), dtype=bool)
