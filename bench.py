@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import genoframe as gf
-from genoframe.sources import synth
+import synthetic_vcf as synth
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+SMALL_FILES = 2000
 
 
 def _session(home: str) -> SparkSession:
@@ -57,7 +58,9 @@ def _stream_to_end(spark: SparkSession, path: str, home: str) -> None:
     )
 
 
-def _queries(spark: SparkSession, plain: str, packed: str, home: str) -> dict[str, Callable]:
+def _queries(spark: SparkSession, home: str) -> dict[str, Callable]:
+    plain, packed, wide, small = (f"{home}/{name}" for name in ("plain", "packed", "wide", "small"))
+
     def read(**options: object) -> DataFrame:
         return gf.read_vcf(spark, plain, **options)
 
@@ -80,6 +83,21 @@ def _queries(spark: SparkSession, plain: str, packed: str, home: str) -> dict[st
         "full_parse": lambda: _consume(read()),
         "gzip_core_fields": lambda: _consume(gf.read_vcf(spark, packed).select(*core)),
         "stream_info": lambda: _stream_to_end(spark, plain, home),
+        "read_genotypes": lambda: _consume(gf.genotype_details(gf.read_genotypes(spark, plain))),
+        "read_genotypes_calls": lambda: _consume(
+            gf.read_genotypes(spark, plain).select("contig", "start", "genotype.calls")
+        ),
+        "genotypes_scanned_headers": lambda: _consume(read(scan_headers=True).select("genotypes")),
+        "genotypes_salted_headers": lambda: _consume(
+            read(max_broadcast_bytes=0).select("genotypes")
+        ),
+        "wide_count": lambda: gf.read_vcf(spark, wide).count(),
+        "wide_explode": lambda: _consume(
+            gf.genotype_details(gf.explode_genotypes(gf.read_vcf(spark, wide)))
+        ),
+        "wide_rows": lambda: _consume(gf.genotype_details(gf.read_genotypes(spark, wide))),
+        "wide_stream": lambda: _stream_to_end(spark, wide, home),
+        "small_files_count": lambda: gf.read_vcf(spark, small).count(),
     }
 
 
@@ -97,9 +115,13 @@ def main() -> None:
     spread = records.repartition(int(CPUS))
     synth.write_vcf_files(spread, f"{home}/plain")
     synth.write_vcf_files(spread, f"{home}/packed", "gzip")
+    synth.write_vcf_files(records.repartition(SMALL_FILES), f"{home}/small")
+    wide = synth.wide_lines_of(spark.read.parquet(f"{SF_DIR}/lineitem.parquet"))
+    header = ("##fileformat=VCFv4.2", synth.chrom_line(synth.wide_samples()))
+    synth.write_vcf_files(wide.repartition(int(CPUS)), f"{home}/wide", header=header)
 
     seconds = {}
-    for name, run in _queries(spark, f"{home}/plain", f"{home}/packed", home).items():
+    for name, run in _queries(spark, home).items():
         run()
         seconds[name] = round(min(_timed(run), _timed(run)), 3)
     print(

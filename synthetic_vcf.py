@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from genoframe.functions.text import literal
 
 SAMPLES = ("S1", "S2", "S3")
+# Lines and columns as the file format has them.
 META_LINES = (
     "##fileformat=VCFv4.2",
     '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">',
@@ -16,9 +17,8 @@ META_LINES = (
     '##INFO=<ID=DB,Number=0,Type=Flag,Description="Known">',
     '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
 )
-CHROM_LINE = "\t".join(
-    ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *SAMPLES)
-)
+CHROM_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
+CHROM_LINE = "\t".join((*CHROM_COLUMNS, *SAMPLES))
 # Neither character occurs in these lines; they switch the writer's quoting off.
 UNUSED_SEPARATOR, UNUSED_MARK = "\x01", "\x02"
 
@@ -76,18 +76,68 @@ def lines_of(lineitem: DataFrame) -> DataFrame:
     return header_lines_of(lineitem).unionByName(record_lines_of(lineitem))
 
 
-def write_vcf_files(records: DataFrame, folder: str, compression: str = "none") -> None:
+# Other spellings of INFO and of repeated FORMAT keys.
+ODD_FIELDS = (
+    *RECORD_FIELDS[:7],
+    """CASE l_partkey % 4 WHEN 0 THEN '.' WHEN 1 THEN concat('TAGS=a,b', l_suppkey)
+         WHEN 2 THEN 'TAGS=1,x' ELSE concat('N=', l_suppkey) END""",
+    "'GT:DP:GT:DP'",
+    """concat('0/1:', l_linenumber, ':', CASE WHEN l_suppkey % 2 = 0 THEN '.' ELSE '1|1' END, ':',
+         CASE WHEN l_partkey % 2 = 0 THEN '.' ELSE string(bigint(l_quantity)) END)""",
+)
+
+
+def odd_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Data lines of one sample with ``ODD_FIELDS``, all well formed."""
+    return lineitem.selectExpr(f"concat_ws('\\t', {', '.join(ODD_FIELDS)}) AS value", *FILE_COLUMNS)
+
+
+def padded_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Data lines with white space around them and a carriage return at the end."""
+    padded = f"concat({literal(chr(0x3000) + ' ')}, {record_text()}, {literal(' ' + chr(13))}) AS value"
+    return lineitem.selectExpr(padded, *FILE_COLUMNS)
+
+
+WIDE_SAMPLES = 300
+
+
+def wide_samples() -> list[str]:
+    return [f"PATIENT-{i:05}" for i in range(WIDE_SAMPLES)]
+
+
+def wide_lines_of(lineitem: DataFrame) -> DataFrame:
+    """One data line per supplier with its quantity as the depth of many samples."""
+    per_supplier = lineitem.groupBy("l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("q")
+    )
+    samples = f"array_join(transform(sequence(0, {WIDE_SAMPLES - 1}), i -> concat('0/1:', q + i)), '\\t')"
+    return per_supplier.selectExpr(
+        f"concat_ws('\\t', 'chr1', l_suppkey, '.', 'A', 'T', '.', '.', '.', 'GT:DP', {samples}) AS value"
+    )
+
+
+def chrom_line(samples: list[str] | tuple[str, ...]) -> str:
+    return "\t".join((*CHROM_COLUMNS, *samples))
+
+
+def write_vcf_files(
+    records: DataFrame,
+    folder: str,
+    compression: str = "none",
+    header: tuple[str, ...] | None = None,
+) -> None:
     """Write data lines as VCF files, one per partition, each with the header on top.
 
     Rows keep their partition: the first row of each carries the header lines
     with it, so nothing is shuffled.
     """
+    header = (*META_LINES, CHROM_LINE) if header is None else header
     in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    header = [F.lit(line) for line in (*META_LINES, CHROM_LINE)]
+    lines_above = [F.lit(line) for line in header]
     numbered = records.select("value", in_partition.alias("n"))
     lines = numbered.select(
         F.explode(
-            F.when(F.col("n") == 0, F.array(*header, "value")).otherwise(F.array("value"))
+            F.when(F.col("n") == 0, F.array(*lines_above, "value")).otherwise(F.array("value"))
         ).alias("value")
     )
     (
