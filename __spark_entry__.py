@@ -545,6 +545,17 @@ def split_multiallelic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_per_allele(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values per allele, as the header declares them, follow their allele."""
+    numbers = gf.per_allele_numbers(gf.vcf_header(_lines(spark, sf_dir)))
+    split = gf.split_multiallelic(_variants(spark, sf_dir), info_numbers=numbers)
+    return split.where("altIndex IS NOT NULL").select(
+        "contig", "start", F.col("altIndex").alias("alt_index"),
+        gf.info_field("AF", "double").alias("frequency"),
+        gf.info_field("DP", "bigint").alias("depth"),
+    )
+
+
 def header_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = gf.vcf_header(_lines(spark, sf_dir))
     return gf.join_header(_variants(spark, sf_dir), header).select(
@@ -567,7 +578,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     stream_append, stream_equals_batch, foreach_batch, flatten_info, split_multiallelic,
     header_join, save_fails_if_exists, save_in_partitions, padded_lines, headless_files,
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
-    genotype_rows, stream_values,
+    genotype_rows, stream_values, split_per_allele,
 )
 
 
@@ -812,4 +823,11 @@ declared AS (
             SELECT contig, "start", sample_id, depth, ad_text FROM genotypes""",
         "stream_values": f"""WITH {_GENOTYPES}
             SELECT contig, "start", sample_id, calls, 'G' || l_suppkey AS gene FROM genotypes""",
+            "split_per_allele": f"""WITH {_VARIANTS}, alleles AS (
+              SELECT *, unnest(CASE l_suppkey % 3 WHEN 1 THEN [1] WHEN 2 THEN [1, 2] ELSE [] END)
+                AS alt_index FROM variants
+            )
+            SELECT contig, "start", alt_index,
+            CASE alt_index WHEN 1 THEN l_discount ELSE l_tax END AS frequency, depth
+            FROM alleles""",
     }

@@ -9,6 +9,7 @@ from genoframe.operators.variants import (
     info_field,
     join_header,
     min_quality,
+    per_allele_numbers,
     split_multiallelic,
     variant_field,
     variants_per_file,
@@ -30,6 +31,7 @@ __all__ = [
     "join_header",
     "min_quality",
     "parse_vcf_lines",
+    "per_allele_numbers",
     "read_genotypes",
     "read_variants",
     "read_vcf",

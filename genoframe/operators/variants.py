@@ -70,12 +70,50 @@ def declared_info_types(header: DataFrame) -> dict[str, str]:
     return types
 
 
-def split_multiallelic(df: DataFrame) -> DataFrame:
+def per_allele_numbers(header: DataFrame, section: str = "INFO") -> dict[str, str]:
+    """Keys that a ``vcf_header`` table declares with a value per alternate allele (A)
+    or per allele (R). One row per key is collected; files that disagree drop the key.
+    """
+    declared = header.where((F.col("section") == section) & F.col("id").isNotNull())
+    numbers = declared.groupBy("id").agg(
+        F.min("number").alias("number"), F.countDistinct("number").alias("n")
+    )
+    rows = numbers.where(F.col("number").isin("A", "R") & (F.col("n") == 1)).collect()
+    return {row["id"]: row["number"] for row in rows}
+
+
+def _of_allele(variant: Column, numbers: dict[str, str]) -> Column:
+    """VARIANT object in which lists of these keys keep the values of ``altIndex``."""
+
+    def chosen(key: Column, value: Column) -> Column:
+        items = value.try_cast("array<variant>")
+        alternate = F.get(items, F.col("altIndex") - 1)
+        with_reference = F.to_variant_object(F.array(F.get(items, F.lit(0)), F.get(items, F.col("altIndex"))))
+        has_both = F.size(items) > F.col("altIndex")
+        of_a = key.isin([k for k, n in numbers.items() if n == "A"])
+        of_r = key.isin([k for k, n in numbers.items() if n == "R"])
+        picked = F.when(of_a, alternate).when(of_r & has_both, with_reference)
+        # A value that is no list, or has none for this allele, stays.
+        return F.coalesce(picked, value)
+
+    members = F.transform_values(variant.cast("map<string,variant>"), chosen)
+    return F.to_variant_object(members)
+
+
+def split_multiallelic(
+    df: DataFrame,
+    info_numbers: dict[str, str] | None = None,
+    format_numbers: dict[str, str] | None = None,
+) -> DataFrame:
     """One row per alternate allele, with its 1-based ``altIndex``.
 
     ``alternateAlleles`` keeps the one allele. In ``calls`` that allele becomes
     1, the reference stays 0, a missing call stays -1 and any other allele
     becomes 0. A row without alternate alleles stays, with NULL ``altIndex``.
+
+    ``info_numbers`` and ``format_numbers``, as ``per_allele_numbers`` returns them,
+    name keys whose lists are split too: of an A list the allele's value stays, of
+    an R list the reference's and the allele's.
     """
     split = df.select("*", F.posexplode_outer("alternateAlleles").alias("altPosition", "allele"))
     alt_index = (F.col("altPosition") + 1).cast("int")
@@ -85,21 +123,29 @@ def split_multiallelic(df: DataFrame) -> DataFrame:
         return code.cast("bigint")
 
     def per_allele(genotype: Column) -> Column:
+        data = genotype["data"]
         return F.struct(
             genotype["sampleId"].alias("sampleId"),
             F.transform(genotype["calls"], recode).alias("calls"),
-            genotype["data"].alias("data"),
+            (_of_allele(data, format_numbers) if format_numbers else data).alias("data"),
         )
 
     one_allele = F.when(F.col("allele").isNotNull(), F.array("allele")).otherwise(
         F.col("alternateAlleles")
     )
-    recoded = F.when(
-        F.col("altIndex").isNotNull(), F.transform("genotypes", per_allele)
-    ).otherwise(F.col("genotypes"))
+    is_split = F.col("altIndex").isNotNull()
+    changed = {
+        "alternateAlleles": one_allele,
+        "genotypes": F.when(is_split, F.transform("genotypes", per_allele)).otherwise(
+            F.col("genotypes")
+        ),
+    }
+    if info_numbers:
+        info = F.col("info")
+        changed["info"] = F.when(is_split, _of_allele(info, info_numbers)).otherwise(info)
     return (
         split.withColumn("altIndex", alt_index)
-        .withColumns({"alternateAlleles": one_allele, "genotypes": recoded})
+        .withColumns(changed)
         .drop("altPosition", "allele")
     )
 

@@ -1,5 +1,7 @@
 """Queries over parsed variants."""
 
+from decimal import Decimal as dec
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -13,12 +15,15 @@ from genoframe import (
     info_field,
     join_header,
     min_quality,
+    per_allele_numbers,
     read_variants,
     read_vcf,
     read_vcf_header,
+    read_vcf_lines,
     save_variants,
     split_multiallelic,
     variants_per_file,
+    vcf_header,
 )
 
 
@@ -123,3 +128,28 @@ def test_save_and_read(spark, variants):
     assert sorted(saved.selectExpr(as_json).collect()) == sorted(
         variants.selectExpr(as_json).collect()
     )
+
+
+def test_values_per_allele_follow_their_allele(spark, tmp_path):
+    meta = (
+        "##INFO=<ID=AF,Number=A,Type=Float>", "##INFO=<ID=RD,Number=R,Type=Integer>",
+        "##INFO=<ID=X,Number=2,Type=Integer>", "##FORMAT=<ID=AD,Number=R,Type=Integer>",
+    )
+    records = [
+        "1 5 . A G,T . . AF=0.1,0.2;RD=7,8,9;X=1,2;DB GT:AD 1/2:5,6,7",
+        "1 6 . A G . . AF=0.3;RD=4,5 GT:AD 0/1:.", "1 7 . A . . . AF=1,2 GT 0/0",
+        "1 8 . A G,T . . AF=0.5;RD=1,2 GT:AD 0/1:9",
+    ]
+    path = write_vcf(tmp_path / "a.vcf", vcf_text(records, ("S",), meta))
+    header = vcf_header(read_vcf_lines(spark, path))
+    info, fmt = per_allele_numbers(header), per_allele_numbers(header, "FORMAT")
+    assert (info, fmt) == ({"AF": "A", "RD": "R"}, {"AD": "R"})
+    rows = split_multiallelic(read_vcf(spark, path), info, fmt).orderBy("start", "altIndex").collect()
+    assert [(r.start, r.altIndex, r.info.toPython(), r.genotypes[0].data.toPython()) for r in rows] == [
+        (4, 1, {"AF": dec("0.1"), "RD": [7, 8], "X": [1, 2], "DB": True}, {"AD": [5, 6]}),
+        (4, 2, {"AF": dec("0.2"), "RD": [7, 9], "X": [1, 2], "DB": True}, {"AD": [5, 7]}),
+        (5, 1, {"AF": dec("0.3"), "RD": [4, 5]}, {}),
+        (6, None, {"AF": [1, 2]}, {}),
+        (7, 1, {"AF": dec("0.5"), "RD": [1, 2]}, {"AD": 9}),
+        (7, 2, {"AF": dec("0.5"), "RD": [1, 2]}, {"AD": 9}),
+    ]
