@@ -3,13 +3,18 @@
 The documents-by-shingles incidence matrix is multiplied with its transpose in
 blocks. Size-derived bounds keep most of it out:
 
-* Shingles are ordered from rare to frequent. Two sets that reach the threshold
-  share a shingle among the first ``n - ceil(t * n) + 1`` of each, and their sizes
-  are within the threshold of each other. So only these prefixes are dealt out to
-  find which documents can meet at all: they form candidate clusters.
+* Two sets that reach the threshold differ in at most D shingles, by their sizes. The
+  range of shingle hashes is cut into more than D parts, so that at least one part is
+  the same in both. Only hashes of parts are dealt out to find which documents can
+  meet at all; they form candidate clusters. A part holds several shingles (about 9 at
+  0.9), and parts of nothing but frequent shingles count only for documents that need
+  them, so sharing a passage does not make two documents candidates.
 * Whole sets of a cluster come together, and the product of their incidence rows
   is accumulated block by block. Sizes bound the columns of each block of rows,
   and overlaps below the size-derived bound are discarded.
+* A cluster too large for a task is cut into chunks. Chunks and a few leaders meet
+  first; then only what is left outside the cluster's largest component meets all
+  chunks. A group of near copies thus costs in proportion to its size.
 
 Equal sets are one node, in every step, so copies cost nothing but their row.
 """
@@ -17,7 +22,9 @@ Equal sets are one node, in every step, so copies cost nothing but their row.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,29 +32,96 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.llm.components import components
-from genoframe.llm.shingles import shingle_rows, shingle_sets
+from genoframe.llm.shingles import shingle_sets
 from genoframe.llm.textscan import mixed
 from genoframe.plans.shared import shared_folder, shared_path
 
 WORDS = 3
 PERCENT = 90
-# Buckets of the frequency sketches of shingles and words: 1 and 4 MB as 32-bit
-# counts, whatever the input.
-SKETCH_BITS = 18
-WORD_BITS = 20
 # Bits of the filter for texts that are read again: 2 MB at most.
 FILTER_BITS = 24
 ENTRIES_PER_BLOCK = 1 << 20
-# Sizes beyond this count as this when candidates are looked for.
-LARGEST_SIZE = (1 << 32) - 1
+# Buckets of the frequency sketch of shingles: 4 MB as 32-bit counts, whatever the
+# input. It says which shingles are frequent; the result does not depend on it.
+SKETCH_BITS = 20
+# Steps between the numbers of parts that sets of different sizes agree on.
+PART_STEP = 1.5
+# Tells the hash of an empty part from that of any content.
+EMPTY = 0x3C6EF372FE94F82B
 # Nodes and shingles that one task multiplies.
 CHUNK_NODES = 4096
 CHUNK_SHINGLES = 1 << 22
+# Nodes of a size step that meet every chunk of a large cluster, on average.
+LEADERS = 64
 
 
-def smallest_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
-    """Shingles that a set of size n shares with any set it links to, at least."""
-    return -(-percent * n // 100)
+def _needed(difference: int) -> int:
+    """Parts for sets that differ in so many shingles: one more, and some to spare
+    for parts that are empty in both."""
+    return difference + 1 + (difference > 0) + -(-3 * difference // 100)
+
+
+def _part_numbers() -> tuple[list[int], list[int]]:
+    """The numbers of parts in use, and the largest difference each is enough for."""
+    numbers, differences, m = [], [], 1
+    while m < 1 << 40:
+        low, high = 0, m
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if _needed(middle) <= m else (low, middle - 1)
+        numbers.append(m)
+        differences.append(low)
+        m = max(m + 1, int(m * PART_STEP))
+    return numbers, differences
+
+
+PART_NUMBERS, PART_DIFFERENCES = _part_numbers()
+
+
+@lru_cache(maxsize=100_000)
+def partitions_of(n: int, percent: int) -> tuple[tuple[int, int], ...]:
+    """Numbers of parts at which a set of size n meets those it can link to, and of how
+    many of them it is sure that they are not all of the equal ones.
+
+    Sets of sizes n and k differ in ``(n + k) (1 - t) / (1 + t)`` shingles at most if
+    they reach the threshold t, and k is between t n and n / t. Both take the first
+    number of parts that is enough for their difference.
+    """
+    least, most = n - (-percent * n // 100), n + 100 * n // percent
+    low, high = (total * (100 - percent) // (100 + percent) for total in (least, most))
+    first, last = (bisect_left(PART_NUMBERS, _needed(d)) for d in (low, high))
+    return tuple(
+        (PART_NUMBERS[i], PART_NUMBERS[i] - 1 - min(high, PART_DIFFERENCES[i]))
+        for i in range(first, last + 1)
+    )
+
+
+def part_keys(members: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """Hashes of the parts of a set, for each number of parts that it takes.
+
+    Of m parts at most D differ, and so at least ``m - D`` are equal. Parts with a
+    shingle that is not frequent count first. If there are so many others that the
+    equal ones may all be among them, parts of frequent shingles count as well; and
+    empty parts, if there are so many of them.
+    """
+    content, top = mixed(members), members >> np.uint64(32)
+    rare = ~frequent[(members >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    keys = []
+    for m, others in partitions_of(len(members), percent):
+        salt = mixed(np.array([m], dtype=np.uint64))
+        part = top * np.uint64(m) >> np.uint64(32)
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        filled = part[starts]
+        hashes = mixed(np.add.reduceat(content, starts) + mixed(filled + salt))
+        telling = np.logical_or.reduceat(rare, starts)
+        if m - np.count_nonzero(telling) > others:
+            keys.append(hashes)
+        else:
+            keys.append(hashes[telling])
+        if m - len(starts) > others:
+            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), filled)
+            keys.append(mixed(mixed(empty + salt) ^ np.uint64(EMPTY)))
+    return np.concatenate(keys)
 
 
 def _digest(members: np.ndarray) -> bytes:
@@ -67,40 +141,24 @@ def _table(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _packed(counts: np.ndarray) -> pa.Array:
-    return pa.array([zlib.compress(counts.astype(np.int64).tobytes(), 1)], pa.binary())
-
-
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), dtype=np.int64)
-
-
 def _measure(words: int):
-    """Task over texts: one row per document, and the task's counts of shingles and
-    words by bucket."""
+    """Task over texts: size and digest of each document's set, and the task's counts
+    of shingles by bucket."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
-        word_counts = np.zeros(1 << WORD_BITS, dtype=np.int32)
         for batch in batches:
             sizes, digests = [], []
-            for hashes, grams in shingle_rows(batch["text"], words):
-                members = np.unique(grams)
+            for members in shingle_sets(batch["text"], words):
                 sizes.append(len(members))
                 digests.append(_digest(members))
-                np.add.at(counts, _bucket(members, SKETCH_BITS), 1)
-                np.add.at(word_counts, _bucket(hashes, WORD_BITS), 1)
+                np.add.at(counts, (members >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield _table(
                 doc_id=batch["doc_id"],
                 n=pa.array(sizes, pa.int64()),
                 digest=pa.array(digests, pa.binary()),
                 node=pa.array([_node(digest) for digest in digests], pa.int64()),
                 counts=pa.nulls(len(sizes), pa.binary()),
-                word_counts=pa.nulls(len(sizes), pa.binary()),
             )
         yield _table(
             doc_id=pa.nulls(1, pa.int64()),
@@ -108,58 +166,40 @@ def _measure(words: int):
             digest=pa.nulls(1, pa.binary()),
             node=pa.nulls(1, pa.int64()),
             counts=_packed(counts),
-            word_counts=_packed(word_counts),
         )
 
     return measure
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    word_counts = np.zeros(1 << WORD_BITS, dtype=np.int64)
-    for batch in batches:
-        for packed, word_packed in zip(batch["counts"], batch["word_counts"]):
-            counts += _unpacked(packed.as_py())
-            word_counts += _unpacked(word_packed.as_py())
-    yield _table(counts=_packed(counts), word_counts=_packed(word_counts))
+def _packed(counts: np.ndarray) -> pa.Array:
+    return pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())
 
 
-class Rarity:
-    """An order of shingles from rare to frequent, the same for all documents.
+def _summed(packed: Iterator[bytes]) -> np.ndarray:
+    """Sum of packed counts; 2**31 and more all count as that."""
+    total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    for data in packed:
+        total += np.frombuffer(zlib.decompress(data), dtype=np.int32)
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
 
-    A shingle is as rare as its rarest word. One whose bucket counts far more than
-    its share is a repeated passage and comes last, however rare its words are.
-    """
 
-    def __init__(self, counts: np.ndarray, word_counts: np.ndarray):
-        mean = counts.mean()
-        often = counts > mean + 6 * np.sqrt(mean + 1)
-        self.passage = np.where(often, 1000 + np.log1p(counts), 0).astype(np.float32)
-        self.word = np.log1p(word_counts).astype(np.float32)
-
-    def distinct(self, hashes: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The set of a row and the rank of its members."""
-        members, first = np.unique(grams, return_index=True)
-        rank = self.passage[_bucket(members, SKETCH_BITS)]
-        rarest = self.word[_bucket(hashes, WORD_BITS)]
-        width = len(hashes) - len(grams) + 1
-        low = rarest[: len(grams)]
-        for k in range(1, width):
-            low = np.minimum(low, rarest[k : k + len(grams)])
-        return members, np.where(rank > 0, rank, low[first])
-
-
-def _rarity(measured: DataFrame) -> Rarity:
-    """Counts over all documents, summed up by tasks to one row."""
-    parts = measured.where("counts IS NOT NULL").select("counts", "word_counts")
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packed = (data.as_py() for batch in batches for data in batch["counts"])
+    yield _table(counts=_packed(_summed(packed)))
+
+
+def _frequent(measured: DataFrame) -> np.ndarray:
+    """Which buckets count far more shingles than their share, over all documents.
+
+    Tasks sum the counts of the tasks before them, sixteen to one."""
+    parts = measured.where("counts IS NOT NULL").select("counts")
     tasks = parts.count()
-    while tasks > 1:
+    while tasks > 16:
         tasks = -(-tasks // 16)
-        parts = parts.repartition(tasks).mapInArrow(_sum_counts, "counts binary, word_counts binary")
-    rows = parts.collect()
-    if not rows:
-        return Rarity(np.zeros(1 << SKETCH_BITS), np.zeros(1 << WORD_BITS))
-    return Rarity(_unpacked(bytes(rows[0]["counts"])), _unpacked(bytes(rows[0]["word_counts"])))
+        parts = parts.repartition(tasks).mapInArrow(_sum_counts, "counts binary")
+    counts = _summed(bytes(row["counts"]) for row in parts.collect())
+    mean = counts.mean()
+    return counts > mean + 6 * np.sqrt(mean + 1)
 
 
 class Forest:
@@ -187,112 +227,92 @@ class Forest:
         return nodes, [self.root(x) for x in nodes]
 
 
-def _meet(entries: np.ndarray, percent: int, forest: Forest) -> np.ndarray:
-    """Link nodes that share a shingle and are near in size.
-
-    Rows of ``entries`` are shingle, node, least and greatest size. Sorted by size,
-    the nodes of a shingle form chains in which each can link to one before it;
-    a chain goes on as one entry. Every pair that can link is inside a chain.
-    """
-    entries = entries[:, np.lexsort((entries[2], entries[0]))]
-    shingles, nodes, least, greatest = entries
-    if not len(shingles):
-        return entries
-    new = np.ones(len(shingles), dtype=bool)
-    new[1:] = shingles[1:] != shingles[:-1]
-    # The greatest size so far in the same shingle.
-    group = np.cumsum(new).astype(np.uint64) << np.uint64(32)
-    so_far = np.maximum.accumulate(group | greatest) & np.uint64(LARGEST_SIZE)
-    new[1:] |= np.uint64(100) * so_far[:-1] < np.uint64(percent) * least[1:]
+def _meet(keys: np.ndarray, nodes: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
+    """Link nodes that share a key; each key goes on with one of its nodes."""
+    order = np.argsort(keys, kind="stable")
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
     starts = np.flatnonzero(new)
     heads = nodes[starts][np.cumsum(new) - 1]
     apart = heads != nodes
-    pairs = np.unique(np.stack([heads[apart], nodes[apart]]).view(np.int64), axis=1)
+    pairs = np.unique(np.stack([heads[apart], nodes[apart]]), axis=1)
     for x, y in zip(*pairs.tolist()):
         forest.link(x, y)
-    return np.stack(
-        [shingles[starts], nodes[starts], least[starts], np.maximum.reduceat(greatest, starts)]
-    )
+    return keys[starts], nodes[starts]
 
 
-def _prefixes(words: int, percent: int, blocks: int, rarity: Rarity):
-    """Task over texts: edges between nodes that meet inside the task, and its
-    prefix shingles packed by block.
+def _parts(words: int, percent: int, blocks: int, frequent: np.ndarray):
+    """Task over texts: edges between nodes that meet inside the task, and keys of
+    parts with their nodes, packed by block.
 
-    Nodes that meet leave the task as one entry of their shingle, so however many
-    near copies there are, a block receives few entries per task.
+    Nodes that meet send their common key once, so however many near copies there
+    are, a block receives few entries per task.
     """
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(
+        keys: list[np.ndarray], nodes: list[np.ndarray], forest: Forest
+    ) -> Iterator[pa.RecordBatch]:
+        met, heads = _meet(np.concatenate(keys), np.concatenate(nodes), forest)
+        block = (met % np.uint64(blocks)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        ends = np.searchsorted(block[order], np.arange(blocks + 1))
+        for b in range(blocks):
+            some = order[ends[b] : ends[b + 1]]
+            if len(some):
+                entries = np.stack([met[some], heads[some].view(np.uint64)]).tobytes()
+                yield _table(
+                    block=pa.array([b], pa.int32()),
+                    entries=pa.array([entries], pa.binary()),
+                    edges=pa.nulls(1, pa.binary()),
+                )
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, seen = Forest(), set()
-        shingles, nodes, sizes = [], [], []
+        keys: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            for hashes, grams in shingle_rows(batch["text"], words):
-                if not len(grams):
+            for members in shingle_sets(batch["text"], words):
+                if not len(members):
                     continue
-                members, rank = rarity.distinct(hashes, grams)
                 node = _node(_digest(members))
                 if node in seen:
                     continue
                 seen.add(node)
-                n = len(members)
-                first = np.argsort(rank, kind="stable")[: n - smallest_overlap(n, percent) + 1]
-                shingles.append(members[first])
-                nodes.append(np.full(len(first), node, dtype=np.int64).view(np.uint64))
-                sizes.append(np.full(len(first), min(n, LARGEST_SIZE), dtype=np.uint64))
-        if shingles:
-            size = np.concatenate(sizes)
-            entries = np.stack([np.concatenate(shingles), np.concatenate(nodes), size, size])
-            entries = _meet(entries, percent, forest)
-            block = (entries[0] % np.uint64(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            entries = entries[:, order]
-            ends = np.searchsorted(block[order], np.arange(blocks + 1))
-            for b in range(blocks):
-                part = entries[:, ends[b] : ends[b + 1]]
-                if part.shape[1]:
-                    yield _table(
-                        block=pa.array([b], pa.int32()),
-                        entries=pa.array([_pack_entries(part)], pa.binary()),
-                        edges=pa.nulls(1, pa.binary()),
-                    )
-            edges = np.array(forest.edges(), dtype=np.int64)
-            yield _table(
-                block=pa.array([int(block[0])], pa.int32()),
-                entries=pa.nulls(1, pa.binary()),
-                edges=pa.array([edges.tobytes()], pa.binary()),
-            )
-
-    return prefixes
-
-
-def _pack_entries(entries: np.ndarray) -> bytes:
-    """Shingles and nodes as they are, sizes in 32 bits each."""
-    return np.ascontiguousarray(entries[:2]).tobytes() + entries[2:].astype("<u4").tobytes()
-
-
-def _unpack_entries(packed: bytes) -> np.ndarray:
-    n = len(packed) // 24
-    names = np.frombuffer(packed, dtype=np.uint64, count=2 * n).reshape(2, n)
-    sizes = np.frombuffer(packed, dtype="<u4", offset=16 * n).reshape(2, n)
-    return np.concatenate([names, sizes.astype(np.uint64)])
+                keys.append(part_keys(members, percent, frequent))
+                nodes.append(np.full(len(keys[-1]), node, dtype=np.int64))
+                held += len(keys[-1])
+                if held > ENTRIES_PER_BLOCK:
+                    yield from packed(keys, nodes, forest)
+                    keys, nodes, held = [], [], 0
+        if keys:
+            yield from packed(keys, nodes, forest)
+        edges = np.array(forest.edges(), dtype=np.int64)
+        yield _table(
+            block=pa.array([int(edges[0, 0] % blocks) if edges.size else 0], pa.int32()),
+            entries=pa.nulls(1, pa.binary()),
+            edges=pa.array([edges.tobytes()], pa.binary()),
+        )
 
+    return parts
 
-def _meet_block(percent: int):
-    def meet(table: pa.Table) -> pa.Table:
-        """All entries of a block: nodes of different tasks that share a shingle."""
-        forest = Forest()
-        for packed in table["edges"].drop_null():
-            pairs = np.frombuffer(packed.as_py(), dtype=np.int64).reshape(2, -1)
-            for x, y in zip(*pairs.tolist()):
-                forest.link(x, y)
-        parts = [_unpack_entries(packed.as_py()) for packed in table["entries"].drop_null()]
-        if parts:
-            _meet(np.concatenate(parts, axis=1), percent, forest)
-        u, v = forest.edges()
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return meet
+def _meet_block(table: pa.Table) -> pa.Table:
+    """All entries of a block: nodes of different tasks that share a key."""
+    forest = Forest()
+    for packed in table["edges"].drop_null():
+        for x, y in zip(*np.frombuffer(packed.as_py(), dtype=np.int64).reshape(2, -1).tolist()):
+            forest.link(x, y)
+    parts = [
+        np.frombuffer(packed.as_py(), dtype=np.uint64).reshape(2, -1)
+        for packed in table["entries"].drop_null()
+    ]
+    if parts:
+        entries = np.concatenate(parts, axis=1)
+        _meet(entries[0], entries[1].view(np.int64), forest)
+    u, v = forest.edges()
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _bits(nodes: np.ndarray, bits: int) -> np.ndarray:
@@ -472,51 +492,94 @@ def _multiply(percent: int):
     return multiply
 
 
-def _work_groups(nodes: DataFrame, percent: int) -> DataFrame:
-    """(node, cluster, work): the tasks that multiply each node of a cluster.
-
-    ``nodes`` has node, root and n. Small clusters share tasks, each whole in one.
-    A large one is cut by size and hash into chunks, and each pair of chunks whose
-    sizes can link is a task; sizes in steps of the threshold meet only their own
-    step and the next.
-    """
-    totals = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("all_n"))
-    large = (F.col("k") > CHUNK_NODES) | (F.col("all_n") > CHUNK_SHINGLES)
-    small_n = totals.where(~large).agg(F.sum("all_n").alias("n")).first()["n"] or 0
-    bins = int(small_n // (CHUNK_SHINGLES // 4)) + 1
-    sized = nodes.join(totals.withColumn("large", large).select("root", "large"), "root")
-    small = sized.where("NOT large").select(
+def _small_work(sized: DataFrame, bins: int) -> DataFrame:
+    """(node, cluster, work) of small clusters: they share tasks, each whole in one."""
+    return sized.where("NOT large").select(
         "node",
         F.col("root").alias("cluster"),
         F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(bins))).alias("work"),
     )
+
+
+def _chunked(sized: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes of large clusters with their chunk, and the number of chunks.
+
+    A cluster is cut by size into steps of the threshold, so that sets of a step
+    link within it and to the next ones only, and a step by hash into chunks.
+    """
     # A little wider than the threshold, so rounding cannot make a link skip a step.
-    step = float(np.log(100 / percent)) * 1.001
-    parts = sized.where("large").withColumn("step", F.floor(F.log("n") / F.lit(step)).cast("int"))
+    width = float(np.log(100 / percent)) * 1.001
+    step = F.floor(F.log("n") / F.lit(width)).cast("int")
+    parts = sized.where("large").withColumn("step", step)
+    fill = F.greatest(F.count("*") * 2 / CHUNK_NODES, F.sum("n") * 2 / CHUNK_SHINGLES)
     chunks = parts.groupBy("root", "step").agg(
-        F.ceil(
-            F.greatest(F.count("*") * 2 / CHUNK_NODES, F.sum("n") * 2 / CHUNK_SHINGLES)
-        ).cast("int").alias("m")
+        F.ceil(fill).cast("int").alias("m"), F.count("*").alias("k")
     )
-    here, above, below = (
-        chunks.select("root", (F.col("step") + d).alias("step"), F.col("m").alias(name))
-        for d, name in ((0, "m"), (-1, "m_above"), (1, "m_below"))
+    placed = parts.join(chunks, ["root", "step"]).select(
+        "node", "root", "step", "k", F.pmod(F.xxhash64("node"), F.col("m")).cast("int").alias("c")
     )
-    placed = (
-        parts.join(here, ["root", "step"])
-        .join(above, ["root", "step"], "left")
-        .join(below, ["root", "step"], "left")
-        .withColumn("c", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    return placed, chunks.select("root", "step", "m")
+
+
+def _near_steps(table: DataFrame) -> DataFrame:
+    """The rows once for each step that theirs can link to, as ``other``."""
+    return table.withColumn("other", F.explode(F.array(*(F.col("step") + d for d in (-1, 0, 1)))))
+
+
+def _chunk_work(placed: DataFrame, chunks: DataFrame) -> DataFrame:
+    """First round of large clusters: each chunk is a task, and some leaders of each
+    step join every chunk that they can link to.
+
+    Near copies link to a leader, directly or over each other, so that most of a
+    cluster becomes one component without all its chunks meeting.
+    """
+    own = placed.select("node", "root", "step", "c")
+    share = F.ceil(F.col("k") / F.lit(LEADERS))
+    leaders = placed.where(F.pmod(F.xxhash64("node", F.lit(1)), share) == 0)
+    there = chunks.select("root", F.col("step").alias("other"), "m")
+    visiting = _near_steps(leaders.select("node", "root", "step")).join(there, ["root", "other"])
+    visits = visiting.select(
+        "node", "root", F.col("other").alias("step"), F.explode(F.expr("sequence(0, m - 1)")).alias("c")
+    )
+    both = own.union(visits).distinct()
+    return both.select(
+        "node", F.col("root").alias("cluster"), F.concat_ws("_", F.lit("l"), "root", "step", "c").alias("work")
+    )
+
+
+def _rest_work(placed: DataFrame, chunks: DataFrame, labels: DataFrame) -> DataFrame:
+    """Second round: nodes outside the largest component of their cluster meet every
+    chunk that they can link to. Two nodes of that component need not meet."""
+    named = placed.join(labels, "node")
+    counts = named.groupBy("root", "label").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("root").agg(F.max_by("label", F.struct("n", "label")).alias("most"))
+    rest = named.join(largest, "root").where(F.col("label") != F.col("most"))
+    rest = rest.select("node", "root", "step").distinct()
+    parts = rest.groupBy("root", "step").agg(
+        F.ceil(F.count("*") * 2 / CHUNK_NODES).cast("int").alias("parts")
+    )
+    rest = rest.join(parts, ["root", "step"]).withColumn(
+        "p", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    )
+    there = chunks.select("root", F.col("step").alias("other"), "m")
+    rest_side = _near_steps(rest).join(there, ["root", "other"]).select(
+        "node", "root", "step", "p", "other", F.explode(F.expr("sequence(0, m - 1)")).alias("c")
+    )
+    meeting = _near_steps(parts).select("root", F.col("other").alias("at"), "step", "parts")
+    chunk_side = (
+        placed.select("node", "root", F.col("step").alias("at"), "c")
+        .join(meeting, ["root", "at"])
+        .select(
+            "node", "root", "step", F.explode(F.expr("sequence(0, parts - 1)")).alias("p"),
+            F.col("at").alias("other"), "c",
+        )
     )
-    every = "CASE WHEN {0} > 0 THEN sequence(0, {0} - 1) ELSE array() END"
-    works = F.expr(
-        f"""concat(
-          transform({every.format('m')}, j -> concat_ws('_', 'l', root, step, least(c, j), step, greatest(c, j))),
-          transform({every.format('m_above')}, j -> concat_ws('_', 'l', root, step, c, step + 1, j)),
-          transform({every.format('m_below')}, j -> concat_ws('_', 'l', root, step - 1, j, step, c)))"""
+    both = rest_side.union(chunk_side).distinct()
+    return both.select(
+        "node",
+        F.col("root").alias("cluster"),
+        F.concat_ws("_", F.lit("r"), "root", "step", "p", "other", "c").alias("work"),
     )
-    spread = placed.select("node", F.col("root").alias("cluster"), F.explode(works).alias("work"))
-    return small.union(spread)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -535,36 +598,55 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     only_text = docs.select("text")
     folder = shared_path(spark, "sets")
-    schema = (
-        "doc_id bigint, n bigint, digest binary, node bigint, counts binary, word_counts binary"
-    )
+    schema = "doc_id bigint, n bigint, digest binary, node bigint, counts binary"
     texts.mapInArrow(_measure(words), schema).write.parquet(folder)
     measured = spark.read.schema(schema).parquet(folder)
-    rows = measured.where("digest IS NOT NULL").drop("counts", "word_counts")
-    rarity = _rarity(measured)
+    rows = measured.where("digest IS NOT NULL").drop("counts")
+    frequent = _frequent(measured)
 
-    found = rows.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
-    entries = (found["n"] or 0) * (100 - percent) // 100 + found["rows"]
+    # Twice the parts that the total of all sizes needs: what the numbers in use add.
+    total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    entries = 4 * total * (100 - percent) // (100 + percent)
     blocks = int(entries // ENTRIES_PER_BLOCK) + 1
-    prefixes = only_text.mapInArrow(
-        _prefixes(words, percent, blocks, rarity), "block int, entries binary, edges binary"
+    parts = only_text.mapInArrow(
+        _parts(words, percent, blocks, frequent), "block int, entries binary, edges binary"
     )
-    meetings = prefixes.groupBy("block").applyInArrow(_meet_block(percent), "u bigint, v bigint")
+    meetings = parts.groupBy("block").applyInArrow(_meet_block, "u bigint, v bigint")
     clusters = components(meetings)
 
-    sized = rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
-    work = _work_groups(clusters.join(sized, "node"), percent).checkpoint()
-    bits = min(FILTER_BITS, max(10, int(8 * work.count()).bit_length()))
-    wanted = _node_filter(work, bits)
+    sizes = rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
+    nodes = clusters.join(sizes, "node")
+    totals = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("all_n"))
+    large = (F.col("k") > CHUNK_NODES) | (F.col("all_n") > CHUNK_SHINGLES)
+    sized = nodes.join(totals.select("root", large.alias("large")), "root").checkpoint()
+    counts = sized.agg(
+        F.count("*").alias("nodes"),
+        F.sum(F.expr("CASE WHEN NOT large THEN n END")).alias("small_n"),
+        F.count_if("large").alias("large"),
+    ).first()
+    bins = int((counts["small_n"] or 0) // (CHUNK_SHINGLES // 4)) + 1
+    bits = min(FILTER_BITS, max(10, int(8 * counts["nodes"]).bit_length()))
     sets = only_text.mapInArrow(
-        _whole_sets(words, bits, wanted), "node bigint, digest binary, shingles binary"
-    )
-    links = (
-        sets.join(work, "node")
-        .groupBy("work")
-        .applyInArrow(_multiply(percent), "u binary, v binary")
+        _whole_sets(words, bits, _node_filter(sized, bits)),
+        "node bigint, digest binary, shingles binary",
     )
+
+    def links_of(work: DataFrame) -> DataFrame:
+        dealt = sets.join(work, "node").groupBy("work")
+        return dealt.applyInArrow(_multiply(percent), "u binary, v binary")
+
+    placed, chunks = _chunked(sized, percent)
+    work = _small_work(sized, bins).union(_chunk_work(placed, chunks))
+    links = links_of(work).checkpoint()
     linked_sets = components(links)
+    if counts["large"]:
+        digests = rows.where("n > 0").select("node", "digest").distinct()
+        found = linked_sets.select(F.col("node").alias("digest"), F.col("root").alias("label"))
+        labels = digests.join(found, "digest", "left").select(
+            "node", F.coalesce("label", "digest").alias("label")
+        )
+        rest = _rest_work(placed, chunks, labels).checkpoint()
+        linked_sets = components(links.union(links_of(rest)))
 
     firsts = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
     in_component = linked_sets.join(firsts, linked_sets["node"] == firsts["digest"])

@@ -15,8 +15,8 @@ def _factors(words: int) -> np.ndarray:
     return mixed(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_rows(column: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word hashes and shingle hashes of each row, in the order of the text.
+def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each row, in row order.
 
     A row with fewer words than a shingle has its whole sequence as one shingle; a
     row without words, or null, has none. Hashes of 64 bits stand for the shingles:
@@ -33,16 +33,10 @@ def shingle_rows(column: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.
         for start, end in zip(rows[:-1], rows[1:]):
             n = end - start
             if n >= words:
-                yield hashes[start:end], grams[start : end - words + 1]
+                yield np.unique(grams[start : end - words + 1])
             elif n:
                 whole = (hashes[start:end] * factors[:n]).sum(dtype=np.uint64)
                 # Its length keeps it apart from full shingles.
-                yield hashes[start:end], mixed(np.array([whole + np.uint64(n)], dtype=np.uint64))
+                yield mixed(np.array([whole + np.uint64(n)], dtype=np.uint64))
             else:
-                yield hashes[:0], grams[:0]
-
-
-def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each row."""
-    for _, grams in shingle_rows(column, words):
-        yield np.unique(grams)
+                yield grams[:0]

@@ -71,13 +71,47 @@ def test_equals_brute_force(spark, name, words, percent):
     assert rows_of(found) == sorted(brute(rows, words, percent), key=repr)
 
 
-def test_large_clusters_are_cut_into_chunk_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("leaders", [1, 4])
+def test_large_clusters_are_cut_into_chunks(spark, monkeypatch, leaders):
     monkeypatch.setattr(jaccard, "CHUNK_NODES", 16)
-    rows = shuffled(CORPORA["one family"] + CORPORA["families"], 3)
+    monkeypatch.setattr(jaccard, "LEADERS", leaders)
+    loose = family(40, 60, 9, 5)
+    rows = shuffled(CORPORA["one family"] + CORPORA["families"] + loose, 3)
     found = jaccard.near_duplicates(documents(spark, rows).repartition(4))
     assert rows_of(found) == sorted(brute(rows, 3, 90), key=repr)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 99, 100])
+def test_sets_that_link_share_a_part(percent):
+    """Random pairs right at the bound, with sets from one member on."""
+    rng = np.random.default_rng(percent)
+    for _ in range(600):
+        n = int(rng.integers(1, 40) if rng.random() < 0.6 else rng.integers(40, 700))
+        values = np.unique(rng.integers(0, 1 << 63, size=4 * n, dtype=np.uint64))
+        base = rng.permutation(values)
+        x = set(base[:n].tolist())
+        y, fresh = set(x), iter(base[n:].tolist())
+        while True:
+            changed = set(y)
+            if changed and rng.random() < 0.5:
+                changed.discard(next(iter(changed & x or changed)))
+            if rng.random() < 0.5:
+                changed.add(next(fresh))
+            if not changed or 100 * len(x & changed) < percent * len(x | changed):
+                break
+            if changed == y and percent == 100:
+                break
+            y = changed
+            if len(y) > 2 * n:
+                break
+        frequent = rng.random(1 << jaccard.SKETCH_BITS) < rng.choice([0, 0.3, 0.9, 1])
+        keys = [
+            jaccard.part_keys(np.array(sorted(s), dtype=np.uint64), percent, frequent)
+            for s in (x, y)
+        ]
+        assert len(np.intersect1d(*keys)), (percent, len(x), len(y), len(x & y))
+
+
 def test_odd_tables(spark):
     assert jaccard.near_duplicates(documents(spark, [])).collect() == []
     rows = [(4, None), (4, None), (7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (None, None)]

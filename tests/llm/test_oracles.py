@@ -1,0 +1,14 @@
+"""Registered queries agree with their SQL on the smallest tables."""
+
+import pytest
+from oracle import mismatch
+
+from genoframe.llm import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_query(spark, name):
+    query, sql = queries.queries()[name], queries.oracle_sql()[name]
+    assert mismatch(spark, query, sql, SF_DIR) is None
