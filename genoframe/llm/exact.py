@@ -25,7 +25,7 @@ HEAD_BYTES = 32
 BYTES_PER_RANGE = 32 << 20
 
 # Working columns, named so that columns of the input do not clash with them.
-NORM, DIGEST = "_exact_norm", "_exact_sha256"
+NORM, HEAD, DIGEST = "_exact_norm", "_exact_head", "_exact_sha256"
 
 
 def normalised(text: Column) -> Column:
@@ -36,17 +36,24 @@ def normalised(text: Column) -> Column:
 
 
 def _sorted_ranges(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns with normalised text and digest, dealt out and sorted by content."""
+    """The columns with normalised text and digest, dealt out and sorted by content.
+
+    Rows carry their text once; it is normalised again behind the sort. Texts of
+    one digest stand together, whether they are equal is for the comparison.
+    """
     spark = docs.sparkSession
-    text = F.col("text")
-    keyed = docs.select(*(F.col(f"`{c}`") for c in columns), normalised(text).alias(NORM))
-    keyed = keyed.select("*", F.sha2(NORM, 256).alias(DIGEST))
-    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    names = [F.col(f"`{name}`") for name in dict.fromkeys([*columns, "text"])]
+    keyed = docs.select(*names, normalised(F.col("text")).alias(NORM)).select(
+        *names,
+        F.substring(F.encode(NORM, "UTF-8"), 1, HEAD_BYTES).alias(HEAD),
+        F.sha2(NORM, 256).alias(DIGEST),
+    )
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_RANGE))
-    head = F.substring(F.encode(NORM, "UTF-8"), 1, HEAD_BYTES)
-    doc_id = F.col("doc_id").asc_nulls_last()
-    ranged = keyed.repartitionByRange(ranges, head, F.col(DIGEST), doc_id)
-    return ranged.sortWithinPartitions(head, F.col(DIGEST), F.col(NORM), doc_id)
+    order = [F.col(HEAD), F.col(DIGEST), F.col("doc_id").asc_nulls_last()]
+    ordered = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    kept = [F.col(f"`{name}`") for name in columns]
+    return ordered.select(*kept, normalised(F.col("text")).alias(NORM), DIGEST)
 
 
 def _run_starts(texts: pa.Array, before: str | None) -> np.ndarray:
