@@ -27,6 +27,8 @@ MAX_FEATURES = 1024
 MIN_POSITIVE_TEXTS = 5
 MIN_Z = 5.0
 PREFIX_BYTES = (4, 5, 6)
+# Features that a task sums up at once.
+FEATURES_AT_ONCE = 2_000_000
 STEPS = 400
 LEARNING_RATE = 0.05
 PENALTY = 1e-4
@@ -153,23 +155,15 @@ def fit_risk(
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of a batch with each feature, positive and unlabelled ones."""
-    for batch in batches:
-        positive = batch["positive"].to_numpy(zero_copy_only=False).astype(bool)
-        found = [
-            (values, positive[rows + first])
-            for first, _, rows, values in (
-                (first, last, *_distinct(rows, values))
-                for first, last, rows, values in text_features(batch["text"])
-            )
-        ]
-        if not found:
-            continue
+    """How many positive and unlabelled texts have each feature, summed up for some
+    texts at a time."""
+
+    def summed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         values, is_positive = (np.concatenate(part) for part in zip(*found))
         distinct, inverse = np.unique(values, return_inverse=True)
         both = np.bincount(inverse, minlength=len(distinct))
         p = np.bincount(inverse, is_positive, minlength=len(distinct)).astype(np.int64)
-        yield pa.RecordBatch.from_pydict(
+        return pa.RecordBatch.from_pydict(
             {
                 "feature": pa.array(distinct.view(np.int64)),
                 "p": pa.array(p),
@@ -177,6 +171,18 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             }
         )
 
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        positive = batch["positive"].to_numpy(zero_copy_only=False).astype(bool)
+        for first, _, rows, values in text_features(batch["text"]):
+            rows, values = _distinct(rows, values)
+            found.append((values, positive[rows + first]))
+            if sum(len(values) for values, _ in found) > FEATURES_AT_ONCE:
+                yield summed(found)
+                found = []
+    if found:
+        yield summed(found)
+
 
 def _used_features(classifier: Classifier):
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
