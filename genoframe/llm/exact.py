@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.plans.shared import shared_folder, shared_path
 
 # Splitters reach the driver, so they carry the head of a text and its digest only.
@@ -42,6 +43,7 @@ def _sorted_ranges(docs: DataFrame, columns: list[str]) -> DataFrame:
     one digest stand together, whether they are equal is for the comparison.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     names = [F.col(f"`{name}`") for name in dict.fromkeys([*columns, "text"])]
     keyed = docs.select(*names, normalised(F.col("text")).alias(NORM)).select(
         *names,
@@ -124,7 +126,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id bigint, text_sha256 string, run_min bigint, run_size bigint, "
         "leads boolean, at_edge boolean"
     )
-    runs = _sorted_ranges(rows, ["doc_id"]).mapInArrow(_runs, schema)
+    runs = _sorted_ranges(rows, ["doc_id"]).mapInArrow(returning_memory(_runs), schema)
     runs = runs.withColumn("at", F.spark_partition_id()).checkpoint()
     # At most two runs per range touch a boundary, so this table is small.
     cut = (
@@ -171,7 +173,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ordered = _sorted_ranges(docs, docs.columns)
     schema = T.StructType([f for f in ordered.schema.fields if f.name != NORM])
-    leads = ordered.mapInArrow(_leads, schema).withColumn("_exact_range", F.spark_partition_id())
+    leads = ordered.mapInArrow(returning_memory(_leads), schema).withColumn("_exact_range", F.spark_partition_id())
     folder = shared_path(spark, "exact")
     leads.write.parquet(folder)
     stored = spark.read.schema(leads.schema).parquet(folder)

@@ -16,6 +16,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from genoframe.llm.batches import small_batches
+
 # Element names of HTML by their role.
 SKIPPED = frozenset(
     "script style noscript template svg math iframe object embed canvas audio video map "
@@ -45,15 +47,20 @@ CLOSES = {
 }
 # Words in class, id and role that mark a container as no part of the article.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|"
-    r"sidebar\w*|widget\w*|footer|cookie\w*|consent|notice\w*|gdpr|popup|modal|"
-    r"overlay|newsletter|subscri\w*|signup|login|share|sharing|social|comment\w*|disqus|replies|"
-    r"related|recommend\w*|toolbar|pagination|pager|skip\w*|search\w*|complementary|navigation|"
+    r"(?:^|[\s_-])(?:ad|ads|adverts?|advert[ei]s\w*|banner\w*|sponsor\w*|promo\w*|nav|navbar|"
+    r"navigation|menu\w*|breadcrumb\w*|sidebar\w*|widget\w*|footer|cookie\w*|consent|notices?|"
+    r"gdpr|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|disclaimer|"
+    r"copyright|related|recommend\w*|toolbar|pagination|pager|skip\w*|search\w*|complementary|"
     r"contentinfo|alert)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# The same for what readers wrote; these are articles of their own on some pages.
+READER_MARKS = re.compile(
+    r"(?:^|[\s_-])(?:comment\w*|disqus\w*|discussion|respond|responses|repl(?:y|ies))(?:$|[\s_-])",
+    re.IGNORECASE,
+)
 # The same for places outside an article; inside it they hold its headings.
-HEADER_MARKS = re.compile(r"(?:^|[\s_-])(?:header|masthead|banner)(?:$|[\s_-])", re.IGNORECASE)
+HEADER_MARKS = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.IGNORECASE)
 # Frequent short words of the languages at hand.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with be by on not he i this are or his from at "
@@ -132,15 +139,20 @@ def _flush(page: _Page) -> None:
         page.pieces.clear()
 
 
-def _marked(rest: str, main: bool) -> bool:
+def _marked(name: str, rest: str, main: bool) -> bool:
     for found in ATTRIBUTE.finditer(rest):
-        name, value = found[1].lower(), (found[2] or "").strip("\"'")
-        if name in ("class", "id", "role"):
-            if MARKS.search(value) or (not main and HEADER_MARKS.search(value)):
+        attribute, value = found[1].lower(), (found[2] or "").strip("\"'")
+        if attribute in ("class", "id", "role"):
+            if READER_MARKS.search(value):
+                return True
+            # An article's own classes say how the page is laid out around it.
+            if name not in MAIN and MARKS.search(value):
+                return True
+            if not main and name not in MAIN and HEADER_MARKS.search(value):
                 return True
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+        if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
             return True
-        if name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
+        if attribute == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
             return True
     return False
 
@@ -161,8 +173,8 @@ def _open(page: _Page, name: str, rest: str) -> None:
     above = _top(page)
     # A page header goes; the header of an article holds its headings.
     outside = above.outside or name in BOILERPLATE or (name == "header" and not above.main)
-    if not outside and rest and name not in ("html", "body") and name not in MAIN:
-        outside = _marked(rest, above.main)
+    if not outside and rest and name not in ("html", "body"):
+        outside = _marked(name, rest, above.main)
     page.stack.append(
         _Element(
             name,
@@ -305,6 +317,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     null or empty page and one without an article have an empty text. Equal pages
     get equal texts. No pages give no rows; other columns are not read.
     """
+    small_batches(pages.sparkSession)
     kinds = {name: pages.schema[name].dataType.simpleString() for name in ("page_id", "url")}
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint"
     return pages.select("page_id", "url", "html").mapInArrow(_extract, schema)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.llm.components import components
 from genoframe.llm.shingles import shingle_sets
 from genoframe.llm.textscan import mixed
@@ -40,7 +41,7 @@ WORDS = 3
 PERCENT = 90
 # Bits of the filter for texts that are read again: 2 MB at most.
 FILTER_BITS = 24
-ENTRIES_PER_BLOCK = 1 << 20
+ENTRIES_PER_BLOCK = 1 << 19
 # Buckets of the frequency sketch of shingles: 4 MB as 32-bit counts, whatever the
 # input. It says which shingles are frequent; the result does not depend on it.
 SKETCH_BITS = 20
@@ -595,11 +596,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     spark = docs.sparkSession
     shared_folder(spark)
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     only_text = docs.select("text")
     folder = shared_path(spark, "sets")
     schema = "doc_id bigint, n bigint, digest binary, node bigint, counts binary"
-    texts.mapInArrow(_measure(words), schema).write.parquet(folder)
+    texts.mapInArrow(returning_memory(_measure(words)), schema).write.parquet(folder)
     measured = spark.read.schema(schema).parquet(folder)
     rows = measured.where("digest IS NOT NULL").drop("counts")
     frequent = _frequent(measured)
@@ -609,7 +611,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     entries = 4 * total * (100 - percent) // (100 + percent)
     blocks = int(entries // ENTRIES_PER_BLOCK) + 1
     parts = only_text.mapInArrow(
-        _parts(words, percent, blocks, frequent), "block int, entries binary, edges binary"
+        returning_memory(_parts(words, percent, blocks, frequent)),
+        "block int, entries binary, edges binary"
     )
     meetings = parts.groupBy("block").applyInArrow(_meet_block, "u bigint, v bigint")
     clusters = components(meetings)
@@ -627,7 +630,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     bins = int((counts["small_n"] or 0) // (CHUNK_SHINGLES // 4)) + 1
     bits = min(FILTER_BITS, max(10, int(8 * counts["nodes"]).bit_length()))
     sets = only_text.mapInArrow(
-        _whole_sets(words, bits, _node_filter(sized, bits)),
+        returning_memory(_whole_sets(words, bits, _node_filter(sized, bits))),
         "node bigint, digest binary, shingles binary",
     )
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.llm.batches import small_batches
 from genoframe.llm.tokens import groups
 from genoframe.llm.toxicity import fold
 
@@ -186,6 +187,7 @@ def predict_language(docs: DataFrame) -> DataFrame:
     score is the proportion of the main language. Equal texts have equal results.
     No documents give no rows.
     """
+    small_batches(docs.sparkSession)
     languages, logs = train(docs)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

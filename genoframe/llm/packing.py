@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.llm.textscan import Piece, pieces
 from genoframe.plans.shared import shared_folder
 
@@ -30,8 +31,8 @@ CAPACITY = 4096
 PIECE = 512
 END_ID = 2
 TOKENS_PER_GROUP = 1 << 21
-# Words that a worker remembers: some 100 MB.
-MEMO_WORDS = 600_000
+# Words that a task remembers: some 70 MB.
+MEMO_WORDS = 400_000
 MARKS = np.zeros(256, dtype=bool)
 MARKS[[ord("."), ord(",")]] = True
 ASCII_LETTERS = np.zeros(256, dtype=bool)
@@ -55,7 +56,7 @@ class WordEncoder:
     ASCII white space ends pre-tokens, so the ids of a text are those of the words
     between; a full stop or comma behind a letter is a pre-token of its own. Words
     are told apart by 64-bit hashes, A-Z as a-z like the vocabulary does, and the
-    library sees each word once while a worker remembers it. Texts with the start
+    library sees each word once while a task remembers it. Texts with the start
     of a special string go to the library whole.
     """
 
@@ -150,16 +151,6 @@ class WordEncoder:
                     yield ids[a:b]
 
 
-# One encoder for each vocabulary in a worker process: its memory outlives a task.
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder_of(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[int]:
     """Places at which n ids are cut: whole sequences first, then short pieces."""
     whole = n // capacity * capacity
@@ -235,7 +226,8 @@ def _cut_documents(path: str, end_id: int):
     tail = np.array([end_id], dtype="<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        # For one task: workers live on, and would hold its memory for other operators.
+        encoder = WordEncoder(path)
         names = [column.split()[0] for column in PIECES.split(", ")]
         for batch in batches:
             rows = zip(batch["piece_id"].to_pylist(), batch["doc_id"].to_pylist())
@@ -267,12 +259,13 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     the shared folder before they are dealt out, so sequences agree after a retry.
     """
     shared_folder(docs.sparkSession)
+    small_batches(docs.sparkSession)
     numbered = docs.select(
         F.monotonically_increasing_id().alias("piece_id"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "text",
     )
-    pieces = numbered.mapInArrow(_cut_documents(path, end_id), PIECES).checkpoint()
+    pieces = numbered.mapInArrow(returning_memory(_cut_documents(path, end_id)), PIECES).checkpoint()
     tokens = pieces.agg(F.sum("length").alias("n")).first()["n"] or 0
     groups_needed = int(tokens // TOKENS_PER_GROUP) + 1
     dealt = F.pmod(F.xxhash64("piece_id", "start"), F.lit(groups_needed)).alias("group")

@@ -1,6 +1,6 @@
 """Words of a text column as 64-bit hashes, computed on Arrow buffers with numpy.
 
-Text is read in pieces of about a megabyte, so a batch of any size and a single
+Text is read in pieces of half a megabyte, so a batch of any size and a single
 text of any length need the same working memory besides the hashes themselves.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 # Odd 64-bit constants that spread bits.
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -84,7 +84,9 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     """All bytes of a text column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     _, offsets, data = column.buffers()
     rows = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.llm.batches import small_batches
+
 LIMIT = 2048
 # Chunks whose count a worker remembers, and their greatest length.
 MEMO_CHUNKS = 400_000
@@ -188,6 +190,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     of each other; no documents give no rows, other columns are not read.
     """
 
+    small_batches(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = ChunkCounter(path)
         for batch in batches:

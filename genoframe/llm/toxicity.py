@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.llm.textscan import mixed, pieces
 
 FOLDS = 5
@@ -28,7 +29,7 @@ MIN_POSITIVE_TEXTS = 5
 MIN_Z = 5.0
 PREFIX_BYTES = (4, 5, 6)
 # Features that a task sums up at once.
-FEATURES_AT_ONCE = 2_000_000
+FEATURES_AT_ONCE = 500_000
 STEPS = 400
 LEARNING_RATE = 0.05
 PENALTY = 1e-4
@@ -230,6 +231,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     Counts that choose the features are made by Spark; the driver gets a thousand
     features and, for each sample text, the few of them that it has.
     """
+    small_batches(docs.sparkSession)
     nothing = Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), -5.0)
     known = labels.where((fold() != 0) & F.col("toxic").isNotNull())
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"]
@@ -242,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     if not n_p or not n_u:
         return nothing
     counts = (
-        sample.mapInArrow(_feature_counts, "feature bigint, p bigint, u bigint")
+        sample.mapInArrow(returning_memory(_feature_counts), "feature bigint, p bigint, u bigint")
         .groupBy("feature")
         .agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     )
@@ -259,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     )
     features = np.sort(np.array([row["feature"] for row in chosen], dtype=np.int64).view(np.uint64))
     blank = Classifier(features, np.zeros(len(features)), 0.0)
-    rows = sample.mapInArrow(_used_features(blank), "positive boolean, places array<int>").toPandas()
+    rows = sample.mapInArrow(returning_memory(_used_features(blank)), "positive boolean, places array<int>").toPandas()
     matrices = []
     for wanted in (True, False):
         places = rows.loc[rows["positive"] == wanted, "places"]
@@ -295,7 +297,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_id}, held_out boolean, score double, predicted int"
-    return docs.select("doc_id", (fold() == 0).alias("held_out"), "text").mapInArrow(score, schema)
+    return docs.select("doc_id", (fold() == 0).alias("held_out"), "text").mapInArrow(returning_memory(score), schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -309,4 +311,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(classifier.scores(batch["text"]) < 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(returning_memory(keep), docs.schema)

@@ -42,6 +42,14 @@ CASES = {
         ),
         LONG,
     ),
+    "reader comments as articles": (
+        page(
+            f'<article class="post sidebar-right"><p>{LONG}</p>'
+            f'<article class="comment"><p>{LONG}</p></article></article>'
+            f'<section id="respond"><article><p>{LONG}</p></article></section>'
+        ),
+        LONG,
+    ),
     "no article element": (
         page(
             f'<header><h1>Site</h1></header>{NAV}<div class="cookie-notice">{LONG}</div>'
