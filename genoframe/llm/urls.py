@@ -112,16 +112,23 @@ class GlobAutomaton:
 def _judge(rules: tuple[UrlRule, ...], blocked_hosts: tuple[str, ...]):
     # Longest rule first, so the first that fits wins; equal lengths keep their order.
     ranked = sorted(rules, key=lambda rule: -len(rule.name))
-    by_url = GlobAutomaton([f"{sub}{rule.name}*" for rule in ranked for sub in ("", "*.")])
-    by_host = GlobAutomaton(list(blocked_hosts))
+    # Hosts and paths are matched apart, so no host wildcard runs on into a path.
+    hosts_of_rules = [f"{sub}{rule.host}" for rule in ranked for sub in ("", "*.")]
+    by_host = GlobAutomaton([*hosts_of_rules, *blocked_hosts])
+    by_path = GlobAutomaton([f"{rule.path}*" for rule in ranked])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts = [host.encode() for host in batch["host"].to_pylist()]
-            urls = [h + path.encode() for h, path in zip(hosts, batch["path"].to_pylist())]
-            found = by_url.matches(urls).reshape(len(urls), len(ranked), 2).any(axis=2)
-            fits, first = found.any(axis=1), found.argmax(axis=1)
-            bad = by_host.matches(hosts).any(axis=1) | np.array([not host for host in hosts])
+            paths = [path.encode() for path in batch["path"].to_pylist()]
+            on_host = by_host.matches(hosts)
+            of_rules = on_host[:, : len(hosts_of_rules)].reshape(len(hosts), len(ranked), 2)
+            found = of_rules.any(axis=2) & by_path.matches(paths)
+            # A last column that always fits: no rule.
+            first = np.column_stack([found, np.ones(len(hosts), dtype=bool)]).argmax(axis=1)
+            fits = first < len(ranked)
+            bad = on_host[:, len(hosts_of_rules) :].any(axis=1)
+            bad |= np.array([not host for host in hosts], dtype=bool)
             names = [ranked[i].name if fit else None for i, fit in zip(first, fits)]
             verdicts = [
                 ranked[i].verdict if fit else BLOCK if blocked else ALLOW

@@ -73,3 +73,22 @@ def test_own_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/xy"), (2, "http://b.net/x")], "page_id int, url string")
     found = rows_of(urls.filter_urls(pages, rules, ()))
     assert [row[3:] for row in found] == [("a.net/x", "allow"), ("net/", "block")]
+
+
+def test_rule_hosts_in_paths_do_not_count(spark):
+    cases = [
+        ("https://web.archive.net/web/http://www.example.org/es/1", None, "allow"),
+        ("https://x.com/fr/a.example.org/es/1", "com/fr/", "allow"),
+        ("https://casino.net/mirror/a.org/", None, "block"),
+        ("https://x.net/a.com/de/", None, "allow"),
+        ("https://www.example.org/es/b.com/fr/", "example.org/es/", "block"),
+    ]
+    pages = spark.createDataFrame([(i, case[0]) for i, case in enumerate(cases)], "page_id int, url string")
+    assert [row[3:] for row in rows_of(urls.filter_urls(pages))] == [case[1:] for case in cases]
+
+
+def test_rule_without_a_path_binds_the_whole_host(spark):
+    rows = [(1, "http://a.net"), (2, "http://x.a.net/y"), (3, "http://a.network/y")]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    found = rows_of(urls.filter_urls(pages, (UrlRule("a.net", "", "block"),), ()))
+    assert [row[3:] for row in found] == [("a.net", "block"), ("a.net", "block"), (None, "allow")]
