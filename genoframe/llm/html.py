@@ -4,6 +4,8 @@ Tags cut a page into blocks. Structure decides about some: what stands in menus,
 footers, forms and the like is left out. In the first pass length, link density
 and stop-word density call the other blocks good or bad, or leave them undecided;
 in the second, undecided blocks take the label of the nearest decided neighbours.
+A place in an article is evidence: such blocks are left undecided where others are
+bad, and win a tie.
 """
 
 from __future__ import annotations
@@ -249,14 +251,14 @@ def _first_pass(block: Block) -> str:
         return GOOD
     if stops >= LOW_STOP_WORDS * len(words):
         return GOOD if length > LONG_CHARS else OPEN
-    # Long text without stop words: content inside an article, else unclear.
-    return GOOD if block.main and length > LONG_CHARS else OPEN if block.main else BAD
+    # Text without stop words: inside an article its neighbours decide.
+    return OPEN if block.main else BAD
 
 
 def _second_pass(blocks: list[Block]) -> None:
-    """Undecided blocks: the label of the neighbours if they agree. If they do not,
-    or one is missing, good inside an article, for a heading before a good block,
-    and for a block whose nearer neighbour is good."""
+    """Undecided blocks: the label of the neighbours if they agree, or of the only
+    one. If they do not agree, a heading goes with what follows, others with the
+    nearer neighbour. Where nothing is decided, an article's blocks are good."""
     first = [block.label for block in blocks]
     before: list[tuple[str, int]] = []
     label, place = "", -1
@@ -271,29 +273,31 @@ def _second_pass(blocks: list[Block]) -> None:
             label, place = first[i], i
             continue
         left, left_at = before[i]
-        if block.main:
-            # Boilerplate is marked inside an article; what is left belongs to it.
-            block.label = GOOD
-        elif left == label:
-            block.label = label or (GOOD if len(block.text) >= SHORT_CHARS or block.heading else BAD)
+        if left == label:
+            alone = block.main or block.heading or len(block.text) >= SHORT_CHARS
+            block.label = label or (GOOD if alone else BAD)
         elif block.heading:
-            block.label = label or BAD
+            block.label = label or (left if block.main else BAD)
         elif not left or not label:
             block.label = left or label
+        elif i - left_at == place - i:
+            block.label = GOOD if block.main else left
         else:
-            block.label = left if i - left_at <= place - i else label
+            block.label = left if i - left_at < place - i else label
 
 
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by newlines; empty if there is none."""
     blocks = blocks_of(html or "")
-    if any(block.main for block in blocks):
+    article = any(block.main for block in blocks)
+    if article:
         # A page that marks its article says that the rest is not.
         for block in blocks:
             block.outside |= not block.main
     for block in blocks:
         block.label = _first_pass(block)
-    _second_pass(blocks)
+    # What stands outside says nothing about its neighbours in an article.
+    _second_pass([block for block in blocks if not (article and block.outside)])
     return "\n".join(block.text for block in blocks if block.label == GOOD)
 
 

@@ -126,3 +126,19 @@ def test_rows(spark):
     expected = [(i, u, main_text(h), len(main_text(h))) for i, u, h, *_ in pages * 2]
     assert found == sorted(expected, key=repr)
     assert extract_text(spark.createDataFrame([], schema)).collect() == []
+
+
+LINK = '<div><a href="x">Read more of this and that on the pages of our site</a></div>'
+PLAIN = "Lorem ipsum dolor consectetur adipiscing elit tempor incididunt labore magna aliqua " * 3
+
+
+def test_passes_decide_inside_articles():
+    parts = f"{LINK}<p>Share this</p><p>{PLAIN}</p>{LINK}"
+    assert main_text(f"<article><p>{LONG}</p>{parts}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+    inner = f"<p>{LONG}</p><p>By a writer</p><p>{PLAIN}</p><p>{LONG}</p>"
+    assert main_text(f"<article>{inner}</article>") == f"{LONG}\nBy a writer\n{PLAIN.strip()}\n{LONG}"
+
+
+def test_article_of_short_blocks_is_kept():
+    verse = "".join(f"<p>Line {i}</p>" for i in range(4))
+    assert main_text(page(f"{NAV}<article>{verse}</article>{FOOT}")) == "Line 0\nLine 1\nLine 2\nLine 3"
