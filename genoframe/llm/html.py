@@ -286,18 +286,29 @@ def _second_pass(blocks: list[Block]) -> None:
             block.label = left if i - left_at < place - i else label
 
 
+def _article(blocks: list[Block]) -> bool:
+    """Whether the page's article elements hold its article: at least half of the
+    good text, or all there is if none is good."""
+    inner = [block for block in blocks if block.main and not block.outside]
+    good = sum(len(block.text) for block in blocks if block.label == GOOD)
+    return bool(inner) and 2 * sum(len(b.text) for b in inner if b.label == GOOD) >= good
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by newlines; empty if there is none."""
     blocks = blocks_of(html or "")
-    article = any(block.main for block in blocks)
-    if article:
-        # A page that marks its article says that the rest is not.
-        for block in blocks:
-            block.outside |= not block.main
     for block in blocks:
         block.label = _first_pass(block)
-    # What stands outside says nothing about its neighbours in an article.
-    _second_pass([block for block in blocks if not (article and block.outside)])
+    if _article(blocks):
+        # The rest is not the article, and says nothing about its neighbours in it.
+        blocks = [block for block in blocks if block.main and not block.outside]
+    else:
+        # Teasers or comments: article elements are no evidence.
+        for block in blocks:
+            if block.main:
+                block.main = False
+                block.label = _first_pass(block)
+    _second_pass(blocks)
     return "\n".join(block.text for block in blocks if block.label == GOOD)
 
 

@@ -142,3 +142,16 @@ def test_passes_decide_inside_articles():
 def test_article_of_short_blocks_is_kept():
     verse = "".join(f"<p>Line {i}</p>" for i in range(4))
     assert main_text(page(f"{NAV}<article>{verse}</article>{FOOT}")) == "Line 0\nLine 1\nLine 2\nLine 3"
+
+
+def test_article_elements_that_do_not_hold_the_article():
+    story = f"<div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    text = "\n".join(["Head", LONG, LONG, LONG])
+    comments = f'<article class="comment-body"><p>{LONG}</p></article>' * 5
+    assert main_text(page(f"{NAV}{story}{comments}{FOOT}")) == text
+    cards = "<aside>" + f"<article><h2>Card</h2><p>{LONG}</p></article>" * 5 + "</aside>"
+    assert main_text(page(f"{NAV}{story}{cards}{FOOT}")) == text
+    teaser = "<article><h2>Other</h2><p>One line about it.</p></article>"
+    assert main_text(page(f"{NAV}{story}{teaser}{FOOT}")).startswith(text)
+    # An article that holds most of the page still ends the rest.
+    assert main_text(page(f"<article>{story}</article><div><p>{LONG}</p></div>")) == text
