@@ -47,7 +47,8 @@ CLOSES = {
     "th": frozenset({"td", "th", "p"}),
     "option": frozenset({"option"}),
 }
-# Words in class, id and role that mark a container as no part of the article.
+# Words in class, id and role that mark a container as no part of the article, unless
+# the page's good text refutes it.
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adverts?|advert[ei]s\w*|banner\w*|sponsor\w*|promo\w*|nav|navbar|"
     r"navigation|menu\w*|breadcrumb\w*|sidebar\w*|widget\w*|footer|cookie\w*|consent|notices?|"
@@ -61,6 +62,29 @@ READER_MARKS = re.compile(
     r"(?:^|[\s_-])(?:comment\w*|disqus\w*|discussion|respond|responses|repl(?:y|ies))(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# The part of a class that says whether a page has such a part, not that it is one.
+LAYOUT = re.compile(
+    r"^.*[_-](?:open|opened|closed|enabled|disabled)$|"
+    r"(?:^|[_-])(?:has|have|no|not|with|without|hide|show)[_-].*$",
+    re.IGNORECASE,
+)
+NUMBERS = re.compile(r"\d+")
+# Marks that wrappers of whole pages carry as well, and those of parts that can
+# have more text than the article.
+WRAPPER_MARKS = re.compile(
+    r"(?:^|[_-])(?:nav|navbar|navigation|menu\w*|sidebar\w*|widget\w*|header|masthead|footer|modal|"
+    r"overlay|toolbar|search\w*|banner\w*|notices?|social|skip\w*|popup|alert|pager|pagination|login)"
+    r"(?:$|[_-])",
+    re.IGNORECASE,
+)
+# Ids that can be the title of an article's section.
+SECTION_IDS = re.compile(
+    r"discussion|responses|related[_-](?:work|works|research|literature)|search\w*[_-]\w+|search|"
+    r"navigation|notices?|copyright|disclaimer|consent|menus?|social|sharing|alert|overlay|"
+    r"modal|widgets?|cookies?|banners?|recommendations?|sponsors?|header|footer|login|adverts?|"
+    r"advert[ei]sing|pagination",
+    re.IGNORECASE,
+)
 # The same for places outside an article; inside it they hold its headings.
 HEADER_MARKS = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.IGNORECASE)
 # Frequent short words of the languages at hand.
@@ -99,6 +123,16 @@ HIGH_STOP_WORDS = 0.15
 GOOD, BAD, OPEN = "good", "bad", "open"
 
 
+@dataclass(frozen=True, eq=False)
+class Mark:
+    """A container that calls itself no part of the article: the word by which it
+    does. ``title``: an id inside an article that can be a section's title."""
+
+    word: str
+    reader: bool
+    title: bool
+
+
 @dataclass
 class Block:
     text: str
@@ -106,6 +140,7 @@ class Block:
     heading: bool
     main: bool
     outside: bool
+    marks: tuple[Mark, ...] = ()
     label: str = OPEN
 
 
@@ -117,6 +152,7 @@ class _Element:
     main: bool
     link: bool
     heading: bool
+    marks: tuple[Mark, ...] = ()
 
 
 @dataclass
@@ -137,21 +173,13 @@ def _flush(page: _Page) -> None:
         if text:
             top = _top(page)
             links = sum(len(piece.strip()) for piece, link in page.pieces if link)
-            page.blocks.append(Block(text, links, top.heading, top.main, top.outside))
+            page.blocks.append(Block(text, links, top.heading, top.main, top.outside, top.marks))
         page.pieces.clear()
 
 
-def _marked(name: str, rest: str, main: bool) -> bool:
+def _hidden(rest: str) -> bool:
     for found in ATTRIBUTE.finditer(rest):
         attribute, value = found[1].lower(), (found[2] or "").strip("\"'")
-        if attribute in ("class", "id", "role"):
-            if READER_MARKS.search(value):
-                return True
-            # An article's own classes say how the page is laid out around it.
-            if name not in MAIN and MARKS.search(value):
-                return True
-            if not main and name not in MAIN and HEADER_MARKS.search(value):
-                return True
         if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
             return True
         if attribute == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
@@ -159,6 +187,27 @@ def _marked(name: str, rest: str, main: bool) -> bool:
     return False
 
 
+def _mark(name: str, rest: str, main: bool) -> Mark | None:
+    """The mark of a container, by the first word of its class, id or role that is one;
+    of several, one of what readers wrote, then one that is no section's title."""
+    marks = []
+    for found in ATTRIBUTE.finditer(rest):
+        attribute, value = found[1].lower(), (found[2] or "").strip("\"'")
+        if attribute not in ("class", "id", "role"):
+            continue
+        for word in value.split():
+            word = LAYOUT.sub("", word)
+            reader = bool(READER_MARKS.search(word))
+            # An article's own classes say how the page is laid out around it.
+            other = name not in MAIN and (
+                MARKS.search(word) or (not main and HEADER_MARKS.search(word))
+            )
+            if reader or other:
+                title = main and attribute == "id" and bool(SECTION_IDS.fullmatch(word))
+                marks.append(Mark(NUMBERS.sub("", word.lower()), reader, title))
+    return min(marks, key=lambda mark: (mark.title, not mark.reader), default=None)
+
+
 def _open(page: _Page, name: str, rest: str) -> None:
     closes = CLOSES.get(name)
     if closes:
@@ -175,8 +224,12 @@ def _open(page: _Page, name: str, rest: str) -> None:
     above = _top(page)
     # A page header goes; the header of an article holds its headings.
     outside = above.outside or name in BOILERPLATE or (name == "header" and not above.main)
+    marks = above.marks
     if not outside and rest and name not in ("html", "body"):
-        outside = _marked(name, rest, above.main)
+        outside = _hidden(rest)
+        # A heading is named by its subject.
+        mark = None if outside or name in HEADINGS else _mark(name, rest, above.main)
+        marks = (*marks, mark) if mark else marks
     page.stack.append(
         _Element(
             name,
@@ -185,6 +238,7 @@ def _open(page: _Page, name: str, rest: str) -> None:
             above.main or name in MAIN,
             above.link or name == "a",
             above.heading or name in HEADINGS,
+            marks,
         )
     )
 
@@ -286,6 +340,49 @@ def _second_pass(blocks: list[Block]) -> None:
             block.label = left if i - left_at < place - i else label
 
 
+def _standing(blocks: list[Block]) -> None:
+    """Puts outside what stands under marks that the page's good text does not refute.
+
+    A section of an article with a title's id is refuted by good text of its own. The
+    word of wrappers is, if all its containers together hold most of the good text, or
+    the page's only article with any; any other word, if no text is left without it.
+    """
+    refuted = {
+        mark for block in blocks if block.label == GOOD for mark in block.marks if mark.title
+    }
+    for block in blocks:
+        block.marks = tuple(mark for mark in block.marks if mark not in refuted)
+    inside = [block for block in blocks if not block.outside]
+    while any(block.marks for block in inside):
+        alone = all(block.marks or block.heading for block in inside)
+        # Readers' text does not speak for a wrapper; open text of an article speaks against.
+        own = [b for b in inside if b.label == GOOD and not any(m.reader for m in b.marks)]
+        free = [b for b in inside if b.main and b.label != BAD and not b.marks]
+        total = sum(len(b.text) for b in {id(b): b for b in own + free}.values())
+        words: dict[str, int] = {}
+        articles: set[str] = set()
+        for block in own:
+            here = {mark.word for mark in block.marks}
+            articles |= here if block.main and not free else set()
+            for word in here:
+                words[word] = words.get(word, 0) + len(block.text)
+        gone = None
+        for word in sorted(words, key=lambda word: (-words[word], word)):
+            most = word in articles or 2 * words[word] > total
+            if alone or (most and WRAPPER_MARKS.search(word)):
+                gone = word
+                break
+        if gone is None and alone:
+            gone = next((m.word for b in inside if b.label == GOOD for m in b.marks), None)
+        if gone is None:
+            break
+        for block in blocks:
+            block.marks = tuple(mark for mark in block.marks if mark.word != gone)
+    for block in blocks:
+        if block.marks:
+            block.outside, block.label = True, BAD
+
+
 def _article(blocks: list[Block]) -> bool:
     """Whether the page's article elements hold its article: at least half of the
     good text, or all there is if none is good."""
@@ -299,6 +396,7 @@ def main_text(html: str | None) -> str:
     blocks = blocks_of(html or "")
     for block in blocks:
         block.label = _first_pass(block)
+    _standing(blocks)
     if _article(blocks):
         # The rest is not the article, and says nothing about its neighbours in it.
         blocks = [block for block in blocks if block.main and not block.outside]

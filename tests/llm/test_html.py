@@ -155,3 +155,36 @@ def test_article_elements_that_do_not_hold_the_article():
     assert main_text(page(f"{NAV}{story}{teaser}{FOOT}")).startswith(text)
     # An article that holds most of the page still ends the rest.
     assert main_text(page(f"<article>{story}</article><div><p>{LONG}</p></div>")) == text
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["layout has-sidebar", "no-sidebar", "content-with-ads", "sidebar-layout", "elementor-widget", "post comments-open"],
+)
+def test_layout_wrappers_are_not_boilerplate(wrapper):
+    comments = f'<div class="comments"><p>{LONG}</p></div>'
+    for inner in (f"<article><p>{LONG}</p></article>", f"<p>{LONG}</p>"):
+        assert main_text(page(f'{NAV}<div class="{wrapper}">{inner}{comments}</div>{FOOT}')) == LONG
+
+
+def test_wrappers_with_the_same_word_hold_the_text_together():
+    parts = "".join(f'<div id="widget-{i}"><p>{LONG}</p></div>' for i in range(4))
+    assert main_text(page(f'{parts}<div class="ad"><p>{LONG}</p></div>')) == "\n".join([LONG] * 4)
+
+
+def test_marks_of_headings_and_sections_name_their_subject():
+    ids = ("discussion", "related-work", "search-results", "navigation")
+    for name in ids:
+        heading = f'<article><p>{LONG}</p><h2 id="{name}">Title</h2><p>{LONG}</p></article>'
+        section = f'<article><p>{LONG}</p><section id="{name}"><h2>Title</h2><p>{LONG}</p></section></article>'
+        assert main_text(heading) == main_text(section) == f"{LONG}\nTitle\n{LONG}"
+
+
+def test_marks_stand_where_the_article_is_elsewhere():
+    for mark in ("related-posts", "sidebar", "comments", "ad", "ad-no-border"):
+        rest = f'<div class="{mark}"><p>{LONG}</p></div>'
+        assert main_text(page(f"<article><p>{LONG}</p></article>{rest}")) == LONG
+        assert main_text(page(f"<div><p>{LONG}</p><p>{LONG}</p>{rest}</div>")) == f"{LONG}\n{LONG}"
+    more = f'<div class="comment"><p>{LONG}</p></div>' * 9
+    assert main_text(page(f"<article><p>{LONG}</p></article>{more}")) == LONG
+    assert main_text(page(f'<article><p>{LONG}</p><div id="related">{f"<p>{LONG}</p>" * 5}</div></article>')) == LONG
