@@ -11,14 +11,19 @@ bad, and win a tie.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from genoframe.llm.batches import small_batches
+from genoframe.plans.shared import remove, shared_path
 
 # Element names of HTML by their role.
 SKIPPED = frozenset(
@@ -87,7 +92,7 @@ SECTION_IDS = re.compile(
 )
 # The same for places outside an article; inside it they hold its headings.
 HEADER_MARKS = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.IGNORECASE)
-# Frequent short words of the languages at hand.
+# Frequent short words of some languages; those of others are learnt from the pages.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with be by on not he i this are or his from at "
     "which but have an had they you were their one all we can her has there been if more when "
@@ -120,6 +125,19 @@ LONG_CHARS = 200
 LOW_STOP_WORDS = 0.05
 HIGH_STOP_WORDS = 0.15
 
+# Stop words of a language: short words that make up so much of its text, if it has
+# so many words. Entries that a task holds before it hands them on.
+STOP_LETTERS = 5
+STOP_SHARE = 0.004
+LEAST_WORDS = 2000
+COUNTER_ENTRIES = 100_000
+
+LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})\b", re.IGNORECASE)
+# Characters as wide as two others; they stand for more than one letter.
+WIDE = re.compile("[\u1100-\u11ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\uff00-\uff60]")
+SENTENCE = re.compile(r"[.!?…。！？｡।؟۔։።။][\"'»”’)\]]*$")
+NOTICE = re.compile(r"(?:©|copyright\s+(?:©|\(c\)|[12]\d{3}\b|by\b))", re.IGNORECASE)
+
 GOOD, BAD, OPEN = "good", "bad", "open"
 
 
@@ -142,6 +160,9 @@ class Block:
     outside: bool
     marks: tuple[Mark, ...] = ()
     label: str = OPEN
+    # Of long blocks.
+    words: int = 0
+    stops: int = 0
 
 
 @dataclass
@@ -289,26 +310,74 @@ def blocks_of(html: str) -> list[Block]:
     return page.blocks
 
 
-def _first_pass(block: Block) -> str:
-    length = len(block.text)
-    if block.outside or block.text.startswith(("©", "Copyright ")):
-        return BAD
-    if block.link_chars > MAX_LINK_DENSITY * length:
+def _length(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
+
+
+def _words(text: str) -> list[str]:
+    return [word.strip(".,;:!?\"'()[]%#*$&") for word in text.lower().split()]
+
+
+@lru_cache(1 << 16)
+def _script(letter: str) -> str:
+    return unicodedata.name(letter, "?").split()[0]
+
+
+def _plain(blocks: list[Block]) -> list[Block]:
+    """Long blocks without links."""
+    return [b for b in blocks if not (b.outside or b.link_chars) and _length(b.text) >= SHORT_CHARS]
+
+
+def _language(html: str, plain: list[Block]) -> str:
+    """What a page says about its language, and the script of its long blocks."""
+    said = LANGUAGE.search(html, 0, 4096)
+    letters = (letter for block in plain for letter in block.text[:200] if letter.isalpha())
+    scripts = Counter(map(_script, letters))
+    script = max(sorted(scripts), key=scripts.__getitem__, default="")
+    return f"{said[1].lower() if said else ''} {script}"
+
+
+def _count_stops(blocks: list[Block], stop_words: frozenset[str]) -> bool:
+    """Counts words and stop words of long blocks. Whether the list fits the page."""
+    for block in blocks:
+        if not block.outside and _length(block.text) >= SHORT_CHARS:
+            words = _words(block.text)
+            block.words, block.stops = len(words), sum(word in stop_words for word in words)
+    plain = _plain(blocks)
+    return sum(b.stops for b in plain) >= LOW_STOP_WORDS * sum(b.words for b in plain)
+
+
+def _first_pass(block: Block, fits: bool) -> str:
+    length = _length(block.text)
+    if block.outside or block.link_chars > MAX_LINK_DENSITY * len(block.text):
         return BAD
     if block.heading:
         return OPEN
     if length < SHORT_CHARS:
         return BAD if block.link_chars and not block.main else OPEN
-    words = block.text.lower().split()
-    stops = sum(word.strip(".,;:!?\"'()[]%#*$&") in STOP_WORDS for word in words)
-    if stops >= HIGH_STOP_WORDS * len(words):
+    if block.stops >= HIGH_STOP_WORDS * block.words:
         return GOOD
-    if stops >= LOW_STOP_WORDS * len(words):
+    if block.stops >= LOW_STOP_WORDS * block.words:
         return GOOD if length > LONG_CHARS else OPEN
+    if not fits and not block.link_chars:
+        # Of another language: sentences are text, also where no spaces part words.
+        written = SENTENCE.search(block.text) or len(block.text) > 20 * block.words
+        return GOOD if written else OPEN
     # Text without stop words: inside an article its neighbours decide.
     return OPEN if block.main else BAD
 
 
+def _drop_notices(blocks: list[Block]) -> None:
+    """Short copyright lines behind the last good block are bad."""
+    for block in reversed(blocks):
+        length = _length(block.text)
+        short = length < SHORT_CHARS and block.text.startswith(("©", "Copyright "))
+        if short or (length < LONG_CHARS and NOTICE.match(block.text)):
+            block.label = BAD
+        elif block.label == GOOD:
+            break
+
+
 def _second_pass(blocks: list[Block]) -> None:
     """Undecided blocks: the label of the neighbours if they agree, or of the only
     one. If they do not agree, a heading goes with what follows, others with the
@@ -391,11 +460,16 @@ def _article(blocks: list[Block]) -> bool:
     return bool(inner) and 2 * sum(len(b.text) for b in inner if b.label == GOOD) >= good
 
 
-def main_text(html: str | None) -> str:
-    """The article of a page, its blocks joined by newlines; empty if there is none."""
+def main_text(html: str | None, learnt: Mapping[str, frozenset[str]] = {}) -> str:
+    """The article of a page, its blocks joined by newlines; empty if there is none.
+
+    ``learnt``: stop words by language, beside the fixed ones.
+    """
     blocks = blocks_of(html or "")
+    more = learnt.get(_language(html or "", _plain(blocks))) if learnt else None
+    fits = _count_stops(blocks, STOP_WORDS | more if more else STOP_WORDS)
     for block in blocks:
-        block.label = _first_pass(block)
+        block.label = _first_pass(block, fits)
     _standing(blocks)
     if _article(blocks):
         # The rest is not the article, and says nothing about its neighbours in it.
@@ -405,32 +479,94 @@ def main_text(html: str | None) -> str:
         for block in blocks:
             if block.main:
                 block.main = False
-                block.label = _first_pass(block)
+                block.label = _first_pass(block, fits)
+    _drop_notices(blocks)
     _second_pass(blocks)
     return "\n".join(block.text for block in blocks if block.label == GOOD)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often short words stand in long blocks, by language; the empty word counts all."""
+    counts: Counter[tuple[str, str]] = Counter()
+
+    def rows() -> pa.RecordBatch:
+        columns = {
+            "language": pa.array([key[0] for key in counts], pa.string()),
+            "word": pa.array([key[1] for key in counts], pa.string()),
+            "n": pa.array(list(counts.values()), pa.int64()),
+        }
+        counts.clear()
+        return pa.RecordBatch.from_pydict(columns)
+
     for batch in batches:
-        texts = [main_text(html) for html in batch["html"].to_pylist()]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "page_id": batch["page_id"],
-                "url": batch["url"],
-                "text": pa.array(texts, pa.string()),
-                "n_chars": pa.array([len(text) for text in texts], pa.int64()),
-            }
-        )
+        for html in batch["html"].to_pylist():
+            plain = _plain(blocks_of(html or ""))
+            language = _language(html or "", plain)
+            for block in plain:
+                words = _words(block.text)
+                counts[language, ""] += len(words)
+                for word in words:
+                    if 0 < len(word) <= STOP_LETTERS and word.isalpha():
+                        counts[language, word] += 1
+            if len(counts) > COUNTER_ENTRIES:
+                yield rows()
+    if counts:
+        yield rows()
+
+
+def learn_stop_words(pages: DataFrame) -> dict[str, frozenset[str]]:
+    """Frequent short words of languages to which the fixed list does not fit.
+
+    All pages count. A list has 1 / ``STOP_SHARE`` words at most, and the driver gets
+    the lists alone.
+    """
+    spark = pages.sparkSession
+    folder = shared_path(spark, "words")
+    parts = pages.select("html").mapInArrow(_count_words, "language string, word string, n bigint")
+    parts.groupBy("language", "word").agg(F.sum("n").alias("n")).write.parquet(folder)
+    counts = spark.read.schema("language string, word string, n bigint").parquet(folder)
+    known = F.when(F.col("word").isin(*sorted(STOP_WORDS)), F.col("n")).otherwise(0)
+    totals = counts.groupBy("language").agg(
+        F.sum(F.when(F.col("word") == "", F.col("n"))).alias("total"), F.sum(known).alias("known")
+    )
+    strange = totals.where(
+        (F.col("total") >= LEAST_WORDS) & (F.col("known") < HIGH_STOP_WORDS * F.col("total"))
+    )
+    frequent = counts.where("word <> ''").join(strange, "language").where(
+        F.col("n") >= STOP_SHARE * F.col("total")
+    )
+    found: dict[str, set[str]] = {}
+    for row in frequent.select("language", "word").collect():
+        found.setdefault(row["language"], set()).add(row["word"])
+    remove(spark, folder)
+    return {language: frozenset(words) for language, words in found.items()}
+
+
+def _extract(learnt: Mapping[str, frozenset[str]]):
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(html, learnt) for html in batch["html"].to_pylist()]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "page_id": batch["page_id"],
+                    "url": batch["url"],
+                    "text": pa.array(texts, pa.string()),
+                    "n_chars": pa.array([len(text) for text in texts], pa.int64()),
+                }
+            )
+
+    return extract
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
-    Pages are independent: one pass, no shuffle, a batch of pages in memory. A
-    null or empty page and one without an article have an empty text. Equal pages
+    Two passes: the first counts words for the stop words of languages that are not
+    known, only its counts are shuffled; in the second pages are independent, a batch
+    of them in memory. A null or empty page and one without an article have an empty text. Equal pages
     get equal texts. No pages give no rows; other columns are not read.
     """
     small_batches(pages.sparkSession)
     kinds = {name: pages.schema[name].dataType.simpleString() for name in ("page_id", "url")}
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint"
-    return pages.select("page_id", "url", "html").mapInArrow(_extract, schema)
+    return pages.select("page_id", "url", "html").mapInArrow(_extract(learn_stop_words(pages)), schema)

@@ -3,7 +3,7 @@
 import pytest
 from helpers import rows_of
 
-from genoframe.llm.html import blocks_of, extract_text, main_text
+from genoframe.llm.html import blocks_of, extract_text, learn_stop_words, main_text
 
 LONG = (
     "The river of the town is in the hills and it was long with a bend that is wide, "
@@ -188,3 +188,36 @@ def test_marks_stand_where_the_article_is_elsewhere():
     more = f'<div class="comment"><p>{LONG}</p></div>' * 9
     assert main_text(page(f"<article><p>{LONG}</p></article>{more}")) == LONG
     assert main_text(page(f'<article><p>{LONG}</p><div id="related">{f"<p>{LONG}</p>" * 5}</div></article>')) == LONG
+
+
+RUSSIAN = (
+    "Река города течёт с холмов, и люди, которые живут у неё, говорят, что летом здесь "
+    "лучше всего, потому что вода тёплая, а берег широкий и тихий."
+)
+CHINESE = "这座城市的河流发源于山中，河水宽阔而平静，住在河边的人们都说夏天的时候这里是最好的地方，水很暖和，岸边也很安静。"
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, CHINESE])
+def test_other_languages_without_an_article_element(text):
+    html = page(f"{LINK}<div><h1>1</h1><p>{text}</p><p>{text[:20]}</p><p>{text}</p></div>{LINK}")
+    assert main_text(html) == f"1\n{text}\n{text[:20].strip()}\n{text}"
+
+
+def test_copyright_lines():
+    about = f"Copyright law protects texts. {LONG}"
+    head = "<h2>Copyright law</h2><p>Copyright is old.</p>"
+    html = f"<article><p>{about}</p>{head}<p>{about}</p><p>© 2024 The Site</p></article>"
+    assert main_text(html) == f"{about}\nCopyright law\nCopyright is old.\n{about}"
+
+
+def test_stop_words_are_learnt_from_the_pages(spark):
+    filler = "rzeka miasto wzgórze człowiek chleb niebo trawa kamień ścieżka mosty".split()
+    odd = " ".join(f"{word} {stop}" for word, stop in zip(filler, "się nie jest na że".split() * 2))
+    html = page(f"<p>{odd}</p>" * 4 + f"<p>{' '.join(filler * 2)}</p>")
+    pages = spark.createDataFrame([(i, "u", html) for i in range(40)], "page_id int, url string, html string")
+    learnt = learn_stop_words(pages)
+    assert list(learnt) == ["en LATIN"] and {"się", "nie", "jest", "na", "że"} <= learnt["en LATIN"]
+    english = page(f"<p>{LONG}</p>")
+    assert learn_stop_words(spark.createDataFrame([(english,)] * 100, "html string")) == {}
+    assert {row["text"] for row in extract_text(pages).collect()} == {main_text(html, learnt)}
+    assert odd in main_text(html, learnt)
