@@ -3,7 +3,8 @@
 Letter trigrams give each word a likelihood under each language. A text is a
 mixture: expectation-maximisation finds the proportions of languages that make its
 words most likely, for growing sets of languages, and the set with the best
-likelihood less a penalty for each language is its language set.
+likelihood less a penalty for each language is its language set. Sets grow up to
+all languages, for each text until no larger set can be better.
 """
 
 from __future__ import annotations
@@ -25,8 +26,7 @@ UNKNOWN = "und"
 # Trigrams are hashed into so many buckets per language: half a megabyte each.
 BUCKET_BITS = 16
 SMOOTHING = 0.5
-# Languages of a text, at most, and steps of each fit.
-MAX_LANGUAGES = 4
+# Steps of each fit.
 STEPS = 8
 
 _letters: dict[str, np.ndarray] = {}
@@ -148,6 +148,25 @@ def proportions(
     return share, log_sum
 
 
+def _ceiling(
+    likelihood: np.ndarray, owner: np.ndarray, share: np.ndarray, log_sum: np.ndarray
+) -> np.ndarray:
+    """What no log likelihood of a text can exceed, whatever its proportions.
+
+    The log likelihood is concave: its tangent at ``share`` lies above it.
+    """
+    counts = np.bincount(owner, minlength=len(share))
+    filled = np.flatnonzero(counts)
+    total = np.maximum((likelihood * share.astype(np.float32)[owner]).sum(axis=1), np.float32(1e-30))
+    starts = np.searchsorted(owner, filled)
+    slope = np.add.reduceat(likelihood / total[:, None], starts, axis=0, dtype=np.float64)
+    ceiling = log_sum.copy()
+    # A little more, for sums in single precision.
+    ceiling[filled] += slope.max(axis=1) - counts[filled] * (1 - 1e-4)
+    # The best language of each word has likelihood 1.
+    return np.minimum(ceiling, 0)
+
+
 def identify(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each text's main language, -1 for none, and its proportion."""
     words = Words(texts)
@@ -160,18 +179,32 @@ def identify(texts: list[str | None], logs: np.ndarray) -> tuple[np.ndarray, np.
     likelihood = np.exp(by_word - by_word.max(axis=1, keepdims=True))
     owner = np.repeat(np.arange(len(texts)), counts)
     everything = np.ones((len(texts), logs.shape[1]), dtype=bool)
-    share, _ = proportions(likelihood, owner, everything)
+    share, log_all = proportions(likelihood, owner, everything)
+    ceiling = _ceiling(likelihood, owner, share, log_all)
     # Sets are the first languages by proportion; ties go by name.
     order = np.argsort(-share, axis=1, kind="stable")
     rank = np.argsort(order, axis=1, kind="stable")
+    penalty = 0.5 * np.log(np.maximum(counts, 2))
     highest = np.full(len(texts), -np.inf)
-    result = share
-    for size in range(1, min(MAX_LANGUAGES, logs.shape[1]) + 1):
-        fitted, log_sum = proportions(likelihood, owner, rank < size)
-        penalised = log_sum - 0.5 * size * np.log(np.maximum(counts, 2))
-        better = penalised > highest
-        highest = np.where(better, penalised, highest)
-        result = np.where(better[:, None], fitted, result)
+    result = share.copy()
+    for size in range(1, logs.shape[1] + 1):
+        # Texts for which a set of this size or a larger one can still be the best.
+        going = np.flatnonzero((counts > 0) & (ceiling - size * penalty > highest))
+        if not len(going):
+            break
+        if size == logs.shape[1]:
+            fitted, log_sum = share[going], log_all[going]
+        else:
+            chosen = np.zeros(len(texts), dtype=bool)
+            chosen[going] = True
+            rows = chosen[owner]
+            fitted, log_sum = proportions(
+                likelihood[rows], (np.cumsum(chosen) - 1)[owner[rows]], rank[going] < size
+            )
+        penalised = log_sum - size * penalty[going]
+        better = penalised > highest[going]
+        highest[going[better]] = penalised[better]
+        result[going[better]] = fitted[better]
     some = counts > 0
     best[some] = result.argmax(axis=1)[some]
     score[some] = np.clip(result.max(axis=1)[some], 0, 1)

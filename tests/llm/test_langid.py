@@ -89,3 +89,38 @@ def test_odd_tables(spark):
     found = langid.predict_language(mixed)
     assert found.where("lang_pred = 'aa'").count() > 1
     assert found.where("lang_pred = 'und'").count() == 3
+
+
+def many_languages():
+    """Seven languages of letters of their own, their logs of trigrams, and a writer."""
+    pick = random.Random(3)
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx", "yzäö"]
+
+    def write(k, words):
+        return " ".join("".join(pick.choices(letters[k], k=pick.randint(3, 8))) for _ in range(words))
+
+    counts = np.zeros((7, 1 << langid.BUCKET_BITS))
+    for k in range(7):
+        np.add.at(counts[k], langid.Words([write(k, 2000)]).buckets, 1)
+    smooth = counts + langid.SMOOTHING
+    return np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32).T.copy(), write
+
+
+@pytest.mark.parametrize("used", [1, 4, 5, 7])
+def test_texts_in_many_languages(used):
+    logs, write = many_languages()
+    text = " ".join(write(k, 90 if k == 2 else 40) for k in [2, 0, 1, 3, 4, 5, 6][:used])
+    best, score = langid.identify([text, None, text], logs)
+    assert best.tolist() == [2, -1, 2]
+    assert score[0] == score[2] == pytest.approx(90 / (90 + 40 * (used - 1)), abs=0.02)
+
+
+def test_search_ends_only_where_no_set_can_be_better(monkeypatch):
+    pick = np.random.default_rng(4)
+    logs = np.log(pick.dirichlet(np.full(1 << langid.BUCKET_BITS, 0.3), 6) + 1e-7).astype(np.float32).T
+    texts = ["".join(pick.choice(list("abcde  "), size)) for size in (3, 20, 80, 300, 900)]
+    found = langid.identify(texts, logs)
+    monkeypatch.setattr(langid, "_ceiling", lambda *args: np.full(len(texts), np.inf))
+    whole = langid.identify(texts, logs)
+    assert found[0].tolist() == whole[0].tolist()
+    assert found[1] == pytest.approx(whole[1], abs=1e-6)
