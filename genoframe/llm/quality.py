@@ -1,7 +1,8 @@
 """Quality rules as a short-circuit cascade of SQL expressions.
 
-Each rule's rejections and cost are estimated on a sample; the rule that rejects
-most per cost is asked first, and a document that it rejects is asked no other.
+Each rule's rejections are counted on a sample, its cost is a fixed estimate for
+the sample's mean length; the rule that rejects most per cost is asked first, and
+a document that it rejects is asked no other.
 The order decides what is computed and which rule is named, never the verdict.
 """
 
