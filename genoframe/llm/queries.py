@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from genoframe.llm import exact, html, jaccard, langid, mixing, packing, quality, tokens, toxicity, urls
+from genoframe.llm import (
+    attention,
+    exact,
+    fim,
+    html,
+    jaccard,
+    langid,
+    mixing,
+    packing,
+    quality,
+    tokens,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +78,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(_documents(spark, sf_dir))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score_quality(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(_documents(spark, sf_dir), digests=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -75,7 +96,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Query, ...] = (
     op1_mixing, op2_quality, op3_html, op4_ngram_jaccard, op5_token_counts, op6_url_filters,
-    op7_toxicity, op8_packing, op9_exact_dedup, op10_language_id, pipeline,
+    op7_toxicity, op8_packing, op9_exact_dedup, op10_language_id,
+    op11_quality_classifier, op12_fill_in_middle, pipeline,
 )
 
 
@@ -252,6 +274,43 @@ GROUP BY sets.doc_id, grams
 """
 
 
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''),
+           '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+  FROM documents
+),
+drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || draw[1:8] AS BIGINT) AS h1,
+         CAST('0x' || draw[9:16] AS BIGINT) AS h2, CAST('0x' || draw[17:24] AS BIGINT) AS h3,
+         CAST('0x' || draw[25:32] AS BIGINT) AS h4
+  FROM texts
+),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR h3 % 100 >= 50 OR regexp_matches(text, '<[PSM]>') THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+),
+parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix,
+         array_to_string(units[low + 1:high], '') AS middle,
+         array_to_string(units[high + 1:], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         "op1_mixing": OP1_SQL,
@@ -259,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_ngram_jaccard": OP4_SQL,
         "op6_url_filters": OP6_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op12_fill_in_middle": OP12_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
