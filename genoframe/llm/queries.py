@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from genoframe.llm import (
     attention,
+    conversations,
     exact,
     fim,
     html,
@@ -86,6 +87,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(_documents(spark, sf_dir), digests=True)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair_digests(conversations.damaged(turns))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -97,7 +103,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Query, ...] = (
     op1_mixing, op2_quality, op3_html, op4_ngram_jaccard, op5_token_counts, op6_url_filters,
     op7_toxicity, op8_packing, op9_exact_dedup, op10_language_id,
-    op11_quality_classifier, op12_fill_in_middle, pipeline,
+    op11_quality_classifier, op12_fill_in_middle, op13_conversation_repair, pipeline,
 )
 
 
@@ -311,6 +317,106 @@ FROM parts
 """
 
 
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS codes
+),
+keyed AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, coalesce(role, ' ') AS role,
+         coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+),
+parts AS (
+  SELECT keyed.*, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(string_split(key, ''), lambda k: ascii(k))),
+           lambda x, y: xor(x >> 8, codes[1 + (xor(x, y) & 255)]))) % 20 AS part
+  FROM keyed, crc
+),
+hurt AS (
+  SELECT c, turn, CASE part WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE part WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE part WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM parts
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         role[1:1] AS initial,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS unended
+  FROM hurt
+),
+repeats AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS duplicate,
+         lag(initial) OVER (PARTITION BY c ORDER BY i) AS before
+  FROM placed
+),
+rows AS (
+  SELECT *, NOT blank AND NOT duplicate AND unended AS truncated, blank OR duplicate AS forced,
+         i > 1 AND before || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM repeats
+),
+totals AS (
+  SELECT c, max(i) AS n, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM rows GROUP BY c
+),
+back(c, i, b0, b1, b2, b3) AS (
+  SELECT c, n + 1, 0, 10, 5, 0 FROM totals
+  UNION ALL
+  SELECT c, i, least(e0, 5 + e2, 10 + e3), least(e1, 5 + e2, 10 + e3), least(e2, 5 + e3), least(e3, 5 + e2)
+  FROM (
+    SELECT r.c, r.i,
+           least(2 + b0, CASE WHEN forced THEN 999 ELSE least(1 + b2, CASE initial WHEN 's' THEN b1 WHEN 'u' THEN b2 ELSE 999 END) + CASE WHEN truncated THEN 5 ELSE 0 END END) AS e0,
+           least(2 + b1, CASE WHEN forced THEN 999 ELSE least(1 + b2, CASE initial WHEN 'u' THEN b2 ELSE 999 END) + CASE WHEN truncated THEN 5 ELSE 0 END END) AS e1,
+           least(2 + b2, CASE WHEN forced THEN 999 ELSE least(1 + b3, CASE initial WHEN 'a' THEN b3 ELSE 999 END) + CASE WHEN truncated THEN 5 ELSE 0 END END) AS e2,
+           least(2 + b3, CASE WHEN forced THEN 999 ELSE least(1 + b2, CASE initial WHEN 'u' THEN b2 ELSE 999 END) + CASE WHEN truncated THEN 5 ELSE 0 END END) AS e3
+    FROM back JOIN rows r ON r.c = back.c AND r.i = back.i - 1
+  )
+),
+places AS (
+  SELECT b.c, b.i, [b.b0, b.b1, b.b2, b.b3] AS here, [a.b0, a.b1, a.b2, a.b3] AS after, r.* EXCLUDE (c, i)
+  FROM back b LEFT JOIN back a ON a.c = b.c AND a.i = b.i + 1 LEFT JOIN rows r ON r.c = b.c AND r.i = b.i
+),
+walk(c, i, s, audit, lines) AS (
+  SELECT c, CAST(1 AS BIGINT), 0, '', CAST([] AS VARCHAR[]) FROM totals
+  UNION ALL
+  SELECT c, CASE op WHEN 'I' THEN i ELSE i + 1 END,
+         CASE op WHEN 'D' THEN s WHEN 'K' THEN kept_to ELSE turn_to END, audit || op,
+         CASE op WHEN 'D' THEN lines WHEN 'K' THEN lines || [role || ':' || text]
+           WHEN 'R' THEN lines || [turn_name || ':' || text] ELSE lines || [turn_name || ':'] END
+  FROM (
+    SELECT *, CASE WHEN after IS NULL THEN 'I'
+                WHEN here[s + 1] = 2 + after[s + 1] THEN 'D'
+                WHEN here[s + 1] = 5 + here[turn_to + 1] THEN 'I'
+                WHEN here[s + 1] = CASE WHEN truncated THEN 5 ELSE 0 END + after[kept_to + 1] THEN 'K'
+                ELSE 'R' END AS op
+    FROM (
+      SELECT walk.*, p.* EXCLUDE (c, i), CASE s WHEN 2 THEN 3 ELSE 2 END AS turn_to,
+             CASE s WHEN 2 THEN 'assistant' ELSE 'user' END AS turn_name,
+             CASE WHEN s = 0 AND initial = 's' THEN 1 WHEN s <> 2 AND initial = 'u' THEN 2
+                  WHEN s = 2 AND initial = 'a' THEN 3 END AS kept_to
+      FROM walk JOIN places p USING (c, i)
+      WHERE after IS NOT NULL OR s IN (1, 2)
+    )
+  )
+),
+ends AS (
+  SELECT walk.c, audit, array_to_string(lines, chr(10)) AS text
+  FROM walk JOIN totals ON walk.c = totals.c AND walk.i = n + 1 WHERE s IN (0, 3)
+),
+costs AS (SELECT back.c, CAST(b0 AS BIGINT) AS cost FROM back WHERE i = 1)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM keyed) LEFT JOIN totals USING (c) LEFT JOIN ends USING (c)
+     LEFT JOIN costs USING (c)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         "op1_mixing": OP1_SQL,
@@ -319,6 +425,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filters": OP6_SQL,
         "op9_exact_dedup": OP9_SQL,
         "op12_fill_in_middle": OP12_SQL,
+        "op13_conversation_repair": OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,108 @@
+"""Least edits against a search over all states with whole strings."""
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from genoframe.llm import viterbi
+
+
+def plain_least(codes):
+    """(cost, letters) of the cheapest and then least string of edits, row by row."""
+
+    def ahead(state, initial):
+        return {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}.get((state, initial))
+
+    def with_inserts(table):
+        for _ in range(4):
+            for state in range(4):
+                for turn in "ua":
+                    to = ahead(state, turn)
+                    if to is not None and table[to] is not None:
+                        cost, letters = table[to]
+                        found = (cost + 5, "I" + letters)
+                        table[state] = found if table[state] is None else min(table[state], found)
+        return table
+
+    table = with_inserts([(0, ""), None, None, (0, "")])
+    for code in reversed(codes):
+        initial, left = "sua?"[code // 2], 5 * (code % 2)
+        before = []
+        for state in range(4):
+            options = [(table[state][0] + 2, "D" + table[state][1])]
+            kept = ahead(state, initial)
+            if kept is not None:
+                options.append((table[kept][0] + left, "K" + table[kept][1]))
+            for turn in "ua":
+                to = ahead(state, turn)
+                if to is not None:
+                    options.append((table[to][0] + 1 + left, "R" + table[to][1]))
+            before.append(min(options))
+        table = with_inserts(before)
+    return table[0]
+
+
+def letters(codes, offsets, solution):
+    """(cost, letters) of each conversation of a solution."""
+    found = []
+    for c, (low, high) in enumerate(zip(offsets[:-1], offsets[1:])):
+        text, cost = "", 0
+        for i in range(low, high):
+            op = viterbi.OPS[solution.op[i]]
+            text += "I" * solution.inserted[i] + op
+            cost += 5 * solution.inserted[i] + {"D": 2, "R": 1, "K": 0}[op]
+            cost += 5 * (codes[i] % 2) * (op != "D")
+        extra = int(viterbi.ENDING[solution.last[c]])
+        found.append((cost + 5 * extra, text + "I" * extra))
+    return found
+
+
+CODES = st.lists(st.integers(0, 7), max_size=40)
+
+
+@given(st.lists(CODES, max_size=5), st.sampled_from([1, 2, 3, 7, None]))
+@settings(max_examples=400, deadline=None)
+def test_least_edits(conversations, size):
+    codes = np.array([c for conv in conversations for c in conv], dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum([len(c) for c in conversations])]).astype(np.int64)
+    solution = viterbi.solve(codes, offsets, size=size)
+    assert letters(codes, offsets, solution) == [plain_least(c) for c in conversations]
+
+
+@given(CODES, CODES, CODES)
+@settings(max_examples=150, deadline=None)
+def test_parts_of_one_conversation(first, second, third):
+    """Parts solved apart, with the vectors and states that they hand on."""
+    parts = [np.array(p, dtype=np.int64) for p in (first, second, third)]
+    ends = [viterbi.END]
+    for part in reversed(parts[1:]):
+        ends.insert(0, (viterbi.transfer(part) + ends[0]).min(axis=1))
+    entry, text, cost = 0, "", 0
+    for part, end in zip(parts, ends):
+        offsets = np.array([0, len(part)])
+        solution = viterbi.solve(part, offsets, end[None, :], np.array([entry]))
+        assert solution.last[0] == viterbi.exits(part, end)[entry]
+        entry = solution.last[0]
+        for i, code in enumerate(part):
+            op = viterbi.OPS[solution.op[i]]
+            text += "I" * solution.inserted[i] + op
+            cost += 5 * solution.inserted[i] + {"D": 2, "R": 1, "K": 0}[op] + 5 * (code % 2) * (op != "D")
+    extra = int(viterbi.ENDING[entry])
+    assert (cost + 5 * extra, text + "I" * extra) == plain_least([*map(int, np.concatenate(parts))])
+
+
+@pytest.mark.parametrize("unit", [[2, 4], [3, 5], [3], [6, 7], [0]])
+def test_long_conversations(unit):
+    """Chunks that settle at once and such that hand everything on."""
+    codes = np.array(unit * (3000 // len(unit)), dtype=np.int64)
+    offsets = np.array([0, len(codes)])
+    assert letters(codes, offsets, viterbi.solve(codes, offsets)) == [plain_least([*map(int, codes)])]
+
+
+def test_most_chunks_need_no_fix_up():
+    """Chunks with turns of both roles forget what they started from."""
+    rng = np.random.default_rng(0)
+    codes = rng.choice([2, 4, 2, 4, 0, 3, 5], size=200_000)
+    solution = viterbi.solve(codes, np.array([0, len(codes)]))
+    assert solution.passes <= 2
