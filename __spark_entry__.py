@@ -265,6 +265,36 @@ def region_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inside.select("contig", "start", F.col("end").alias("end_pos"))
 
 
+def regions_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of every order, many per variant, some on places that all variants share."""
+    regions = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "concat('chr', 1 + o_custkey % 7) AS chrom", "o_orderkey AS region_start",
+        "o_orderkey + CASE o_orderkey % 50 WHEN 0 THEN 3000 ELSE 4 END AS region_end",
+    )
+    names = {"contig": "chrom", "start": "region_start", "end": "region_end"}
+    variants = _variants(spark, sf_dir).select("contig", "start", "end", "referenceAllele")
+    found = None
+    for way, options in REGION_WAYS.items():
+        pairs = gf.join_regions(variants, regions, **names, **options)
+        counted = pairs.groupBy("contig", F.col("region.region_start").alias("region_start")).agg(
+            F.count("*").alias("n"), F.sum("start").alias("sum_start")
+        )
+        counted = counted.withColumn("way", F.lit(way))
+        found = counted if found is None else found.union(counted)
+    return found
+
+
+def region_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region out of files by place; the manifest knows every variant."""
+    folder = f"{_scratch(spark)}/by-region"
+    gf.save_by_region(_variants(spark, sf_dir).select("contig", "start", "end", "referenceAllele", "qual"), folder)
+    known = spark.read.parquet(f"{folder}/_regions").agg(F.sum("variants").alias("n")).first()["n"]
+    inside = gf.region_from_table(spark, folder, "chr3", 100, 5000)
+    return inside.select(
+        "contig", "start", F.col("end").alias("end_pos"), "qual", F.lit(known).alias("n_saved")
+    )
+
+
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gf.min_quality(_variants(spark, sf_dir), 50000.0).select("contig", "start", "qual")
 
@@ -567,6 +597,12 @@ def header_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 HEADER_WAYS = {
     "heads": {}, "scan": {"scan_headers": True}, "salted": {"max_broadcast_bytes": 0},
 }
+# Broadcast regions and shuffled bins with the hot ones split, each by both tests.
+REGION_WAYS = {
+    "within": {}, "overlap": {"overlap": True},
+    "within_shuffled": {"max_broadcast_bytes": 0, "hot_variants": 1000},
+    "overlap_shuffled": {"overlap": True, "max_broadcast_bytes": 0, "hot_variants": 1000},
+}
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     scan_count, discover_dir_count, missing_path_empty, gzip_scan, scanned_headers,
     looked_up_headers, salted_headers, header_samples, header_metadata, header_heads,
@@ -578,7 +614,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     stream_append, stream_equals_batch, foreach_batch, flatten_info, split_multiallelic,
     header_join, save_fails_if_exists, save_in_partitions, padded_lines, headless_files,
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
-    genotype_rows, stream_values, split_per_allele,
+    genotype_rows, stream_values, split_per_allele, regions_join, region_from_table,
 )
 
 
@@ -745,6 +781,26 @@ declared AS (
         "region_filter": f"""WITH {_VARIANTS}
             SELECT contig, "start", end_pos FROM variants
             WHERE contig = 'chr3' AND "start" >= 100 AND end_pos <= 5000""",
+        "regions_join": f"""WITH {_VARIANTS},
+            regions AS (
+              SELECT 'chr' || (1 + o_custkey % 7) AS chrom, o_orderkey AS a,
+                     o_orderkey + CASE o_orderkey % 50 WHEN 0 THEN 3000 ELSE 4 END AS b
+              FROM orders
+            ),
+            pairs AS (
+              SELECT contig, a, "start", 'within' AS way FROM variants JOIN regions
+                ON contig = chrom AND "start" >= a AND end_pos <= b
+              UNION ALL
+              SELECT contig, a, "start", 'overlap' FROM variants JOIN regions
+                ON contig = chrom AND "start" < b AND end_pos > a
+            )
+            SELECT contig, a AS region_start, count(*) AS n, CAST(sum("start") AS BIGINT) AS sum_start,
+                   way || suffix AS way
+            FROM pairs, (SELECT unnest(['', '_shuffled']) AS suffix) GROUP BY contig, a, way, suffix""",
+        "region_from_table": f"""WITH {_VARIANTS}
+            SELECT contig, "start", end_pos, qual,
+                   (SELECT CAST(count(*) AS BIGINT) FROM variants) AS n_saved FROM variants
+            WHERE contig = 'chr3' AND "start" >= 100 AND end_pos <= 5000""",
         "quality_filter": f"""WITH {_VARIANTS}
             SELECT contig, "start", qual FROM variants WHERE qual > 50000""",
         "variants_per_file": f"""WITH {_VARIANTS}

@@ -1,6 +1,8 @@
 """VCF files as Spark DataFrames and streams."""
 
 from genoframe.operators.genotypes import explode_genotypes, genotype_details
+from genoframe.operators.layout import region_from_table, save_by_region
+from genoframe.operators.regions import join_regions
 from genoframe.operators.tables import read_variants, save_variants
 from genoframe.operators.variants import (
     declared_info_types,
@@ -29,6 +31,7 @@ __all__ = [
     "in_region",
     "info_field",
     "join_header",
+    "join_regions",
     "min_quality",
     "parse_vcf_lines",
     "per_allele_numbers",
@@ -38,8 +41,10 @@ __all__ = [
     "read_vcf_header",
     "read_vcf_lines",
     "read_vcf_stream",
+    "region_from_table",
     "rejected_lines",
     "sample_ids",
+    "save_by_region",
     "save_variants",
     "split_multiallelic",
     "variant_field",
