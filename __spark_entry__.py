@@ -550,6 +550,68 @@ def foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_contig(spark.read.parquet(f"{root}/out"))
 
 
+def _mounted(spark: SparkSession, folder: str) -> str:
+    """The folder under a scheme that Hadoop's client knows and Python workers do not."""
+    name = f"mount{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    located = hadoop.Path(folder)
+    qualified = located.getFileSystem(conf).makeQualified(located).toString()
+    conf.set(f"fs.viewfs.mounttable.{name}.link./data", qualified)
+    return f"viewfs://{name}/data"
+
+
+def stream_native_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over storage that only the JVM opens; its second run sees new files."""
+    root = _scratch(spark)
+    lineitem = _lineitem(spark, sf_dir)
+    mounted = None
+    for run, wanted in enumerate((F.col("l_returnflag") == "N", F.col("l_returnflag") != "N")):
+        synth.write_vcf_files(synth.record_lines_of(lineitem.where(wanted)), f"{root}/data/in/{run}")
+        mounted = mounted or _mounted(spark, f"{root}/data")
+        stream = gf.read_vcf_stream(
+            spark, f"{mounted}/in", relay=f"{mounted}/relay", maxFilesPerTrigger=3,
+            includeSampleIds="S1,S3",
+        )
+        _run_to_end(stream, f"{root}/out", f"{root}/checkpoint")
+    return gf.explode_genotypes(spark.read.parquet(f"{root}/out")).select(
+        "contig", "start", F.col("genotype.sampleId").alias("sample_id"),
+        _joined("genotype.calls").alias("calls"),
+    )
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts over two runs with one checkpoint, in the state of the query."""
+    root = _scratch(spark)
+    lineitem = _lineitem(spark, sf_dir)
+    for run, wanted in enumerate((F.col("l_returnflag") == "N", F.col("l_returnflag") != "N")):
+        synth.write_vcf_files(synth.record_lines_of(lineitem.where(wanted)), f"{root}/in/{run}")
+        stream = gf.read_vcf_stream(spark, f"{root}/in", maxFilesPerTrigger=2)
+        writer = gf.count_stream(stream, f"{root}/counts", ("contig",))
+        query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return gf.latest_counts(spark, f"{root}/counts", stream.select("contig").schema)
+
+
+def stream_commit_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that run twice, and a second query that lost its checkpoint, add no rows."""
+    root = _scratch(spark)
+    folder = _written(spark, sf_dir)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        gf.commit_batch(batch, batch_id, f"{root}/out")
+        gf.commit_batch(batch, batch_id, f"{root}/out")
+
+    writers = {
+        "twice": gf.foreach_vcf_batch(spark, folder, twice, maxFilesPerTrigger=3),
+        "lost": gf.write_vcf_once(spark, folder, f"{root}/out", maxFilesPerTrigger=3),
+    }
+    for name, writer in writers.items():
+        writer = writer.option("checkpointLocation", f"{root}/checkpoint-{name}")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return _by_contig(gf.read_committed(spark, f"{root}/out", gf.vcf_schema()))
+
+
 def flatten_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = gf.declared_info_types(gf.vcf_header(_lines(spark, sf_dir)))
     flat = gf.flatten_info(_variants(spark, sf_dir), types)
@@ -615,6 +677,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     header_join, save_fails_if_exists, save_in_partitions, padded_lines, headless_files,
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
     genotype_rows, stream_values, split_per_allele, regions_join, region_from_table,
+    stream_native_headers, stream_counts, stream_commit_once,
 )
 
 
@@ -819,6 +882,11 @@ declared AS (
             SELECT contig, count(*) AS n_stream, count(*) AS n_batch, true AS same
             FROM variants GROUP BY contig""",
         "foreach_batch": _BY_CONTIG,
+        "stream_native_headers": f"""WITH {_GENOTYPES}
+            SELECT contig, "start", sample_id, calls FROM genotypes WHERE sample_id <> 'S2'""",
+        "stream_counts": f"""WITH {_VARIANTS}
+            SELECT contig, count(*) AS "count" FROM variants GROUP BY contig""",
+        "stream_commit_once": _BY_CONTIG,
         "flatten_info": f"""WITH {_VARIANTS}
             SELECT contig, "start", depth AS info_dp, 'G' || l_suppkey AS info_gene,
             CASE WHEN l_linestatus = 'O' THEN true END AS info_db, l_discount AS info_af_first

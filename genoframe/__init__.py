@@ -20,9 +20,13 @@ from genoframe.plans.parse import parse_vcf_lines, rejected_lines
 from genoframe.schema import vcf_schema
 from genoframe.sources.headers import read_vcf_header, sample_ids, vcf_header
 from genoframe.sources.reader import read_genotypes, read_vcf, read_vcf_lines
-from genoframe.streaming.reader import foreach_vcf_batch, read_vcf_stream
+from genoframe.streaming.commit import commit_batch, read_committed, read_committed_stream
+from genoframe.streaming.counts import count_stream, latest_counts
+from genoframe.streaming.reader import foreach_vcf_batch, read_vcf_stream, relay_vcf, write_vcf_once
 
 __all__ = [
+    "commit_batch",
+    "count_stream",
     "declared_info_types",
     "explode_genotypes",
     "flatten_info",
@@ -32,9 +36,12 @@ __all__ = [
     "info_field",
     "join_header",
     "join_regions",
+    "latest_counts",
     "min_quality",
     "parse_vcf_lines",
     "per_allele_numbers",
+    "read_committed",
+    "read_committed_stream",
     "read_genotypes",
     "read_variants",
     "read_vcf",
@@ -43,6 +50,7 @@ __all__ = [
     "read_vcf_stream",
     "region_from_table",
     "rejected_lines",
+    "relay_vcf",
     "sample_ids",
     "save_by_region",
     "save_variants",
@@ -51,4 +59,5 @@ __all__ = [
     "variants_per_file",
     "vcf_header",
     "vcf_schema",
+    "write_vcf_once",
 ]

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from genoframe.options import VcfOptions
 from genoframe.plans.header_join import join_headers_once, look_up_headers
 from genoframe.plans.parse import record_lines, vcf_columns
 from genoframe.plans.shared import remove, shared_path
+from genoframe.schema import vcf_schema
 from genoframe.sources.headers import sample_ids
 from genoframe.sources.heads import can_open
 from genoframe.sources.lines import vcf_lines_stream
 from genoframe.sources.paths import VcfPath, resolve
+from genoframe.streaming.commit import commit_batch, committed, read_committed_stream
 
 # Options that belong to Spark's streaming file source.
 STREAM_OPTIONS = (
@@ -42,44 +44,104 @@ def _existing(spark: SparkSession, path: str) -> VcfPath:
     return source
 
 
-def read_vcf_stream(spark: SparkSession, path: str, **options: object) -> DataFrame:
+def read_vcf_stream(
+    spark: SparkSession, path: str, relay: str | None = None, **options: object
+) -> DataFrame:
     """Stream the records of a file or directory, each exactly once.
 
     Takes the options of ``read_vcf`` and those of Spark's file stream source,
     such as ``maxFilesPerTrigger``. Files must be complete when they appear. Each
-    task reads the heads of its files; storage that Python workers cannot open is
-    refused here, and ``foreach_vcf_batch`` reads it.
+    task reads the heads of its files.
+
+    Storage that Python workers cannot open needs a ``relay``, a folder of its own:
+    ``relay_vcf`` fills it, here once with all that is there, and the stream reads it.
+    Keep a ``relay_vcf`` query running to stream what appears later. Without a relay
+    such storage is refused; ``foreach_vcf_batch`` and ``write_vcf_once`` read it too.
     """
     source_options, reader_options = _split_options(options)
     parsed = VcfOptions.parse(reader_options)
     source = _existing(spark, path)
+    if relay is not None:
+        relay_vcf(spark, path, relay, **options).awaitTermination()
+        return read_committed_stream(spark, relay, vcf_schema())
     problem = can_open(source.root)
     if problem:
-        raise ValueError(f"workers cannot open {path}, use foreach_vcf_batch: {problem}")
+        raise ValueError(
+            f"workers cannot open {path}, name a relay or use foreach_vcf_batch: {problem}"
+        )
     lines = vcf_lines_stream(spark, source, source_options)
     return vcf_columns(look_up_headers(record_lines(lines), parsed), parsed)
 
 
+def relay_vcf(
+    spark: SparkSession,
+    path: str,
+    relay: str,
+    trigger: dict[str, object] | None = None,
+    **options: object,
+) -> StreamingQuery:
+    """Start the query that puts the parsed records of a stream into the relay folder.
+
+    Heads are found in the micro-batch by Spark itself, stored, and joined to its
+    lines, with no Python in any task. Every batch enters the folder once; progress is
+    in the folder too, so the query can be started again at any time. By default it
+    ends with what is there; ``trigger`` takes those of ``DataStreamWriter.trigger``.
+    """
+    writer = write_vcf_once(spark, path, relay, scan_headers=True, **options)
+    started = writer.option("checkpointLocation", f"{relay}/_checkpoint")
+    return started.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def write_vcf_once(
+    spark: SparkSession,
+    path: str,
+    folder: str,
+    process: Callable[[DataFrame, int], DataFrame] | None = None,
+    scan_headers: bool = False,
+    **options: object,
+) -> DataStreamWriter:
+    """Stream writer that puts the parsed records into ``folder``, each batch once.
+
+    ``process`` may turn a batch into other rows first; it runs again if the batch does.
+    A batch that is in the folder is skipped before it is parsed. Start the writer with
+    one checkpoint location per folder; ``read_committed`` reads the rows.
+    """
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        rows = batch if process is None else process(batch, batch_id)
+        commit_batch(rows, batch_id, folder)
+
+    def is_done(batch_id: int) -> bool:
+        return committed(spark, folder, batch_id)
+
+    return foreach_vcf_batch(spark, path, commit, scan_headers, is_done, **options)
+
+
 def foreach_vcf_batch(
     spark: SparkSession,
     path: str,
     process: Callable[[DataFrame, int], None],
+    scan_headers: bool = False,
+    is_done: Callable[[int], bool] | None = None,
     **options: object,
 ) -> DataStreamWriter:
     """Stream writer that hands every micro-batch to ``process`` as parsed rows.
 
-    Where workers can open the files, they read the heads. Elsewhere the headers
-    are found in the micro-batch, which holds whole files, and kept in the shared
-    folder until ``process`` returns. Start it with the trigger and checkpoint
-    location of your choice.
+    Where workers can open the files, they read the heads. Elsewhere, or with
+    ``scan_headers``, the headers are found in the micro-batch, which holds whole
+    files, and kept in the shared folder until ``process`` returns. Batches that
+    ``is_done`` knows are left out. Start it with the trigger and checkpoint location
+    of your choice.
     """
     source_options, reader_options = _split_options(options)
     parsed = VcfOptions.parse(reader_options)
     source = _existing(spark, path)
     lines = vcf_lines_stream(spark, source, source_options)
-    opens = can_open(source.root) is None
+    opens = not scan_headers and can_open(source.root) is None
 
     def parse_batch(batch: DataFrame, batch_id: int) -> None:
+        if is_done is not None and is_done(batch_id):
+            return
         if opens:
             staged = look_up_headers(record_lines(batch), parsed)
             process(vcf_columns(staged, parsed), batch_id)

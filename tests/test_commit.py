@@ -1,0 +1,189 @@
+"""Batches enter a folder once; streams on storage that only the JVM opens; counts."""
+
+import uuid
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from conftest import vcf_text, write_vcf
+from genoframe import (
+    commit_batch,
+    count_stream,
+    foreach_vcf_batch,
+    latest_counts,
+    read_committed,
+    read_vcf,
+    read_vcf_stream,
+    relay_vcf,
+    vcf_schema,
+    write_vcf_once,
+)
+from genoframe.schema import StructType
+
+
+def rows_of(df):
+    return sorted(row[0] for row in df.selectExpr("to_json(struct(*))").collect())
+
+
+def run(writer, checkpoint):
+    query = writer.option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for i in range(6):
+        records = [f"{i % 2} {100 * i + n} . A G 5 PASS DP={n} GT:DP 0/1:{n} ." for n in range(1, 9)]
+        write_vcf(tmp_path / f"in/{i}.vcf", vcf_text(records, (f"S{i}", f"T{i}")))
+    return tmp_path / "in"
+
+
+@pytest.fixture
+def mounted(spark, folder):
+    """The folder under a scheme that Python workers do not know."""
+    name = f"m{uuid.uuid4().hex}"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.{name}.link./data", f"file://{folder.parent}")
+    return f"viewfs://{name}/data/in"
+
+
+def test_replay_after_the_commit(spark, tmp_path, folder):
+    """The batch is in the folder, but the query fails before it says so."""
+    failing = {1}
+
+    def commit(batch, batch_id):
+        commit_batch(batch, batch_id, str(tmp_path / "out"))
+        if batch_id in failing:
+            failing.remove(batch_id)
+            raise RuntimeError("lost")
+
+    for expected in (StreamingQueryException, None):
+        writer = foreach_vcf_batch(spark, str(folder), commit, maxFilesPerTrigger=2)
+        if expected:
+            with pytest.raises(expected):
+                run(writer, tmp_path / "cp")
+            assert read_committed(spark, str(tmp_path / "out"), vcf_schema()).count() == 32
+        else:
+            run(writer, tmp_path / "cp")
+    saved = read_committed(spark, str(tmp_path / "out"), vcf_schema())
+    assert rows_of(saved.drop("batch")) == rows_of(read_vcf(spark, str(folder)))
+    assert {r["batch"] for r in saved.collect()} == {0, 1, 2}
+
+
+def test_replay_before_the_rename(spark, tmp_path, folder, monkeypatch):
+    """What was staged is not seen, and goes when the batch runs again."""
+    from genoframe.streaming import commit as module
+
+    real = module._located
+    out = tmp_path / "out"
+
+    def broken(spark, path):
+        if path.endswith("batch=0") and list(out.glob("_staging/0-*/*.parquet")):
+            raise RuntimeError("lost")
+        return real(spark, path)
+
+    monkeypatch.setattr(module, "_located", broken)
+    with pytest.raises(StreamingQueryException):
+        run(write_vcf_once(spark, str(folder), str(out)), tmp_path / "cp")
+    assert list(out.glob("_staging/0-*/*.parquet"))
+    assert read_committed(spark, str(out), vcf_schema()).count() == 0
+    monkeypatch.setattr(module, "_located", real)
+    run(write_vcf_once(spark, str(folder), str(out)), tmp_path / "cp")
+    assert rows_of(read_committed(spark, str(out), vcf_schema()).drop("batch")) == rows_of(read_vcf(spark, str(folder)))
+    assert not list(out.glob("_staging/*"))
+
+
+def test_known_batches_are_not_processed(spark, tmp_path, folder):
+    seen = []
+
+    def narrow(batch, batch_id):
+        seen.append(batch_id)
+        return batch.select("contig", "start")
+
+    for checkpoint in ("cp", "lost checkpoint"):
+        run(write_vcf_once(spark, str(folder), str(tmp_path / "out"), narrow), tmp_path / checkpoint)
+    assert seen == [0]
+    schema = StructType(vcf_schema().fields[:2])
+    assert read_committed(spark, str(tmp_path / "out"), schema).count() == 48
+    assert not commit_batch(read_vcf(spark, str(folder)), 0, str(tmp_path / "out"))
+
+
+def test_stream_on_storage_of_the_jvm(spark, tmp_path, folder, mounted):
+    with pytest.raises(ValueError, match="relay"):
+        read_vcf_stream(spark, mounted)
+    relay = mounted.replace("/in", "/relay")
+    for name in (None, "new.vcf"):
+        if name:
+            write_vcf(folder / name, vcf_text(["9 5 . A G . . . GT 1/1"], ("N",)))
+        stream = read_vcf_stream(spark, mounted, relay=relay, maxFilesPerTrigger=4)
+        assert stream.isStreaming and stream.schema.names == vcf_schema().names
+        writer = stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        run(writer, tmp_path / "cp")
+    streamed = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(streamed) == rows_of(read_vcf(spark, mounted, scan_headers=True))
+    assert streamed.count() == 49
+    # Nothing is relayed twice.
+    relay_vcf(spark, mounted, relay).awaitTermination()
+    assert read_committed(spark, relay, vcf_schema()).count() == 49
+
+
+def test_relay_runs_no_python(spark, tmp_path, folder, mounted):
+    plans = []
+
+    def look(batch, batch_id):
+        plans.append(batch._jdf.queryExecution().toString())
+        assert batch.where(F.size("genotypes") == 2).count() == 48
+
+    run(foreach_vcf_batch(spark, mounted, look), tmp_path / "cp")
+    assert len(plans) == 1 and "Join" in plans[0]
+    assert "Python" not in plans[0] and "mapInArrow" not in plans[0].lower()
+
+
+def test_counts_over_restarts(spark, tmp_path, folder):
+    out = str(tmp_path / "counts")
+    schema = StructType(vcf_schema().fields[:1])
+    assert latest_counts(spark, out, schema).count() == 0
+    for name in (None, "more.vcf"):
+        if name:
+            write_vcf(folder / name, vcf_text(["0 5 . A G . . . GT 1/1", "7 5 . A G . . . GT 1/1"], ("N",)))
+        stream = read_vcf_stream(spark, str(folder), maxFilesPerTrigger=2)
+        run(count_stream(stream, out, ("contig",)), tmp_path / "cp")
+        assert latest_counts(spark, out, schema).where("contig = '1'").first()["count"] == 24
+    found = {r["contig"]: r["count"] for r in latest_counts(spark, out, schema).collect()}
+    assert found == {"0": 25, "1": 24, "7": 1}
+    # The second run wrote the groups of its file alone.
+    changes = read_committed(spark, out, StructType([*schema.fields, *latest_counts(spark, out, schema).schema.fields[1:]]))
+    assert changes.groupBy("batch").count().orderBy("batch").collect()[-1]["count"] == 2
+
+
+def test_counts_when_a_batch_replays(spark, tmp_path, folder):
+    """A batch that runs again after its commit changes no count."""
+    out = str(tmp_path / "counts")
+    stream = read_vcf_stream(spark, str(folder)).groupBy("contig").agg(F.count("*").alias("count"))
+    failing = [True]
+
+    def commit(changed, batch_id):
+        commit_batch(changed, batch_id, out, stateful=True)
+        if failing:
+            failing.clear()
+            raise RuntimeError("lost")
+
+    for expected in (True, False):
+        writer = stream.writeStream.outputMode("update").foreachBatch(commit)
+        if expected:
+            with pytest.raises(StreamingQueryException):
+                run(writer, tmp_path / "cp")
+        else:
+            run(writer, tmp_path / "cp")
+    write_vcf(folder / "more.vcf", vcf_text(["0 5 . A G . . . GT 1/1"], ("N",)))
+    run(count_stream(read_vcf_stream(spark, str(folder)), out, ("contig",)), tmp_path / "cp")
+    found = latest_counts(spark, out, StructType(vcf_schema().fields[:1])).collect()
+    assert {(r["contig"], r["count"]) for r in found} == {("0", 25), ("1", 24)}
+
+
+def test_console_sink(spark, tmp_path, cohort):
+    """Spark's console sink takes the rows, VARIANT as text."""
+    stream = read_vcf_stream(spark, cohort).select("contig", "start", F.to_json("info").alias("info"))
+    query = stream.writeStream.format("console").trigger(availableNow=True)
+    run(query, tmp_path / "cp")
