@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import genoframe as gf
@@ -129,6 +129,19 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gf.rejected_lines(_lines(spark, sf_dir)).select("file_name", "value")
 
 
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dropped lines by reason: from the lines, and as counted while others were parsed."""
+    lines = synth.flawed_lines_of(_lineitem(spark, sf_dir))
+    by_line = gf.reject_reasons(lines).groupBy("reason").agg(F.count("*").alias("n"))
+    folder = f"{_scratch(spark)}/flawed"
+    synth.write_vcf_files(lines, folder)
+    observation = Observation()
+    gf.read_vcf(spark, folder, observation=observation).write.format("noop").mode("overwrite").save()
+    counted = [("observed", reason, n) for reason, n in observation.get.items()]
+    observed = spark.createDataFrame(counted, "way string, reason string, n bigint")
+    return by_line.select(F.lit("lines").alias("way"), "reason", "n").union(observed)
+
+
 def core_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _variants(spark, sf_dir).select(
         "contig", "start", F.col("end").alias("end_pos"), F.col("referenceAllele").alias("ref")
@@ -677,7 +690,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     header_join, save_fails_if_exists, save_in_partitions, padded_lines, headless_files,
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
     genotype_rows, stream_values, split_per_allele, regions_join, region_from_table,
-    stream_native_headers, stream_counts, stream_commit_once,
+    stream_native_headers, stream_counts, stream_commit_once, reject_reasons,
 )
 
 
@@ -791,6 +804,15 @@ declared AS (
         "rejected_lines": """SELECT l_returnflag || '.vcf' AS file_name,
             'chr' || l_linenumber || chr(9) || (l_orderkey + 1) AS value
             FROM lineitem WHERE l_linenumber = 7""",
+        "reject_reasons": """WITH judged AS (
+              SELECT CASE WHEN l_linenumber = 7 THEN 'few_fields'
+                          WHEN l_partkey % 11 = 3 THEN 'position'
+                          WHEN l_suppkey % 9 = 4 THEN 'quality' ELSE 'records' END AS reason
+              FROM lineitem
+            )
+            SELECT 'observed' AS way, reason, count(*) AS n FROM judged GROUP BY reason
+            UNION ALL
+            SELECT 'lines', reason, count(*) FROM judged WHERE reason <> 'records' GROUP BY reason""",
         "core_fields": f"""WITH {_VARIANTS}
             SELECT contig, "start", end_pos, ref FROM variants""",
         "names_alts_filters": f"""WITH {_VARIANTS}

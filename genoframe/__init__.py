@@ -17,6 +17,7 @@ from genoframe.operators.variants import (
     variants_per_file,
 )
 from genoframe.plans.parse import parse_vcf_lines, rejected_lines
+from genoframe.plans.rejects import RejectListener, reject_reasons
 from genoframe.schema import vcf_schema
 from genoframe.sources.headers import read_vcf_header, sample_ids, vcf_header
 from genoframe.sources.reader import read_genotypes, read_vcf, read_vcf_lines
@@ -25,6 +26,7 @@ from genoframe.streaming.counts import count_stream, latest_counts
 from genoframe.streaming.reader import foreach_vcf_batch, read_vcf_stream, relay_vcf, write_vcf_once
 
 __all__ = [
+    "RejectListener",
     "commit_batch",
     "count_stream",
     "declared_info_types",
@@ -49,6 +51,7 @@ __all__ = [
     "read_vcf_lines",
     "read_vcf_stream",
     "region_from_table",
+    "reject_reasons",
     "rejected_lines",
     "relay_vcf",
     "sample_ids",

@@ -54,20 +54,39 @@ def info_text(line: str) -> str:
     return tab_field(line, 7)
 
 
+# What can be wrong with a line, in the order in which it is looked at.
+REASONS = ("few_fields", "position", "quality")
+
+
+def _checks(line: str) -> tuple[str, str, str]:
+    """One condition for each of ``REASONS``; a record meets all of them.
+
+    A trimmed line cannot end in a tab, so seven tabs mean eight fields.
+    """
+    quality, position = tab_field(line, 5), tab_field(line, 1)
+    return (
+        has_tabs(line, 7),
+        f"({position} RLIKE r'{SAFE_POSITION}' OR {end(line)} IS NOT NULL)",
+        f"({quality} = '.' OR {is_float(quality)})",
+    )
+
+
 def is_record(line: str) -> str:
     """True for a well formed record.
 
     At least eight fields, an integer POS with start and end within 64 bits and a
-    numeric or missing QUAL. A trimmed line cannot end in a tab, so seven tabs mean
-    eight fields.
+    numeric or missing QUAL.
     """
-    quality = tab_field(line, 5)
-    position = tab_field(line, 1)
-    return f"""coalesce(
-      {has_tabs(line, 7)}
-      AND ({position} RLIKE r'{SAFE_POSITION}' OR {end(line)} IS NOT NULL)
-      AND ({quality} = '.' OR {is_float(quality)}),
-      false)"""
+    return f"coalesce({' AND '.join(_checks(line))}, false)"
+
+
+def reject_reason(line: str) -> str:
+    """First of ``REASONS`` that holds for the line; NULL for a record."""
+    wrong = (
+        f"WHEN NOT coalesce({check}, false) THEN '{reason}'"
+        for check, reason in zip(_checks(line), REASONS)
+    )
+    return f"CASE {' '.join(wrong)} END"
 
 
 def variant_id(file_path: str, file_name: str, line: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from genoframe.operators.genotypes import explode_genotypes
 from genoframe.options import VcfOptions
@@ -12,6 +12,7 @@ from genoframe.plans.header_join import (
     join_scanned_headers,
 )
 from genoframe.plans.parse import genotype_rows, record_lines, vcf_columns
+from genoframe.plans.rejects import observed_records
 from genoframe.schema import vcf_schema
 from genoframe.sources.lines import vcf_lines
 from genoframe.sources.paths import resolve
@@ -27,6 +28,7 @@ def read_vcf(
     path: str,
     scan_headers: bool = False,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    observation: Observation | None = None,
     **options: object,
 ) -> DataFrame:
     """Read a VCF file, or all ``*.vcf`` and ``*.vcf.gz`` files under a directory.
@@ -38,9 +40,12 @@ def read_vcf(
     Sample ids come from the head of each file. ``scan_headers=True`` finds them
     with a second text scan instead, for storage that only the JVM can open; the
     reader does that by itself for the files that workers cannot open.
+
+    An ``observation`` has the numbers of records and of dropped lines by reason after
+    the first action, see ``observed_records``; for a missing path it stays empty.
     """
     parsed = VcfOptions.parse(options)
-    staged = _staged(spark, path, scan_headers, max_broadcast_bytes, parsed)
+    staged = _staged(spark, path, scan_headers, max_broadcast_bytes, parsed, observation)
     if staged is None:
         return spark.createDataFrame([], vcf_schema())
     return vcf_columns(staged, parsed)
@@ -72,13 +77,14 @@ def _staged(
     scan_headers: bool,
     max_broadcast_bytes: int,
     options: VcfOptions,
+    observation: Observation | None = None,
 ) -> DataFrame | None:
     """Records with the samples of their file; None for a missing path."""
     source = resolve(spark, path)
     if source is None:
         return None
     lines = vcf_lines(spark, source)
-    records = record_lines(lines)
+    records = record_lines(lines) if observation is None else observed_records(lines, observation)
     if scan_headers:
         return join_scanned_headers(records, lines, options, max_broadcast_bytes)
     return join_head_headers(records, lines, source, options, max_broadcast_bytes)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from genoframe.options import VcfOptions
 from genoframe.plans.header_join import join_headers_once, look_up_headers
 from genoframe.plans.parse import record_lines, vcf_columns
+from genoframe.plans.rejects import observed_records
 from genoframe.plans.shared import remove, shared_path
 from genoframe.schema import vcf_schema
 from genoframe.sources.headers import sample_ids
@@ -45,7 +46,11 @@ def _existing(spark: SparkSession, path: str) -> VcfPath:
 
 
 def read_vcf_stream(
-    spark: SparkSession, path: str, relay: str | None = None, **options: object
+    spark: SparkSession,
+    path: str,
+    relay: str | None = None,
+    observation: str | None = None,
+    **options: object,
 ) -> DataFrame:
     """Stream the records of a file or directory, each exactly once.
 
@@ -57,6 +62,9 @@ def read_vcf_stream(
     ``relay_vcf`` fills it, here once with all that is there, and the stream reads it.
     Keep a ``relay_vcf`` query running to stream what appears later. Without a relay
     such storage is refused; ``foreach_vcf_batch`` and ``write_vcf_once`` read it too.
+
+    ``observation`` names the numbers of records and of dropped lines by reason in the
+    progress of the query, see ``RejectListener``; a relay has dropped them before.
     """
     source_options, reader_options = _split_options(options)
     parsed = VcfOptions.parse(reader_options)
@@ -70,7 +78,8 @@ def read_vcf_stream(
             f"workers cannot open {path}, name a relay or use foreach_vcf_batch: {problem}"
         )
     lines = vcf_lines_stream(spark, source, source_options)
-    return vcf_columns(look_up_headers(record_lines(lines), parsed), parsed)
+    records = record_lines(lines) if observation is None else observed_records(lines, observation)
+    return vcf_columns(look_up_headers(records, parsed), parsed)
 
 
 def relay_vcf(

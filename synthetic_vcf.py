@@ -92,6 +92,23 @@ def odd_lines_of(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(f"concat_ws('\\t', {', '.join(ODD_FIELDS)}) AS value", *FILE_COLUMNS)
 
 
+# Positions and qualities, some of them no numbers.
+FLAWED_FIELDS = (
+    RECORD_FIELDS[0],
+    "CASE l_partkey % 11 WHEN 3 THEN concat(l_orderkey, 'x') ELSE string(l_orderkey + 1) END",
+    *RECORD_FIELDS[2:5],
+    "CASE l_suppkey % 9 WHEN 4 THEN 'high' ELSE '.' END",
+    "'PASS'", "'.'",
+)
+
+
+def flawed_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Data lines, some with too few fields, a bad position or a bad quality."""
+    fields = [f"concat_ws('\\t', {', '.join(part)})" for part in (FLAWED_FIELDS[:2], FLAWED_FIELDS)]
+    value = f"CASE WHEN l_linenumber = 7 THEN {fields[0]} ELSE {fields[1]} END AS value"
+    return lineitem.selectExpr(value, *FILE_COLUMNS)
+
+
 def padded_lines_of(lineitem: DataFrame) -> DataFrame:
     """Data lines with white space around them and a carriage return at the end."""
     padded = f"concat({literal(chr(0x3000) + ' ')}, {record_text()}, {literal(' ' + chr(13))}) AS value"
