@@ -112,7 +112,15 @@ def header_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def header_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gf.vcf_header(_lines(spark, sf_dir))
+    return gf.vcf_header(_lines(spark, sf_dir)).drop("attributes")
+
+
+def header_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of structured lines, commas, brackets and quotes in their texts."""
+    lineitem = _lineitem(spark, sf_dir)
+    lines = synth.described_header_lines_of(lineitem).unionByName(synth.lines_of(lineitem))
+    header = gf.vcf_header(lines).where("section = 'INFO' AND id LIKE 'Q%'")
+    return header.select("file_path", "id", "number", "type", F.explode("attributes").alias("key", "value"))
 
 
 def header_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -690,7 +698,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     header_join, save_fails_if_exists, save_in_partitions, padded_lines, headless_files,
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
     genotype_rows, stream_values, split_per_allele, regions_join, region_from_table,
-    stream_native_headers, stream_counts, stream_commit_once, reject_reasons,
+    stream_native_headers, stream_counts, stream_commit_once, reject_reasons, header_attributes,
 )
 
 
@@ -796,6 +804,17 @@ declared AS (
             unnest([0, 1, 2]) AS position, unnest({_sql_list(synth.SAMPLES)}) AS sample_id
             FROM lineitem""",
         "header_metadata": f"WITH {header} SELECT * FROM declared",
+        "header_attributes": r"""WITH files AS (
+              SELECT l_returnflag AS flag, CAST(count(*) AS VARCHAR) AS n FROM lineitem GROUP BY l_returnflag
+            ),
+            pairs AS (
+              SELECT *, unnest(['ID', 'Number', 'Type', 'Description', 'Source', 'Version']) AS key,
+                     unnest(['Q_' || flag, 'A', 'Float',
+                       n || ' rows, Number=3,Type=x of <' || flag || '> are "good"', 'a\', n]) AS value
+              FROM files
+            )
+            SELECT '/synthetic/' || flag || '.vcf' AS file_path, 'Q_' || flag AS id, 'A' AS number,
+                   'Float' AS type, key, value FROM pairs""",
         "header_heads": f"""WITH {header}
             SELECT DISTINCT line, section, id, number, type FROM declared""",
         "malformed_dropped": f"""WITH {_VARIANTS}

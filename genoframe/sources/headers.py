@@ -53,20 +53,48 @@ def sample_ids(lines: DataFrame) -> DataFrame:
     return first.select(key, F.expr(_sample_array("value")).alias("sample_ids"))
 
 
+# One ``key=value`` of a structured line: a quoted value ends at the next quote without
+# a backslash, so commas, brackets and equal signs in it are text; so does one in brackets.
+ATTRIBUTE = r'(?:^|,)\s*([^=,"<>]+)=\s*("(?:[^"\\]|\\.)*(?:"|$)|\[[^\]]*\]|[^,"]*)'
+
+
+def attributes(line: str) -> str:
+    """SQL of the attributes of a ``##section=<...>`` line, as a map of texts.
+
+    Quotes and the backslashes before quotes and backslashes are taken off. Of repeated
+    keys the first counts. NULL for lines of another form.
+    """
+    body = rf"regexp_extract({line}, r'^##[^=]*=<(.*)>\s*$', 1)"
+    unquoted = r"""CASE WHEN startswith(v, '"') THEN
+      regexp_replace(regexp_replace(substr(v, 2), r'(?<!\\)((?:\\\\)*)"$', '$1'), r'\\(["\\])', '$1')
+      ELSE trim(v) END"""
+    values = f"transform(regexp_extract_all(body, r'{ATTRIBUTE}', 2), v -> {unquoted})"
+    pairs = "arrays_zip(keys, vals)"
+    firsts = f"filter({pairs}, (p, i) -> array_position(keys, p.keys) = i + 1)"
+    made = let("vals", values, f"map_from_entries({firsts})")
+    keys = f"transform(regexp_extract_all(body, r'{ATTRIBUTE}', 1), k -> trim(k))"
+    found = let("body", body, let("keys", keys, made))
+    return rf"CASE WHEN {line} RLIKE r'^##[^=]*=<.*>\s*$' THEN {found} END"
+
+
 def _with_declarations(meta: DataFrame, keys: list[str]) -> DataFrame:
-    """Add section, and the id, number and type that structured lines declare."""
+    """Add section, all attributes of structured lines, and their id, number and type."""
 
     def declared(name: str) -> Column:
-        found = F.regexp_extract("line", rf"[<,]{name}=([^,>]*)", 1)
-        return F.when(found != "", found)
+        return F.nullif(F.col("attributes")[name], F.lit(""))
 
-    return meta.select(
+    known = meta.select(
         *keys,
         "line",
         F.regexp_extract("line", r"^##([^=]*)", 1).alias("section"),
+        F.expr(attributes("line")).alias("attributes"),
+    )
+    return known.select(
+        *keys, "line", "section",
         declared("ID").alias("id"),
         declared("Number").alias("number"),
         declared("Type").alias("type"),
+        "attributes",
     )
 
 

@@ -71,6 +71,14 @@ def header_lines_of(lineitem: DataFrame) -> DataFrame:
     return files.selectExpr(f"explode(array({lines})) AS value", *FILE_COLUMNS)
 
 
+def described_header_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Declarations whose quoted texts hold numbers of the table and all special characters."""
+    per_file = lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    line = """concat('##INFO=<ID=Q_', l_returnflag, ',Number=A,Type=Float,Description="', n,
+      ' rows, Number=3,Type=x of <', l_returnflag, '> are \\\\"good\\\\"",Source="a\\\\\\\\",Version=', n, '>') AS value"""
+    return per_file.selectExpr(line, *FILE_COLUMNS)
+
+
 def lines_of(lineitem: DataFrame) -> DataFrame:
     """Header and data lines together."""
     return header_lines_of(lineitem).unionByName(record_lines_of(lineitem))

@@ -1,0 +1,54 @@
+"""Structured header lines are split outside quotes."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import write_vcf
+from genoframe import declared_info_types, per_allele_numbers, read_vcf_header, vcf_header
+
+LINES = {
+    '##FILTER=<ID=q10,Description="low,Number=3,Type=x">': {"ID": "q10", "Description": "low,Number=3,Type=x"},
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="a <b>, c=d">': {
+        "ID": "AF", "Number": "A", "Type": "Float", "Description": "a <b>, c=d",
+    },
+    r'##INFO=<ID=X,Number=1,Type=String,Description="say \"x,ID=y\" and \\",Source="s">': {
+        "ID": "X", "Number": "1", "Type": "String", "Description": 'say "x,ID=y" and \\', "Source": "s",
+    },
+    '##contig=<ID=chr1,length=248956422,md5="">': {"ID": "chr1", "length": "248956422", "md5": ""},
+    '##ALT=<ID=DEL, Description = "odd" >': {"ID": "DEL", "Description": "odd"},
+    '##META=<ID=T,Values=[a, b],ID=second>': {"ID": "T", "Values": "[a, b]"},
+    '##bad=<ID=q,Description="never ends,Number=1>': {"ID": "q", "Description": "never ends,Number=1"},
+    "##empty=<>": {},
+    "##fileformat=VCFv4.2": None,
+    "##source=a<ID=1>b": None,
+    "##ID=5": None,
+}
+
+
+@pytest.fixture(scope="module")
+def header(spark):
+    rows = [(line, "/a.vcf", "a.vcf") for line in LINES]
+    found = vcf_header(spark.createDataFrame(rows, "value string, file_path string, file_name string"))
+    return {r["line"]: r for r in found.collect()}
+
+
+@pytest.mark.parametrize("line", LINES)
+def test_attributes(header, line):
+    expected, row = LINES[line], header[line]
+    found = row["attributes"]
+    if expected is None:
+        assert found is None and row["id"] is None
+        return
+    assert found == expected
+    assert row["id"] == expected.get("ID")
+    assert row["number"] == expected.get("Number") and row["type"] == expected.get("Type")
+
+
+def test_what_reads_declarations(spark, tmp_path):
+    lines = "\n".join(line for line in LINES if "INFO" in line or "FILTER" in line)
+    path = write_vcf(tmp_path / "a.vcf", f"##fileformat=VCFv4.2\n{lines}\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n")
+    header = read_vcf_header(spark, path)
+    assert declared_info_types(header) == {"AF": "array<double>", "X": "string"}
+    assert per_allele_numbers(header) == {"AF": "A"}
+    described = header.where(F.col("id") == "q10").select(F.col("attributes")["Description"])
+    assert described.first()[0] == "low,Number=3,Type=x"
