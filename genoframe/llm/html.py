@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -27,8 +27,8 @@ from genoframe.plans.shared import remove, shared_path
 
 # Element names of HTML by their role.
 SKIPPED = frozenset(
-    "script style noscript template svg math iframe object embed canvas audio video map "
-    "select textarea button title head datalist".split()
+    "script style noscript template svg iframe object embed canvas audio video map "
+    "select textarea button title head datalist annotation annotation-xml".split()
 )
 RAW_TEXT = frozenset("script style textarea title noscript iframe xmp".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog fieldset".split())
@@ -106,15 +106,15 @@ STOP_WORDS = frozenset(
 
 QUOTED = "\"[^\"]*\"|'[^']*'"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<(?P<name>/?[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*(?:(?:{QUOTED})[^>\"']*)*)>"
+    # Quoted values may hold brackets; a tag has a hundred of them at most.
+    rf"<!--(?:.*?-->|(?P<endless>))|<(?P<name>/?[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*+(?:(?:{QUOTED})[^>\"']*+){{0,100}}+)>"
     # Quotes that do not pair up: to the next bracket.
     r"|<(?P<odd>/?[a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(
-    r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-    re.IGNORECASE,
-)
+# Names with their values in order: what stands in a value is no name.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
 LAST_PIECE = re.compile(r"<[a-zA-Z/!][^>]*\Z")
 
@@ -125,14 +125,17 @@ LONG_CHARS = 200
 LOW_STOP_WORDS = 0.05
 HIGH_STOP_WORDS = 0.15
 
-# Stop words of a language: short words that make up so much of its text, if it has
-# so many words. Entries that a task holds before it hands them on.
+# Stop words of a language: short words that make up so much of its text and of some
+# words more that have none of them, so a rare language needs clearer evidence. Entries
+# that a task holds before it hands them on.
 STOP_LETTERS = 5
 STOP_SHARE = 0.004
-LEAST_WORDS = 2000
+PRIOR_WORDS = 2000
 COUNTER_ENTRIES = 100_000
 
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})\b", re.IGNORECASE)
+LANGUAGE = re.compile(r"[a-zA-Z]{2,3}\b")
+NO_LETTERS = bytes(b for b in range(256) if not chr(b).isascii() or not chr(b).isalpha())
+BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
 # Characters as wide as two others; they stand for more than one letter.
 WIDE = re.compile("[\u1100-\u11ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\uff00-\uff60]")
 SENTENCE = re.compile(r"[.!?…。！？｡।؟۔։።။][\"'»”’)\]]*$")
@@ -181,6 +184,33 @@ class _Page:
     blocks: list[Block] = field(default_factory=list)
     pieces: list[tuple[str, bool]] = field(default_factory=list)
     stack: list[_Element] = field(default_factory=list)
+    # Depths of the open elements by name, of open blocks, and of those but headings.
+    depths: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
+    block_depths: list[int] = field(default_factory=list)
+    container_depths: list[int] = field(default_factory=list)
+    language: str | None = None
+
+    def push(self, element: _Element) -> None:
+        depth = len(self.stack)
+        self.stack.append(element)
+        self.depths[element.name].append(depth)
+        if element.name in BLOCKS:
+            self.block_depths.append(depth)
+            if element.name not in HEADINGS:
+                self.container_depths.append(depth)
+
+    def cut(self, depth: int) -> None:
+        """Ends the elements from this depth on."""
+        for element in self.stack[depth:]:
+            self.depths[element.name].pop()
+        del self.stack[depth:]
+        for depths in (self.block_depths, self.container_depths):
+            while depths and depths[-1] >= depth:
+                depths.pop()
+
+
+def _last(depths: list[int] | None) -> int:
+    return depths[-1] if depths else -1
 
 
 def _top(page: _Page) -> _Element:
@@ -198,22 +228,27 @@ def _flush(page: _Page) -> None:
         page.pieces.clear()
 
 
-def _hidden(rest: str) -> bool:
-    for found in ATTRIBUTE.finditer(rest):
-        attribute, value = found[1].lower(), (found[2] or "").strip("\"'")
-        if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
-            return True
-        if attribute == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-    return False
+def _attributes(rest: str) -> dict[str, str]:
+    """Attributes of a tag; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
 
+def _hidden(name: str, attributes: Mapping[str, str]) -> bool:
+    """Whether readers do not see an element. A part of a sentence that only screen
+    readers skip is an icon or a second form of what stands beside it."""
+    if "hidden" in attributes or NO_DISPLAY.search(attributes.get("style", "")):
+        return True
+    return name not in BLOCKS and attributes.get("aria-hidden", "").lower() == "true"
 
-def _mark(name: str, rest: str, main: bool) -> Mark | None:
+
+def _mark(name: str, attributes: Mapping[str, str], main: bool) -> Mark | None:
     """The mark of a container, by the first word of its class, id or role that is one;
     of several, one of what readers wrote, then one that is no section's title."""
     marks = []
-    for found in ATTRIBUTE.finditer(rest):
-        attribute, value = found[1].lower(), (found[2] or "").strip("\"'")
+    for attribute, value in attributes.items():
         if attribute not in ("class", "id", "role"):
             continue
         for word in value.split():
@@ -233,28 +268,32 @@ def _open(page: _Page, name: str, rest: str) -> None:
     closes = CLOSES.get(name)
     if closes:
         # Only as far as the nearest container: a list in a list item stays inside.
-        for depth in range(len(page.stack) - 1, -1, -1):
-            inner = page.stack[depth].name
-            if inner in closes:
-                del page.stack[depth:]
-                break
-            if inner in BLOCKS and inner not in HEADINGS:
-                break
+        depth = max(_last(page.depths.get(inner)) for inner in closes)
+        if depth >= 0 and depth >= _last(page.container_depths):
+            page.cut(depth)
+    attributes = _attributes(rest) if rest else {}
+    if name == "html" and page.language is None and "lang" in attributes:
+        said = LANGUAGE.match(attributes["lang"].strip())
+        page.language = said[0].lower() if said else None
     if name in VOID or rest.endswith("/"):
         return
     above = _top(page)
     # A page header goes; the header of an article holds its headings.
     outside = above.outside or name in BOILERPLATE or (name == "header" and not above.main)
     marks = above.marks
-    if not outside and rest and name not in ("html", "body"):
-        outside = _hidden(rest)
+    hidden = False
+    if not outside and attributes and name not in ("html", "body"):
+        outside = hidden = _hidden(name, attributes)
         # A heading is named by its subject.
-        mark = None if outside or name in HEADINGS else _mark(name, rest, above.main)
-        marks = (*marks, mark) if mark else marks
-    page.stack.append(
+        mark = None if outside or name in HEADINGS else _mark(name, attributes, above.main)
+        # Words count, not how often they stand around a block; titles count each.
+        if mark and (mark.title or all(m.word != mark.word or m.title for m in marks)):
+            marks = (*marks, mark)
+    page.push(
         _Element(
             name,
-            above.skipped or name in SKIPPED,
+            # A hidden part of a sentence is no block that could be left out.
+            above.skipped or name in SKIPPED or (hidden and name not in BLOCKS),
             outside,
             above.main or name in MAIN,
             above.link or name == "a",
@@ -265,24 +304,31 @@ def _open(page: _Page, name: str, rest: str) -> None:
 
 
 def _close(page: _Page, name: str) -> None:
-    for depth in range(len(page.stack) - 1, -1, -1):
-        inner = page.stack[depth].name
-        if inner == name:
-            del page.stack[depth:]
-            return
-        # An inline end tag does not reach out of its block.
-        if name not in BLOCKS and inner in BLOCKS:
-            return
+    depth = _last(page.depths.get(name))
+    # An inline end tag does not reach out of its block.
+    if depth >= 0 and (name in BLOCKS or depth > _last(page.block_depths)):
+        page.cut(depth)
 
 
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order, with what their place says about them."""
+    return _parsed(html).blocks
+
+
+def _parsed(html: str) -> _Page:
+    """A page's blocks and its declared language, in time that grows with its length."""
     page, at = _Page(), 0
     # A tag that the end of the page cuts off is markup, not text.
     cut = LAST_PIECE.search(html, max(html.rfind("<"), 0)) if "<" in html else None
     end = cut.start() if cut else len(html)
+    # Behind the last bracket no tag ends.
+    last = html.rfind(">", 0, end) + 1
     while at < end:
-        found = TOKEN.search(html, at, end)
+        found = TOKEN.search(html, at, max(last, at))
+        if not found or found["endless"] is not None:
+            # A comment without an end goes to the end of the page.
+            comment = html.find("<!--", at, end) if not found else found.start()
+            end, found = comment if comment >= 0 else end, None
         text = html[at : found.start() if found else end]
         top = _top(page)
         if text and not top.skipped:
@@ -307,7 +353,7 @@ def blocks_of(html: str) -> list[Block]:
                 at = close.end() if close else end
                 _close(page, name)
     _flush(page)
-    return page.blocks
+    return page
 
 
 def _length(text: str) -> int:
@@ -328,13 +374,18 @@ def _plain(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if not (b.outside or b.link_chars) and _length(b.text) >= SHORT_CHARS]
 
 
-def _language(html: str, plain: list[Block]) -> str:
+def _language(page: _Page, plain: list[Block]) -> str:
     """What a page says about its language, and the script of its long blocks."""
-    said = LANGUAGE.search(html, 0, 4096)
-    letters = (letter for block in plain for letter in block.text[:200] if letter.isalpha())
-    scripts = Counter(map(_script, letters))
+    scripts: Counter[str] = Counter()
+    for block in plain:
+        scripts["LATIN"] += len(block.text.encode("ascii", "ignore").translate(None, NO_LETTERS))
+        if not block.text.isascii():
+            for letter, n in Counter("".join(BEYOND_ASCII.findall(block.text))).items():
+                if letter.isalpha():
+                    scripts[_script(letter)] += n
+    scripts = +scripts
     script = max(sorted(scripts), key=scripts.__getitem__, default="")
-    return f"{said[1].lower() if said else ''} {script}"
+    return f"{page.language or ''} {script}"
 
 
 def _count_stops(blocks: list[Block], stop_words: frozenset[str]) -> bool:
@@ -465,8 +516,9 @@ def main_text(html: str | None, learnt: Mapping[str, frozenset[str]] = {}) -> st
 
     ``learnt``: stop words by language, beside the fixed ones.
     """
-    blocks = blocks_of(html or "")
-    more = learnt.get(_language(html or "", _plain(blocks))) if learnt else None
+    page = _parsed(html or "")
+    blocks = page.blocks
+    more = learnt.get(_language(page, _plain(blocks))) if learnt else None
     fits = _count_stops(blocks, STOP_WORDS | more if more else STOP_WORDS)
     for block in blocks:
         block.label = _first_pass(block, fits)
@@ -500,8 +552,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for html in batch["html"].to_pylist():
-            plain = _plain(blocks_of(html or ""))
-            language = _language(html or "", plain)
+            page = _parsed(html or "")
+            plain = _plain(page.blocks)
+            language = _language(page, plain)
             for block in plain:
                 words = _words(block.text)
                 counts[language, ""] += len(words)
@@ -529,11 +582,9 @@ def learn_stop_words(pages: DataFrame) -> dict[str, frozenset[str]]:
     totals = counts.groupBy("language").agg(
         F.sum(F.when(F.col("word") == "", F.col("n"))).alias("total"), F.sum(known).alias("known")
     )
-    strange = totals.where(
-        (F.col("total") >= LEAST_WORDS) & (F.col("known") < HIGH_STOP_WORDS * F.col("total"))
-    )
+    strange = totals.where(F.col("known") < HIGH_STOP_WORDS * F.col("total"))
     frequent = counts.where("word <> ''").join(strange, "language").where(
-        F.col("n") >= STOP_SHARE * F.col("total")
+        F.col("n") >= STOP_SHARE * (F.col("total") + PRIOR_WORDS)
     )
     found: dict[str, set[str]] = {}
     for row in frequent.select("language", "word").collect():

@@ -221,3 +221,62 @@ def test_stop_words_are_learnt_from_the_pages(spark):
     assert learn_stop_words(spark.createDataFrame([(english,)] * 100, "html string")) == {}
     assert {row["text"] for row in extract_text(pages).collect()} == {main_text(html, learnt)}
     assert odd in main_text(html, learnt)
+
+
+@pytest.mark.parametrize(
+    "attribute",
+    ['title="the hidden gems"', 'data-state="hidden"', ":class=\"{'hidden': !open}\"", "x='a class=ad b'",
+     'data-x = "id = sidebar role=navigation"', 'alt="style=display:none"', "data-hidden=1", "hiddenish"],
+)
+def test_words_in_other_attributes_are_no_marks(attribute):
+    for name in ("div", "article", "section"):
+        assert main_text(page(f"<{name} {attribute}><p>{LONG}</p></{name}>")) == LONG
+    both = f'<article><p>{LONG}</p><p data-caption="a hidden valley" {attribute}>{LONG}</p></article>'
+    assert main_text(page(both)) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'HIDDEN=""', "a=b hidden", 'style = "color:red; display : none"', "class=ad", "title='>' class='ad'", 'class=""class="x" hidden'])
+def test_hidden_and_marked_parts_go(attribute):
+    assert main_text(page(f"<article><p>{LONG}</p><div {attribute}><p>{LONG}</p></div></article>")) == LONG
+
+
+def test_formulas_and_parts_for_screen_readers():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>"
+    assert main_text(page(f"<p>{LONG} If {formula}, stop. {LONG}</p>")) == f"{LONG} If x=2, stop. {LONG}"
+    icon = '<span aria-hidden="true">*</span>'
+    assert main_text(page(f'<article><p aria-hidden="true">{LONG}{icon}</p></article>')) == LONG
+
+
+def test_language_is_read_wherever_it_stands():
+    from genoframe.llm.html import _language, _parsed, _plain
+
+    for before in ("", "<!--" + "x" * 5000 + "-->", "<!DOCTYPE html>" + " " * 9000):
+        html = f"{before}<html class='a lang=xx' lang='ru-RU'><p>{'latin ' * 60}{RUSSIAN * 9}</p></html>"
+        found = _parsed(html)
+        assert _language(found, _plain(found.blocks)) == "ru CYRILLIC"
+    assert _parsed("<html data-lang='de'><p>x</p>").language is None
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000,
+     '<a "' * 100_001, '<a "' * 100_001 + ">", '<a ">" ' * 100_000, "<b>" * 100_000 + "<hr>" * 100_000,
+     "<!--" * 100_000, "<!" * 100_000, "<p" * 100_000, '<div class="ad">' * 100_000, "<li><ul>" * 100_000 + "</p>" * 100_000,
+     "<script>" * 100_000, "<" * 100_000 + ">", "&" * 300_000],
+)
+def test_broken_pages_take_linear_time(html):
+    from time import process_time
+
+    began = process_time()
+    assert LONG in main_text(f"<p>{LONG}</p>{html}")
+    assert process_time() - began < 4
+
+
+def test_stop_words_come_without_a_step(spark):
+    """Of a language with few words, words must be the more frequent; no count switches."""
+    filler = [f"sło{chr(97 + i)}{chr(97 + k)}wo" for i in range(20) for k in range(20)]
+    for n in (1_990, 2_010):
+        words = [("się" if i % 50 == 0 else filler[i % 400]) for i in range(n)]
+        html = "".join(f"<p>{' '.join(words[i:i + 50])}</p>" for i in range(0, n, 50))
+        pages = spark.createDataFrame([(page(html),)], "html string")
+        assert learn_stop_words(pages) == {"en LATIN": frozenset({"się"})}
