@@ -115,7 +115,8 @@ TOKEN = re.compile(
 # Names with their values in order: what stands in a value is no name.
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
-SPACES = re.compile(r"\s+")
+# Most tags have none of the attributes that count.
+TELLING = re.compile("class|id|role|style|lang", re.IGNORECASE)
 LAST_PIECE = re.compile(r"<[a-zA-Z/!][^>]*\Z")
 
 # First pass.
@@ -220,7 +221,7 @@ def _top(page: _Page) -> _Element:
 def _flush(page: _Page) -> None:
     """End the open block: decode references, fold white space."""
     if page.pieces:
-        text = SPACES.sub(" ", unescape("".join(piece for piece, _ in page.pieces))).strip()
+        text = " ".join(unescape("".join([piece for piece, _ in page.pieces])).split())
         if text:
             top = _top(page)
             links = sum(len(piece.strip()) for piece, link in page.pieces if link)
@@ -271,7 +272,7 @@ def _open(page: _Page, name: str, rest: str) -> None:
         depth = max(_last(page.depths.get(inner)) for inner in closes)
         if depth >= 0 and depth >= _last(page.container_depths):
             page.cut(depth)
-    attributes = _attributes(rest) if rest else {}
+    attributes = _attributes(rest) if rest and TELLING.search(rest) else {}
     if name == "html" and page.language is None and "lang" in attributes:
         said = LANGUAGE.match(attributes["lang"].strip())
         page.language = said[0].lower() if said else None
@@ -393,7 +394,7 @@ def _count_stops(blocks: list[Block], stop_words: frozenset[str]) -> bool:
     for block in blocks:
         if not block.outside and _length(block.text) >= SHORT_CHARS:
             words = _words(block.text)
-            block.words, block.stops = len(words), sum(word in stop_words for word in words)
+            block.words, block.stops = len(words), sum(map(stop_words.__contains__, words))
     plain = _plain(blocks)
     return sum(b.stops for b in plain) >= LOW_STOP_WORDS * sum(b.words for b in plain)
 
@@ -555,12 +556,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = _parsed(html or "")
             plain = _plain(page.blocks)
             language = _language(page, plain)
-            for block in plain:
-                words = _words(block.text)
-                counts[language, ""] += len(words)
-                for word in words:
-                    if 0 < len(word) <= STOP_LETTERS and word.isalpha():
-                        counts[language, word] += 1
+            words = [word for block in plain for word in _words(block.text)]
+            counts[language, ""] += len(words)
+            for word, n in Counter(words).items():
+                if 0 < len(word) <= STOP_LETTERS and word.isalpha():
+                    counts[language, word] += n
             if len(counts) > COUNTER_ENTRIES:
                 yield rows()
     if counts:
