@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from genoframe.options import VcfOptions
 from genoframe.sources.headers import (
-    file_key,
+    StoredHeaders,
     headers_from_heads,
     headers_from_sample_ids,
     kept_by_key,
     sample_ids,
     stored,
-    with_key,
 )
 from genoframe.sources.heads import has_header_udf, kept_samples_udf
 from genoframe.sources.paths import VcfPath
@@ -28,12 +27,6 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def _measured(table: DataFrame, *bytes_of: str) -> int:
-    """Size of a table in bytes, summed up by Spark."""
-    size = F.expr(" + ".join(("64", *bytes_of)))
-    return table.agg(F.sum(size).alias("n")).first()["n"] or 0
-
-
 def _join(lines: DataFrame, table: DataFrame, key: str, size: int, most: int) -> DataFrame:
     """Inner join of lines and a small table; lines without a partner drop out."""
     if size <= most:
@@ -45,17 +38,23 @@ def _join(lines: DataFrame, table: DataFrame, key: str, size: int, most: int) ->
     return salted.join(spread, [key, "salt"]).drop("salt")
 
 
+def _kept_size(kept: DataFrame) -> int:
+    names = "aggregate(kept, 0L, (n, s) -> n + octet_length(s.sampleId) + 32)"
+    return kept.agg(F.sum(F.expr(f"64 + {names}")).alias("n")).first()["n"] or 0
+
+
 def _join_stored(
-    lines: DataFrame, headers: DataFrame, options: VcfOptions, max_broadcast_bytes: int
+    lines: DataFrame, headers: StoredHeaders, options: VcfOptions, max_broadcast_bytes: int
 ) -> DataFrame:
-    """``headers`` is stored: measuring and joining read it, nothing is done again."""
-    key = file_key(headers)
-    keys = headers.select(key, "header_key")
-    kept = stored(kept_by_key(headers, options), "samples")
-    keys_size = _measured(keys, f"octet_length({key})")
-    names = "aggregate(kept, 0L, (n, s) -> n + octet_length(s.sampleId) + 32)"
-    keyed = _join(lines, keys, key, keys_size, max_broadcast_bytes)
-    kept_size = _measured(kept, names)
+    """Bring keys and samples to the lines. The stored names bound the size of the
+    samples; only where they are over the bound, the samples are stored and measured."""
+    keys = headers.rows.select(headers.key, "header_key")
+    kept = kept_by_key(headers.rows, options)
+    kept_size = headers.names_size
+    if kept_size > max_broadcast_bytes:
+        kept = stored(kept, "samples")
+        kept_size = _kept_size(kept)
+    keyed = _join(lines, keys, headers.key, headers.keys_size, max_broadcast_bytes)
     return _join(keyed, kept, "header_key", kept_size, max_broadcast_bytes).drop("header_key")
 
 
@@ -66,18 +65,17 @@ def join_headers(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join a table of file key and ``sample_ids``, which is evaluated once."""
-    named = headers_from_sample_ids(headers)
-    return _join_stored(lines, named, options, max_broadcast_bytes)
+    return _join_stored(lines, headers_from_sample_ids(headers), options, max_broadcast_bytes)
 
 
 def join_headers_once(
     lines: DataFrame,
-    headers: DataFrame,
+    headers: StoredHeaders,
     options: VcfOptions,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """The same for a table of file key and ``sample_ids`` that is stored already."""
-    return _join_stored(lines, with_key(headers), options, max_broadcast_bytes)
+    """The same for headers that are stored already."""
+    return _join_stored(lines, headers, options, max_broadcast_bytes)
 
 
 def join_scanned_headers(

@@ -33,6 +33,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a path when the driver's JVM ends."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(located)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path that ``shared_path`` gave."""
     located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

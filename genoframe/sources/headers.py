@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions.genotype import kept_samples
 from genoframe.functions.text import let, strip
 from genoframe.options import VcfOptions
-from genoframe.plans.shared import shared_path
-from genoframe.sources.heads import HEADS_SCHEMA, META_SCHEMA, read_heads
+from genoframe.plans.shared import remove_at_end, shared_path
+from genoframe.sources.heads import HEADS_SCHEMA, META_SCHEMA, can_open, read_heads
 from genoframe.sources.lines import path_as_given, vcf_lines
 from genoframe.sources.paths import VcfPath, resolve
 
@@ -19,6 +20,8 @@ log = logging.getLogger(__name__)
 
 # File heads that one task may open before more tasks are used.
 FILES_PER_TASK = 64
+# Files to scan for headers that are named in the scan's filter.
+MAX_NAMED_FILES = 1000
 
 
 def file_key(lines: DataFrame) -> str:
@@ -107,25 +110,40 @@ def vcf_header(lines: DataFrame) -> DataFrame:
     return _with_declarations(meta.distinct(), keys)
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """The rows, computed once and kept in the shared folder."""
+def stored(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The rows, computed once and kept in the shared folder until the session ends, or
+    in a folder that the caller removes."""
     spark = rows.sparkSession
-    folder = shared_path(spark, name)
+    if folder is None:
+        folder = shared_path(spark, name)
+        remove_at_end(spark, folder)
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def _unsettled(heads: DataFrame, lines: DataFrame) -> DataFrame | None:
+def stored_and_measured(
+    rows: DataFrame, name: str, folder: str | None = None, **metrics: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """The same with aggregates over the rows, found while they are written."""
+    observation = Observation()
+    observed = rows.observe(observation, *(column.alias(n) for n, column in metrics.items()))
+    kept = stored(observed, name, folder)
+    return kept, {n: value or 0 for n, value in observation.get.items()}
+
+
+def _unsettled(heads: DataFrame, lines: DataFrame, problems: int) -> DataFrame | None:
     """Lines of the files whose heads settle nothing; None if there are none.
 
-    Their names come to the driver, which has listed all files anyway, and prune
-    the scan to these files.
+    A few names come to the driver and prune the scan to their files; more are joined.
     """
-    left = heads.where("problem IS NOT NULL").select("file_uri", "problem").collect()
-    if not left:
+    if not problems:
         return None
-    log.warning("%d files are scanned for headers; %s: %s", len(left), *left[0])
-    return lines.where(F.col("file_uri").isin([row["file_uri"] for row in left]))
+    left = heads.where("problem IS NOT NULL").select("file_uri", "problem")
+    log.warning("%d files are scanned for headers; %s: %s", problems, *left.first())
+    if problems > MAX_NAMED_FILES:
+        return lines.join(left.select("file_uri"), "file_uri", "left_semi")
+    names = [row["file_uri"] for row in left.collect()]
+    return lines.where(F.col("file_uri").isin(names))
 
 
 def read_vcf_header(spark: SparkSession, path: str) -> DataFrame:
@@ -139,12 +157,15 @@ def read_vcf_header(spark: SparkSession, path: str) -> DataFrame:
         return _with_declarations(
             spark.createDataFrame([], "file_path string, line string"), ["file_path"]
         )
+    if can_open(source.root):
+        scanned = vcf_header(vcf_lines(spark, source)).select("file_path", "line")
+        return _with_declarations(scanned, ["file_path"])
     found = file_listing(spark, source).mapInArrow(read_heads(meta=True), META_SCHEMA)
-    heads = stored(found, "meta")
+    heads, measured = stored_and_measured(found, "meta", problems=F.count("problem"))
     meta = heads.where("line IS NOT NULL").select(
         path_as_given(F.col("file_uri"), source).alias("file_path"), "line"
     )
-    unsettled = _unsettled(heads, vcf_lines(spark, source))
+    unsettled = _unsettled(heads, vcf_lines(spark, source), measured["problems"])
     if unsettled is not None:
         scanned = vcf_header(unsettled).select("file_path", "line")
         meta = meta.union(scanned)
@@ -157,24 +178,54 @@ def with_key(headers: DataFrame) -> DataFrame:
     return headers.withColumn("header_key", F.sha2(names, 256))
 
 
-def headers_from_heads(lines: DataFrame, source: VcfPath) -> DataFrame:
-    """(file_uri, header_key, sample_ids) of every file with a header, stored once.
+def _sizes(key: str) -> dict[str, Column]:
+    """Bytes of the keys of all files, and of all names of samples that are stored."""
+    names = "aggregate(sample_ids, 0L, (n, s) -> n + octet_length(s) + 32)"
+    return {
+        "keys_size": F.sum(F.octet_length(key).cast("bigint") + 64),
+        "names_size": F.sum(F.expr(f"coalesce({names}, 0L) + 64")),
+    }
+
+
+@dataclass(frozen=True)
+class StoredHeaders:
+    """Header key of each file, and the sample ids of a key with at least one of its
+    rows: (file key, header_key, sample_ids), stored, and bounds on their bytes."""
 
-    Heads are opened in one pass; only files that they do not settle are scanned.
-    A key comes with its sample ids at least once.
+    rows: DataFrame
+    key: str
+    keys_size: int
+    names_size: int
+
+
+def headers_from_heads(lines: DataFrame, source: VcfPath) -> StoredHeaders:
+    """The headers of every file that has one.
+
+    Heads are opened in one job; only files that they do not settle are scanned, and
+    where workers can open none, all are without trying.
     """
+    if can_open(source.root):
+        return headers_from_sample_ids(sample_ids(lines))
     files = file_listing(lines.sparkSession, source)
-    heads = stored(files.mapInArrow(read_heads(), HEADS_SCHEMA), "heads")
-    found = heads.where("problem IS NULL").drop("problem")
-    unsettled = _unsettled(heads, lines)
+    found = files.mapInArrow(read_heads(), HEADS_SCHEMA)
+    metrics = _sizes("file_uri") | {"problems": F.count("problem")}
+    heads, measured = stored_and_measured(found, "heads", **metrics)
+    settled = heads.where("problem IS NULL").drop("problem")
+    unsettled = _unsettled(heads, lines, measured["problems"])
     if unsettled is None:
-        return found
-    return found.unionByName(headers_from_sample_ids(sample_ids(unsettled)))
+        return StoredHeaders(settled, "file_uri", measured["keys_size"], measured["names_size"])
+    more = headers_from_sample_ids(sample_ids(unsettled))
+    return StoredHeaders(
+        settled.unionByName(more.rows), "file_uri",
+        measured["keys_size"] + more.keys_size, measured["names_size"] + more.names_size,
+    )
 
 
-def headers_from_sample_ids(headers: DataFrame) -> DataFrame:
+def headers_from_sample_ids(headers: DataFrame, folder: str | None = None) -> StoredHeaders:
     """The same from a table of file key and ``sample_ids``, evaluated once."""
-    return stored(with_key(headers), "headers")
+    key = file_key(headers)
+    rows, measured = stored_and_measured(with_key(headers), "headers", folder, **_sizes(key))
+    return StoredHeaders(rows, key, measured["keys_size"], measured["names_size"])
 
 
 def file_listing(spark: SparkSession, source: VcfPath) -> DataFrame:

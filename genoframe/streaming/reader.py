@@ -13,7 +13,7 @@ from genoframe.plans.parse import record_lines, vcf_columns
 from genoframe.plans.rejects import observed_records
 from genoframe.plans.shared import remove, shared_path
 from genoframe.schema import vcf_schema
-from genoframe.sources.headers import sample_ids
+from genoframe.sources.headers import headers_from_sample_ids, sample_ids
 from genoframe.sources.heads import can_open
 from genoframe.sources.lines import vcf_lines_stream
 from genoframe.sources.paths import VcfPath, resolve
@@ -157,10 +157,8 @@ def foreach_vcf_batch(
             return
         folder = shared_path(batch.sparkSession, f"batch-{batch_id}")
         try:
-            headers = sample_ids(batch)
-            headers.write.parquet(folder)
-            stored = batch.sparkSession.read.schema(headers.schema).parquet(folder)
-            staged = join_headers_once(record_lines(batch), stored, parsed)
+            headers = headers_from_sample_ids(sample_ids(batch), folder)
+            staged = join_headers_once(record_lines(batch), headers, parsed)
             process(vcf_columns(staged, parsed), batch_id)
         finally:
             remove(batch.sparkSession, folder)

@@ -19,7 +19,8 @@ def plan(df) -> str:
 
 def test_batch_parse_has_no_shuffle(spark, cohort):
     text = plan(read_vcf(spark, cohort))
-    assert "Exchange hashpartitioning" not in text
+    # The stored headers are grouped by their key; no line is.
+    assert text.count("Exchange hashpartitioning") == text.count("Exchange hashpartitioning(header_key") == 1
     # One for the keys of the files, one for the distinct headers.
     assert text.count("BroadcastExchange") == 2
     assert "SortMergeJoin" not in text
@@ -105,3 +106,51 @@ def test_wide_cohort(spark, tmp_path):
         "transform(genotypes, g -> try_variant_get(g.data, '$.DP', 'int')) AS d"
     ).collect()
     assert [row.d for row in depths] == [[7, 1499]] * 3
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        result = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_a_read_opens_the_heads_in_one_job(spark, cohort):
+    df, jobs = jobs_of(spark, "define", lambda: read_vcf(spark, cohort))
+    assert jobs <= 2
+    assert df.count() == 3
+
+
+def test_storage_of_the_jvm_collects_no_names(spark, cohort):
+    """No head is tried, and the plan of the scan names no file."""
+    import uuid
+
+    name = f"m{uuid.uuid4().hex}"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder, file = cohort.rsplit("/", 1)
+    conf.set(f"fs.viewfs.mounttable.{name}.link./data", f"file://{folder}")
+    df = read_vcf(spark, f"viewfs://{name}/data/{file}")
+    assert df.count() == 3 and df.where("size(genotypes) = 3").count() == 3
+    assert " IN (" not in plan(df) and "INSET" not in plan(df)
+
+
+def test_many_files_without_a_head_are_joined(spark, tmp_path, monkeypatch):
+    from genoframe.sources import headers
+
+    monkeypatch.setattr(headers, "MAX_NAMED_FILES", 1)
+    for i in range(3):
+        write_vcf(tmp_path / f"{i}.vcf", f"1\t5\t.\tA\tG\t.\t.\t.\n#CHROM\tx\n1\t{i + 7}\t.\tA\tG\t.\t.\t.\n")
+    write_vcf(tmp_path / "whole.vcf", vcf_text(["1 99 . A G . . ."]))
+    starts = sorted(r["start"] for r in read_vcf(spark, str(tmp_path)).collect())
+    assert starts == [4, 4, 4, 6, 7, 8, 98]
+
+
+def test_stored_headers_go_with_the_session(spark, cohort, monkeypatch):
+    from genoframe.sources import headers
+
+    marked = []
+    monkeypatch.setattr(headers, "remove_at_end", lambda spark, folder: marked.append(folder))
+    assert read_vcf(spark, cohort).count() == 3
+    assert len(marked) == 1 and "heads-" in marked[0]
