@@ -669,6 +669,62 @@ def split_per_allele(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _genotype_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = synth.genotype_lines_of(_lineitem(spark, sf_dir))
+    return gf.parse_vcf_lines(lines, headers=_headers(spark, sf_dir))
+
+
+def split_per_genotype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values per genotype follow the pairs of their allele and the reference."""
+    split = gf.split_multiallelic(_genotype_variants(spark, sf_dir), format_numbers={"PL": "G"})
+    likelihoods = gf.variant_field(F.get("genotypes", 0)["data"], "PL", "array<bigint>")
+    return split.select(
+        "contig", "start", F.col("altIndex").alias("alt_index"), _joined(likelihoods).alias("pl")
+    )
+
+
+def trimmed_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trimmed = gf.trim_alleles(gf.split_multiallelic(_genotype_variants(spark, sf_dir)))
+    return trimmed.select(
+        "contig", "start", F.col("end").alias("end_pos"), F.col("referenceAllele").alias("ref"),
+        _joined("alternateAlleles").alias("alt"), F.col("altIndex").alias("alt_index"),
+    )
+
+
+def discovered_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types out of the values; no header declares any of the keys."""
+    variants = _genotype_variants(spark, sf_dir)
+    types = gf.discovered_info_types(variants)
+    flat = gf.flatten_info(variants, types)
+    lists = F.coalesce(F.array_join("INFO_LIST", "|"), F.lit("none"))
+    return flat.groupBy("INFO_DP", "INFO_MIX", "INFO_FLAG", lists.alias("info_list")).agg(
+        F.count("*").alias("n")
+    ).select(
+        F.col("INFO_DP").alias("info_dp"), F.col("INFO_MIX").alias("info_mix"),
+        F.col("INFO_FLAG").alias("info_flag"), "info_list", "n",
+        F.lit(" ".join(f"{key}:{kind}" for key, kind in sorted(types.items()))).alias("types"),
+    )
+
+
+def save_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of most rows beside small ones, saved as files that are alike."""
+    table, root = f"variants_{uuid.uuid4().hex}", _scratch(spark)
+    lineitem = _lineitem(spark, sf_dir)
+    for flag in "ANR":
+        records = synth.record_lines_of(lineitem.where(F.col("l_returnflag") == flag))
+        synth.write_vcf_files(records.coalesce(1), f"{root}/in/{flag}", "gzip")
+    variants = gf.read_vcf(spark, f"{root}/in").select("contig", "start", "qual", "file_name")
+    gf.save_variants(variants, table, mode="overwrite", path=f"{root}/table", balanced=True)
+    per_file = gf.read_variants(spark, table).groupBy("_metadata.file_path").agg(
+        F.count("*").alias("rows"), F.sum("start").alias("sum_start")
+    )
+    saved = per_file.agg(
+        F.sum("rows").alias("n"), F.sum("sum_start").alias("sum_start"),
+        (F.max("rows") <= 2 * F.median("rows")).alias("even"),
+    )
+    return _dropped(spark, saved, table)
+
+
 def header_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = gf.vcf_header(_lines(spark, sf_dir))
     return gf.join_header(_variants(spark, sf_dir), header).select(
@@ -699,6 +755,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     single_file_any_codec, odd_info, repeated_format_keys, file_paths, wide_cohort,
     genotype_rows, stream_values, split_per_allele, regions_join, region_from_table,
     stream_native_headers, stream_counts, stream_commit_once, reject_reasons, header_attributes,
+    split_per_genotype, trimmed_alleles, discovered_info, save_balanced,
 )
 
 
@@ -946,6 +1003,37 @@ declared AS (
                  WHEN calls = '1|2' THEN CASE alt_index WHEN 1 THEN '1|0' ELSE '0|1' END
                  ELSE calls END AS calls
             FROM alleles""",
+        "split_per_genotype": """WITH alleles AS (
+              SELECT *, unnest(CASE l_suppkey % 3 WHEN 2 THEN [1, 2] ELSE [1] END) AS alt_index FROM lineitem
+            ),
+            places AS (SELECT *, CAST(alt_index * (alt_index + 1) // 2 AS BIGINT) AS p FROM alleles)
+            SELECT 'chr' || l_linenumber AS contig, l_orderkey AS "start", alt_index,
+                   l_linenumber || '|' || (10 * p + l_linenumber) || '|'
+                     || (10 * (p + alt_index) + l_linenumber) AS pl FROM places""",
+        "trimmed_alleles": """WITH alleles AS (
+              SELECT *, 1 + l_linenumber % 3 AS k,
+                     unnest(CASE l_suppkey % 3 WHEN 2 THEN [1, 2] ELSE [1] END) AS alt_index FROM lineitem
+            ),
+            cases AS (
+              SELECT *, CASE WHEN l_suppkey % 3 = 1 THEN 'swap'
+                             WHEN l_suppkey % 3 = 2 AND alt_index = 1 THEN 'whole' ELSE 'gap' END AS kind
+              FROM alleles
+            )
+            SELECT 'chr' || l_linenumber AS contig, alt_index,
+                   l_orderkey + CASE kind WHEN 'swap' THEN k ELSE 0 END AS "start",
+                   l_orderkey + CASE kind WHEN 'swap' THEN k + 1 WHEN 'whole' THEN k + 2 ELSE k END AS end_pos,
+                   CASE kind WHEN 'swap' THEN 'C' WHEN 'whole' THEN repeat('A', k) || 'CG'
+                        ELSE repeat('A', k) END AS ref,
+                   CASE kind WHEN 'swap' THEN 'T' ELSE 'A' END AS alt
+            FROM cases""",
+        "discovered_info": """SELECT CAST(l_quantity AS BIGINT) AS info_dp,
+            CASE WHEN l_partkey % 2 = 0 THEN 'x' ELSE '1' END AS info_mix, true AS info_flag,
+            CASE WHEN l_partkey % 3 = 0 THEN '1.5|2.0' ELSE '7.0' END AS info_list, count(*) AS n,
+            'DP:bigint FLAG:boolean LIST:array<double> MIX:string' AS types
+            FROM lineitem GROUP BY ALL""",
+        "save_balanced": f"""WITH {_VARIANTS}
+            SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum("start") AS BIGINT) AS sum_start, true AS even
+            FROM variants""",
         "header_join": f"""WITH {_VARIANTS}, {header},
             counts AS (SELECT file_path, count(*) AS variants FROM variants GROUP BY file_path)
             SELECT file_path, section, id, variants FROM declared LEFT JOIN counts

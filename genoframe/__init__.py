@@ -6,6 +6,7 @@ from genoframe.operators.regions import join_regions
 from genoframe.operators.tables import read_variants, save_variants
 from genoframe.operators.variants import (
     declared_info_types,
+    discovered_info_types,
     flatten_info,
     in_region,
     info_field,
@@ -13,6 +14,7 @@ from genoframe.operators.variants import (
     min_quality,
     per_allele_numbers,
     split_multiallelic,
+    trim_alleles,
     variant_field,
     variants_per_file,
 )
@@ -30,6 +32,7 @@ __all__ = [
     "commit_batch",
     "count_stream",
     "declared_info_types",
+    "discovered_info_types",
     "explode_genotypes",
     "flatten_info",
     "foreach_vcf_batch",
@@ -58,6 +61,7 @@ __all__ = [
     "save_by_region",
     "save_variants",
     "split_multiallelic",
+    "trim_alleles",
     "variant_field",
     "variants_per_file",
     "vcf_header",

@@ -11,14 +11,19 @@ def save_variants(
     mode: str = "errorifexists",
     partitions: int | None = None,
     path: str | None = None,
+    balanced: bool = False,
 ) -> None:
     """Save as a table, which by default must not exist yet.
 
     ``partitions`` redistributes the rows first, which evens out files of very
-    different sizes, above all gzip files, which cannot be split. With ``path``
-    the table is external and its files lie there.
+    different sizes, above all gzip files, which cannot be split. ``balanced`` does so
+    without a number: Spark measures the bytes and makes files of its advisory size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``). With ``path`` the table is
+    external and its files lie there.
     """
     rows = df if partitions is None else df.repartition(partitions)
+    if balanced:
+        rows = rows.hint("rebalance")
     writer = rows.write.mode(mode)
     if path is not None:
         writer = writer.option("path", path)

@@ -100,6 +100,27 @@ def odd_lines_of(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(f"concat_ws('\\t', {', '.join(ODD_FIELDS)}) AS value", *FILE_COLUMNS)
 
 
+# Alleles with shared ends, and a value for each genotype.
+ALLELES = (
+    "concat(repeat('A', 1 + l_linenumber % 3), 'CG')",
+    """CASE l_suppkey % 3 WHEN 0 THEN 'ACG' WHEN 1 THEN concat(repeat('A', 1 + l_linenumber % 3), 'TG')
+         ELSE 'A,ACG' END""",
+)
+GENOTYPE_FIELDS = (
+    *RECORD_FIELDS[:3], *ALLELES, "'.'", "'.'",
+    """concat('DP=', bigint(l_quantity), ';MIX=', CASE WHEN l_partkey % 2 = 0 THEN 'x' ELSE '1' END,
+         ';LIST=', CASE WHEN l_partkey % 3 = 0 THEN '1.5,2' ELSE '7' END, ';FLAG')""",
+    "'GT:PL'",
+    """concat('0/1:', array_join(transform(sequence(0, CASE l_suppkey % 3 WHEN 2 THEN 5 ELSE 2 END),
+         i -> string(10 * i + l_linenumber)), ','))""",
+)
+
+
+def genotype_lines_of(lineitem: DataFrame) -> DataFrame:
+    """Data lines of one sample with ``GENOTYPE_FIELDS``, all well formed."""
+    return lineitem.selectExpr(f"concat_ws('\\t', {', '.join(GENOTYPE_FIELDS)}) AS value", *FILE_COLUMNS)
+
+
 # Positions and qualities, some of them no numbers.
 FLAWED_FIELDS = (
     RECORD_FIELDS[0],
