@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from genoframe.plans.header_join import MAX_BROADCAST_BYTES
 
 # Bins are powers of two: the smallest, and the step from one size to the next. A
-# region touches at most nine bins of its size.
-SMALLEST_BITS, STEP_BITS, LARGEST_BITS = 14, 3, 62
+# region touches at most nine bins of its size, so few variants of a bin miss it.
+SMALLEST_BITS, STEP_BITS, LARGEST_BITS = 5, 3, 62
 # Bins with more variants than this are split over several tasks, and the most bins
 # that can be: a bin must hold one part in so many of all variants to be one of them.
 HOT_VARIANTS = 1_000_000
@@ -107,7 +107,7 @@ def join_regions(
     measured = keyed.agg(
         F.sum(row.cast("bigint")).alias("size"), F.array_sort(F.collect_set("_bits")).alias("bits")
     ).first()
-    # Nineteen sizes of bins at most.
+    # Twenty sizes of bins at most.
     variants = _keyed_variants(df, measured["bits"] or [SMALLEST_BITS], overlap)
     if (measured["size"] or 0) <= max_broadcast_bytes:
         regions_side = F.broadcast(keyed.withColumn("_part", F.lit(0)))
