@@ -87,19 +87,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for name, i in index.items():
                 part = found[i << BUCKET_BITS : (i + 1) << BUCKET_BITS]
                 counts[name] = counts.get(name, 0) + part
-    if counts:
+    for name, found in counts.items():
+        used = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict(
             {
-                "lang": pa.array(list(counts), pa.string()),
-                "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in counts.values()]),
+                "lang": pa.repeat(pa.scalar(name, pa.string()), len(used)),
+                "bucket": pa.array(used.astype(np.int32)),
+                "n": pa.array(found[used].astype(np.int64)),
             }
         )
 
 
-def _add_up(table: pa.Table) -> pa.Table:
+def _pack(table: pa.Table) -> pa.Table:
+    """The sums of one language, a row for each of its buckets at most, as one array."""
     total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-    for packed in table["counts"]:
-        total += np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.int64)
+    total[table["bucket"].to_numpy()] = table["n"].to_numpy()
     packed = pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())
     return pa.table({"lang": table["lang"][:1], "counts": packed})
 
@@ -107,12 +109,14 @@ def _add_up(table: pa.Table) -> pa.Table:
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities of trigrams, one column each.
 
-    All texts outside the held-out fold count. The driver gets one row per
+    All texts outside the held-out fold count. Spark adds the counts of tasks up by
+    language and bucket, so no group grows with the number of tasks. The driver gets one row per
     language. Codes of languages are few by nature; a thousand would be 512 MB.
     """
     known = docs.where((fold(folds=FOLDS) != HELD_OUT) & F.col("lang").isNotNull())
-    parts = known.select("text", "lang").mapInArrow(_count, "lang string, counts binary")
-    rows = parts.groupBy("lang").applyInArrow(_add_up, "lang string, counts binary").collect()
+    parts = known.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n bigint")
+    sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    rows = sums.groupBy("lang").applyInArrow(_pack, "lang string, counts binary").collect()
     rows = sorted(rows, key=lambda row: row["lang"])
     counts = np.array(
         [np.frombuffer(zlib.decompress(bytes(row["counts"])), dtype=np.int64) for row in rows]
