@@ -71,10 +71,10 @@ def source_rates(
     )
 
 
-def _stored_rates(sized: DataFrame) -> DataFrame:
+def _stored_rates(sized: DataFrame, max_repeats: int) -> DataFrame:
     """The rates, computed once: one row per source in the shared folder."""
     shared_folder(sized.sparkSession)
-    return source_rates(sized).checkpoint()
+    return source_rates(sized, max_repeats=max_repeats).checkpoint()
 
 
 def _with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
@@ -92,12 +92,14 @@ def _with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
     return rows.alias("s").join(right, same & (salt == F.col("r._mix_salt")))
 
 
-def copies_of(doc_id: str, rate: str, seed: int = SEED) -> Column:
+def copies_of(
+    doc_id: str, rate: str, seed: int = SEED, max_repeats: int = MAX_REPEATS
+) -> Column:
     """floor(rate) copies and one more with the probability of the fraction.
 
-    The draw is a hash of seed and id: reruns agree, and equal ids agree.
+    Rates end at ``max_repeats``. The draw is a hash of seed and id: reruns agree, and equal ids agree.
     """
-    rate = F.least(F.col(rate), F.lit(float(MAX_REPEATS)))
+    rate = F.least(F.col(rate), F.lit(float(max_repeats)))
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
     # 13 hexadecimal digits are 52 bits, a double in [0, 1).
     bits = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint")
@@ -106,7 +108,7 @@ def copies_of(doc_id: str, rate: str, seed: int = SEED) -> Column:
     return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("bigint")
 
 
-def assign_copies(docs: DataFrame) -> DataFrame:
+def assign_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies.
 
     A null or empty text has size 0 and takes no words; its copies follow the rate
@@ -115,14 +117,14 @@ def assign_copies(docs: DataFrame) -> DataFrame:
     may be null or repeated: equal ids get equal draws.
     """
     sized = docs.select("doc_id", "source", word_count("text").alias("size"))
-    joined = _with_rates(sized, _stored_rates(sized))
+    joined = _with_rates(sized, _stored_rates(sized, max_repeats))
     picked = joined.select(
         "s.doc_id", "s.source", "s.size", "r.source_size", "r.target", "r.rate"
     )
-    return picked.withColumn("copies", copies_of("doc_id", "rate"))
+    return picked.withColumn("copies", copies_of("doc_id", "rate", max_repeats=max_repeats))
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, each row as often as it is taken.
 
     Rates are summed from one narrow pass; the second pass reads whole rows and
@@ -130,8 +132,9 @@ def mix(docs: DataFrame) -> DataFrame:
     working ones are kept as they are.
     """
     sized = docs.select("doc_id", "source", word_count("text").alias("size"))
-    joined = _with_rates(docs, _stored_rates(sized))
-    rated = joined.select("s.*", F.col("r.rate").alias("_mix_rate"))
-    times = F.array_repeat(F.lit(True), copies_of("doc_id", "_mix_rate").cast("int"))
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    return rated.select(*columns, F.explode(times).alias("_mix_once")).drop("_mix_once")
+    joined = _with_rates(docs, _stored_rates(sized, max_repeats))
+    copies = copies_of("s.doc_id", "r.rate", max_repeats=max_repeats)
+    # Columns go in a struct while the rows are repeated, so no name of theirs clashes.
+    row = F.struct(*(F.col(f"s.`{name}`") for name in docs.columns)).alias("_mix_row")
+    times = F.array_repeat(F.lit(True), copies.cast("int"))
+    return joined.select(row, F.explode(times)).select("_mix_row.*")

@@ -9,7 +9,7 @@ from helpers import clashing, documents, rows_of
 from genoframe.llm import mixing
 
 
-def brute_targets(sizes):
+def brute_targets(sizes, most=3):
     """Targets by sharing again until none is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
@@ -19,10 +19,10 @@ def brute_targets(sizes):
         left = sum(sizes.values()) - sum(capped.values())
         total = sum(weight[s] for s in free)
         target = {s: left * weight[s] / total for s in free}
-        above = [s for s in free if target[s] > 3 * sizes[s] + 1e-9]
+        above = [s for s in free if target[s] > most * sizes[s] + 1e-9]
         if not above:
             return target | capped
-        capped |= {s: 3.0 * sizes[s] for s in above}
+        capped |= {s: float(most) * sizes[s] for s in above}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -71,6 +71,19 @@ def test_many_sources_take_the_salted_way(spark, monkeypatch):
     assert rows_of(mixing.mix(docs)) == mixed
 
 
+@pytest.mark.parametrize("most", [1, 2, 5])
+def test_targets_and_copies_end_at_the_same_repeats(spark, most):
+    rows = [(i, "w " * (i % 3), "b") for i in range(60)] + [(100 + i, "w " * 90, "a") for i in range(40)]
+    docs = documents(spark, rows)
+    found = mixing.assign_copies(docs, most).collect()
+    expected = brute_targets({"a": 3600, "b": 60}, most)
+    for row in found:
+        assert row["target"] == pytest.approx(expected[row["source"]])
+        if row["source"] == "b":
+            assert row["copies"] == most
+    assert mixing.mix(docs, most).count() == sum(row["copies"] for row in found)
+
+
 def test_empty_and_blank(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     blank = mixing.assign_copies(documents(spark, [(1, None), (2, " "), (2, " ")])).collect()
