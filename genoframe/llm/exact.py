@@ -27,6 +27,8 @@ BYTES_PER_RANGE = 32 << 20
 
 # Working columns, named so that columns of the input do not clash with them.
 NORM, HEAD, DIGEST = "_exact_norm", "_exact_head", "_exact_sha256"
+# Whole rows go as one struct, so that their columns cannot clash at all.
+ROW = "_exact_row"
 
 
 def normalised(text: Column) -> Column:
@@ -36,26 +38,27 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def _sorted_ranges(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns with normalised text and digest, dealt out and sorted by content.
+def _sorted_ranges(docs: DataFrame, column: str) -> DataFrame:
+    """The column, doc_id or a struct with it and the text, with normalised text and digest, dealt out and sorted by content.
 
     Rows carry their text once; it is normalised again behind the sort. Texts of
     one digest stand together, whether they are equal is for the comparison.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    names = [F.col(f"`{name}`") for name in dict.fromkeys([*columns, "text"])]
-    keyed = docs.select(*names, normalised(F.col("text")).alias(NORM)).select(
+    inside = f"{ROW}." if column == ROW else ""
+    names = [column] if inside else [column, "text"]
+    text, doc_id = F.col(f"{inside}text"), F.col(f"{inside}doc_id")
+    keyed = docs.select(*names, normalised(text).alias(NORM)).select(
         *names,
         F.substring(F.encode(NORM, "UTF-8"), 1, HEAD_BYTES).alias(HEAD),
         F.sha2(NORM, 256).alias(DIGEST),
     )
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_RANGE))
-    order = [F.col(HEAD), F.col(DIGEST), F.col("doc_id").asc_nulls_last()]
+    order = [F.col(HEAD), F.col(DIGEST), doc_id.asc_nulls_last()]
     ordered = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    kept = [F.col(f"`{name}`") for name in columns]
-    return ordered.select(*kept, normalised(F.col("text")).alias(NORM), DIGEST)
+    return ordered.select(column, normalised(text).alias(NORM), DIGEST)
 
 
 def _run_starts(texts: pa.Array, before: str | None) -> np.ndarray:
@@ -126,7 +129,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id bigint, text_sha256 string, run_min bigint, run_size bigint, "
         "leads boolean, at_edge boolean"
     )
-    runs = _sorted_ranges(rows, ["doc_id"]).mapInArrow(returning_memory(_runs), schema)
+    runs = _sorted_ranges(rows, "doc_id").mapInArrow(returning_memory(_runs), schema)
     runs = runs.withColumn("at", F.spark_partition_id()).checkpoint()
     # At most two runs per range touch a boundary, so this table is small.
     cut = (
@@ -171,7 +174,8 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     in the next range loses its later first rows when that is read.
     """
     spark = docs.sparkSession
-    ordered = _sorted_ranges(docs, docs.columns)
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias(ROW)
+    ordered = _sorted_ranges(docs.select(row), ROW)
     schema = T.StructType([f for f in ordered.schema.fields if f.name != NORM])
     leads = ordered.mapInArrow(returning_memory(_leads), schema).withColumn("_exact_range", F.spark_partition_id())
     folder = shared_path(spark, "exact")
@@ -188,4 +192,4 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
         F.col("_exact_range") > F.col("_exact_first")
     )
     kept = stored.join(F.broadcast(cut), later, "left_anti")
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return kept.select(f"{ROW}.*")
