@@ -31,18 +31,18 @@ def _toward_smallest(edges: DataFrame, larger_only: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (u, v): root is the smallest node
     of its component.
 
     Each round is written to the shared folder, so a lost executor costs no more
     than a round. No edges give no rows. Rounds grow with the logarithm of the
-    size of a component; it is an error if ``most_rounds`` do not settle.
+    size of a component, and end when one changes nothing.
     """
     shared_folder(edges.sparkSession)
     now = edges.where("u <> v").distinct().checkpoint()
     before = None
-    for _ in range(most_rounds):
+    while True:
         stars = _toward_smallest(_toward_smallest(now, True), False).checkpoint()
         state = stars.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
@@ -53,4 +53,3 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return leaves.union(roots)
         before = state
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")

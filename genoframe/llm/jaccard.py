@@ -52,6 +52,10 @@ EMPTY = 0x3C6EF372FE94F82B
 # Nodes and shingles that one task multiplies.
 CHUNK_NODES = 4096
 CHUNK_SHINGLES = 1 << 22
+# A digest that more than one row in so many has is hot: there are no more hot ones.
+HOT_SHARE = 10_000
+# Stands for a null id where rows are compared, fixed value: the least long.
+NO_ID = -(1 << 63)
 # Nodes of a size step that meet every chunk of a large cluster, on average.
 LEADERS = 64
 
@@ -243,30 +247,23 @@ def _meet(keys: np.ndarray, nodes: np.ndarray, forest: Forest) -> tuple[np.ndarr
     return keys[starts], nodes[starts]
 
 
-def _parts(words: int, percent: int, blocks: int, frequent: np.ndarray):
-    """Task over texts: edges between nodes that meet inside the task, and keys of
-    parts with their nodes, packed by block.
+def _parts(words: int, percent: int, frequent: np.ndarray):
+    """Task over texts: (key, node) of parts, and edges (node, root) between nodes that
+    meet inside the task.
 
     Nodes that meet send their common key once, so however many near copies there
-    are, a block receives few entries per task.
+    are, a key goes on a few times per task.
     """
 
-    def packed(
+    def met(
         keys: list[np.ndarray], nodes: list[np.ndarray], forest: Forest
-    ) -> Iterator[pa.RecordBatch]:
-        met, heads = _meet(np.concatenate(keys), np.concatenate(nodes), forest)
-        block = (met % np.uint64(blocks)).astype(np.int64)
-        order = np.argsort(block, kind="stable")
-        ends = np.searchsorted(block[order], np.arange(blocks + 1))
-        for b in range(blocks):
-            some = order[ends[b] : ends[b + 1]]
-            if len(some):
-                entries = np.stack([met[some], heads[some].view(np.uint64)]).tobytes()
-                yield _table(
-                    block=pa.array([b], pa.int32()),
-                    entries=pa.array([entries], pa.binary()),
-                    edges=pa.nulls(1, pa.binary()),
-                )
+    ) -> pa.RecordBatch:
+        common, heads = _meet(np.concatenate(keys), np.concatenate(nodes), forest)
+        return _table(
+            key=pa.array(common.view(np.int64)),
+            node=pa.array(heads),
+            root=pa.nulls(len(heads), pa.int64()),
+        )
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, seen = Forest(), set()
@@ -285,48 +282,48 @@ def _parts(words: int, percent: int, blocks: int, frequent: np.ndarray):
                 nodes.append(np.full(len(keys[-1]), node, dtype=np.int64))
                 held += len(keys[-1])
                 if held > ENTRIES_PER_BLOCK:
-                    yield from packed(keys, nodes, forest)
+                    yield met(keys, nodes, forest)
                     keys, nodes, held = [], [], 0
         if keys:
-            yield from packed(keys, nodes, forest)
-        edges = np.array(forest.edges(), dtype=np.int64)
+            yield met(keys, nodes, forest)
+        u, v = forest.edges()
         yield _table(
-            block=pa.array([int(edges[0, 0] % blocks) if edges.size else 0], pa.int32()),
-            entries=pa.nulls(1, pa.binary()),
-            edges=pa.array([edges.tobytes()], pa.binary()),
+            key=pa.nulls(len(u), pa.int64()),
+            node=pa.array(u, pa.int64()),
+            root=pa.array(v, pa.int64()),
         )
 
     return parts
 
 
-def _meet_block(table: pa.Table) -> pa.Table:
-    """All entries of a block: nodes of different tasks that share a key."""
-    forest = Forest()
-    for packed in table["edges"].drop_null():
-        for x, y in zip(*np.frombuffer(packed.as_py(), dtype=np.int64).reshape(2, -1).tolist()):
+def _meet_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task over entries dealt by key: nodes of different tasks that share a key."""
+    forest, keys, nodes = Forest(), [], []
+    for batch in batches:
+        entries = batch.filter(batch["key"].is_valid())
+        keys.append(entries["key"].to_numpy().view(np.uint64))
+        nodes.append(entries["node"].to_numpy())
+        edges = batch.filter(batch["key"].is_null())
+        for x, y in zip(edges["node"].to_pylist(), edges["root"].to_pylist()):
             forest.link(x, y)
-    parts = [
-        np.frombuffer(packed.as_py(), dtype=np.uint64).reshape(2, -1)
-        for packed in table["entries"].drop_null()
-    ]
-    if parts:
-        entries = np.concatenate(parts, axis=1)
-        _meet(entries[0], entries[1].view(np.int64), forest)
+    if keys:
+        _meet(np.concatenate(keys), np.concatenate(nodes), forest)
     u, v = forest.edges()
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    yield _table(u=pa.array(u, pa.int64()), v=pa.array(v, pa.int64()))
 
 
-def _bits(nodes: np.ndarray, bits: int) -> np.ndarray:
-    return (mixed(nodes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+def _bits(nodes: np.ndarray, carriers: np.ndarray, bits: int) -> np.ndarray:
+    both = mixed(nodes.view(np.uint64)) ^ carriers.view(np.uint64)
+    return (mixed(both) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _node_filter(clusters: DataFrame, bits: int) -> np.ndarray:
-    """Bit array with the nodes of all clusters, or-ed in tasks first."""
+def _carrier_filter(clusters: DataFrame, bits: int) -> np.ndarray:
+    """Bit array with the (node, carrier) of all clusters, or-ed in tasks first."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(1 << bits, dtype=bool)
         for batch in batches:
-            found[_bits(batch["node"].to_numpy(), bits)] = True
+            found[_bits(batch["node"].to_numpy(), batch["carrier"].to_numpy(), bits)] = True
         yield _table(counts=pa.array([zlib.compress(np.packbits(found).tobytes(), 1)], pa.binary()))
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +333,7 @@ def _node_filter(clusters: DataFrame, bits: int) -> np.ndarray:
                 found |= np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.uint8)
         yield _table(counts=pa.array([zlib.compress(found.tobytes(), 1)], pa.binary()))
 
-    filled = clusters.select("node").mapInArrow(fill, "counts binary")
+    filled = clusters.select("node", "carrier").mapInArrow(fill, "counts binary")
     parts = filled.repartition(16).mapInArrow(unite, "counts binary").collect()
     found = np.zeros((1 << bits) // 8, dtype=np.uint8)
     for row in parts:
@@ -345,30 +342,38 @@ def _node_filter(clusters: DataFrame, bits: int) -> np.ndarray:
 
 
 def _whole_sets(words: int, bits: int, wanted: np.ndarray):
-    """Task over texts: the whole set of each node that the filter lets through."""
+    """Task over rows: whole sets of the rows that may carry a node, by the filter.
 
-    def packed(sets: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+    A node's carrier is the least row that has its set, so a row after a lesser one
+    with the same set is not it. What the filter lets through beside the carriers
+    finds no partner when (node, carrier) is joined.
+    """
+
+    def packed(sets: list[tuple[bytes, int, np.ndarray]]) -> pa.RecordBatch:
         return _table(
-            node=pa.array([_node(digest) for digest in sets], pa.int64()),
-            digest=pa.array(list(sets), pa.binary()),
-            shingles=pa.array([members.tobytes() for members in sets.values()], pa.binary()),
+            node=pa.array([_node(digest) for digest, _, _ in sets], pa.int64()),
+            carrier=pa.array([row for _, row, _ in sets], pa.int64()),
+            digest=pa.array([digest for digest, _, _ in sets], pa.binary()),
+            shingles=pa.array([members.tobytes() for _, _, members in sets], pa.binary()),
         )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, sets, held = set(), {}, 0
+        least: dict[bytes, int] = {}
+        sets, held = [], 0
         for batch in batches:
-            for members in shingle_sets(batch["text"], words):
+            rows = batch["carrier"].to_pylist()
+            for row, members in zip(rows, shingle_sets(batch["text"], words)):
                 digest = _digest(members)
-                if not len(members) or digest in seen:
+                if not len(members) or least.get(digest, row + 1) <= row:
                     continue
-                place = int(_bits(np.array([_node(digest)]), bits)[0])
+                place = int(_bits(np.array([_node(digest)]), np.array([row]), bits)[0])
                 if wanted[place >> 3] >> (7 - (place & 7)) & 1:
-                    seen.add(digest)
-                    sets[digest] = members
+                    least[digest] = row
+                    sets.append((digest, row, members))
                     held += len(members)
                     if held > ENTRIES_PER_BLOCK:
                         yield packed(sets)
-                        sets, held = {}, 0
+                        sets, held = [], 0
         yield packed(sets)
 
     return whole
@@ -494,9 +499,10 @@ def _multiply(percent: int):
 
 
 def _small_work(sized: DataFrame, bins: int) -> DataFrame:
-    """(node, cluster, work) of small clusters: they share tasks, each whole in one."""
+    """(node, carrier, cluster, work) of small clusters: they share tasks, each whole in one."""
     return sized.where("NOT large").select(
         "node",
+        "carrier",
         F.col("root").alias("cluster"),
         F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(bins))).alias("work"),
     )
@@ -517,7 +523,8 @@ def _chunked(sized: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         F.ceil(fill).cast("int").alias("m"), F.count("*").alias("k")
     )
     placed = parts.join(chunks, ["root", "step"]).select(
-        "node", "root", "step", "k", F.pmod(F.xxhash64("node"), F.col("m")).cast("int").alias("c")
+        "node", "carrier", "root", "step", "k",
+        F.pmod(F.xxhash64("node"), F.col("m")).cast("int").alias("c"),
     )
     return placed, chunks.select("root", "step", "m")
 
@@ -534,17 +541,19 @@ def _chunk_work(placed: DataFrame, chunks: DataFrame) -> DataFrame:
     Near copies link to a leader, directly or over each other, so that most of a
     cluster becomes one component without all its chunks meeting.
     """
-    own = placed.select("node", "root", "step", "c")
+    own = placed.select("node", "carrier", "root", "step", "c")
     share = F.ceil(F.col("k") / F.lit(LEADERS))
     leaders = placed.where(F.pmod(F.xxhash64("node", F.lit(1)), share) == 0)
     there = chunks.select("root", F.col("step").alias("other"), "m")
-    visiting = _near_steps(leaders.select("node", "root", "step")).join(there, ["root", "other"])
+    visiting = _near_steps(leaders.select("node", "carrier", "root", "step")).join(there, ["root", "other"])
     visits = visiting.select(
-        "node", "root", F.col("other").alias("step"), F.explode(F.expr("sequence(0, m - 1)")).alias("c")
+        "node", "carrier", "root", F.col("other").alias("step"),
+        F.explode(F.expr("sequence(0, m - 1)")).alias("c"),
     )
     both = own.union(visits).distinct()
     return both.select(
-        "node", F.col("root").alias("cluster"), F.concat_ws("_", F.lit("l"), "root", "step", "c").alias("work")
+        "node", "carrier", F.col("root").alias("cluster"),
+        F.concat_ws("_", F.lit("l"), "root", "step", "c").alias("work"),
     )
 
 
@@ -555,7 +564,7 @@ def _rest_work(placed: DataFrame, chunks: DataFrame, labels: DataFrame) -> DataF
     counts = named.groupBy("root", "label").agg(F.count("*").alias("n"))
     largest = counts.groupBy("root").agg(F.max_by("label", F.struct("n", "label")).alias("most"))
     rest = named.join(largest, "root").where(F.col("label") != F.col("most"))
-    rest = rest.select("node", "root", "step").distinct()
+    rest = rest.select("node", "carrier", "root", "step").distinct()
     parts = rest.groupBy("root", "step").agg(
         F.ceil(F.count("*") * 2 / CHUNK_NODES).cast("int").alias("parts")
     )
@@ -564,20 +573,23 @@ def _rest_work(placed: DataFrame, chunks: DataFrame, labels: DataFrame) -> DataF
     )
     there = chunks.select("root", F.col("step").alias("other"), "m")
     rest_side = _near_steps(rest).join(there, ["root", "other"]).select(
-        "node", "root", "step", "p", "other", F.explode(F.expr("sequence(0, m - 1)")).alias("c")
+        "node", "carrier", "root", "step", "p", "other",
+        F.explode(F.expr("sequence(0, m - 1)")).alias("c"),
     )
     meeting = _near_steps(parts).select("root", F.col("other").alias("at"), "step", "parts")
     chunk_side = (
-        placed.select("node", "root", F.col("step").alias("at"), "c")
+        placed.select("node", "carrier", "root", F.col("step").alias("at"), "c")
         .join(meeting, ["root", "at"])
         .select(
-            "node", "root", "step", F.explode(F.expr("sequence(0, parts - 1)")).alias("p"),
+            "node", "carrier", "root", "step",
+            F.explode(F.expr("sequence(0, parts - 1)")).alias("p"),
             F.col("at").alias("other"), "c",
         )
     )
     both = rest_side.union(chunk_side).distinct()
     return both.select(
         "node",
+        "carrier",
         F.col("root").alias("cluster"),
         F.concat_ws("_", F.lit("r"), "root", "step", "p", "other", "c").alias("work"),
     )
@@ -598,7 +610,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared_folder(spark)
     small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    only_text = docs.select("text")
+    carrier = F.coalesce("doc_id", F.lit(NO_ID)).alias("carrier")
     folder = shared_path(spark, "sets")
     schema = "doc_id bigint, n bigint, digest binary, node bigint, counts binary"
     texts.mapInArrow(returning_memory(_measure(words)), schema).write.parquet(folder)
@@ -607,17 +619,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     frequent = _frequent(measured)
 
     # Twice the parts that the total of all sizes needs: what the numbers in use add.
-    total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    all_rows = rows.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
+    total = all_rows["n"] or 0
     entries = 4 * total * (100 - percent) // (100 + percent)
     blocks = int(entries // ENTRIES_PER_BLOCK) + 1
-    parts = only_text.mapInArrow(
-        returning_memory(_parts(words, percent, blocks, frequent)),
-        "block int, entries binary, edges binary"
+    parts = docs.select("text").mapInArrow(
+        returning_memory(_parts(words, percent, frequent)), "key bigint, node bigint, root bigint"
     )
-    meetings = parts.groupBy("block").applyInArrow(_meet_block, "u bigint, v bigint")
+    dealt = parts.repartition(blocks, F.coalesce("key", "root"))
+    meetings = dealt.mapInArrow(returning_memory(_meet_across), "u bigint, v bigint")
     clusters = components(meetings)
 
-    sizes = rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
+    sizes = rows.where("n > 0").groupBy("digest").agg(
+        F.max("n").alias("n"), F.max("node").alias("node"), F.min(carrier).alias("carrier")
+    )
     nodes = clusters.join(sizes, "node")
     totals = nodes.groupBy("root").agg(F.count("*").alias("k"), F.sum("n").alias("all_n"))
     large = (F.col("k") > CHUNK_NODES) | (F.col("all_n") > CHUNK_SHINGLES)
@@ -629,13 +644,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     ).first()
     bins = int((counts["small_n"] or 0) // (CHUNK_SHINGLES // 4)) + 1
     bits = min(FILTER_BITS, max(10, int(8 * counts["nodes"]).bit_length()))
-    sets = only_text.mapInArrow(
-        returning_memory(_whole_sets(words, bits, _node_filter(sized, bits))),
-        "node bigint, digest binary, shingles binary",
+    sets = texts.select(carrier, "text").mapInArrow(
+        returning_memory(_whole_sets(words, bits, _carrier_filter(sized, bits))),
+        "node bigint, carrier bigint, digest binary, shingles binary",
     )
 
     def links_of(work: DataFrame) -> DataFrame:
-        dealt = sets.join(work, "node").groupBy("work")
+        dealt = sets.join(work, ["node", "carrier"]).groupBy("work")
         return dealt.applyInArrow(_multiply(percent), "u binary, v binary")
 
     placed, chunks = _chunked(sized, percent)
@@ -651,18 +666,34 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         rest = _rest_work(placed, chunks, labels).checkpoint()
         linked_sets = components(links.union(links_of(rest)))
 
-    firsts = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    firsts = rows.where("n > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies")
+    )
     in_component = linked_sets.join(firsts, linked_sets["node"] == firsts["digest"])
     smallest = in_component.groupBy("root").agg(F.min("first_id").alias("smallest"))
     named = in_component.join(smallest, "root").select("digest", "smallest")
     by_digest = firsts.join(named, "digest", "left").select(
-        "digest", F.coalesce("smallest", "first_id").alias("component_id")
+        "digest", "copies", F.coalesce("smallest", "first_id").alias("component_id")
     )
     alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    together = rows.where("n > 0").join(by_digest, "digest").select("doc_id", "n", "component_id")
+    together = _with_hot(rows.where("n > 0"), by_digest, all_rows["rows"])
+    together = together.select("doc_id", "n", "component_id")
     return together.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def _with_hot(rows: DataFrame, by_digest: DataFrame, total: int) -> DataFrame:
+    """Rows with what belongs to their digest.
+
+    Digests with more than one in ``HOT_SHARE`` of all rows are at most that many and
+    are broadcast; no key of the other rows' shuffle has more than that share.
+    """
+    stored = by_digest.checkpoint()
+    is_hot = F.col("copies") > F.lit(total // HOT_SHARE)
+    hot, other = F.broadcast(stored.where(is_hot)), stored.where(~is_hot)
+    rest = rows.join(hot.select("digest"), "digest", "left_anti")
+    return rows.join(hot, "digest").unionByName(rest.join(other, "digest"))
+
+
 def keep_one_per_component(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -671,5 +702,6 @@ def keep_one_per_component(
     Rows of a repeated id go together; a row with a null id cannot be named and stays.
     """
     found = near_duplicates(docs, words, percent)
-    goes = found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_near_id"))
-    return docs.join(goes, F.col("doc_id") == F.col("_near_id"), "left_anti")
+    goes = found.where("NOT doc_id <=> component_id").select("doc_id")
+    same = F.col("d.doc_id").cast("bigint") == F.col("g.doc_id")
+    return docs.alias("d").join(goes.alias("g"), same, "left_anti")

@@ -20,7 +20,9 @@ def clashing(docs):
     """The same table with more columns, named like working columns of operators."""
     from pyspark.sql import functions as F
 
-    names = "size rate copies words lines windows norm digest node n counts block group start"
+    names = """size rate copies words lines windows norm digest node n counts block group start
+        source_size target _mix_rate _mix_salt _mix_row _near_id _exact_norm _exact_range
+        _exact_row _exact_sha256 carrier piece_id held_out positive key root"""
     return docs.select("*", *(F.lit(i).alias(name) for i, name in enumerate(names.split())))
 
 

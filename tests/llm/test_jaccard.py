@@ -147,3 +147,30 @@ def test_product_of_blocks(monkeypatch, budget):
         if 100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= 90 * (len(sets[i]) + len(sets[j]) - c)
     }
     assert pairs == plain
+
+
+def test_one_row_carries_a_set():
+    """The filter holds one carrier of each set: its copies in other tasks stay there."""
+    base = family(1, 40, 0, 8)[0]
+    (members,) = shingle_sets(pa.array([base]), 3)
+    node = np.array([jaccard._node(jaccard._digest(members))])
+    bits, carrier = 16, 5
+    found = np.zeros(1 << bits, dtype=bool)
+    found[jaccard._bits(node, np.array([carrier]), bits)] = True
+    task = jaccard._whole_sets(3, bits, np.packbits(found))
+    for ids in ([90, 5, 70, 5], [8, 9, 11]):
+        batch = pa.RecordBatch.from_pydict(
+            {"carrier": pa.array(ids, pa.int64()), "text": pa.array([base] * len(ids))}
+        )
+        sent = [row for out in task(iter([batch])) for row in out.to_pylist()]
+        assert [row["carrier"] for row in sent] == [carrier] * (carrier in ids)
+
+
+def test_hot_digests_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT_SHARE", 4)
+    rows = spark.createDataFrame([(i, b"h" if i % 2 else bytes([i])) for i in range(20)], "i int, digest binary")
+    by_digest = rows.groupBy("digest").count().withColumnRenamed("count", "copies")
+    found = jaccard._with_hot(rows, by_digest, 20)
+    assert rows_of(found.select("i", "copies")) == sorted(
+        ((i, 10 if i % 2 else 1) for i in range(20)), key=repr
+    )

@@ -1,6 +1,7 @@
 """The pipeline over the small tables."""
 
 import pytest
+from helpers import clashing, documents
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -36,3 +37,37 @@ def test_queries_have_rows_and_agree_when_rerun(spark, name):
     query = queries.queries()[name]
     first, second = (sorted(map(repr, query(spark, SF_DIR).collect())) for _ in range(2))
     assert first and first == second
+
+
+LONG = "word one two three four five six seven eight nine ten " * 20_000
+ODD = {
+    "empty": [],
+    "nulls and repeats": [
+        (1, None), (1, None), (2, ""), (3, " \n"), (None, "no id here, some words to read"),
+        (None, None), (5, "same words again and again in here"), (5, "same words again and again in here"),
+        (6, "same words  again and again in here"), (7, "é ä 中文 and others"),
+    ],
+    "very long": [(1, LONG), (2, LONG), (3, LONG + " end"), (4, "short")],
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+def test_odd_tables_go_through_all_stages(spark, name, tmp_path):
+    docs = clashing(documents(spark, ODD[name]))
+    columns = docs.columns
+    texts = {" ".join((t or "").split()) for _, t in ODD[name]}
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        made = stage(spark, docs, SF_DIR)
+        made.write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.schema(made.schema).parquet(str(tmp_path / str(i)))
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == columns
+            left = [" ".join((row["text"] or "").split()) for row in docs.select("text").collect()]
+            assert set(left) <= texts and (not texts or left)
+    pieces = docs.collect()
+    assert bool(pieces) == bool(ODD[name])
+    places = {}
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        assert p["offset"] == places.get(p["sequence_id"], 0)
+        places[p["sequence_id"]] = p["offset"] + p["length"]
+    assert all(n <= 4096 for n in places.values())
