@@ -24,6 +24,9 @@ from genoframe.plans.shared import shared_folder, shared_path
 # Splitters reach the driver, so they carry the head of a text and its digest only.
 HEAD_BYTES = 32
 BYTES_PER_RANGE = 32 << 20
+# Ranges grow beyond that many, so that splitters and boundaries stay bounded: the
+# driver samples a hundred keys of some 100 bytes for each. The sort of a range spills.
+MAX_RANGES = 8192
 
 # Working columns, named so that columns of the input do not clash with them.
 NORM, HEAD, DIGEST = "_exact_norm", "_exact_head", "_exact_sha256"
@@ -55,7 +58,8 @@ def _sorted_ranges(docs: DataFrame, column: str) -> DataFrame:
         F.sha2(NORM, 256).alias(DIGEST),
     )
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_RANGE))
+    wanted = min(-(-size // BYTES_PER_RANGE), MAX_RANGES)
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     order = [F.col(HEAD), F.col(DIGEST), doc_id.asc_nulls_last()]
     ordered = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     return ordered.select(column, normalised(text).alias(NORM), DIGEST)

@@ -237,7 +237,8 @@ fitting AS (
 )
 SELECT page_id, host, path, rule,
        coalesce(rule_verdict,
-         CASE WHEN host = '' OR regexp_matches(host, 'spam|cheap-|casino|viagra|pills|porn|xxx')
+         CASE WHEN host = '' OR regexp_matches('.' || translate(host, '-_:', '...') || '.',
+                '\.(casinos?|cheap|cialis|escorts?|jackpot|levitra|malware|phishing|pills|poker|porno?|roulette|spam|spammers?|viagra|xanax|xxx)\.')
               THEN 'block' ELSE 'allow' END) AS verdict
 FROM fitting WHERE place = 1
 """

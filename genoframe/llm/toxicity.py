@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.llm.textscan import mixed, pieces
+from genoframe.plans.shared import remove, shared_path
 
 FOLDS = 5
 # Rows that the classifier is fitted on, at most.
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 12_000
-# Features that the classifier may use, and how sure their excess must be.
+# Features that the classifier may use, and how sure their excess must be. They bound
+# the model, not the rows; with fewer toxic texts than that there is no feature.
 MAX_FEATURES = 1024
 MIN_POSITIVE_TEXTS = 5
 MIN_Z = 5.0
@@ -120,6 +122,10 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(sums + self.bias, -50, 50)))
 
 
+# Without toxic texts to learn from: calls all clean.
+NOTHING = Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), -5.0)
+
+
 def fit_risk(
     positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS
 ) -> tuple[np.ndarray, float]:
@@ -208,7 +214,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(positive, text): confirmed toxic and unlabelled texts outside fold 0.
 
     Both are the ids with the smallest hashes, so a sample does not depend on the
-    order of rows. Texts without a label and those with one are unlabelled alike.
+    order of rows. Texts without a label and those with one are unlabelled alike. Of
+    rows that share an id the least text counts.
     """
     toxic = labels.where((F.col("toxic") == 1) & (fold() != 0)).select("doc_id").distinct()
     others = docs.where(fold() != 0).select("doc_id").distinct()
@@ -222,27 +229,37 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # At most MAX_POSITIVE + MAX_UNLABELLED ids.
     chosen = positive.union(unlabelled).select(F.col("doc_id").alias("_id"), "positive")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return texts.select("positive", "text")
+    return texts.groupBy("_id", "positive").agg(F.min("text").alias("text")).drop("_id")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Fit the classifier; without a confirmed toxic text it calls all clean.
 
+    The texts of the sample are written to the shared folder once and read from there.
     Counts that choose the features are made by Spark; the driver gets a thousand
     features and, for each sample text, the few of them that it has.
     """
-    small_batches(docs.sparkSession)
-    nothing = Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), -5.0)
+    spark = docs.sparkSession
+    small_batches(spark)
     known = labels.where((fold() != 0) & F.col("toxic").isNotNull())
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"]
     if not prior:
-        return nothing
+        return NOTHING
     prior = min(max(prior, 1e-4), 0.9)
-    sample = _sample(docs, labels)
+    folder = shared_path(spark, "toxicity-sample")
+    try:
+        _sample(docs, labels).write.parquet(folder)
+        return _fit(spark.read.schema("positive boolean, text string").parquet(folder), prior)
+    finally:
+        remove(spark, folder)
+
+
+def _fit(sample: DataFrame, prior: float) -> Classifier:
+    """The classifier of a sample (positive, text) at a class prior."""
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
-        return nothing
+        return NOTHING
     counts = (
         sample.mapInArrow(returning_memory(_feature_counts), "feature bigint, p bigint, u bigint")
         .groupBy("feature")

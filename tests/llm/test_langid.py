@@ -124,3 +124,44 @@ def test_search_ends_only_where_no_set_can_be_better(monkeypatch):
     whole = langid.identify(texts, logs)
     assert found[0].tolist() == whole[0].tolist()
     assert found[1] == pytest.approx(whole[1], abs=1e-6)
+
+
+def plain_fit(likelihood, languages):
+    """Proportions of a set of languages by EM over words, and the log likelihood."""
+    share = {k: 1 / len(languages) for k in languages}
+    for _ in range(langid.STEPS):
+        weights = dict.fromkeys(languages, 0.0)
+        for word in likelihood:
+            total = max(sum(word[k] * share[k] for k in languages), 1e-30)
+            for k in languages:
+                weights[k] += word[k] * share[k] / total
+        share = {k: weights[k] / len(likelihood) for k in languages}
+    total = sum(
+        np.log(max(sum(word[k] * share[k] for k in languages), 1e-30)) for word in likelihood
+    )
+    return share, total
+
+
+@pytest.mark.parametrize("parts", [{2: 30}, {0: 20, 4: 12}, {1: 20, 3: 14, 5: 9}, {0: 16, 1: 14, 2: 12, 5: 9}])
+def test_best_of_all_subsets(parts):
+    """The set that the search ends at is the best of all sets of six languages."""
+    from itertools import combinations
+
+    logs, write = many_languages()
+    logs = np.ascontiguousarray(logs[:, :6])
+    text = " ".join(write(k, n) for k, n in parts.items())
+    words = langid.Words([text])
+    by_word = np.add.reduceat(logs[words.buckets], words.starts, axis=0).astype(float)
+    likelihood = np.exp(by_word - by_word.max(axis=1, keepdims=True)).tolist()
+    penalty = 0.5 * np.log(len(likelihood))
+    fits = {}
+    for size in range(1, 7):
+        for languages in combinations(range(6), size):
+            share, total = plain_fit(likelihood, languages)
+            fits[languages] = (total - size * penalty, share)
+    chosen = max(fits, key=lambda languages: fits[languages][0])
+    assert set(chosen) == set(parts)
+    share = fits[chosen][1]
+    best, score = langid.identify([text], logs)
+    assert best[0] == max(share, key=share.get)
+    assert score[0] == pytest.approx(share[best[0]], abs=1e-3)

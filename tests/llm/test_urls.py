@@ -23,6 +23,10 @@ CASES = [
     ("http://org/", "org", "/", "org/", "allow"),
     ("http://borg/", "borg", "/", None, "allow"),
     ("http://spam-farm.net/", "spam-farm.net", "/", None, "block"),
+    ("http://oil-spills.noaa.net/", "oil-spills.noaa.net", "/", None, "allow"),
+    ("http://antispam.net/", "antispam.net", "/", None, "allow"),
+    ("http://best_PILLS.shop.net:8080/a", "best_pills.shop.net:8080", "/a", None, "block"),
+    ("http://shop.net.xxx", "shop.net.xxx", "", None, "block"),
     ("http://ok.net/spam/", "ok.net", "/spam/", None, "allow"),
     ("http://spam.example.org/", "spam.example.org", "/", "org/", "allow"),
     ("http://a.org?u=http://b.com/de/", "a.org", "", None, "allow"),
