@@ -206,7 +206,8 @@ def test_risk_is_that_of_a_plain_fit(prior):
     plain = plain_risk(plain_risk_fit(*tables, 400), *tables)
     found = plain_risk([*weights, bias], *tables)
     assert plain < start
-    assert found == pytest.approx(plain, rel=0.02)
+    # Near a risk of zero both go to and fro; 0.01 of the way down is close.
+    assert found == pytest.approx(plain, rel=0.02, abs=0.01 * start)
 
 
 def test_repeated_ids_are_one_row_of_the_sample(spark):
