@@ -1,10 +1,10 @@
 """Exact duplicates by content sort.
 
 Spark samples splitters and deals normalised texts out by range, an external sort
-puts equals next to each other, and whole neighbouring texts are compared. The
-sort key ends with the id, so a text with a third of all rows spreads over as many
-ranges as it needs; what a range boundary cuts apart is joined again from one
-summary row per boundary.
+by all their bytes puts equals next to each other, and whole neighbouring texts are
+compared. The key ends with the id, so a text with a third of all rows spreads over
+as many ranges as it needs; what a range boundary cuts apart is joined again from
+one summary row per boundary.
 """
 
 from __future__ import annotations
@@ -44,8 +44,10 @@ def normalised(text: Column) -> Column:
 def _sorted_ranges(docs: DataFrame, column: str) -> DataFrame:
     """The column, doc_id or a struct with it and the text, with normalised text and digest, dealt out and sorted by content.
 
-    Rows carry their text once; it is normalised again behind the sort. Texts of
-    one digest stand together, whether they are equal is for the comparison.
+    Splitters are of head, digest and id. A range is sorted by these with the whole
+    bytes before the id, so texts of one head stand in the order of their digests, and
+    equal ones together whatever their digests. Rows are shuffled with their text once;
+    it is normalised again in front of the sort.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -60,9 +62,11 @@ def _sorted_ranges(docs: DataFrame, column: str) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     wanted = min(-(-size // BYTES_PER_RANGE), MAX_RANGES)
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
-    order = [F.col(HEAD), F.col(DIGEST), doc_id.asc_nulls_last()]
-    ordered = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    return ordered.select(column, normalised(text).alias(NORM), DIGEST)
+    splitters = [F.col(HEAD), F.col(DIGEST), doc_id.asc_nulls_last()]
+    dealt = keyed.repartitionByRange(ranges, *splitters)
+    whole = dealt.select(column, normalised(text).alias(NORM), HEAD, DIGEST)
+    ordered = whole.sortWithinPartitions(HEAD, DIGEST, NORM, doc_id.asc_nulls_last())
+    return ordered.drop(HEAD)
 
 
 def _run_starts(texts: pa.Array, before: str | None) -> np.ndarray:

@@ -66,3 +66,22 @@ def test_a_text_over_many_ranges(spark):
         assert {r["doc_id"] for r in exact.drop_exact_duplicates(docs).collect()} == {0, 5000}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("column", ["doc_id", exact.ROW])
+def test_ranges_are_sorted_by_whole_texts(spark, column):
+    docs = documents(spark, CASES["same head"])
+    if column == exact.ROW:
+        docs = docs.selectExpr(f"struct(*) AS {exact.ROW}")
+    plan = exact._sorted_ranges(docs, column)._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.search(r"Sort \[(.*?)\], false", plan).group(1)
+    names = [key.split(" ")[0] for key in keys.split(", ")]
+    assert [name.split("#")[0] for name in names[:3]] == [exact.HEAD, exact.DIGEST, exact.NORM]
+    assert len(names) == 4 and (names[3].startswith("doc_id#") or names[3].endswith(".doc_id"))
+
+
+def test_equal_texts_meet_behind_a_long_common_head(spark):
+    """Texts of many megabytes that differ in their last byte only."""
+    rows = [(i, "x " * 1_500_000 + str(i % 3)) for i in range(9)]
+    found = exact.exact_duplicates(documents(spark, rows).repartition(4))
+    assert rows_of(found) == brute(rows)
