@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from genoframe.functions.numbers import integer, whole
+from genoframe.functions.numbers import TIDY_NUMBER, integer, whole
 from genoframe.functions.text import after_tabs, has_tabs, let, literal, tab_field
 from genoframe.functions.variant import needs_escaping, quoted, value_json
 from genoframe.options import VcfOptions
@@ -18,6 +18,13 @@ PLAIN_CALLS = whole(r"(?:\.|[0-9]{1,18})(?:[/|](?:\.|[0-9]{1,18}))*")
 PLAIN_FORMAT = whole(r"[A-Za-z0-9_.:]*+")
 # A sample with GT in front and no other value that is not missing.
 ONLY_GT = whole(r"[^:]*+(?::\.)*+")
+# A sample with GT in front whose other values are tidy numbers, lists of these and of
+# missing ones, or words that start with a letter, which no number does.
+PLAIN_SAMPLE = whole(
+    rf"[^:]*+(?::(?:[A-Za-z][A-Za-z0-9_./|-]*+|(?:{TIDY_NUMBER}|\.)(?:,(?:{TIDY_NUMBER}|\.))*+))*+"
+)
+# Values of a plain sample that are written out one by one; more go through a lambda.
+SPELLED_OUT = 8
 
 
 def kept_samples(sample_ids: str, options: VcfOptions) -> str:
@@ -62,12 +69,13 @@ def allele_calls(gt: str) -> str:
 def format_layout(format_field: str) -> str:
     """What all samples of a record share about its FORMAT field.
 
-    ``keys`` are the FORMAT keys, ``names`` their JSON member prefixes with NULL
-    for GT, ``gt`` the 1-based position of GT (0 if absent) and ``single`` whether
-    no key occurs twice.
+    ``keys`` are the FORMAT keys, ``names`` their JSON member prefixes with NULL or
+    nothing for GT, ``gt`` the 1-based position of GT (0 if absent) and ``single``
+    whether no key occurs twice. The field goes in as a column or a bound variable;
+    with GT in front and plain keys nothing is looked at key by key.
     """
     plain = f"{format_field} RLIKE r'{PLAIN_FORMAT}'"
-    return let(
+    any_layout = let(
         "keys",
         f"split({format_field}, ':')",
         f"""struct(
@@ -80,6 +88,13 @@ def format_layout(format_field: str) -> str:
           size(array_distinct(keys)) = size(keys) AS single
         )""",
     )
+    behind_gt = f"""concat(substr(replace(substr({format_field}, 3), ':', '":\\t"'), 3), '":')"""
+    keys = f"split({format_field}, ':')"
+    return f"""CASE
+      WHEN {format_field} = 'GT' THEN struct(array('GT') AS keys, array('') AS names, 1 AS gt, true AS single)
+      WHEN startswith({format_field}, 'GT:') AND {plain} AND size(array_distinct({keys})) = size({keys})
+      THEN struct({keys} AS keys, split({behind_gt}, '\\t') AS names, 1 AS gt, true AS single)
+      ELSE {any_layout} END"""
 
 
 def _data_json(layout: str, values: str, escape: str) -> str:
@@ -91,11 +106,25 @@ def _data_json(layout: str, values: str, escape: str) -> str:
         ELSE transform({values}, (v, i) -> CASE WHEN {overridden} THEN '.' ELSE v END) END"""
     value = value_json("v", mixed_list_as_string=True, escape=escape)
     members = f"""zip_with({layout}.names, {deciding}, (name, v) ->
-        CASE WHEN name IS NOT NULL AND v != '.' THEN concat(name, {value}) END)"""
+        CASE WHEN name != '' AND v != '.' THEN concat(name, {value}) END)"""
     return f"concat('{{', array_join({members}, ','), '}}')"
 
 
-def _data(layout: str, text: str, values: str, escape: str) -> str:
+def _plain_member(name: str, value: str) -> str:
+    """JSON member of a value of a plain sample, NULL for a missing value.
+
+    Digits, signs and dots sort before letters, so the first character tells words
+    from numbers; a list with a missing item is one string.
+    """
+    return f"""CASE
+        WHEN {value} = '.' THEN NULL
+        WHEN {value} >= 'A' THEN concat({name}, '"', {value}, '"')
+        WHEN NOT contains({value}, ',') THEN concat({name}, {value})
+        WHEN contains(concat(',', {value}, ','), ',.,') THEN concat({name}, '"', {value}, '"')
+        ELSE concat({name}, '[', {value}, ']') END"""
+
+
+def _parsed_data(layout: str, text: str, json: str) -> str:
     """VARIANT of the FORMAT values except GT and missing ones.
 
     Many samples have no value beside GT: these share one empty object and nothing of
@@ -103,10 +132,28 @@ def _data(layout: str, text: str, values: str, escape: str) -> str:
     """
     nothing = f"""{layout}.gt = 1 AND {layout}.single AND
         (NOT contains({text}, ':') OR {text} RLIKE r'{ONLY_GT}')"""
-    json = let("vals", values, _data_json(layout, "vals", escape))
     return f"CASE WHEN {nothing} THEN parse_json('{{}}') ELSE parse_json({json}) END"
 
 
+def _data(layout: str, text: str, values: str, escape: str) -> str:
+    """The same inside a lambda."""
+    return _parsed_data(layout, text, let("vals", values, _data_json(layout, "vals", escape)))
+
+
+def _data_of_columns(layout: str, text: str, values: str, escape: str) -> str:
+    """The same of columns, where Spark compiles what is no lambda: the members of a
+    plain sample follow from its values and are written out one by one."""
+    plain = f"""{layout}.gt = 1 AND {layout}.single AND size({layout}.names) <= {SPELLED_OUT}
+        AND {text} RLIKE r'{PLAIN_SAMPLE}'"""
+    members = ", ".join(
+        _plain_member(f"get({layout}.names, {i})", f"get({values}, {i})")
+        for i in range(1, SPELLED_OUT)
+    )
+    json = f"""CASE WHEN {plain} THEN concat('{{', concat_ws(',', {members}), '}}')
+        ELSE {_data_json(layout, values, escape)} END"""
+    return _parsed_data(layout, text, json)
+
+
 def _gt_value(layout: str, text: str) -> str:
     """The GT text of a sample; with repeated GT keys the last that is not missing."""
     values = f"split({text}, ':')"
@@ -137,21 +184,22 @@ def raw_genotypes(line: str, kept: str) -> str:
       THEN {present} ELSE array() END"""
 
 
-def record_layout(line: str) -> str:
-    """What all samples of a record share, NULL for a record without samples."""
-    layout = format_layout(tab_field(line, 8))
-    return f"CASE WHEN {has_tabs(line, 9)} THEN {layout} END"
+def record_format(line: str) -> str:
+    """FORMAT of a record, NULL for one without samples."""
+    return f"CASE WHEN {has_tabs(line, 9)} THEN {tab_field(line, 8)} END"
+
+
+def split_sample(sample: str, layout: str) -> dict[str, str]:
+    """The columns ``gt`` and ``vals`` of a sample of ``raw_genotypes``."""
+    text = f"{sample}.text"
+    return {"gt": _gt_value(layout, text), "vals": f"split({text}, ':')"}
 
 
-def genotype_of(sample: str, layout: str) -> str:
-    """Genotype struct of one sample of ``raw_genotypes``; members are separate
-    expressions, so a query pays for those it reads."""
+def parsed_sample(sample: str, layout: str) -> dict[str, str]:
+    """The columns ``calls`` and ``data`` of a sample with those of ``split_sample``."""
     text = f"{sample}.text"
-    calls = let("gt", _gt_value(layout, text), allele_calls("gt"))
-    return f"""named_struct(
-      'sampleId', {sample}.sampleId,
-      'calls', {calls},
-      'data', {_data(layout, text, f"split({text}, ':')", needs_escaping(text))})"""
+    data = _data_of_columns(layout, text, "vals", needs_escaping(text))
+    return {"calls": allele_calls("gt"), "data": data}
 
 
 def genotypes(line: str, kept: str) -> str:
@@ -165,7 +213,7 @@ def genotypes(line: str, kept: str) -> str:
         after_tabs(line, 9),
         f"""struct(
           split(samples, '\\t') AS fields,
-          {format_layout(tab_field(line, 8))} AS layout,
+          {let("fmt", tab_field(line, 8), format_layout("fmt"))} AS layout,
           {needs_escaping("samples")} AS escape
         )""",
     )

@@ -32,8 +32,8 @@ ANY_FLOAT = whole(
 # Numbers whose text already is the JSON text that the general rules arrive at, and
 # comma lists of them: no padding, no zeros at either end, at most 15 digits, not so
 # small that an exponent would be shorter.
-_TIDY = r"-?(?:0|[1-9][0-9]{0,8})(?:\.(?!0000)(?:0|[0-9]{0,5}[1-9]))?"
-TIDY = rf"{_TIDY}(?:,{_TIDY})*"
+TIDY_NUMBER = r"-?(?:0|[1-9][0-9]{0,8})(?:\.(?!0000)(?:0|[0-9]{0,5}[1-9]))?"
+TIDY = rf"{TIDY_NUMBER}(?:,{TIDY_NUMBER})*"
 TIDY_NUMBERS = whole(TIDY)
 # Text without grouping and padding: it is a short integer, or none.
 PLAIN_TEXT = whole(r"[^_\x00-\x20\x{80}-\x{10ffff}]*")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import fields
 from genoframe.functions.genotype import (
-    genotype_of,
+    format_layout,
     genotypes,
+    parsed_sample,
     raw_genotypes,
-    record_layout,
+    record_format,
+    split_sample,
 )
 from genoframe.functions.text import strip
 from genoframe.functions.variant import info_variant
@@ -20,6 +22,7 @@ from genoframe.plans.header_join import (
     join_headers,
     join_scanned_headers,
 )
+from genoframe.plans.unparsed import with_rows
 
 
 def body_lines(lines: DataFrame) -> DataFrame:
@@ -88,16 +91,28 @@ def genotype_rows(records: DataFrame, options: VcfOptions) -> DataFrame:
         records.select(
             "*",
             F.expr(raw_genotypes("value", "kept")).alias("raw"),
-            F.expr(record_layout("value")).alias("layout"),
+            F.expr(record_format("value")).alias("format"),
         ),
         options,
-        keep=("raw", "layout"),
-    )
-    others = [name for name in columns.columns if name not in ("genotypes", "raw", "layout")]
-    exploded = columns.select(*others, "layout", F.explode("raw").alias("sample"))
-    return exploded.selectExpr(
-        *(f"`{name}`" for name in others), f"{genotype_of('sample', 'layout')} AS genotype"
+        keep=("raw", "format"),
     )
+    others = [name for name in columns.columns if name not in ("genotypes", "raw", "format")]
+    laid_out = columns.select(*others, "raw", F.expr(format_layout("format")).alias("layout"))
+    # Exploding a bare column makes Spark add filters on it, which would split the
+    # samples off once more for each.
+    present = F.coalesce("raw", F.array().cast(laid_out.schema["raw"].dataType))
+    exploded = laid_out.select(*others, "layout", F.explode(present).alias("sample"))
+    # Columns of their own are evaluated once and compiled, other than bound variables.
+    for step in (split_sample, parsed_sample):
+        found = step("sample", "layout")
+        exploded = exploded.withColumns({name: F.expr(sql) for name, sql in found.items()})
+    genotype = F.struct(F.col("sample.sampleId").alias("sampleId"), "calls", "data")
+    return exploded.select(*others, genotype.alias("genotype"))
+
+
+def parsed_variants(staged: DataFrame, options: VcfOptions) -> DataFrame:
+    """The VCF columns of a batch, which ``explode_genotypes`` may take as genotype rows."""
+    return with_rows(vcf_columns(staged, options), lambda: genotype_rows(staged, options))
 
 
 def parse_vcf_lines(
@@ -117,4 +132,4 @@ def parse_vcf_lines(
         staged = join_scanned_headers(records, lines, parsed, max_broadcast_bytes)
     else:
         staged = join_headers(records, headers, parsed, max_broadcast_bytes)
-    return vcf_columns(staged, parsed)
+    return parsed_variants(staged, parsed)

@@ -11,7 +11,7 @@ from genoframe.plans.header_join import (
     join_head_headers,
     join_scanned_headers,
 )
-from genoframe.plans.parse import genotype_rows, record_lines, vcf_columns
+from genoframe.plans.parse import genotype_rows, parsed_variants, record_lines, vcf_columns
 from genoframe.plans.rejects import observed_records
 from genoframe.schema import vcf_schema
 from genoframe.sources.lines import vcf_lines
@@ -48,7 +48,10 @@ def read_vcf(
     staged = _staged(spark, path, scan_headers, max_broadcast_bytes, parsed, observation)
     if staged is None:
         return spark.createDataFrame([], vcf_schema())
-    return vcf_columns(staged, parsed)
+    if observation is not None:
+        # Counted once: rows of their own would count again.
+        return vcf_columns(staged, parsed)
+    return parsed_variants(staged, parsed)
 
 
 def read_genotypes(
