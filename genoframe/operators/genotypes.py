@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.operators.variants import variant_field
+from genoframe.plans.unparsed import rows_of
 
 
 def explode_genotypes(df: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Replace ``genotypes`` by one ``genotype`` struct per row.
 
-    Variants without genotypes give no row, unless ``keep_empty`` is set.
+    Variants without genotypes give no row, unless ``keep_empty`` is set. Variants
+    straight from a batch reader, or split after it, are parsed behind the explode.
     """
+    rows = None if keep_empty else rows_of(df)
+    if rows is not None:
+        return rows
     explode = F.explode_outer if keep_empty else F.explode
     others = [F.col(name) for name in df.columns if name != "genotypes"]
     # Exploding a bare column makes Spark add filters on it, which would parse the
