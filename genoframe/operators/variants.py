@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.plans.unparsed import has_rows, rows_of, with_rows
+
 
 def in_region(df: DataFrame, contig: str, start: int, end: int) -> DataFrame:
     """Variants that lie inside ``[start, end]`` of a contig; overlap is not enough."""
@@ -177,39 +179,57 @@ def split_multiallelic(
     an R list the reference's and the allele's, of a G list those of the genotypes of
     these two, for two copies or one.
     """
-    split = df.select("*", F.posexplode_outer("alternateAlleles").alias("altPosition", "allele"))
     alt_index = (F.col("altPosition") + 1).cast("int")
 
     def recode(call: Column) -> Column:
         code = F.when(call == -1, -1).when(call == F.col("altIndex"), 1).otherwise(0)
         return code.cast("bigint")
 
-    def per_allele(genotype: Column) -> Column:
+    def per_allele(genotype: Column | dict[str, Column]) -> dict[str, Column]:
         data = genotype["data"]
-        return F.struct(
-            genotype["sampleId"].alias("sampleId"),
-            F.transform(genotype["calls"], recode).alias("calls"),
-            (_of_allele(data, format_numbers) if format_numbers else data).alias("data"),
-        )
+        return {
+            "sampleId": genotype["sampleId"],
+            "calls": F.transform(genotype["calls"], recode),
+            "data": _of_allele(data, format_numbers) if format_numbers else data,
+        }
+
+    def struct_of(members: dict[str, Column]) -> Column:
+        return F.struct(*(member.alias(name) for name, member in members.items()))
 
     one_allele = F.when(F.col("allele").isNotNull(), F.array("allele")).otherwise(
         F.col("alternateAlleles")
     )
     is_split = F.col("altIndex").isNotNull()
-    changed = {
-        "alternateAlleles": one_allele,
-        "genotypes": F.when(is_split, F.transform("genotypes", per_allele)).otherwise(
-            F.col("genotypes")
-        ),
-    }
-    if info_numbers:
+
+    def of_alleles(rows: DataFrame, changed: dict[str, Column]) -> DataFrame:
         info = F.col("info")
-        changed["info"] = F.when(is_split, _of_allele(info, info_numbers)).otherwise(info)
-    return (
-        split.withColumns({"altIndex": alt_index, "_alleles": F.size("alternateAlleles") + 1})
-        .withColumns(changed)
-        .drop("altPosition", "allele", "_alleles")
-    )
+        if info_numbers:
+            changed = changed | {"info": F.when(is_split, _of_allele(info, info_numbers)).otherwise(info)}
+        return (
+            rows.select("*", F.posexplode_outer("alternateAlleles").alias("altPosition", "allele"))
+            .withColumns({"altIndex": alt_index, "_alleles": F.size("alternateAlleles") + 1})
+            .withColumns({"alternateAlleles": one_allele} | changed)
+            .drop("altPosition", "allele", "_alleles")
+        )
+
+    def genotype_rows() -> DataFrame:
+        # Members are columns until the end, so that what is not read is not parsed.
+        rows = rows_of(df)
+        flat = {name: f"_{name}" for name in ("sampleId", "calls", "data")}
+        others = [name for name in rows.columns if name != "genotype"]
+        members = rows.select(*others, *(F.col("genotype")[name].alias(column) for name, column in flat.items()))
+        recoded = {
+            flat[name]: F.when(is_split, member).otherwise(F.col(flat[name]))
+            for name, member in per_allele({name: F.col(column) for name, column in flat.items()}).items()
+        }
+        split = of_alleles(members, recoded)
+        genotype = struct_of({name: F.col(column) for name, column in flat.items()})
+        return split.select(*(name for name in split.columns if name not in flat.values()), genotype.alias("genotype"))
+
+    genotypes = F.col("genotypes")
+    parsed = F.when(is_split, F.transform(genotypes, lambda g: struct_of(per_allele(g)))).otherwise(genotypes)
+    split = of_alleles(df, {"genotypes": parsed})
+    return with_rows(split, genotype_rows) if has_rows(df) else split
 
 
 def trim_alleles(df: DataFrame) -> DataFrame:
