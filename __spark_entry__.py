@@ -695,7 +695,8 @@ def trimmed_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discovered_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types out of the values; no header declares any of the keys."""
-    variants = _genotype_variants(spark, sf_dir)
+    # Parsed once: finding the types and flattening both read all of INFO.
+    variants = stored(_genotype_variants(spark, sf_dir).select("info"), "variants")
     types = gf.discovered_info_types(variants)
     flat = gf.flatten_info(variants, types)
     lists = F.coalesce(F.array_join("INFO_LIST", "|"), F.lit("none"))

@@ -60,3 +60,23 @@ def test_samples_without_values_are_empty_objects(spark, tmp_path):
     for rows in (gf.explode_genotypes(gf.read_vcf(spark, path)), gf.read_genotypes(spark, path)):
         found = rows.selectExpr("genotype.sampleId AS s", "to_json(genotype.data) AS d").collect()
         assert [row["d"] for row in sorted(found)] == wanted
+
+
+def test_info_is_parsed_once_for_its_types_and_its_columns(spark, tables, monkeypatch):
+    inputs, found, flatten = [], registered.gf.discovered_info_types, registered.gf.flatten_info
+
+    def types_of(variants, *args):
+        inputs.append(variants.inputFiles())
+        return found(variants, *args)
+
+    def flattened(variants, types):
+        inputs.append(variants.inputFiles())
+        return flatten(variants, types)
+
+    monkeypatch.setattr(registered.gf, "discovered_info_types", types_of)
+    monkeypatch.setattr(registered.gf, "flatten_info", flattened)
+    rows = registered.discovered_info(spark, str(tables)).collect()
+    assert sum(row["n"] for row in rows) == 400
+    assert {row["types"] for row in rows} == {"DP:bigint FLAG:boolean LIST:array<double> MIX:string"}
+    assert len(inputs) == 2 and all(inputs)
+    assert not any("lineitem" in file for files in inputs for file in files)
