@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import clashing, documents, random_texts, rows_of
 from tokenizers import Tokenizer
@@ -101,3 +102,65 @@ def test_cuts():
     assert packing.cuts(9000, 4096, 512) == [0, 4096, 8192, 8704, 9000]
     assert packing.cuts(4096) == [0, 4096]
     assert packing.cuts(1) == [0, 1]
+
+
+def test_ids_of_odd_words_are_those_of_the_library():
+    pick = random.Random(3)
+    letters = "abzAZéÉßÀÞþÿ×÷ØµªºŸİΣσς.,'7一й́ \u0085-"
+    words = ["".join(pick.choices(letters, k=pick.randint(1, 6))) for _ in range(6000)]
+    words += ["don't", "x.", ".x", "Ünder", "A,", "Ã", "×", "÷a", "<|endoftext|>", "a<|b"]
+    texts = [" ".join(pick.choices(words, k=pick.randint(0, 30))) for _ in range(800)] + [None, "", "\n"]
+    library = Tokenizer.from_file(tokens.vocabulary())
+    encoder = packing.WordEncoder(tokens.vocabulary())
+    for _ in range(2):
+        for ids, text in zip(encoder.encode(pa.array(texts)), texts, strict=True):
+            assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("limit", ["MEMO_WORDS", "MEMO_IDS"])
+def test_forgetting_words_keeps_ids(monkeypatch, limit):
+    monkeypatch.setattr(packing, limit, 50)
+    texts = random_texts(200, 4, [f"Wörd{i}x" if i % 3 else f"w{'a' * i}" for i in range(90)])
+    library = Tokenizer.from_file(tokens.vocabulary())
+    encoder = packing.WordEncoder(tokens.vocabulary())
+    for text in texts:
+        (ids,) = encoder.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once_by_a_worker():
+    seen = []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(word for text in texts for word in text.split())
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = packing.encoder_of(tokens.vocabulary())
+    held = encoder.tokenizer, encoder.spelled
+    encoder.tokenizer, encoder.spelled = map(Counting, held)
+    cut = packing._cut_documents(tokens.vocabulary(), packing.END_ID)
+    batch = pa.RecordBatch.from_pydict(
+        {"piece_id": [1], "doc_id": [1], "text": ["Oncexq twicexq ä7q Oncexq"]}
+    )
+    try:
+        first, second = [list(cut(iter([batch]))) for _ in range(2)]
+    finally:
+        encoder.tokenizer, encoder.spelled = held
+    assert first == second
+    assert len(seen) == 3
+
+
+def test_places_of_hashes():
+    pick = np.random.default_rng(2)
+    # Hashes that share their low bits meet in one place.
+    hashes = np.unique(pick.integers(0, 1 << 20, 3000).astype(np.uint64) << np.uint64(14))
+    table = packing.HashPlaces(bits=4)
+    for some in np.array_split(np.arange(len(hashes)), 7):
+        assert (table.find(hashes[some]) == -1).all()
+        table.add(hashes[some], some)
+    assert (table.find(hashes) == np.arange(len(hashes))).all()
+    assert (table.find(hashes + np.uint64(1)) == -1).all()
