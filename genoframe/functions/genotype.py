@@ -46,7 +46,8 @@ def _allele(text: str) -> str:
 def allele_calls(gt: str) -> str:
     """Allele indexes of a GT value: ``.`` is -1, phase is dropped.
 
-    NULL for a missing value or if any allele is not an integer.
+    NULL for a missing value or if any allele is not an integer. Common calls are looked
+    up in a constant map, since a branch for each would be interpreted in lambdas.
     """
     alleles = f"split(translate({gt}, '|', '/'), '/')"
     plain = f"transform({alleles}, a -> CASE WHEN a = '.' THEN -1L ELSE try_cast(a AS bigint) END)"
@@ -54,16 +55,14 @@ def allele_calls(gt: str) -> str:
     all_or_nothing = let(
         "calls", checked, "CASE WHEN NOT exists(calls, c -> c IS NULL) THEN calls END"
     )
-    common = " ".join(
-        f"WHEN {gt} = '{calls}' THEN array({', '.join(_allele(a) for a in calls[::2])})"
-        for calls in COMMON_CALLS
+    common = ", ".join(
+        f"'{calls}', array({', '.join(_allele(a) for a in calls[::2])})" for calls in COMMON_CALLS
     )
-    return f"""CASE
+    return f"""coalesce(element_at(map({common}), {gt}), CASE
       WHEN {gt} IS NULL OR {gt} = '.' THEN NULL
-      {common}
       WHEN {gt} RLIKE r'{PLAIN_CALLS}' THEN {plain}
       ELSE {all_or_nothing}
-    END"""
+    END)"""
 
 
 def format_layout(format_field: str) -> str:
@@ -217,15 +216,14 @@ def genotypes(line: str, kept: str) -> str:
           {needs_escaping("samples")} AS escape
         )""",
     )
-    values = f"""transform(
-        filter({kept}, s -> s.idx < size(rec.fields)),
-        s -> struct(
-          s.sampleId AS sampleId,
-          CASE WHEN get(rec.fields, s.idx) = '' THEN '.'
-            ELSE get(rec.fields, s.idx) END AS text))"""
-    parsed = f"""transform({values}, s -> struct(
+    # Kept samples are in header order: with the last one the record has all.
+    present = f"""CASE WHEN element_at({kept}, -1).idx < size(rec.fields) THEN {kept}
+        ELSE filter({kept}, s -> s.idx < size(rec.fields)) END"""
+    text = "CASE WHEN get(rec.fields, s.idx) = '' THEN '.' ELSE get(rec.fields, s.idx) END"
+    genotype = f"""struct(
         s.sampleId AS sampleId,
-        {let("gt", _gt_value("rec.layout", "s.text"), allele_calls("gt"))} AS calls,
-        {_data("rec.layout", "s.text", "split(s.text, ':')", "rec.escape")} AS data))"""
+        {let("gt", _gt_value("rec.layout", "text"), allele_calls("gt"))} AS calls,
+        {_data("rec.layout", "text", "split(text, ':')", "rec.escape")} AS data)"""
+    parsed = f"transform({present}, s -> {let('text', text, genotype)})"
     return f"""CASE WHEN size({kept}) > 0 AND {has_tabs(line, f"9 + {kept}[0].idx")}
       THEN {let("rec", record, parsed)} END"""

@@ -30,9 +30,11 @@ def let(name: str, value: str, body: str) -> str:
     """``body`` with ``name`` standing for ``value``, which is evaluated once.
 
     Repeating an expression inside a lambda evaluates it again and again;
-    a lambda variable is evaluated once.
+    a lambda variable is evaluated once. This one is the result of an aggregation over
+    nothing, so no array is made to hold the value.
     """
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    nothing = "cast(array() AS array<int>)"
+    return f"aggregate({nothing}, {value}, ({name}, none) -> {name}, {name} -> {body})"
 
 
 def strip(value: str) -> str:

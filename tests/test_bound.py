@@ -1,0 +1,51 @@
+"""Bound values and what genotype arrays are built with."""
+
+from genoframe.functions.genotype import COMMON_CALLS, KEPT_SAMPLES_TYPE, allele_calls, genotypes
+from genoframe.functions.text import let
+
+
+def test_bound_values_are_not_put_into_arrays():
+    # Each array is an allocation and a copy for every value of every sample.
+    assert "transform(" not in let("x", "'a'", "concat(x, x)")
+    line = genotypes("value", "kept")
+    assert "transform(array(" not in line.replace(" ", "")
+
+
+def test_bound_values(spark):
+    inner = let("y", "concat(x.a, 'b')", "struct(x.a AS a, y AS y)")
+    row = spark.range(3).selectExpr(
+        "id",
+        let("x", "struct(string(id) AS a)", inner) + " AS bound",
+        let("x", "CASE WHEN id = 1 THEN 'v' END", "coalesce(x, 'none')") + " AS missing",
+        f"transform(array(id, id + 1), i -> {let('x', 'i * 2', 'x + i')}) AS nested",
+    ).collect()
+    assert [(r.bound.a, r.bound.y) for r in row] == [(str(i), f"{i}b") for i in range(3)]
+    assert [r.missing for r in row] == ["none", "v", "none"]
+    assert [r.nested for r in row] == [[3 * i, 3 * i + 3] for i in range(3)]
+
+
+def test_calls_by_lookup_and_by_rule(spark):
+    texts = [*COMMON_CALLS, ".", "3/4", "0/x", "10|.", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "gt string")
+    found = {r.gt: r.calls for r in rows.selectExpr("gt", f"{allele_calls('gt')} AS calls").collect()}
+    for text in COMMON_CALLS:
+        assert found[text] == [-1 if a == "." else int(a) for a in text[::2]]
+    assert (found["."], found["0/x"], found[""], found[None]) == (None, None, None, None)
+    assert (found["3/4"], found["10|."]) == ([3, 4], [10, -1])
+
+
+def test_samples_that_a_record_lacks(spark):
+    head = "c\t1\t.\tA\tT\t.\t.\t.\tGT:DP"
+    kept = f"cast(array(struct(0, 'a'), struct(2, 'c')) AS {KEPT_SAMPLES_TYPE}) AS kept"
+    lines = [head + tail for tail in ("\t0/1:1\t0/0\t1|1:3", "\t0/1:1\t0/0", "\t\t0/0\t", "")]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    parsed = rows.selectExpr("i", "value", kept).selectExpr(
+        "i", f"to_json(struct({genotypes('value', 'kept')} AS g)) AS g"
+    )
+    first = '{"sampleId":"a","calls":[0,1],"data":{"DP":1}}'
+    assert [r.g for r in parsed.orderBy("i").collect()] == [
+        '{"g":[' + first + ',{"sampleId":"c","calls":[1,1],"data":{"DP":3}}]}',
+        '{"g":[' + first + "]}",
+        '{"g":[{"sampleId":"a","data":{}},{"sampleId":"c","data":{}}]}',
+        "{}",
+    ]
