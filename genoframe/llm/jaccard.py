@@ -35,7 +35,7 @@ from genoframe.llm.batches import returning_memory, small_batches
 from genoframe.llm.components import components
 from genoframe.llm.shingles import shingle_sets
 from genoframe.llm.textscan import mixed
-from genoframe.plans.shared import shared_folder, shared_path
+from genoframe.plans.shared import shared_folder, shared_path, shuffles_removed
 
 WORDS = 3
 PERCENT = 90
@@ -58,6 +58,8 @@ HOT_SHARE = 10_000
 NO_ID = -(1 << 63)
 # Nodes of a size step that meet every chunk of a large cluster, on average.
 LEADERS = 64
+# Words of 64 bits in the filter of ids that go: some 10 MB at most where it is broadcast.
+ID_WORDS = 1 << 18
 
 
 def _needed(difference: int) -> int:
@@ -606,6 +608,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     a component of such rows only has a null id. No documents give no rows; other
     columns are not read.
     """
+    with shuffles_removed(docs.sparkSession):
+        rows, by_digest, total = _components_by_digest(docs, words, percent)
+    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    together = _with_hot(rows.where("n > 0"), by_digest, total)
+    together = together.select("doc_id", "n", "component_id")
+    return together.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _components_by_digest(
+    docs: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """Size and digest of each row's set, and for each digest its copies and
+    component_id, both stored; and the number of rows."""
     spark = docs.sparkSession
     shared_folder(spark)
     small_batches(spark)
@@ -675,21 +690,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     by_digest = firsts.join(named, "digest", "left").select(
         "digest", "copies", F.coalesce("smallest", "first_id").alias("component_id")
     )
-    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    together = _with_hot(rows.where("n > 0"), by_digest, all_rows["rows"])
-    together = together.select("doc_id", "n", "component_id")
-    return together.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return rows, by_digest.checkpoint(), all_rows["rows"]
 
 
 def _with_hot(rows: DataFrame, by_digest: DataFrame, total: int) -> DataFrame:
-    """Rows with what belongs to their digest.
+    """Rows with what belongs to their digest, which is stored.
 
     Digests with more than one in ``HOT_SHARE`` of all rows are at most that many and
     are broadcast; no key of the other rows' shuffle has more than that share.
     """
-    stored = by_digest.checkpoint()
     is_hot = F.col("copies") > F.lit(total // HOT_SHARE)
-    hot, other = F.broadcast(stored.where(is_hot)), stored.where(~is_hot)
+    hot, other = F.broadcast(by_digest.where(is_hot)), by_digest.where(~is_hot)
     rest = rows.join(hot.select("digest"), "digest", "left_anti")
     return rows.join(hot, "digest").unionByName(rest.join(other, "digest"))
 
@@ -701,7 +712,33 @@ def keep_one_per_component(
 
     Rows of a repeated id go together; a row with a null id cannot be named and stays.
     """
-    found = near_duplicates(docs, words, percent)
-    goes = found.where("NOT doc_id <=> component_id").select("doc_id")
-    same = F.col("d.doc_id").cast("bigint") == F.col("g.doc_id")
-    return docs.alias("d").join(goes.alias("g"), same, "left_anti")
+    with shuffles_removed(docs.sparkSession):
+        found = near_duplicates(docs, words, percent)
+        named = found.where("doc_id IS NOT NULL AND NOT doc_id <=> component_id")
+        goes = named.select("doc_id").checkpoint()
+    return _without(docs, goes)
+
+
+def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``goes``, which is stored.
+
+    Where the ids are too many to broadcast, a join with them shuffles whole rows: only
+    those that a filter of the ids lets through, which is small, are joined.
+    """
+
+    def word(doc_id: str) -> str:
+        return f"pmod(xxhash64({doc_id}), {ID_WORDS}L)"
+
+    def bit(doc_id: str) -> str:
+        return f"shiftleft(1L, int(pmod(shiftright(xxhash64({doc_id}), 32), 64L)))"
+
+    doc_id = "cast(d.doc_id AS bigint)"
+    marks = goes.groupBy(F.expr(word("doc_id")).alias("word")).agg(
+        F.bit_or(F.expr(bit("doc_id"))).alias("bits")
+    )
+    marks = F.broadcast(marks).alias("m")
+    marked = F.expr(f"{word(doc_id)} = m.word AND m.bits & {bit(doc_id)} <> 0")
+    rows = docs.alias("d")
+    stays = rows.join(marks, marked, "left_anti")
+    asked = rows.join(marks, marked, "left_semi")
+    return stays.union(asked.join(goes.alias("g"), F.expr(f"{doc_id} = g.doc_id"), "left_anti"))

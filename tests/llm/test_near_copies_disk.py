@@ -1,0 +1,81 @@
+"""What the near-copies stage leaves on disk: shuffle files, and rows that it shuffles whole."""
+
+from __future__ import annotations
+
+import time
+
+import pytest
+
+from genoframe.llm.jaccard import keep_one_per_component
+from genoframe.plans.shared import SHUFFLE_CLEANUP, shuffles_removed
+
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
+
+def documents(spark, n=400, copies=8):
+    """Texts of their own, and some of them again with one more word at the end."""
+    words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(n)]
+    near = [f"{words[i]} more" for i in range(copies)]
+    rows = [(i, text, f"s{i % 3}") for i, text in enumerate(words + near)]
+    rows += [(None, words[0], None), (None, None, "empty"), (n + copies, None, None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    yield
+    spark.conf.set(THRESHOLD, before)
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString("\n").split("\n")
+    return {name for name in names if "/shuffle_" in name and name.endswith(".data")}
+
+
+def whole_rows_shuffled(plan):
+    """Records that shuffles of an executed plan wrote with the text in them."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return whole_rows_shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return whole_rows_shuffled(plan.plan())
+    children = plan.children()
+    found = sum(whole_rows_shuffled(children.apply(i)) for i in range(children.size()))
+    if kind == "ShuffleExchangeExec" and "text#" in plan.output().mkString(","):
+        found += plan.metrics().apply("shuffleRecordsWritten").value()
+    return found
+
+
+def test_rows_that_stay_are_not_shuffled(spark, no_broadcast):
+    kept = keep_one_per_component(documents(spark), 5, 80)
+    rows = kept.collect()
+    ids = sorted(row["doc_id"] for row in rows if row["doc_id"] is not None)
+    assert ids == [*range(400), 408]
+    assert sum(row["doc_id"] is None for row in rows) == 2
+    assert whole_rows_shuffled(kept._jdf.queryExecution().executedPlan()) <= 20
+
+
+def test_no_shuffle_files_are_left(spark):
+    docs = documents(spark, n=30, copies=3)
+    before = shuffle_files(spark)
+    kept = keep_one_per_component(docs, 5, 80)
+    left = None
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert kept.count() == 33
+
+
+def test_the_setting_is_as_it_was(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    with shuffles_removed(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    with pytest.raises(ValueError), shuffles_removed(spark):
+        raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
