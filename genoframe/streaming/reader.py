@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from genoframe.options import VcfOptions
@@ -37,6 +38,20 @@ def _split_options(options: dict[str, object]) -> tuple[dict[str, object], dict[
     return source, reader
 
 
+def _spread(lines: DataFrame, source_options: dict[str, object]) -> DataFrame:
+    """The lines over all cores, if a micro-batch has fewer files than there are.
+
+    A gzip file is one task, which would parse all of its lines; unparsed they are
+    dealt out at little cost. Each line goes by its text, so a task that runs again
+    deals the same.
+    """
+    files = str(source_options.get("maxFilesPerTrigger", ""))
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if not files.isdigit() or int(files) >= cores:
+        return lines
+    return lines.repartition(cores, F.xxhash64("value"))
+
+
 def _existing(spark: SparkSession, path: str) -> VcfPath:
     source = resolve(spark, path)
     if source is None:
@@ -77,7 +92,7 @@ def read_vcf_stream(
         raise ValueError(
             f"workers cannot open {path}, name a relay or use foreach_vcf_batch: {problem}"
         )
-    lines = vcf_lines_stream(spark, source, source_options)
+    lines = _spread(vcf_lines_stream(spark, source, source_options), source_options)
     records = record_lines(lines) if observation is None else observed_records(lines, observation)
     return vcf_columns(look_up_headers(records, parsed), parsed)
 
